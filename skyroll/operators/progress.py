@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from skyroll.functions.text import event_key
 from skyroll.functions.time import epoch_seconds, minus_days, seconds_between, yyyymmdd
+from skyroll.operators.parse import good_rows, parse_lines
 from skyroll.operators.upsert import reconciliation_status
 from skyroll.schema import BACKFILL_MODE, MARK_STAGES, RECONCILIATION_LOOKBACK_DAYS
 
@@ -105,13 +106,20 @@ def prune_files(files: DataFrame, cutoff: DataFrame, cutoff_col: str) -> DataFra
     return j.filter(keep).drop("_cut")
 
 
-def incremental_rows(parsed: DataFrame, resume: DataFrame) -> DataFrame:
-    """Rows to publish incrementally: ``dt > resume`` (strict) in files dated on
-    or after the resume day. Stations without a resume point publish nothing."""
+def _parse_writer(lines: DataFrame) -> DataFrame:
+    """Parse source lines as the writer does (station = hostname or the station dir)."""
+    keep = [c for c in lines.columns if c != "line"]
+    return good_rows(parse_lines(lines, default_station="station_dir", keep=keep))
+
+
+def incremental_rows(lines: DataFrame, resume: DataFrame) -> DataFrame:
+    """Rows to publish incrementally from raw source lines: only files dated on
+    or after the resume day are parsed, then ``dt > resume`` (strict).
+    Stations without a resume point publish nothing."""
     r = resume.select(F.col("station").alias("station_dir"), F.col("resume_ts").alias("_resume"))
-    j = parsed.join(r, "station_dir", "inner").filter(F.col("_resume").isNotNull())
-    j = j.filter(F.substring("file_name", 1, 8) >= yyyymmdd(F.col("_resume")))
-    return j.filter(F.col("dt") > F.col("_resume")).drop("_resume")
+    cand = lines.join(r.filter(F.col("_resume").isNotNull()), "station_dir", "inner")
+    cand = cand.filter(F.substring("file_name", 1, 8) >= yyyymmdd(F.col("_resume")))
+    return _parse_writer(cand).filter(F.col("dt") > F.col("_resume")).drop("_resume")
 
 
 def publish_summary(resume: DataFrame, published: DataFrame) -> DataFrame:
@@ -128,20 +136,25 @@ def publish_summary(resume: DataFrame, published: DataFrame) -> DataFrame:
     )
 
 
-def source_latest(parsed: DataFrame) -> DataFrame:
+def source_latest(lines: DataFrame) -> DataFrame:
     """Per station: the newest file (greatest name) and the greatest parsed
-    ``dt`` inside that file only. Two small partial aggregates, one scan."""
-    per_file = parsed.groupBy("station_dir", "file_name").agg(F.max("dt").alias("_file_max"))
-    return per_file.groupBy(F.col("station_dir").alias("station")).agg(
-        F.max("file_name").alias("newest_file"),
-        F.max_by("_file_max", "file_name").alias("source_latest_ts"))
-
-
-def backfill_rows(parsed: DataFrame, stored_latest: DataFrame, src_latest: DataFrame,
+    ``dt`` inside that file only. The newest name comes from a two-column
+    aggregate over the raw lines, so only that file's lines are parsed."""
+    newest = lines.groupBy("station_dir").agg(F.max("file_name").alias("newest_file"))
+    in_newest = lines.join(newest, (lines["station_dir"] == newest["station_dir"])
+                           & (lines["file_name"] == newest["newest_file"]), "left_semi")
+    parsed = _parse_writer(in_newest.select("station_dir", "file_name", "line"))
+    latest = parsed.groupBy("station_dir").agg(F.max("dt").alias("source_latest_ts"))
+    return (newest.join(latest, "station_dir", "left")
+            .select(F.col("station_dir").alias("station"), "newest_file", "source_latest_ts"))
+
+
+def backfill_rows(lines: DataFrame, stored_latest: DataFrame, src_latest: DataFrame,
                   lookback_days: int = RECONCILIATION_LOOKBACK_DAYS) -> DataFrame:
-    """Repair window per station. Skip when ``stored >= source`` (both known);
-    no stored data -> whole history; else rows with ``dt >= stored - lookback``
-    (inclusive) from files dated on or after that day. Rows are tagged
+    """Repair window per station from raw source lines. Skip when
+    ``stored >= source`` (both known); no stored data -> whole history; else
+    only files dated on or after ``stored - lookback`` are parsed and rows with
+    ``dt >= stored - lookback`` (inclusive) kept. Rows are tagged
     ``ingestion_mode = 'backfill'`` and keyed ``station|iso(dt)``."""
     plan = (src_latest.select("station", "source_latest_ts")
             .join(stored_latest.select("station", F.col("table_latest_ts").alias("_stored")), "station", "full_outer"))
@@ -149,10 +162,10 @@ def backfill_rows(parsed: DataFrame, stored_latest: DataFrame, src_latest: DataF
                          & (F.col("_stored") >= F.col("source_latest_ts"))))
     plan = plan.select(F.col("station").alias("station_dir"),
                        F.when(F.col("_stored").isNotNull(), minus_days(F.col("_stored"), lookback_days)).alias("_cutoff"))
-    j = parsed.join(plan, "station_dir", "inner")
-    keep = F.col("_cutoff").isNull() | (
-        (F.substring("file_name", 1, 8) >= yyyymmdd(F.col("_cutoff"))) & (F.col("dt") >= F.col("_cutoff")))
-    return (j.filter(keep).drop("_cutoff")
+    cand = lines.join(plan, "station_dir", "inner").filter(
+        F.col("_cutoff").isNull() | (F.substring("file_name", 1, 8) >= yyyymmdd(F.col("_cutoff"))))
+    rows = _parse_writer(cand).filter(F.col("_cutoff").isNull() | (F.col("dt") >= F.col("_cutoff")))
+    return (rows.drop("_cutoff")
             .withColumn("ingestion_mode", F.lit(BACKFILL_MODE))
             .withColumn("event_key", event_key(F.col("station"), F.col("dt"))))
 

@@ -230,7 +230,7 @@ def q_producer_marks(spark, sf):
 @register("reconcile_merge")
 def q_reconcile_merge(spark, sf):
     state = _state(spark, sf).filter(F.col("station") != "purchase")
-    observed = P.observed_marks(P.source_latest(_parsed_writer(spark, sf)),
+    observed = P.observed_marks(P.source_latest(_lines(spark, sf)),
                                 P.table_max(_stored_for_repair(spark, sf)))
     return U.reconcile_marks(state, observed, ntz(AS_OF))
 
@@ -325,25 +325,25 @@ def q_pruned_files(spark, sf):
 
 @register("incremental_new")
 def q_incremental_new(spark, sf):
-    rows = P.incremental_rows(_parsed_writer(spark, sf), _resume(spark, sf))
+    rows = P.incremental_rows(_lines(spark, sf), _resume(spark, sf))
     return rows.select("arrival", "station", "dt", event_key(F.col("station"), F.col("dt")).alias("event_key"))
 
 
 @register("publish_summary")
 def q_publish_summary(spark, sf):
     resume = _resume(spark, sf)
-    return P.publish_summary(resume, P.incremental_rows(_parsed_writer(spark, sf), resume))
+    return P.publish_summary(resume, P.incremental_rows(_lines(spark, sf), resume))
 
 
 @register("source_latest")
 def q_source_latest(spark, sf):
-    return P.source_latest(_parsed_writer(spark, sf))
+    return P.source_latest(_lines(spark, sf))
 
 
 @register("backfill_window")
 def q_backfill_window(spark, sf):
-    parsed = _parsed_writer(spark, sf)
-    rows = P.backfill_rows(parsed, P.table_max(_stored_for_repair(spark, sf)), P.source_latest(parsed))
+    lines = _lines(spark, sf)
+    rows = P.backfill_rows(lines, P.table_max(_stored_for_repair(spark, sf)), P.source_latest(lines))
     return rows.select("arrival", "station", "dt", "ingestion_mode", "event_key")
 
 
