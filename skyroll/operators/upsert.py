@@ -70,14 +70,18 @@ def latest_per_station(observations: DataFrame, order: Sequence[str] = ("dt", "a
 def merge_latest(stored: DataFrame, batch_observations: DataFrame,
                  updated_at: Column | None = None) -> DataFrame:
     """Conditional latest upsert: a batch row replaces the stored row when its
-    ``dt >= stored.dt``; ties between batch rows go to the later arrival."""
+    ``dt >= stored.dt``; ties between batch rows go to the later arrival.
+    With ``updated_at``, replaced rows get that value and kept rows keep theirs."""
     cols = [c for c in stored.columns if c != "updated_at"]
-    st = stored.select(*cols, F.lit(None).cast("long").alias("arrival"), F.lit(0).alias(_SRC))
-    bt = latest_projection(batch_observations).select(*cols, "arrival", F.lit(1).alias(_SRC))
-    out = latest_wins(st.unionByName(bt).withColumnRenamed("arrival", "_arr"), ["station"],
-                      ["dt", _SRC, "_arr"])
-    out = out.select(*cols)
-    return out if updated_at is None else out.withColumn("updated_at", updated_at)
+    keep_ts = updated_at is not None
+    st = stored.select(*cols, *([F.col("updated_at").cast("timestamp")] if keep_ts and "updated_at" in stored.columns
+                                else ([F.lit(None).cast("timestamp").alias("updated_at")] if keep_ts else [])),
+                       F.lit(None).cast("long").alias("_arr"), F.lit(0).alias(_SRC))
+    bt = latest_projection(batch_observations).select(
+        *cols, *([updated_at.cast("timestamp").alias("updated_at")] if keep_ts else []),
+        F.col("arrival").alias("_arr"), F.lit(1).alias(_SRC))
+    out = latest_wins(st.unionByName(bt), ["station"], ["dt", _SRC, "_arr"])
+    return out.select(*cols, *(["updated_at"] if keep_ts else []))
 
 
 def evolve_schema(df: DataFrame, target_columns: Sequence[tuple[str, str]]) -> DataFrame:
