@@ -30,7 +30,7 @@ def global_max(weather: DataFrame, ts: str = "dt"):
     return weather.select(F.max(ts).alias("m")).first()["m"]
 
 
-def _lit_ts(value) -> "F.Column":
+def lit_ts(value) -> "F.Column":
     if value is None:
         return F.lit(None).cast("timestamp_ntz")
     if isinstance(value, _dt.datetime):
@@ -45,7 +45,7 @@ def _measures():
 
 def rollup_window(weather: DataFrame, window: RollupWindow, max_dt) -> DataFrame:
     """One window's roll-up: ``window_name, bucket_ts, station`` + 7 measures."""
-    hi = _lit_ts(max_dt)
+    hi = lit_ts(max_dt)
     lo = minus_days(hi, window.range_days)
     rows = weather.select("station", "dt", *ROLLUP_MEASURES).filter(
         (F.col("dt") >= lo) & (F.col("dt") <= hi))
@@ -68,7 +68,7 @@ def rollups_single_pass(weather: DataFrame, max_dt,
                         windows: Sequence[RollupWindow] = ROLLUP_WINDOWS) -> DataFrame:
     """All windows from one scan: each row is tagged with ``(window, bucket)``
     for every window whose range holds it, then one grouped aggregate."""
-    hi = _lit_ts(max_dt)
+    hi = lit_ts(max_dt)
     widest = max(w.range_days for w in windows)
     rows = weather.select("station", "dt", *ROLLUP_MEASURES).filter(
         (F.col("dt") >= minus_days(hi, widest)) & (F.col("dt") <= hi))

@@ -9,6 +9,7 @@ columns (``updated_at``) are left out.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -70,14 +71,21 @@ def weather_table(obs: DataFrame, columns=None) -> DataFrame:
     return U.latest_wins(obs.select(*keep), ["station", "dt"], ["arrival"]).drop("arrival")
 
 
-def _rollup_input(spark, sf):
-    obs = _obs(spark, sf)
-    return obs, weather_table(obs, ["station", "dt", *ROLLUP_MEASURES])
+def _rollup_input(spark, sf, range_days: int):
+    """The roll-up anchor and the keyed rows it needs. ``dt`` is the minute
+    floor of ``ts``, so ``dt >= max - N days`` equals ``ts >= max - N days``
+    (a day-aligned bound): that form is a plain column filter the Parquet scan
+    applies itself (row-group skipping) before anything else runs."""
+    e = _events(spark, sf)
+    anchor = R.global_max(tt.observations(e).select("dt"))
+    lo = R.lit_ts(anchor) if anchor is None else R.lit_ts(anchor - dt.timedelta(days=range_days))
+    obs = tt.observations(e.filter(F.col("ts") >= lo))
+    return anchor, weather_table(obs, ["station", "dt", *ROLLUP_MEASURES])
 
 
 def _rollups(spark, sf) -> DataFrame:
-    obs, w = _rollup_input(spark, sf)
-    return R.rollups_single_pass(w, R.global_max(obs))
+    anchor, w = _rollup_input(spark, sf, max(x.range_days for x in ROLLUP_WINDOWS))
+    return R.rollups_single_pass(w, anchor)
 
 
 def _split(spark, sf):
@@ -120,8 +128,9 @@ def _resume(spark, sf):
 
 def _one_window(name):
     def q(spark, sf):
-        obs, w = _rollup_input(spark, sf)
-        return rounded(R.rollup_window(w, WINDOWS_BY_NAME[name], R.global_max(obs)))
+        window = WINDOWS_BY_NAME[name]
+        anchor, w = _rollup_input(spark, sf, window.range_days)
+        return rounded(R.rollup_window(w, window, anchor))
     return q
 
 
