@@ -54,11 +54,13 @@ def inflight_gauge(log: DataFrame, chunk_seconds: int = S.DEFAULT_CHUNK_SECONDS)
 
 
 def counter_samples(log: DataFrame, series: Sequence[str] = ("route",), reset_every: int = 50,
-                    chunk_seconds: int = S.DEFAULT_CHUNK_SECONDS) -> DataFrame:
+                    chunk_seconds: int = S.DEFAULT_CHUNK_SECONDS, keep_keys: bool = False) -> DataFrame:
     """A cumulative request counter per series sampled at each request, made to
-    reset to zero every ``reset_every`` requests (a restarted process)."""
+    reset to zero every ``reset_every`` requests (a restarted process).
+    ``keep_keys`` keeps the (series, chunk) partition columns for a chained
+    ``counter_increase`` / ``counter_rate`` with the same series and chunk width."""
     d = S.running_sum(log.select(*series, "request_id", "ts"), list(series), "ts", ["request_id"],
-                      F.lit(1), "_n", chunk_seconds)
+                      F.lit(1), "_n", chunk_seconds, keep_keys=keep_keys)
     return d.withColumn("counter", (F.col("_n") % reset_every).cast("double")).drop("_n")
 
 

@@ -28,72 +28,76 @@ from skyroll.functions.time import epoch_micros
 DEFAULT_CHUNK_SECONDS = 6 * 3600
 
 _CHUNK = "_chunk"
+_SK = "_sk"
 
 
 def _cols(names: Sequence[str]) -> list[Column]:
     return [F.col(c) for c in names]
 
 
+def _with_key(df: DataFrame, series: Sequence[str]) -> DataFrame:
+    """One non-null series key. Struct equality treats NULL fields as equal, so a
+    NULL series value stays one series, and plain equi-joins on (key, chunk)
+    keep the hash partitioning the windows already have (no re-shuffle)."""
+    return df.withColumn(_SK, F.struct(*_cols(series)) if series else F.struct(F.lit(0).alias("all")))
+
+
 def with_chunk(df: DataFrame, ts: str, chunk_seconds: int) -> DataFrame:
     us = epoch_micros(ts)
     width = F.lit(int(chunk_seconds) * 1_000_000)
     return df.withColumn(_CHUNK, us - F.pmod(us, width))
 
 
-def _join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> list[Column]:
-    # Null-safe so a NULL series key is still one series.
-    return [left[k].eqNullSafe(right[k]) for k in keys]
+def _keyed(df: DataFrame, series: Sequence[str], ts: str, chunk_seconds: int) -> DataFrame:
+    """Add (series key, chunk); reuse them when a previous helper kept them, so
+    chained helpers stay on one hash partitioning instead of re-shuffling."""
+    if _SK in df.columns and _CHUNK in df.columns:
+        return df
+    return with_chunk(_with_key(df, series), ts, chunk_seconds)
 
 
-def _join_back(df: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:
-    ren = small.select(*[F.col(k).alias(f"_r_{k}") for k in keys],
-                       *[F.col(c) for c in small.columns if c not in keys])
-    cond = [df[k].eqNullSafe(ren[f"_r_{k}"]) for k in keys]
-    out = df.join(ren, cond, "left")
-    return out.drop(*[f"_r_{k}" for k in keys])
+def _finish(df: DataFrame, keep_keys: bool) -> DataFrame:
+    return df if keep_keys else df.drop(_CHUNK, _SK)
 
 
 def running_sum(df: DataFrame, series: Sequence[str], ts: str, tiebreak: Sequence[str],
-                value: Column | str, out: str, chunk_seconds: int = DEFAULT_CHUNK_SECONDS) -> DataFrame:
+                value: Column | str, out: str, chunk_seconds: int = DEFAULT_CHUNK_SECONDS,
+                keep_keys: bool = False) -> DataFrame:
     """``sum(value) over (partition by series order by ts, *tiebreak rows
     unbounded preceding)`` computed chunk-parallel."""
     v = F.col(value) if isinstance(value, str) else value
-    d = with_chunk(df.withColumn("_v", v), ts, chunk_seconds)
-    part = list(series) + [_CHUNK]
-    w_local = (Window.partitionBy(*part).orderBy(*_cols([ts, *tiebreak]))
+    d = _keyed(df.withColumn("_v", v), series, ts, chunk_seconds)
+    w_local = (Window.partitionBy(_SK, _CHUNK).orderBy(*_cols([ts, *tiebreak]))
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     d = d.withColumn("_local", F.sum("_v").over(w_local))
-    totals = d.groupBy(*part).agg(F.sum("_v").alias("_tot"))
-    w_prev = (Window.partitionBy(*series).orderBy(_CHUNK)
-              .rowsBetween(Window.unboundedPreceding, -1)) if series else \
-        Window.orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*part, F.coalesce(F.sum("_tot").over(w_prev), F.lit(0)).alias("_off"))
-    res = _join_back(d, offsets, part)
-    return res.withColumn(out, F.col("_local") + F.coalesce(F.col("_off"), F.lit(0))) \
-              .drop("_v", "_local", "_off", _CHUNK)
+    totals = d.groupBy(_SK, _CHUNK).agg(F.sum("_v").alias("_tot"))
+    w_prev = Window.partitionBy(_SK).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(_SK, _CHUNK, F.coalesce(F.sum("_tot").over(w_prev), F.lit(0)).alias("_off"))
+    res = d.join(offsets, [_SK, _CHUNK], "left")
+    res = res.withColumn(out, F.col("_local") + F.coalesce(F.col("_off"), F.lit(0))).drop("_v", "_local", "_off")
+    return _finish(res, keep_keys)
 
 
 def previous_values(df: DataFrame, series: Sequence[str], ts: str, tiebreak: Sequence[str],
                     columns: Sequence[str], prefix: str = "prev_",
-                    chunk_seconds: int = DEFAULT_CHUNK_SECONDS) -> DataFrame:
+                    chunk_seconds: int = DEFAULT_CHUNK_SECONDS, keep_keys: bool = False) -> DataFrame:
     """``lag(c) over (partition by series order by ts, *tiebreak)`` for each
     column, chunk-parallel. Adds ``prefix + c`` columns (NULL for a series' first row)."""
-    d = with_chunk(df, ts, chunk_seconds)
-    part = list(series) + [_CHUNK]
+    d = _keyed(df, series, ts, chunk_seconds)
     order = _cols([ts, *tiebreak])
-    w_local = Window.partitionBy(*part).orderBy(*order)
+    w_local = Window.partitionBy(_SK, _CHUNK).orderBy(*order)
     d = d.withColumn("_first", F.lag(F.lit(1)).over(w_local).isNull())
     for c in columns:
         d = d.withColumn(f"_lag_{c}", F.lag(F.col(c)).over(w_local))
     packed = F.struct(*[F.col(c).alias(c) for c in columns])
-    last = d.groupBy(*part).agg(F.max_by(packed, F.struct(*order)).alias("_last"))
-    w_chunks = Window.partitionBy(*series).orderBy(_CHUNK) if series else Window.orderBy(_CHUNK)
-    prev_last = last.select(*part, F.lag("_last").over(w_chunks).alias("_prev_last"))
-    res = _join_back(d, prev_last, part)
+    last = d.groupBy(_SK, _CHUNK).agg(F.max_by(packed, F.struct(*order)).alias("_last"))
+    w_chunks = Window.partitionBy(_SK).orderBy(_CHUNK)
+    prev_last = last.select(_SK, _CHUNK, F.lag("_last").over(w_chunks).alias("_prev_last"))
+    res = d.join(prev_last, [_SK, _CHUNK], "left")
     for c in columns:
         res = res.withColumn(prefix + c, F.when(F.col("_first"), F.col("_prev_last")[c])
                              .otherwise(F.col(f"_lag_{c}")))
-    return res.drop("_first", "_prev_last", _CHUNK, *[f"_lag_{c}" for c in columns])
+    return _finish(res.drop("_first", "_prev_last", *[f"_lag_{c}" for c in columns]), keep_keys)
 
 
 def trailing_sum(df: DataFrame, series: Sequence[str], ts: str, value: Column | str, out: str,
@@ -106,7 +110,7 @@ def trailing_sum(df: DataFrame, series: Sequence[str], ts: str, value: Column |
     v = F.col(value) if isinstance(value, str) else value
     width = int(chunk_seconds) * 1_000_000
     rng = int(range_seconds) * 1_000_000
-    d = df.withColumn("_v", v).withColumn("_us", epoch_micros(ts))
+    d = _with_key(df.drop(_SK, _CHUNK), series).withColumn("_v", v).withColumn("_us", epoch_micros(ts))
     d = d.withColumn("_own", F.col("_us") - F.pmod(F.col("_us"), F.lit(width)))
     copies = F.array(
         F.struct(F.col("_own").alias("c"), F.lit(False).alias("ctx")),
@@ -115,9 +119,9 @@ def trailing_sum(df: DataFrame, series: Sequence[str], ts: str, value: Column |
     )
     d = d.withColumn("_cp", F.explode(F.filter(copies, lambda x: x.isNotNull())))
     d = d.withColumn(_CHUNK, F.col("_cp.c")).withColumn("_ctx", F.col("_cp.ctx")).drop("_cp", "_own")
-    w = (Window.partitionBy(*series, _CHUNK).orderBy("_us").rangeBetween(-rng, 0))
+    w = (Window.partitionBy(_SK, _CHUNK).orderBy("_us").rangeBetween(-rng, 0))
     d = d.withColumn(out, F.sum("_v").over(w))
-    return d.filter(~F.col("_ctx")).drop("_v", "_us", "_ctx", _CHUNK)
+    return d.filter(~F.col("_ctx")).drop("_v", "_us", "_ctx", _CHUNK, _SK)
 
 
 def islands(df: DataFrame, series: Sequence[str], ts: str, tiebreak: Sequence[str], flag: str,
@@ -127,7 +131,7 @@ def islands(df: DataFrame, series: Sequence[str], ts: str, tiebreak: Sequence[st
     A false row, or more than ``max_gap_seconds`` since the previous row, ends
     a run. Returns one row per run: series, ``start_ts``, ``end_ts``, ``samples``."""
     d = previous_values(df.select(*series, ts, *tiebreak, flag), series, ts, tiebreak,
-                        [flag, ts], prefix="_p_", chunk_seconds=chunk_seconds)
+                        [flag, ts], prefix="_p_", chunk_seconds=chunk_seconds, keep_keys=True)
     f = F.coalesce(F.col(flag), F.lit(False))
     prev_f = F.coalesce(F.col(f"_p_{flag}"), F.lit(False))
     starts = f & (~prev_f)

@@ -391,13 +391,13 @@ def q_inflight_gauge(spark, sf):
 
 @register("counter_increase")
 def q_counter_increase(spark, sf):
-    samples = M.counter_samples(_log(spark, sf), ["route"])
+    samples = M.counter_samples(_log(spark, sf), ["route"], keep_keys=True)
     return rounded(M.counter_increase(samples, ["route"], 900, "increase_15m"))
 
 
 @register("counter_rate")
 def q_counter_rate(spark, sf):
-    samples = M.counter_samples(_log(spark, sf), ["route"])
+    samples = M.counter_samples(_log(spark, sf), ["route"], keep_keys=True)
     return rounded(M.counter_rate(samples, ["route"], 300, "rate_5m"))
 
 
