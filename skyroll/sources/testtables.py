@@ -28,8 +28,11 @@ def spread_small_input(df: DataFrame) -> DataFrame:
     row-level work (JSON, regex, windows) uses every core. Large inputs
     already split into many partitions and are returned unchanged; filters and
     column pruning still reach the scan below the repartition."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= target:
+            return df
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): keep the scan as is
         return df
     return df.repartition(target)
 
