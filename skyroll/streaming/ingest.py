@@ -18,6 +18,8 @@ The roll-up refresh is a separate scheduled batch job (``refresh_rollup_table``)
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,7 +27,8 @@ from pyspark.sql import types as T
 from skyroll.operators import rollup as R
 from skyroll.operators import upsert as U
 from skyroll.operators.parse import REASON, good_rows, parse_lines, reject_rows
-from skyroll.schema import LATEST_COLUMNS, STATE_SCHEMA, WEATHER_COLUMNS, weather_schema
+from skyroll.schema import (LATEST_COLUMNS, ROLLUP_MEASURES, ROLLUP_WINDOWS, STATE_SCHEMA, WEATHER_COLUMNS,
+                            weather_schema)
 from skyroll.streaming.storage import TableStore
 
 WEATHER = "weather"
@@ -72,7 +75,11 @@ def ingest_batch(spark: SparkSession, store: TableStore, batch: DataFrame, batch
             existing = store.read(WEATHER, _weather_stored_schema(), commit, DATE_COL, only=dates)
             cols = list(WEATHER_COLUMNS) + ["arrival"]
             merged = U.merge_upsert(existing.select(*cols), good.select(*cols), ["station", "dt"], ["arrival"])
-            store.write_version(merged.withColumn(DATE_COL, F.to_date("dt")), WEATHER, batch_id, DATE_COL)
+            # Date partitions, rows sorted by (station, dt): min/max statistics let
+            # station and time-range reads skip row groups.
+            store.write_version(merged.withColumn(DATE_COL, F.to_date("dt"))
+                                .repartition(DATE_COL).sortWithinPartitions(DATE_COL, "station", "dt"),
+                                WEATHER, batch_id, DATE_COL)
             part_map = dict(tables.get(WEATHER, {}))
             part_map.update({d: batch_id for d in dates})
             tables[WEATHER] = part_map
@@ -131,11 +138,58 @@ def read_weather(store: TableStore) -> DataFrame:
 
 
 def refresh_rollup_table(spark: SparkSession, source: TableStore, target: TableStore, run_id: int,
-                         single_pass: bool = True) -> None:
-    """Full-refresh of the roll-up table into its own store: readers keep the
-    previous version until the new marker is written (DELETE + INSERT in one
-    transaction, without blocking readers)."""
-    weather = read_weather(source)
-    out = R.refresh_rollups(weather, single_pass=single_pass, updated_at=F.current_timestamp())
-    target.write_version(out, ROLLUPS, run_id)
+                         single_pass: bool = True) -> DataFrame:
+    """Full refresh of the roll-up table into its own store.
+
+    Static partition pruning from the manifest: the anchor ``MAX(dt)`` is read
+    from the newest date partition only, then only date partitions inside the
+    widest trailing range are read. The output is partitioned by window and
+    sorted by (station, bucket) for the history lookups. Readers keep the
+    previous version until the new marker is written."""
+    commit = source.latest_commit()
+    parts = sorted(commit.get("tables", {}).get(WEATHER, {}))
+    if not parts:
+        return target.read(ROLLUPS, _rollup_schema())
+    schema = _weather_stored_schema()
+    max_dt = R.global_max(source.read(WEATHER, schema, commit, DATE_COL, only=[parts[-1]]))
+    widest = max(w.range_days for w in ROLLUP_WINDOWS)
+    lo = (max_dt - _dt.timedelta(days=widest)).date().isoformat()
+    weather = source.read(WEATHER, schema, commit, DATE_COL, only=[p for p in parts if p >= lo])
+    if single_pass:
+        out = R.rollups_single_pass(weather, max_dt)
+    else:
+        out = R.rollups_union(weather, max_dt)
+    out = out.withColumn("updated_at", F.current_timestamp())
+    target.write_version(out.repartition("window_name", "station")
+                         .sortWithinPartitions("window_name", "station", "bucket_ts"),
+                         ROLLUPS, run_id, partition_by="window_name")
     target.commit(run_id, {ROLLUPS: run_id})
+    return target.read(ROLLUPS, _rollup_schema())
+
+
+def _rollup_schema() -> T.StructType:
+    fields = [T.StructField("window_name", T.StringType()), T.StructField("bucket_ts", T.TimestampNTZType()),
+              T.StructField("station", T.StringType())]
+    fields += [T.StructField(c, T.DoubleType()) for c in ROLLUP_MEASURES]
+    return T.StructType(fields + [T.StructField("updated_at", T.TimestampType())])
+
+
+def lag_from_progress(progress: dict | None) -> int | None:
+    """Live topic lag from a ``StreamingQuery.lastProgress``: for each source,
+    the sum over partitions of (latest offset - processed end offset)."""
+    if not progress:
+        return None
+    total, seen = 0, False
+    for src in progress.get("sources", []):
+        latest, end = src.get("latestOffset"), src.get("endOffset")
+        if isinstance(latest, str) or isinstance(end, str):
+            import json
+            latest = json.loads(latest) if isinstance(latest, str) else latest
+            end = json.loads(end) if isinstance(end, str) else end
+        if not isinstance(latest, dict) or not isinstance(end, dict):
+            continue
+        for topic, parts in latest.items():
+            for part, off in parts.items():
+                total += int(off) - int(end.get(topic, {}).get(part, 0))
+                seen = True
+    return total if seen else None

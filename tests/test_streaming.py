@@ -75,3 +75,21 @@ def test_restart_after_data_before_marker(spark):
     msgs = rows.select(F.col("value").cast("string").alias("line"), "partition", "offset", "timestamp")
     good = good_rows(parse_lines(msgs, keep=["partition", "offset", "timestamp"])).withColumn("arrival", F.col("offset"))
     assert _rows(latest, list(LATEST_COLUMNS)) == _rows(U.latest_per_station(good), list(LATEST_COLUMNS))
+
+
+def test_refresh_rollups_from_store_and_progress_lag(spark):
+    work = tempfile.mkdtemp(prefix="skyroll-refresh-", dir="/tmp")
+    store = TableStore(spark, os.path.join(work, "store"))
+    target = TableStore(spark, os.path.join(work, "rollups"))
+    rows = tt.kafka_rows(tt.events(spark, SF)).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    I.ingest_batch(spark, store, rows, 0)
+    got = I.refresh_rollup_table(spark, store, target, 0)
+    from skyroll.operators import rollup as R
+    from skyroll.schema import ROLLUP_COLUMNS
+    want = R.refresh_rollups(I.read_weather(store))
+    cols = list(ROLLUP_COLUMNS)
+    a = sorted(tuple(r[c] for c in cols) for r in got.collect())
+    b = sorted(tuple(r[c] for c in cols) for r in want.collect())
+    assert len(a) == len(b) and all(x[:3] == y[:3] for x, y in zip(a, b))
+    assert I.lag_from_progress({"sources": [{"latestOffset": '{"weather":{"0":120,"1":7}}',
+                                             "endOffset": '{"weather":{"0":100,"1":7}}'}]}) == 20
