@@ -32,6 +32,7 @@ from skyroll.schema import (LATEST_COLUMNS, ROLLUP_MEASURES, ROLLUP_WINDOWS, STA
 from skyroll.streaming.storage import TableStore
 
 WEATHER = "weather"
+WEATHER_DELTA = "weather_delta"
 LATEST = "weather_latest"
 STATE = "ingestion_state"
 REJECTS = "rejects"
@@ -55,7 +56,8 @@ def _latest_schema() -> T.StructType:
     return T.StructType(fields + [T.StructField("updated_at", T.TimestampType())])
 
 
-def ingest_batch(spark: SparkSession, store: TableStore, batch: DataFrame, batch_id: int) -> None:
+def ingest_batch(spark: SparkSession, store: TableStore, batch: DataFrame, batch_id: int,
+                 compact_every: int = 30) -> None:
     """Apply one micro-batch of Kafka-shaped rows to the store (idempotent)."""
     if store.is_committed(batch_id):
         return
@@ -69,20 +71,21 @@ def ingest_batch(spark: SparkSession, store: TableStore, batch: DataFrame, batch
                             REJECTS, batch_id)
         good = good_rows(parsed).withColumn("arrival", F.col("offset"))
 
-        # Raw table: rewrite only the touched date partitions (a batch spans few days).
+        # Raw table, merge-on-read: the batch appends only its own rows (one per key,
+        # later offset wins) as a delta tagged with the dates it touched; every
+        # ``compact_every`` batches the deltas are folded into the date partitions.
+        cols = list(WEATHER_COLUMNS) + ["arrival"]
+        delta = U.latest_wins(good.select(*cols), ["station", "dt"], ["arrival"])
         dates = [str(r[0]) for r in good.select(F.to_date("dt")).distinct().collect()]
+        raw = _raw_entry(tables)
         if dates:
-            existing = store.read(WEATHER, _weather_stored_schema(), commit, DATE_COL, only=dates)
-            cols = list(WEATHER_COLUMNS) + ["arrival"]
-            merged = U.merge_upsert(existing.select(*cols), good.select(*cols), ["station", "dt"], ["arrival"])
-            # Date partitions, rows sorted by (station, dt): min/max statistics let
-            # station and time-range reads skip row groups.
-            store.write_version(merged.withColumn(DATE_COL, F.to_date("dt"))
+            store.write_version(delta.withColumn(DATE_COL, F.to_date("dt"))
                                 .repartition(DATE_COL).sortWithinPartitions(DATE_COL, "station", "dt"),
-                                WEATHER, batch_id, DATE_COL)
-            part_map = dict(tables.get(WEATHER, {}))
-            part_map.update({d: batch_id for d in dates})
-            tables[WEATHER] = part_map
+                                WEATHER_DELTA, batch_id, DATE_COL)
+            raw["deltas"][str(batch_id)] = dates
+        if len(raw["deltas"]) >= compact_every:
+            raw = _compact(store, raw, batch_id)
+        tables[WEATHER] = raw
 
         latest_now = store.read(LATEST, _latest_schema(), commit)
         latest_new = U.merge_latest(latest_now, good, updated_at=F.current_timestamp())
@@ -102,12 +105,12 @@ def ingest_batch(spark: SparkSession, store: TableStore, batch: DataFrame, batch
 
 
 def start_ingest(spark: SparkSession, source: DataFrame, store_root: str, checkpoint: str,
-                 trigger: dict | None = None):
+                 trigger: dict | None = None, compact_every: int = 30):
     """Start the streaming ingest from a Kafka-shaped streaming DataFrame."""
     store = TableStore(spark, store_root)
     writer = (source.writeStream
               .option("checkpointLocation", checkpoint)
-              .foreachBatch(lambda df, bid: ingest_batch(spark, store, df, bid)))
+              .foreachBatch(lambda df, bid: ingest_batch(spark, store, df, bid, compact_every)))
     writer = writer.trigger(**(trigger or {"processingTime": "120 seconds"}))
     return writer.start()
 
@@ -133,8 +136,59 @@ def read_rejects(store: TableStore) -> DataFrame:
             .parquet(f"{store.root}/{REJECTS}").filter(F.col("batch_id") <= last))
 
 
-def read_weather(store: TableStore) -> DataFrame:
-    return store.read(WEATHER, _weather_stored_schema(), partition_by=DATE_COL)
+def _raw_entry(tables: dict) -> dict:
+    raw = tables.get(WEATHER) or {}
+    return {"base": dict(raw.get("base", {})), "deltas": {k: list(v) for k, v in raw.get("deltas", {}).items()}}
+
+
+def _delta_dates(raw: dict) -> list[str]:
+    return sorted({d for ds in raw["deltas"].values() for d in ds})
+
+
+def _read_raw(store: TableStore, raw: dict, only: list[str] | None = None) -> DataFrame:
+    """Base partitions; the dates that have deltas are merged with them (later
+    arrival wins, any delta row beats the base row). Other dates are read as is."""
+    schema = _weather_stored_schema()
+    keep = None if only is None else set(only)
+    touched = [d for d in _delta_dates(raw) if keep is None or d in keep]
+    plain = [d for d in raw["base"] if d not in set(touched) and (keep is None or d in keep)]
+    parts = []
+    if plain:
+        parts.append(store.read(WEATHER, schema, {"tables": {WEATHER: raw["base"]}}, DATE_COL, only=plain))
+    if touched:
+        base = store.read(WEATHER, schema, {"tables": {WEATHER: raw["base"]}}, DATE_COL, only=touched)
+        paths = [f"{store.version_path(WEATHER_DELTA, int(b))}/{DATE_COL}={d}"
+                 for b, ds in raw["deltas"].items() for d in ds if d in set(touched)]
+        deltas = store.spark.read.schema(schema).parquet(*paths)
+        cols = list(WEATHER_COLUMNS) + ["arrival"]
+        newest = U.latest_wins(deltas.select(*cols), ["station", "dt"], ["arrival"])
+        parts.append(U.merge_upsert(base.select(*cols), newest, ["station", "dt"], ["arrival"]))
+    if not parts:
+        return store.spark.createDataFrame([], schema)
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _compact(store: TableStore, raw: dict, batch_id: int) -> dict:
+    """Fold all deltas into new versions of the dates they touched."""
+    dates = _delta_dates(raw)
+    if not dates:
+        return raw
+    merged = _read_raw(store, raw, only=dates)
+    store.write_version(merged.withColumn(DATE_COL, F.to_date("dt"))
+                        .repartition(DATE_COL).sortWithinPartitions(DATE_COL, "station", "dt"),
+                        WEATHER, batch_id, DATE_COL)
+    base = dict(raw["base"])
+    base.update({d: batch_id for d in dates})
+    return {"base": base, "deltas": {}}
+
+
+def read_weather(store: TableStore, commit: dict | None = None, only: list[str] | None = None) -> DataFrame:
+    """The committed raw table (``only``: restrict to these ``yyyy-mm-dd`` dates)."""
+    commit = store.latest_commit() if commit is None else commit
+    return _read_raw(store, _raw_entry(commit.get("tables", {})), only)
 
 
 def refresh_rollup_table(spark: SparkSession, source: TableStore, target: TableStore, run_id: int,
@@ -147,14 +201,14 @@ def refresh_rollup_table(spark: SparkSession, source: TableStore, target: TableS
     sorted by (station, bucket) for the history lookups. Readers keep the
     previous version until the new marker is written."""
     commit = source.latest_commit()
-    parts = sorted(commit.get("tables", {}).get(WEATHER, {}))
+    raw = _raw_entry(commit.get("tables", {}))
+    parts = sorted(set(raw["base"]) | set(_delta_dates(raw)))
     if not parts:
         return target.read(ROLLUPS, _rollup_schema())
-    schema = _weather_stored_schema()
-    max_dt = R.global_max(source.read(WEATHER, schema, commit, DATE_COL, only=[parts[-1]]))
+    max_dt = R.global_max(read_weather(source, commit, only=[parts[-1]]))
     widest = max(w.range_days for w in ROLLUP_WINDOWS)
     lo = (max_dt - _dt.timedelta(days=widest)).date().isoformat()
-    weather = source.read(WEATHER, schema, commit, DATE_COL, only=[p for p in parts if p >= lo])
+    weather = read_weather(source, commit, only=[p for p in parts if p >= lo])
     if single_pass:
         out = R.rollups_single_pass(weather, max_dt)
     else:

@@ -93,3 +93,19 @@ def test_refresh_rollups_from_store_and_progress_lag(spark):
     assert len(a) == len(b) and all(x[:3] == y[:3] for x, y in zip(a, b))
     assert I.lag_from_progress({"sources": [{"latestOffset": '{"weather":{"0":120,"1":7}}',
                                              "endOffset": '{"weather":{"0":100,"1":7}}'}]}) == 20
+
+
+def test_compaction_keeps_results(spark):
+    work = tempfile.mkdtemp(prefix="skyroll-compact-", dir="/tmp")
+    store = TableStore(spark, os.path.join(work, "store"))
+    rows = tt.kafka_rows(tt.events(spark, SF)).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    n = rows.count()
+    for i in range(3):  # offsets grow from batch to batch, as on a topic partition
+        part = rows.filter((F.col("offset") * 3 >= i * n) & (F.col("offset") * 3 < (i + 1) * n))
+        I.ingest_batch(spark, store, part, i, compact_every=2)
+    raw = store.latest_commit()["tables"][I.WEATHER]
+    assert len(raw["deltas"]) == 1 and raw["base"]
+    msgs = rows.select(F.col("value").cast("string").alias("line"), "partition", "offset", "timestamp")
+    good = good_rows(parse_lines(msgs, keep=["partition", "offset", "timestamp"])).withColumn("arrival", F.col("offset"))
+    want = U.latest_wins(good.select(*WEATHER_COLUMNS, "arrival"), ["station", "dt"], ["arrival"])
+    assert _rows(I.read_weather(store), list(WEATHER_COLUMNS)) == _rows(want, list(WEATHER_COLUMNS))
