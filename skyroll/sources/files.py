@@ -51,3 +51,18 @@ def read_station_lines(spark: SparkSession, root: str, min_date: dict[str, str]
         F.monotonically_increasing_id().alias("arrival"),
         F.col("value").alias("line"),
     )
+
+
+def newest_files_lines(spark: SparkSession, root: str) -> DataFrame:
+    """Lines of each station's newest file only (the listing picks the file;
+    nothing else is opened). Feed to ``progress.source_latest``."""
+    newest: dict[str, tuple[str, str]] = {}
+    for station, name, path in list_station_files(spark, root):
+        if station not in newest or name > newest[station][0]:
+            newest[station] = (name, path)
+    if not newest:
+        return spark.createDataFrame([], "station_dir string, file_name string, arrival long, line string")
+    df = spark.read.text([p for _, p in newest.values()])
+    parts = F.split(F.col("_metadata.file_path"), "/")
+    return df.select(F.element_at(parts, -2).alias("station_dir"), F.col("_metadata.file_name").alias("file_name"),
+                     F.monotonically_increasing_id().alias("arrival"), F.col("value").alias("line"))

@@ -70,6 +70,12 @@ class TableStore:
         if not self._fs.rename(tmp, final):
             raise RuntimeError(f"could not publish commit marker {final}")
 
+    def reset(self, batch_id: int) -> None:
+        """Start over (optional reset before a full reload): commit an empty
+        manifest. Old versions stay on disk but are no longer reachable, so the
+        reset is atomic and a reader never sees a half-deleted table."""
+        self.commit(batch_id, {})
+
     # -- data --------------------------------------------------------------
     def version_path(self, table: str, batch_id: int) -> str:
         return f"{self.root}/{table}/b={int(batch_id)}"

@@ -30,3 +30,25 @@ def test_publish_rows_key_and_value(spark):
     r = publish_rows(df, {"ingestion_mode": F.lit("backfill")}).collect()[0]
     assert bytes(r.key).decode() == "wx_a|2024-07-01T12:00:00"
     assert bytes(r.value).decode() == '{"dt":"2024-07-01T12:00:00","station":"wx_a","temps_avg_f":1.5,"ingestion_mode":"backfill"}'
+
+
+def test_newest_files_only(spark):
+    from skyroll.operators.progress import source_latest
+    from skyroll.sources.files import newest_files_lines
+    root = tempfile.mkdtemp(prefix="skyroll-newest-", dir="/tmp")
+    _write(root, "wx_a", "20240630.txt", ['{"dt":"2024-06-30T23:00:00"}'])
+    _write(root, "wx_a", "20240701.txt", ['{"dt":"2024-07-01T01:00:00"}', '{"dt":"2024-07-01T00:30:00"}', '{bad'])
+    lines = newest_files_lines(spark, root)
+    assert {r.file_name for r in lines.collect()} == {"20240701.txt"}
+    r = source_latest(lines).collect()[0]
+    assert (r.station, r.newest_file, str(r.source_latest_ts)) == ("wx_a", "20240701.txt", "2024-07-01 01:00:00")
+
+
+def test_store_reset_is_atomic(spark):
+    from skyroll.streaming.storage import TableStore
+    store = TableStore(spark, tempfile.mkdtemp(prefix="skyroll-reset-", dir="/tmp"))
+    store.write_version(spark.createDataFrame([("a",)], "station string"), "t", 0)
+    store.commit(0, {"t": 0})
+    assert store.read("t", spark.createDataFrame([], "station string").schema).count() == 1
+    store.reset(1)
+    assert store.read("t", spark.createDataFrame([], "station string").schema).count() == 0
