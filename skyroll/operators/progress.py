@@ -140,13 +140,15 @@ def source_latest(lines: DataFrame) -> DataFrame:
     """Per station: the newest file (greatest name) and the greatest parsed
     ``dt`` inside that file only. The newest name comes from a two-column
     aggregate over the raw lines, so only that file's lines are parsed."""
-    newest = lines.groupBy("station_dir").agg(F.max("file_name").alias("newest_file"))
-    in_newest = lines.join(newest, (lines["station_dir"] == newest["station_dir"])
-                           & (lines["file_name"] == newest["newest_file"]), "left_semi")
+    newest = lines.groupBy(F.col("station_dir").alias("_nd")).agg(F.max("file_name").alias("newest_file"))
+    # Distinct names on both sides: ``newest`` derives from ``lines``, so
+    # ``lines.x == newest.x`` would resolve to one attribute (always true).
+    in_newest = lines.join(newest, (F.col("station_dir") == F.col("_nd"))
+                           & (F.col("file_name") == F.col("newest_file")), "left_semi")
     parsed = _parse_writer(in_newest.select("station_dir", "file_name", "line"))
-    latest = parsed.groupBy("station_dir").agg(F.max("dt").alias("source_latest_ts"))
-    return (newest.join(latest, "station_dir", "left")
-            .select(F.col("station_dir").alias("station"), "newest_file", "source_latest_ts"))
+    latest = parsed.groupBy(F.col("station_dir").alias("_nd")).agg(F.max("dt").alias("source_latest_ts"))
+    return (newest.join(latest, "_nd", "left")
+            .select(F.col("_nd").alias("station"), "newest_file", "source_latest_ts"))
 
 
 def backfill_rows(lines: DataFrame, stored_latest: DataFrame, src_latest: DataFrame,

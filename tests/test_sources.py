@@ -52,3 +52,13 @@ def test_store_reset_is_atomic(spark):
     assert store.read("t", spark.createDataFrame([], "station string").schema).count() == 1
     store.reset(1)
     assert store.read("t", spark.createDataFrame([], "station string").schema).count() == 0
+
+
+def test_source_latest_reads_newest_file_of_each_station(spark):
+    from skyroll.operators.progress import source_latest
+    rows = [("A", "20240701.txt", 1, '{"dt":"2024-07-09T00:00:00"}'),
+            ("A", "20240702.txt", 2, '{"dt":"2024-07-02T00:00:00"}'),
+            ("B", "20240701.txt", 3, '{"dt":"2024-07-01T00:00:00"}')]
+    lines = spark.createDataFrame(rows, "station_dir string, file_name string, arrival long, line string")
+    got = {r.station: (r.newest_file, str(r.source_latest_ts)) for r in source_latest(lines).collect()}
+    assert got == {"A": ("20240702.txt", "2024-07-02 00:00:00"), "B": ("20240701.txt", "2024-07-01 00:00:00")}
