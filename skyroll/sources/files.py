@@ -1,68 +1,81 @@
 """Station line files: ``<root>/<station>/<YYYYMMDD>....txt``, one JSON object per line.
 
-The file listing is metadata (names only), taken on the driver the way Spark's
-own file index does; line data is only ever read by executors. Pruning by the
-8-character date prefix happens on the listing, so skipped files are never opened.
+Listing goes through Spark's file index (parallel listing on large trees).
+Predicates on ``_metadata.file_name`` are evaluated against the listing, so
+files outside the date range are never opened. Data is only read by executors.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# A daily file name starts with 8 digits (YYYYMMDD) and ends with ".txt".
+NAME_RULE = "^[0-9]{8}.*[.]txt$"
+_EMPTY = "station_dir string, file_name string, arrival long, line string"
 
-def list_station_files(spark: SparkSession, root: str, suffix: str = ".txt") -> list[tuple[str, str, str]]:
-    """``(station_dir, file_name, path)`` for files whose name starts with 8 digits."""
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    out = []
-    if not fs.exists(path):
-        return out
-    for st in fs.listStatus(path):
-        if not st.isDirectory():
-            continue
-        station = st.getPath().getName()
-        for f in fs.listStatus(st.getPath()):
-            name = f.getPath().getName()
-            if f.isFile() and name.endswith(suffix) and name[:8].isdigit():
-                out.append((station, name, f.getPath().toString()))
-    return sorted(out)
-
-
-def read_station_lines(spark: SparkSession, root: str, min_date: dict[str, str] | None = None) -> DataFrame:
+
+def _name() -> Column:
+    return F.col("_metadata.file_name")
+
+
+def _station_of_path(path: Column) -> Column:
+    return F.element_at(F.split(path, "/"), -2)
+
+
+def station_files(spark: SparkSession, root: str) -> DataFrame:
+    """``(station_dir, file_name, path)`` of the daily files, listed by Spark
+    without reading file contents (only the binary source's path column is used)."""
+    df = (spark.read.format("binaryFile").option("pathGlobFilter", "*.txt")
+          .load(f"{root.rstrip('/')}/*").select("path"))
+    name = F.element_at(F.split("path", "/"), -1)
+    return (df.select(_station_of_path(F.col("path")).alias("station_dir"), name.alias("file_name"), "path")
+            .filter(F.col("file_name").rlike(NAME_RULE)))
+
+
+def list_station_files(spark: SparkSession, root: str) -> list[tuple[str, str, str]]:
+    """Sorted ``(station_dir, file_name, path)`` (small trees and tests)."""
+    return sorted(tuple(r) for r in station_files(spark, root).collect())
+
+
+def read_station_lines(spark: SparkSession, root: str, min_date: dict[str, str | None] | None = None) -> DataFrame:
     """Lines of the station files as ``station_dir, file_name, arrival, line``.
 
-    ``min_date`` maps station -> ``yyyymmdd``; files of that station dated
-    earlier are not read (the filter is applied to the listing). ``arrival``
-    orders lines for last-wins merges: the file name then the position in the
-    read (files of daily size are read by one task in order)."""
-    files = list_station_files(spark, root)
+    ``min_date`` maps station -> ``yyyymmdd`` (or None for all files): other
+    stations are skipped, and the earliest cutoff is a file-name predicate the
+    file index applies before any file is opened; the exact per-station cutoff
+    follows as a row filter. ``arrival`` orders lines for last-wins merges (file
+    order, then read order within a file)."""
+    df = spark.read.option("pathGlobFilter", "*.txt").text(f"{root.rstrip('/')}/*")
+    df = df.filter(_name().rlike(NAME_RULE))
+    if min_date is not None:
+        if not min_date:
+            return spark.createDataFrame([], _EMPTY)
+        cutoffs = [v for v in min_date.values() if v is not None]
+        if cutoffs and len(cutoffs) == len(min_date):
+            df = df.filter(F.substring(_name(), 1, 8) >= F.lit(min(cutoffs)))
+    out = df.select(_station_of_path(F.col("_metadata.file_path")).alias("station_dir"),
+                    _name().alias("file_name"),
+                    F.monotonically_increasing_id().alias("arrival"),
+                    F.col("value").alias("line"))
     if min_date is not None:
-        files = [f for f in files if f[0] in min_date and (min_date[f[0]] is None or f[1][:8] >= min_date[f[0]])]
-    if not files:
-        return spark.createDataFrame([], "station_dir string, file_name string, arrival long, line string")
-    df = spark.read.text([p for _, _, p in files])
-    path = F.col("_metadata.file_path")
-    parts = F.split(path, "/")
-    return df.select(
-        F.element_at(parts, -2).alias("station_dir"),
-        F.col("_metadata.file_name").alias("file_name"),
-        F.monotonically_increasing_id().alias("arrival"),
-        F.col("value").alias("line"),
-    )
+        pairs = []
+        for k, v in min_date.items():
+            pairs += [F.lit(k), F.lit(v if v is not None else "")]
+        cut = F.create_map(*pairs)[F.col("station_dir")]
+        out = out.filter(cut.isNotNull() & (F.substring("file_name", 1, 8) >= cut))
+    return out
 
 
 def newest_files_lines(spark: SparkSession, root: str) -> DataFrame:
-    """Lines of each station's newest file only (the listing picks the file;
-    nothing else is opened). Feed to ``progress.source_latest``."""
-    newest: dict[str, tuple[str, str]] = {}
-    for station, name, path in list_station_files(spark, root):
-        if station not in newest or name > newest[station][0]:
-            newest[station] = (name, path)
+    """Lines of each station's newest file only: the newest name per station is
+    found on the listing (one path per station comes back), and only those
+    files are opened. Feed to ``progress.source_latest``."""
+    newest = (station_files(spark, root).groupBy("station_dir")
+              .agg(F.max_by("path", "file_name").alias("path")).collect())
     if not newest:
-        return spark.createDataFrame([], "station_dir string, file_name string, arrival long, line string")
-    df = spark.read.text([p for _, p in newest.values()])
-    parts = F.split(F.col("_metadata.file_path"), "/")
-    return df.select(F.element_at(parts, -2).alias("station_dir"), F.col("_metadata.file_name").alias("file_name"),
+        return spark.createDataFrame([], _EMPTY)
+    df = spark.read.text([r.path for r in newest])
+    return df.select(_station_of_path(F.col("_metadata.file_path")).alias("station_dir"),
+                     _name().alias("file_name"),
                      F.monotonically_increasing_id().alias("arrival"), F.col("value").alias("line"))
