@@ -1,6 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from skyroll.operators.parse import good_rows, parse_lines, reject_rows
 
