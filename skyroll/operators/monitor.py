@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from skyroll.functions.time import floor_to_bucket, seconds_between
 from skyroll.operators import series as S
-from skyroll.schema import DURATION_BUCKETS
+from skyroll.schema import ALERT_RULES, DURATION_BUCKETS, STALENESS_SECONDS
 
 
 def request_counts(log: DataFrame) -> DataFrame:
@@ -150,3 +150,28 @@ def stream_lag(offsets: DataFrame) -> DataFrame:
                                          F.sum("end_offset").alias("end_offset_total"),
                                          F.sum("committed_offset").alias("committed_offset_total"),
                                          F.sum("lag").alias("lag"))
+
+
+def rules_frame(spark, rules=ALERT_RULES) -> DataFrame:
+    return spark.createDataFrame(list(rules), "alert string, metric string, op string, threshold double, "
+                                              "for_seconds int, severity string")
+
+
+def alert_rules(samples: DataFrame, rules: DataFrame, staleness_seconds: int = STALENESS_SECONDS,
+                chunk_seconds: int = S.DEFAULT_CHUNK_SECONDS) -> DataFrame:
+    """Evaluate threshold rules with ``for`` durations over long-format samples
+    ``(sample_id, metric, instance, ts, value)``: each rule's predicate
+    (``==``, ``>``, ``<``, ``>=``, ``<=``, ``!=`` against its threshold) is taken per
+    (rule, instance) series; runs of true samples (a false sample or a stale gap
+    ends a run) become alert islands, ``fired`` when the run lasts ``for``.
+    The rules table is joined by metric (a plain equi-join; it is tiny)."""
+    j = samples.join(rules, "metric")
+    v, t = F.col("value"), F.col("threshold")
+    pred = (F.when(F.col("op") == "==", v == t).when(F.col("op") == ">", v > t).when(F.col("op") == "<", v < t)
+            .when(F.col("op") == ">=", v >= t).when(F.col("op") == "<=", v <= t).when(F.col("op") == "!=", v != t))
+    series = ["alert", "severity", "for_seconds", "instance"]
+    runs = S.islands(j.withColumn("_flag", pred), series, "ts", ["sample_id"], "_flag",
+                     staleness_seconds, chunk_seconds)
+    dur = seconds_between(F.col("end_ts"), F.col("start_ts"))
+    return runs.select("alert", "severity", "instance", "start_ts", "end_ts", "samples",
+                       dur.alias("duration_seconds"), (dur >= F.col("for_seconds")).alias("fired"))

@@ -413,6 +413,12 @@ def q_sustained_alerts(spark, sf):
     return rounded(runs)
 
 
+@register("alert_rules")
+def q_alert_rules(spark, sf):
+    samples = tt.metric_samples(_events(spark, sf))
+    return rounded(M.alert_rules(samples, M.rules_frame(spark)))
+
+
 @register("status_tiles")
 def q_status_tiles(spark, sf):
     log = _log(spark, sf)

@@ -209,3 +209,16 @@ STATE_SCHEMA = T.StructType([
     _f("last_reconciliation_at", T.TimestampNTZType()),
 ])
 STATE_COLUMNS = tuple(f.name for f in STATE_SCHEMA.fields)
+
+# Alert rules on metric samples (name, metric, comparison,
+# threshold, for seconds, severity). The error-ratio rule is a ratio of sums
+# and is evaluated by ``monitor.error_ratio`` instead.
+ALERT_RULES = (
+    ("WeatherApiDown", "up", "==", 0.0, 120, "critical"),
+    ("WeatherDatabaseDown", "weather_database_up", "==", 0.0, 120, "critical"),
+    ("WeatherIngestionNeedsBackfill", "weather_ingestion_requires_backfill", "==", 1.0, 300, "warning"),
+    ("WeatherProducerConsumerGap", "weather_ingestion_gap_seconds", ">", 120.0, 300, "warning"),
+    ("KubernetesDeploymentUnavailable", "kube_deployment_status_replicas_unavailable", ">", 0.0, 300, "warning"),
+)
+# A series without a sample for this long is stale: a run of true samples ends.
+STALENESS_SECONDS = 300

@@ -163,3 +163,20 @@ def request_log(e: DataFrame) -> DataFrame:
         F.when(F.col("event_type") == "error", F.lit("500")).otherwise(F.lit("200")).alias("status"),
         (F.col("value") / 100).alias("duration_seconds"),
     )
+
+
+def metric_samples(e: DataFrame) -> DataFrame:
+    """Long-format metric samples ``(sample_id, metric, instance, ts, value)``:
+    each event is one sample of one of four gauges (by ``event_id % 4``) for the
+    instance ``event_type``: api up (0 for error requests), database up (same
+    rule), requires-backfill (1 for click/error from Jan 28, when their database
+    mark stops) and a gap in seconds (the event value)."""
+    eid, et, t = F.col("event_id"), F.col("event_type"), F.col("ts")
+    metric = (F.when(eid % 4 == 0, F.lit("up")).when(eid % 4 == 1, F.lit("weather_database_up"))
+              .when(eid % 4 == 2, F.lit("weather_ingestion_requires_backfill"))
+              .otherwise(F.lit("weather_ingestion_gap_seconds")))
+    down = F.when(et == "error", F.lit(0.0)).otherwise(F.lit(1.0))
+    behind = F.when(et.isin("click", "error") & (t >= ntz("2024-01-28 00:00:00")), F.lit(1.0)).otherwise(F.lit(0.0))
+    value = F.when(eid % 4 < 2, down).when(eid % 4 == 2, behind).otherwise(F.col("value"))
+    return e.select(eid.alias("sample_id"), metric.alias("metric"), et.alias("instance"), t.alias("ts"),
+                    value.alias("value"))
