@@ -89,6 +89,25 @@ def counter_rate(samples: DataFrame, series: Sequence[str], range_seconds: int,
     return inc.withColumn(out, F.col("_inc") / F.lit(float(range_seconds))).drop("_inc")
 
 
+def rate_by_labels(samples: DataFrame, series: Sequence[str], by: Sequence[str], range_seconds: int = 300,
+                   step_seconds: int = 60, value: str = "counter",
+                   chunk_seconds: int = S.DEFAULT_CHUNK_SECONDS) -> DataFrame:
+    """``sum by (by) (rate(counter[range]))`` evaluated every ``step_seconds``:
+    reset-corrected deltas per series, then each delta is added to the
+    ``range / step`` grid windows ``(end - range, end]`` that hold it, and one
+    partial aggregate sums them per label set and window end."""
+    if range_seconds % step_seconds:
+        raise ValueError("range must be a multiple of the step")
+    k = range_seconds // step_seconds
+    d = counter_deltas(samples, series, value, chunk_seconds)
+    floor = floor_to_bucket("ts", step_seconds)
+    first_end = F.when(floor == F.col("ts"), floor).otherwise(F.timestamp_add("SECOND", F.lit(step_seconds), floor))
+    ends = F.array(*[F.timestamp_add("SECOND", F.lit(i * step_seconds), first_end) for i in range(k)])
+    tagged = d.select(*by, F.explode(ends).alias("eval_ts"), "delta")
+    return (tagged.groupBy(*by, "eval_ts")
+            .agg((F.sum("delta") / F.lit(float(range_seconds))).alias(f"rate_{range_seconds // 60}m")))
+
+
 def error_ratio(log: DataFrame, window_seconds: int = 300, step_seconds: int = 60,
                 threshold: float = 0.05, floor: float = 0.001) -> DataFrame:
     """Per sliding window (``window_seconds`` long, every ``step_seconds``):

@@ -401,6 +401,13 @@ def q_counter_rate(spark, sf):
     return rounded(M.counter_rate(samples, ["route"], 300, "rate_5m"))
 
 
+@register("request_rate")
+def q_request_rate(spark, sf):
+    series = ["method", "route", "status"]
+    samples = M.counter_samples(_log(spark, sf), series, keep_keys=True)
+    return rounded(M.rate_by_labels(samples, series, ["route", "status"], 300, 60))
+
+
 @register("error_ratio")
 def q_error_ratio(spark, sf):
     return rounded(M.error_ratio(_log(spark, sf)))

@@ -358,6 +358,17 @@ def oracle_sql() -> dict[str, str]:
         "SELECT route, request_id, ts, counter, " + R(
             "sum(delta) OVER (PARTITION BY route ORDER BY ts RANGE BETWEEN INTERVAL 300 SECOND PRECEDING "
             "AND CURRENT ROW) / 300.0", "rate_5m") + " FROM d2")
+    q["request_rate"] = _with(LOG).rstrip() + ",\n" + (
+        "cs AS (SELECT method, route, status, request_id, ts, CAST((row_number() OVER "
+        "  (PARTITION BY method, route, status ORDER BY ts, request_id)) % 50 AS DOUBLE) AS counter FROM log), "
+        "dl AS (SELECT *, lag(counter) OVER (PARTITION BY method, route, status ORDER BY ts, request_id) AS p FROM cs), "
+        "d2 AS (SELECT route, status, ts, CASE WHEN p IS NULL THEN 0.0 WHEN counter < p THEN counter "
+        "  ELSE counter - p END AS delta FROM dl), "
+        "d3 AS (SELECT *, CASE WHEN date_trunc('minute', ts) = ts THEN date_trunc('minute', ts) "
+        "  ELSE date_trunc('minute', ts) + INTERVAL 1 MINUTE END AS e0 FROM d2) "
+        "SELECT route, status, e0 + to_minutes(CAST(k AS BIGINT)) AS eval_ts, "
+        + R("sum(delta) / 300.0", "rate_5m") +
+        " FROM d3 CROSS JOIN (SELECT unnest([0, 1, 2, 3, 4]) AS k) GROUP BY ALL")
     q["error_ratio"] = _with(LOG, RATIO) + (
         f"SELECT window_start, window_end, requests, errors, {R('error_ratio', 'error_ratio')}, firing FROM ratio")
     q["sustained_alerts"] = _with(LOG, RATIO) + (
