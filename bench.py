@@ -30,6 +30,8 @@ HEADLINE = (
     "sustained_alerts",
     "inflight_gauge",
     "duration_histogram",
+    "request_rate",
+    "alert_rules",
 )
 
 
@@ -46,7 +48,7 @@ def main() -> None:
     spark = build_session(f"local[{cpus}]", app_name="skyroll-bench", shuffle_partitions=max(cpus, 2),
                           extra={"spark.driver.memory": "8g"})
     run(spark, "latest_per_station", sf_dir)  # warm-up: JVM, codegen caches, file listing
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     times, cold = {}, {}
     for name in names:
         t = [run(spark, name, sf_dir) for _ in range(runs)]
