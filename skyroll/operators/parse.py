@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skyroll.functions.text import first_present, present
 from skyroll.functions.time import parse_local_ts
@@ -17,6 +18,8 @@ from skyroll.schema import BIGINT_METRICS, DOUBLE_METRICS, LINE_JSON_SCHEMA, WEA
 
 REASON = "reject_reason"
 
+_PARSE_SCHEMA = T.StructType(LINE_JSON_SCHEMA.fields + [T.StructField("_corrupt_record", T.StringType())])
+
 # Reject reasons.
 BLANK = "blank_line"
 MALFORMED = "malformed_json"
@@ -49,15 +52,17 @@ def parse_lines(df: DataFrame, line_col: str = "line", default_station: str | No
     # Parse once per line: the parsed struct comes out of a one-element
     # generator, so the optimizer cannot copy ``from_json`` into the pushed
     # reject filter or into each of the 30 field extractions.
-    pinned = F.inline(F.array(F.struct(raw.alias("_line"), F.from_json(raw, LINE_JSON_SCHEMA).alias("_o"),
-                                       F.json_object_keys(raw).isNotNull().alias("_is_object"))))
+    # A malformed line or a JSON value that is not an object lands in
+    # ``_corrupt_record``, so one parser pass also classifies the line.
+    o = F.from_json(raw, _PARSE_SCHEMA, {"columnNameOfCorruptRecord": "_corrupt_record"})
+    pinned = F.inline(F.array(F.struct(raw.alias("_line"), o.alias("_o"))))
     d = df.select(*keep, pinned)
     if default_station is not None:
         station = first_present("_o.node.hostname", default_station)
     else:
         station = first_present("_o.station", "_o.node.hostname")
     dt = parse_local_ts("_o.dt")
-    is_object = F.col("_is_object")
+    is_object = F.col("_o").isNotNull() & F.col("_o._corrupt_record").isNull()
     reason = (F.when((F.col("_line").isNull()) | (F.col("_line") == ""), F.lit(BLANK))
               .when(~is_object, F.lit(MALFORMED))
               .when(dt.isNull(), F.lit(BAD_DT))
