@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from skyroll.operators import progress as P
 from skyroll.operators import upsert as U
 from skyroll.schema import BACKFILL_MODE, RECONCILIATION_LOOKBACK_DAYS, STATE_SCHEMA
+from skyroll.session import apply_session_defaults
 from skyroll.sources.kafka import publish_rows
 from skyroll.streaming import ingest as I
 from skyroll.streaming.storage import TableStore
@@ -44,6 +45,7 @@ def publish_cycle(spark: SparkSession, lines: DataFrame, ingest: TableStore, pro
                   sink: Sink, run_id: int, stations: DataFrame | None = None) -> DataFrame:
     """One incremental producer cycle (R8). Returns the per-station summary;
     a station without a resume point is reported, not published."""
+    apply_session_defaults(spark)
     marks = producer.read(PRODUCER, _producer_schema())
     weather = I.read_weather(ingest).select("station", "dt")
     resume = P.resume_points(_stations(lines, stations), marks, weather).persist()
@@ -69,6 +71,7 @@ def backfill_cycle(spark: SparkSession, lines: DataFrame, ingest: TableStore, re
     """Backfill / reconcile (R9 + U5): publish the repair window of every
     station that is behind its source, then record source and database marks
     with the computed status. Returns the reconcile marks."""
+    apply_session_defaults(spark)
     stored = P.table_max(I.read_weather(ingest).select("station", "dt"))
     src = P.source_latest(lines)
     rows = P.backfill_rows(lines, stored, src, lookback_days)

@@ -29,6 +29,7 @@ from skyroll.operators import upsert as U
 from skyroll.operators.parse import REASON, good_rows, parse_lines, reject_rows
 from skyroll.schema import (LATEST_COLUMNS, ROLLUP_MEASURES, ROLLUP_WINDOWS, STATE_SCHEMA, WEATHER_COLUMNS,
                             weather_schema)
+from skyroll.session import apply_session_defaults
 from skyroll.streaming.storage import TableStore
 
 WEATHER = "weather"
@@ -107,6 +108,7 @@ def ingest_batch(spark: SparkSession, store: TableStore, batch: DataFrame, batch
 def start_ingest(spark: SparkSession, source: DataFrame, store_root: str, checkpoint: str,
                  trigger: dict | None = None, compact_every: int = 30):
     """Start the streaming ingest from a Kafka-shaped streaming DataFrame."""
+    apply_session_defaults(spark)
     store = TableStore(spark, store_root)
     writer = (source.writeStream
               .option("checkpointLocation", checkpoint)
@@ -200,6 +202,7 @@ def refresh_rollup_table(spark: SparkSession, source: TableStore, target: TableS
     widest trailing range are read. The output is partitioned by window and
     sorted by (station, bucket) for the history lookups. Readers keep the
     previous version until the new marker is written."""
+    apply_session_defaults(spark)
     commit = source.latest_commit()
     raw = _raw_entry(commit.get("tables", {}))
     parts = sorted(set(raw["base"]) | set(_delta_dates(raw)))
