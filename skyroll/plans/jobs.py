@@ -132,3 +132,12 @@ def file_sink(path: str, topic: str = "weather") -> Sink:
         finally:
             rows.unpersist()
     return write
+
+
+def history_from_store(rollups: TableStore, window: str, metric: str | None = None,
+                       station: str | None = None) -> DataFrame:
+    """R2 over the stored roll-up table: the window filter prunes to that
+    window's partition directory; the station filter uses the row-group
+    statistics of the (station, bucket) sort."""
+    from skyroll.plans.queries import history
+    return history(rollups.read(I.ROLLUPS, I._rollup_schema()), window, metric, station)

@@ -91,6 +91,11 @@ def test_refresh_rollups_from_store_and_progress_lag(spark):
     a = sorted(tuple(r[c] for c in cols) for r in got.collect())
     b = sorted(tuple(r[c] for c in cols) for r in want.collect())
     assert len(a) == len(b) and all(x[:3] == y[:3] for x, y in zip(a, b))
+    from skyroll.plans.jobs import history_from_store
+    h = history_from_store(target, "week", metric="humidity", station="click")
+    plan = h._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [(window_name" in plan and "week" in plan
+    assert h.count() == got.filter((F.col("window_name") == "week") & (F.col("station") == "click")).count() > 0
     assert I.lag_from_progress({"sources": [{"latestOffset": '{"weather":{"0":120,"1":7}}',
                                              "endOffset": '{"weather":{"0":100,"1":7}}'}]}) == 20
 
