@@ -13,7 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyroll.schema import LATEST_PROJECTION, STATUS_STREAMING, STATE_COLUMNS, STATE_SCHEMA
+from skyroll.schema import (LATEST_PROJECTION, STATE_SCHEMA, STATUS_DATABASE_EMPTY, STATUS_DATABASE_GAP,
+                            STATUS_HEALTHY, STATUS_SOURCE_GAP, STATUS_STREAMING)
 
 _SRC = "_src"
 
@@ -45,7 +46,7 @@ def merge_upsert(existing: DataFrame, batch: DataFrame, keys: Sequence[str],
 
 def latest_projection(df: DataFrame, updated_at: Column | None = None) -> DataFrame:
     """Raw observation columns -> latest-table columns (pressure Pa -> hPa).
-    Extra columns listed in ``keep`` (such as ``arrival``) are carried."""
+    ``arrival`` and hidden ``_`` columns are carried along for ordering."""
     cols = [F.col("station"), F.col("dt")]
     for name, src in LATEST_PROJECTION:
         e = F.col(src).cast("double")
@@ -147,10 +148,10 @@ def producer_marks(state: DataFrame, published: DataFrame, ts: str = "dt") -> Da
 def reconciliation_status(source: Column, producer: Column, consumer: Column, database: Column) -> Column:
     """database_empty / database_gap_detected / source_gap_detected / healthy."""
     upstream = F.greatest(source, producer, consumer)
-    return (F.when(database.isNull(), F.lit("database_empty"))
-            .when(upstream.isNotNull() & (database < upstream), F.lit("database_gap_detected"))
-            .when(source.isNotNull() & (database < source), F.lit("source_gap_detected"))
-            .otherwise(F.lit("healthy")))
+    return (F.when(database.isNull(), F.lit(STATUS_DATABASE_EMPTY))
+            .when(upstream.isNotNull() & (database < upstream), F.lit(STATUS_DATABASE_GAP))
+            .when(source.isNotNull() & (database < source), F.lit(STATUS_SOURCE_GAP))
+            .otherwise(F.lit(STATUS_HEALTHY)))
 
 
 def reconcile_marks(state: DataFrame, observed: DataFrame, reconciled_at: Column) -> DataFrame:
@@ -182,5 +183,3 @@ def reconcile_marks(state: DataFrame, observed: DataFrame, reconciled_at: Column
         "last_reconciliation_at": pick(reconciled_at, F.col("s.last_reconciliation_at")),
     })
 
-
-STATE_ORDER = STATE_COLUMNS

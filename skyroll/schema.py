@@ -110,16 +110,6 @@ ROLLUP_WINDOWS = (
 )
 WINDOWS_BY_NAME = {w.name: w for w in ROLLUP_WINDOWS}
 
-# Chart labels, units and decimals per friendly metric.
-METRIC_DISPLAY = {
-    "temperature": ("Temperature", "°F", 1),
-    "wind_speed": ("Wind Speed", "mph", 1),
-    "rainfall": ("Rainfall", "in", 3),
-    "humidity": ("Humidity", "%", 1),
-    "pressure": ("Pressure", "hPa", 1),
-    "lux": ("Lux", "lx", 0),
-}
-
 # Station display labels (fallback is the station id).
 STATION_LABELS = {
     "all": "All Stations",
