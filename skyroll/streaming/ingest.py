@@ -163,8 +163,8 @@ def _read_raw(store: TableStore, raw: dict, only: list[str] | None = None) -> Da
                  for b, ds in raw["deltas"].items() for d in ds if d in set(touched)]
         deltas = store.spark.read.schema(schema).parquet(*paths)
         cols = list(WEATHER_COLUMNS) + ["arrival"]
-        newest = U.latest_wins(deltas.select(*cols), ["station", "dt"], ["arrival"])
-        parts.append(U.merge_upsert(base.select(*cols), newest, ["station", "dt"], ["arrival"]))
+        # One aggregate: a delta row beats the base row, later arrival among deltas.
+        parts.append(U.merge_upsert(base.select(*cols), deltas.select(*cols), ["station", "dt"], ["arrival"]))
     if not parts:
         return store.spark.createDataFrame([], schema)
     out = parts[0]
