@@ -58,3 +58,24 @@ def test_global_series_running_sum(samples):
     want = _rows(samples.withColumn("rs", F.sum("v").over(w)), ["id", "rs"])
     got = _rows(S.running_sum(samples, [], "ts", ["id"], "v", "rs", 3600), ["id", "rs"])
     assert got == want
+
+
+def test_hot_key_is_spread_across_tasks(spark):
+    """One series holds 90% of rows; after the chunked window no task holds
+    more than a small share of them (a plain partitionBy(series) would put
+    90% of all rows into one task)."""
+    rnd = random.Random(3)
+    rows = [(i, "hot" if rnd.random() < 0.9 else rnd.choice(["a", "b"]),
+             BASE + dt.timedelta(seconds=rnd.randint(0, 5 * 86400)), 1.0) for i in range(4000)]
+    df = spark.createDataFrame(rows, "id long, k string, ts timestamp_ntz, v double")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        out = S.running_sum(df, ["k"], "ts", ["id"], "v", "rs", 3600)
+        # Use ``rs`` so the window is not pruned away; tag each row with its task.
+        tagged = out.select("rs", F.spark_partition_id().alias("p"))
+        shares = [r["n"] for r in tagged.groupBy("p").agg(F.count("rs").alias("n")).collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert max(shares) / len(rows) < 0.25
