@@ -117,8 +117,10 @@ def start_ingest(spark: SparkSession, source: DataFrame, store_root: str, checkp
     return writer.start()
 
 
-def kafka_source(spark: SparkSession, servers: str, topic: str, max_offsets: int | None = None) -> DataFrame:
-    """Subscribe from the earliest offset; progress lives in the checkpoint."""
+def kafka_source(spark: SparkSession, servers: str, topic: str, max_offsets: int | None = 10_000_000) -> DataFrame:
+    """Subscribe from the earliest offset; progress lives in the checkpoint.
+    ``max_offsets`` bounds each micro-batch (backpressure), so a restart after a
+    long outage drains the backlog in bounded batches instead of one huge one."""
     r = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
          .option("subscribe", topic).option("startingOffsets", "earliest"))
     if max_offsets:
