@@ -2,7 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from skyroll.functions.time import floor_to_bucket, iso_text, parse_local_ts
+from skyroll.functions.time import epoch_seconds, floor_to_bucket, iso_text, parse_local_ts
 from skyroll.operators.progress import gap_seconds_bigint
 
 
@@ -32,13 +32,19 @@ def test_floor_to_bucket_before_and_after_origin(spark):
     assert got == [dt.datetime(1999, 12, 31, 23, 55), dt.datetime(2024, 1, 1, 0, 5)]
 
 
-def test_floor_is_independent_of_session_zone(spark):
-    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
-    try:
-        got = _one(spark, [(dt.datetime(2024, 1, 1, 10, 47),)], "t timestamp_ntz", floor_to_bucket(F.col("t"), 3600))
-    finally:
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-    assert got == [dt.datetime(2024, 1, 1, 10, 0)]
+def test_floor_and_epoch_are_independent_of_session_zone(spark):
+    rows = [(dt.datetime(2024, 1, 1, 10, 47),), (dt.datetime(2024, 7, 1, 2, 31, 5, 7),), (dt.datetime(1999, 12, 31, 23, 58),)]
+    want_floor = [dt.datetime(2024, 1, 1, 10, 45), dt.datetime(2024, 7, 1, 2, 30), dt.datetime(1999, 12, 31, 23, 45)]
+    want_epoch = [1704106020.0, 1719801065.000007, 946684680.0]
+    for zone in ("Asia/Kolkata", "America/New_York", "Australia/Lord_Howe"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            got = spark.createDataFrame(rows, "t timestamp_ntz").select(
+                floor_to_bucket(F.col("t"), 900).alias("f"), epoch_seconds(F.col("t")).alias("e")).collect()
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+        assert [r.f for r in got] == want_floor, zone
+        assert [r.e for r in got] == want_epoch, zone
 
 
 def test_gap_rounds_half_away_and_clamps(spark):
