@@ -106,20 +106,21 @@ def prune_files(files: DataFrame, cutoff: DataFrame, cutoff_col: str) -> DataFra
     return j.filter(keep).drop("_cut")
 
 
-def _parse_writer(lines: DataFrame) -> DataFrame:
-    """Parse source lines as the writer does (station = hostname or the station dir)."""
-    keep = [c for c in lines.columns if c != "line"]
+def _parse_writer(lines: DataFrame, keep_line: bool = False) -> DataFrame:
+    """Parse source lines as the writer does (station = hostname or the station dir).
+    ``keep_line`` carries the original text along for republishing."""
+    keep = [c for c in lines.columns if keep_line or c != "line"]
     return good_rows(parse_lines(lines, default_station="station_dir", keep=keep))
 
 
-def incremental_rows(lines: DataFrame, resume: DataFrame) -> DataFrame:
+def incremental_rows(lines: DataFrame, resume: DataFrame, keep_line: bool = False) -> DataFrame:
     """Rows to publish incrementally from raw source lines: only files dated on
     or after the resume day are parsed, then ``dt > resume`` (strict).
     Stations without a resume point publish nothing."""
     r = resume.select(F.col("station").alias("station_dir"), F.col("resume_ts").alias("_resume"))
     cand = lines.join(r.filter(F.col("_resume").isNotNull()), "station_dir", "inner")
     cand = cand.filter(F.substring("file_name", 1, 8) >= yyyymmdd(F.col("_resume")))
-    return _parse_writer(cand).filter(F.col("dt") > F.col("_resume")).drop("_resume")
+    return _parse_writer(cand, keep_line).filter(F.col("dt") > F.col("_resume")).drop("_resume")
 
 
 def publish_summary(resume: DataFrame, published: DataFrame) -> DataFrame:
@@ -152,7 +153,7 @@ def source_latest(lines: DataFrame) -> DataFrame:
 
 
 def backfill_rows(lines: DataFrame, stored_latest: DataFrame, src_latest: DataFrame,
-                  lookback_days: int = RECONCILIATION_LOOKBACK_DAYS) -> DataFrame:
+                  lookback_days: int = RECONCILIATION_LOOKBACK_DAYS, keep_line: bool = False) -> DataFrame:
     """Repair window per station from raw source lines. Skip when
     ``stored >= source`` (both known); no stored data -> whole history; else
     only files dated on or after ``stored - lookback`` are parsed and rows with
@@ -166,7 +167,7 @@ def backfill_rows(lines: DataFrame, stored_latest: DataFrame, src_latest: DataFr
                        F.when(F.col("_stored").isNotNull(), minus_days(F.col("_stored"), lookback_days)).alias("_cutoff"))
     cand = lines.join(plan, "station_dir", "inner").filter(
         F.col("_cutoff").isNull() | (F.substring("file_name", 1, 8) >= yyyymmdd(F.col("_cutoff"))))
-    rows = _parse_writer(cand).filter(F.col("_cutoff").isNull() | (F.col("dt") >= F.col("_cutoff")))
+    rows = _parse_writer(cand, keep_line).filter(F.col("_cutoff").isNull() | (F.col("dt") >= F.col("_cutoff")))
     return (rows.drop("_cutoff")
             .withColumn("ingestion_mode", F.lit(BACKFILL_MODE))
             .withColumn("event_key", event_key(F.col("station"), F.col("dt"))))

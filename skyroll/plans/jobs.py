@@ -50,9 +50,9 @@ def publish_cycle(spark: SparkSession, lines: DataFrame, ingest: TableStore, pro
     weather = I.read_weather(ingest).select("station", "dt")
     resume = P.resume_points(_stations(lines, stations), marks, weather).persist()
     try:
-        rows = P.incremental_rows(lines, resume).persist()
+        rows = P.incremental_rows(lines, resume, keep_line=True).persist()
         try:
-            sink(publish_rows(rows.drop("station_dir", "file_name", "arrival")))
+            sink(publish_rows(rows))
             newest = rows.groupBy(F.col("station_dir").alias("station")).agg(F.max("dt").alias("_n"))
             new = (marks.join(newest, "station", "full_outer")
                    .select("station", F.greatest("producer_latest_ts", "_n").alias("producer_latest_ts")))
@@ -74,9 +74,8 @@ def backfill_cycle(spark: SparkSession, lines: DataFrame, ingest: TableStore, re
     apply_session_defaults(spark)
     stored = P.table_max(I.read_weather(ingest).select("station", "dt"))
     src = P.source_latest(lines)
-    rows = P.backfill_rows(lines, stored, src, lookback_days)
-    sink(publish_rows(rows.drop("station_dir", "file_name", "arrival", "event_key", "ingestion_mode"),
-                      {"ingestion_mode": F.lit(BACKFILL_MODE)}))
+    rows = P.backfill_rows(lines, stored, src, lookback_days, keep_line=True)
+    sink(publish_rows(rows, {"ingestion_mode": F.lit(BACKFILL_MODE)}))
     before = reconcile.read(RECONCILE, STATE_SCHEMA)
     after = U.reconcile_marks(before, P.observed_marks(src, stored),
                               F.current_timestamp().cast("timestamp_ntz") if reconciled_at is None else reconciled_at)

@@ -14,18 +14,38 @@ from skyroll.functions.text import event_key
 from skyroll.functions.time import iso_text
 
 
+def _json_value(c: Column) -> Column:
+    """A column as a JSON literal (string quoted and escaped, NULL as null)."""
+    return F.regexp_extract(F.to_json(F.array(c)), r"^\[(.*)\]$", 1)
+
+
+def enrich_line(line: Column, fields: dict[str, Column]) -> Column:
+    """The original JSON object text with ``fields`` appended as its last keys.
+    Readers that keep the last of duplicate keys (Python ``json``, Spark
+    ``from_json``) see the new values, and every other field is forwarded as is."""
+    s = F.trim(line)
+    add = [F.concat(F.lit(f'"{k}":'), _json_value(v)) for k, v in fields.items()]
+    tail = F.concat_ws(",", *add)
+    empty = s.rlike(r"^\{\s*\}$")
+    return F.when(empty, F.concat(F.lit("{"), tail, F.lit("}"))).otherwise(
+        F.concat(F.regexp_replace(s, r"\}$", ""), F.lit(","), tail, F.lit("}")))
+
+
 def publish_rows(parsed: DataFrame, extra_fields: dict[str, Column] | None = None) -> DataFrame:
-    """Keyed messages for parsed observations: key ``station|iso(dt)``, value
-    the JSON object (station resolved, ``dt`` as ISO text, optional tags such
-    as ``ingestion_mode``). NULL fields are omitted from the JSON."""
+    """Keyed messages for parsed observations: key ``station|iso(dt)``. The
+    value is the original line with the resolved ``station`` (and tags such as
+    ``ingestion_mode``) set, as the source system forwards the enriched
+    object; without a ``line`` column the typed fields are serialised instead."""
+    extra = dict(extra_fields or {})
+    key = event_key(F.col("station"), F.col("dt")).cast("binary").alias("key")
+    if "line" in parsed.columns:
+        value = enrich_line(F.col("line"), {"station": F.col("station"), **extra})
+        return parsed.select(key, value.cast("binary").alias("value"))
     fields = [F.col(c) for c in parsed.columns if c not in ("dt", "arrival", "station_dir", "file_name")]
     fields = [iso_text(F.col("dt")).alias("dt")] + fields
-    for name, value in (extra_fields or {}).items():
-        fields.append(value.alias(name))
-    return parsed.select(
-        event_key(F.col("station"), F.col("dt")).cast("binary").alias("key"),
-        F.to_json(F.struct(*fields)).cast("binary").alias("value"),
-    )
+    for name, v in extra.items():
+        fields.append(v.alias(name))
+    return parsed.select(key, F.to_json(F.struct(*fields)).cast("binary").alias("value"))
 
 
 def write_kafka(messages: DataFrame, servers: str, topic: str) -> None:

@@ -62,3 +62,20 @@ def test_source_latest_reads_newest_file_of_each_station(spark):
     lines = spark.createDataFrame(rows, "station_dir string, file_name string, arrival long, line string")
     got = {r.station: (r.newest_file, str(r.source_latest_ts)) for r in source_latest(lines).collect()}
     assert got == {"A": ("20240702.txt", "2024-07-02 00:00:00"), "B": ("20240701.txt", "2024-07-01 00:00:00")}
+
+
+def test_publish_forwards_original_object_with_station_set(spark):
+    import json
+    from skyroll.operators.parse import good_rows, parse_lines
+    lines = ['{"dt":"2024-07-01T12:00:00-0400","station":"old","extra_field":{"a":[1,2]},"node":{"hostname":"h1"}}',
+             '{"dt":"2024-07-01T13:00:00"}']
+    df = spark.createDataFrame([("wx_a", l) for l in lines], "station_dir string, line string")
+    rows = good_rows(parse_lines(df, default_station="station_dir", keep=["station_dir", "line"]))
+    msgs = publish_rows(rows, {"ingestion_mode": F.lit("backfill")}).collect()
+    values = sorted((bytes(m.key).decode(), json.loads(bytes(m.value).decode())) for m in msgs)
+    assert values[0][0] == "h1|2024-07-01T12:00:00" and values[0][1]["station"] == "h1"
+    assert values[0][1]["extra_field"] == {"a": [1, 2]} and values[0][1]["ingestion_mode"] == "backfill"
+    assert values[1][0] == "wx_a|2024-07-01T13:00:00" and values[1][1]["station"] == "wx_a"
+    # The consumer side reads the overriding (last) station too.
+    back = spark.createDataFrame([(bytes(m.value).decode(),) for m in msgs], "line string")
+    assert sorted(r.station for r in good_rows(parse_lines(back)).collect()) == ["h1", "wx_a"]
