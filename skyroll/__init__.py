@@ -7,8 +7,9 @@ Layout
 - ``skyroll.functions``   column expressions (time parse, keys, gaps, format)
 - ``skyroll.sources``     line files, listing pages, Kafka rows, test-table adapters
 - ``skyroll.operators``   parse, upsert, roll-up, progress marks, monitoring, chunked series
-- ``skyroll.plans``       user-level queries and the named query catalog
-- ``skyroll.streaming``   versioned storage and the micro-batch ingest
+- ``skyroll.plans``       user-level queries, jobs (producer, backfill, report),
+                          the named query catalog and its DuckDB oracle
+- ``skyroll.streaming``   versioned storage, the micro-batch ingest, the live roll-up
 """
 
 __version__ = "0.1.0"
