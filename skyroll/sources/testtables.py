@@ -124,27 +124,30 @@ def kafka_rows(e: DataFrame, topic: str = "weather") -> DataFrame:
     )
 
 
-def progress_marks(e: DataFrame) -> DataFrame:
-    """Per-station progress marks (source, producer, consumer, database)."""
+def _mark_columns():
     t, et, eid = F.col("ts"), F.col("event_type"), F.col("event_id")
     not_view = et != "view"
-    return e.groupBy(et.alias("station")).agg(
+    consumed = not_view & ((et != "error") | (t < ntz("2024-01-29 00:00:00")))
+    return [
         F.max(F.when(not_view, t)).alias("source_latest_ts"),
         F.max(F.when(not_view & (eid % 7 != 1), t)).alias("producer_latest_ts"),
-        F.max(F.when(not_view & ((et != "error") | (t < ntz("2024-01-29 00:00:00"))), t)).alias("consumer_latest_ts"),
+        F.max(F.when(consumed, t)).alias("consumer_latest_ts"),
         F.max(F.when(et == "signup", F.lit(None).cast("timestamp_ntz"))
               .when(et.isin("click", "error") & (t >= ntz("2024-01-28 00:00:00")), F.lit(None).cast("timestamp_ntz"))
               .otherwise(t)).alias("database_latest_ts"),
-    )
+        F.max(F.when(consumed, eid)).alias("kafka_offset"),
+    ]
+
+
+def progress_marks(e: DataFrame) -> DataFrame:
+    """Per-station progress marks (source, producer, consumer, database)."""
+    return e.groupBy(F.col("event_type").alias("station")).agg(*_mark_columns()).drop("kafka_offset")
 
 
 def ingestion_state(e: DataFrame) -> DataFrame:
-    """A full ``ingestion_state`` table built from the marks: partition 0, the
-    last consumed offset, status 'streaming', never reconciled."""
-    et, t = F.col("event_type"), F.col("ts")
-    consumed = (et != "view") & ((et != "error") | (t < ntz("2024-01-29 00:00:00")))
-    offsets = e.groupBy(et.alias("station")).agg(F.max(F.when(consumed, F.col("event_id"))).alias("kafka_offset"))
-    return progress_marks(e).join(offsets, "station").select(
+    """A full ``ingestion_state`` table built from the marks in one aggregate:
+    partition 0, the last consumed offset, status 'streaming', never reconciled."""
+    return e.groupBy(F.col("event_type").alias("station")).agg(*_mark_columns()).select(
         "station", "source_latest_ts", "producer_latest_ts", "consumer_latest_ts", "database_latest_ts",
         F.lit(0).cast("int").alias("kafka_partition"),
         "kafka_offset",
