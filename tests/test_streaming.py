@@ -114,3 +114,47 @@ def test_compaction_keeps_results(spark):
     good = good_rows(parse_lines(msgs, keep=["partition", "offset", "timestamp"])).withColumn("arrival", F.col("offset"))
     want = U.latest_wins(good.select(*WEATHER_COLUMNS, "arrival"), ["station", "dt"], ["arrival"])
     assert _rows(I.read_weather(store), list(WEATHER_COLUMNS)) == _rows(want, list(WEATHER_COLUMNS))
+
+
+def test_failed_batch_replays_after_restart(spark):
+    """A batch fails after writing its data but before its marker: the query
+    stops, the checkpoint does not advance, and a restart replays the batch."""
+    work = tempfile.mkdtemp(prefix="skyroll-fail-", dir="/tmp")
+    src, store_root, ckpt = (os.path.join(work, d) for d in ("src", "store", "ckpt"))
+    rows = tt.kafka_rows(tt.events(spark, SF)).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    n = rows.count()
+    for i in range(2):
+        rows.filter((F.col("offset") * 2 >= i * n) & (F.col("offset") * 2 < (i + 1) * n)).coalesce(1) \
+            .write.parquet(os.path.join(src, f"part{i}"))
+
+    def stream():
+        return (spark.readStream.schema(I.KAFKA_SCHEMA).option("maxFilesPerTrigger", 1)
+                .option("recursiveFileLookup", "true").parquet(src))
+
+    original = TableStore.commit
+    calls = {"n": 0}
+
+    def flaky(self, batch_id, tables):
+        calls["n"] += 1
+        if batch_id == 1 and calls["n"] == 2:
+            raise RuntimeError("lost before commit")
+        return original(self, batch_id, tables)
+
+    TableStore.commit = flaky
+    try:
+        q = I.start_ingest(spark, stream(), store_root, ckpt, trigger={"availableNow": True})
+        try:
+            q.awaitTermination(300)
+        except Exception:  # noqa: BLE001 - the injected failure stops the query
+            pass
+        assert TableStore(spark, store_root).latest_commit()["batch_id"] == 0
+        q = I.start_ingest(spark, stream(), store_root, ckpt, trigger={"availableNow": True})
+        q.awaitTermination(300)
+    finally:
+        TableStore.commit = original
+    store = TableStore(spark, store_root)
+    assert store.latest_commit()["batch_id"] == 1
+    msgs = rows.select(F.col("value").cast("string").alias("line"), "partition", "offset", "timestamp")
+    good = good_rows(parse_lines(msgs, keep=["partition", "offset", "timestamp"])).withColumn("arrival", F.col("offset"))
+    want = U.latest_wins(good.select(*WEATHER_COLUMNS, "arrival"), ["station", "dt"], ["arrival"])
+    assert _rows(I.read_weather(store), list(WEATHER_COLUMNS)) == _rows(want, list(WEATHER_COLUMNS))
