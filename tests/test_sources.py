@@ -79,3 +79,10 @@ def test_publish_forwards_original_object_with_station_set(spark):
     # The consumer side reads the overriding (last) station too.
     back = spark.createDataFrame([(bytes(m.value).decode(),) for m in msgs], "line string")
     assert sorted(r.station for r in good_rows(parse_lines(back)).collect()) == ["h1", "wx_a"]
+
+
+def test_scale_conf_sizes():
+    from skyroll.session import scale_conf
+    c = scale_conf(100 * 2**40, 8000)
+    assert c["spark.sql.shuffle.partitions"] == str(100 * 2**40 // (256 << 20))
+    assert scale_conf(1, 8)["spark.sql.shuffle.partitions"] == "16"
