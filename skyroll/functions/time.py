@@ -20,6 +20,8 @@ _BASIC_REWRITES = (
     (r"^(\d{4})(\d{2})(\d{2})T(\d{2})(\d{2})(\d{2})", "$1-$2-$3T$4:$5:$6"),
     (r"^(\d{4})(\d{2})(\d{2})T(\d{2})(\d{2})(?![\d:])", "$1-$2-$3T$4:$5"),
     (r"^(\d{4})(\d{2})(\d{2})(?=T|$)", "$1-$2-$3"),
+    # Any single character may separate date and time.
+    (r"^(\d{4}-\d{2}-\d{2})[^\d](\d{2})", "$1T$2"),
 )
 
 

@@ -13,11 +13,11 @@ def _one(spark, rows, schema, expr):
 def test_parse_local_ts_forms(spark):
     texts = ["2024-07-01T12:34:56-0400", "2024-07-01T12:34:56-04:00", "2024-07-01T12:34:56Z",
              "2024-07-01T12:34:56.5-04:00", "2024-07-01T12:34:56", "", None, "junk", "2024",
-             "20240701T120000", " 2024-07-01T12:34:56+0530 "]
+             "20240701T120000", " 2024-07-01T12:34:56+0530 ", "2024-07-01 12:34:56", "2024-07-01_12:34:56Z"]
     got = _one(spark, [(t,) for t in texts], "s string", parse_local_ts(F.col("s")))
     wall = dt.datetime(2024, 7, 1, 12, 34, 56)
     assert got == [wall, wall, wall, wall.replace(microsecond=500000), wall, None, None, None, None,
-                   dt.datetime(2024, 7, 1, 12, 0, 0), wall]
+                   dt.datetime(2024, 7, 1, 12, 0, 0), wall, wall, wall]
 
 
 def test_iso_text_fraction(spark):
