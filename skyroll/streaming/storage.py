@@ -39,14 +39,18 @@ class TableStore:
         return f"{self.root}/{COMMITS}/{int(batch_id):020d}.json"
 
     def is_committed(self, batch_id: int) -> bool:
-        return bool(self._fs.exists(self._Path(self._marker_path(batch_id))))
+        """A batch is committed when its marker exists or a later batch
+        committed (batch ids grow; old markers may have been trimmed)."""
+        if self._fs.exists(self._Path(self._marker_path(batch_id))):
+            return True
+        return int(batch_id) <= int(self.latest_commit()["batch_id"])
 
     def latest_commit(self) -> dict:
         d = self._Path(f"{self.root}/{COMMITS}")
         if not self._fs.exists(d):
             return {"batch_id": -1, "tables": {}}
         names = sorted(s.getPath().getName() for s in self._fs.listStatus(d)
-                       if s.getPath().getName().endswith(".json"))
+                       if s.getPath().getName().endswith(".json") and not s.getPath().getName().startswith("_"))
         if not names:
             return {"batch_id": -1, "tables": {}}
         stream = self._fs.open(self._Path(f"{self.root}/{COMMITS}/{names[-1]}"))
@@ -58,8 +62,11 @@ class TableStore:
             stream.close()
         return json.loads(data.decode("utf-8"))
 
-    def commit(self, batch_id: int, tables: dict) -> None:
-        """Write the marker last: all tables named in it become visible at once."""
+    def commit(self, batch_id: int, tables: dict, keep_markers: int = 1000) -> None:
+        """Write the marker last: all tables named in it become visible at once.
+        Each marker holds the full manifest, so older markers are superseded;
+        only the newest ``keep_markers`` are kept, which bounds the listing a
+        reader does (data directories are never touched here)."""
         final = self._Path(self._marker_path(batch_id))
         tmp = self._Path(f"{self.root}/{COMMITS}/_tmp-{int(batch_id):020d}.json")
         out = self._fs.create(tmp, True)
@@ -69,6 +76,10 @@ class TableStore:
             out.close()
         if not self._fs.rename(tmp, final):
             raise RuntimeError(f"could not publish commit marker {final}")
+        markers = sorted(st.getPath().getName() for st in self._fs.listStatus(self._Path(f"{self.root}/{COMMITS}"))
+                         if st.getPath().getName().endswith(".json") and not st.getPath().getName().startswith("_"))
+        for name in markers[:-keep_markers] if keep_markers > 0 else []:
+            self._fs.delete(self._Path(f"{self.root}/{COMMITS}/{name}"), False)
 
     def reset(self, batch_id: int) -> None:
         """Start over (optional reset before a full reload): commit an empty

@@ -86,3 +86,14 @@ def test_scale_conf_sizes():
     c = scale_conf(100 * 2**40, 8000)
     assert c["spark.sql.shuffle.partitions"] == str(100 * 2**40 // (256 << 20))
     assert scale_conf(1, 8)["spark.sql.shuffle.partitions"] == "16"
+
+
+def test_store_keeps_bounded_markers(spark):
+    from skyroll.streaming.storage import TableStore
+    store = TableStore(spark, tempfile.mkdtemp(prefix="skyroll-markers-", dir="/tmp"))
+    for i in range(5):
+        store.commit(i, {"t": i}, keep_markers=2)
+    names = sorted(os.listdir(os.path.join(store.root, "_commits")))
+    assert [n for n in names if n.endswith(".json") and not n.startswith("_")] == [f"{3:020d}.json", f"{4:020d}.json"]
+    assert store.latest_commit() == {"batch_id": 4, "tables": {"t": 4}}
+    assert store.is_committed(0) and not store.is_committed(5)
