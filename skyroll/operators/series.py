@@ -66,11 +66,16 @@ def running_sum(df: DataFrame, series: Sequence[str], ts: str, tiebreak: Sequenc
     """``sum(value) over (partition by series order by ts, *tiebreak rows
     unbounded preceding)`` computed chunk-parallel."""
     v = F.col(value) if isinstance(value, str) else value
+    fresh = _SK not in df.columns or _CHUNK not in df.columns
     d = _keyed(df.withColumn("_v", v), series, ts, chunk_seconds)
+    if fresh:
+        # One shuffle on (series, chunk) feeds both the window and the per-chunk
+        # totals (same exchange, reused), and the totals need no second exchange.
+        d = d.repartition(_SK, _CHUNK)
     w_local = (Window.partitionBy(_SK, _CHUNK).orderBy(*_cols([ts, *tiebreak]))
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    d = d.withColumn("_local", F.sum("_v").over(w_local))
     totals = d.groupBy(_SK, _CHUNK).agg(F.sum("_v").alias("_tot"))
+    d = d.withColumn("_local", F.sum("_v").over(w_local))
     w_prev = Window.partitionBy(_SK).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(_SK, _CHUNK, F.coalesce(F.sum("_tot").over(w_prev), F.lit(0)).alias("_off"))
     res = d.join(offsets, [_SK, _CHUNK], "left")
