@@ -88,14 +88,17 @@ def previous_values(df: DataFrame, series: Sequence[str], ts: str, tiebreak: Seq
                     chunk_seconds: int = DEFAULT_CHUNK_SECONDS, keep_keys: bool = False) -> DataFrame:
     """``lag(c) over (partition by series order by ts, *tiebreak)`` for each
     column, chunk-parallel. Adds ``prefix + c`` columns (NULL for a series' first row)."""
+    fresh = _SK not in df.columns or _CHUNK not in df.columns
     d = _keyed(df, series, ts, chunk_seconds)
+    if fresh:
+        d = d.repartition(_SK, _CHUNK)  # one shuffle for the window and the per-chunk last row
     order = _cols([ts, *tiebreak])
+    packed = F.struct(*[F.col(c).alias(c) for c in columns])
+    last = d.groupBy(_SK, _CHUNK).agg(F.max_by(packed, F.struct(*order)).alias("_last"))
     w_local = Window.partitionBy(_SK, _CHUNK).orderBy(*order)
     d = d.withColumn("_first", F.lag(F.lit(1)).over(w_local).isNull())
     for c in columns:
         d = d.withColumn(f"_lag_{c}", F.lag(F.col(c)).over(w_local))
-    packed = F.struct(*[F.col(c).alias(c) for c in columns])
-    last = d.groupBy(_SK, _CHUNK).agg(F.max_by(packed, F.struct(*order)).alias("_last"))
     w_chunks = Window.partitionBy(_SK).orderBy(_CHUNK)
     prev_last = last.select(_SK, _CHUNK, F.lag("_last").over(w_chunks).alias("_prev_last"))
     res = d.join(prev_last, [_SK, _CHUNK], "left")
