@@ -97,3 +97,11 @@ def test_store_keeps_bounded_markers(spark):
     assert [n for n in names if n.endswith(".json") and not n.startswith("_")] == [f"{3:020d}.json", f"{4:020d}.json"]
     assert store.latest_commit() == {"batch_id": 4, "tables": {"t": 4}}
     assert store.is_committed(0) and not store.is_committed(5)
+
+
+def test_enrich_line_edge_cases(spark):
+    import json
+    from skyroll.sources.kafka import enrich_line
+    df = spark.createDataFrame([("{}", 'a"b'), ('  {"x": 1}  ', None)], "line string, st string")
+    out = [json.loads(r[0]) for r in df.select(enrich_line(F.col("line"), {"station": F.col("st")})).collect()]
+    assert out == [{"station": 'a"b'}, {"x": 1, "station": None}]
