@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from skyroll.llm.quality import op7_quality
 from skyroll.llm.shard import OP3_SQL, op3_sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_sharding": op3_sharding,
+    "op7_quality": op7_quality,
 }
 
 SQL: dict[str, str] = {
