@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from skyroll.llm.packing import op8_packing
 from skyroll.llm.quality import op7_quality
 from skyroll.llm.shard import OP3_SQL, op3_sharding
+from skyroll.llm.tokens import op5_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_sharding": op3_sharding,
+    "op5_token_counts": op5_token_counts,
     "op7_quality": op7_quality,
+    "op8_packing": op8_packing,
 }
 
 SQL: dict[str, str] = {
