@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from skyroll.llm.packing import op8_packing
+from skyroll.llm.pages import op9_main_text
 from skyroll.llm.quality import op7_quality
 from skyroll.llm.shard import OP3_SQL, op3_sharding
 from skyroll.llm.tokens import op5_token_counts
@@ -16,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_token_counts": op5_token_counts,
     "op7_quality": op7_quality,
     "op8_packing": op8_packing,
+    "op9_main_text": op9_main_text,
 }
 
 SQL: dict[str, str] = {
