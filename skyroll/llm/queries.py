@@ -10,9 +10,11 @@ from skyroll.llm.packing import op8_packing
 from skyroll.llm.pages import op9_main_text
 from skyroll.llm.quality import op7_quality
 from skyroll.llm.shard import OP3_SQL, op3_sharding
+from skyroll.llm.substrings import OP1_SQL, op1_substrings
 from skyroll.llm.tokens import op5_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substrings": op1_substrings,
     "op3_sharding": op3_sharding,
     "op5_token_counts": op5_token_counts,
     "op7_quality": op7_quality,
@@ -21,5 +23,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 SQL: dict[str, str] = {
+    "op1_substrings": OP1_SQL,
     "op3_sharding": OP3_SQL,
 }
