@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from skyroll.llm.lines import op10_lines
 from skyroll.llm.packing import op8_packing
 from skyroll.llm.pages import op9_main_text
 from skyroll.llm.quality import op7_quality
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_quality": op7_quality,
     "op8_packing": op8_packing,
     "op9_main_text": op9_main_text,
+    "op10_lines": op10_lines,
 }
 
 SQL: dict[str, str] = {
