@@ -10,8 +10,12 @@ pieces of a length take those places by their gapless rank.
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
+from pathlib import Path
 from typing import NamedTuple
 
 import numpy as np
@@ -28,12 +32,39 @@ REMEMBERED = 400_000
 NULL_KEY = -(2**63)
 
 
+#: Fixed value: how the byte-level tokenizer of the file cuts a text before it merges bytes.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: White space other than a space or newline.
+OTHER_SPACE = re.compile(r"[^\S \n]")
+
+
+def byte_ranks(path: str) -> tuple[dict[bytes, int], list[str]] | None:
+    """Vocabulary of a byte-level BPE file as bytes with ranks, and its added tokens.
+
+    None if the file is of another kind, or its merges aren't in the order of
+    their ids, which ranks stand for.
+    """
+    spec = json.loads(Path(path).read_text())
+    model, pre = spec["model"], spec.get("pre_tokenizer") or {}
+    if model["type"] != "BPE" or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or not pre.get("use_regex", True) or spec.get("normalizer"):
+        return None
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in printable]
+    byte_of = {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
+    added = [t["content"] for t in spec.get("added_tokens", [])]
+    ranks = {bytes(byte_of[c] for c in token): i for token, i in model["vocab"].items() if token not in added}
+    merged = [model["vocab"]["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
+    return (ranks, added) if merged == sorted(merged) else None
+
+
 class Ids(dict):
     """Ids, as bytes, of each chunk of text after a space, filled as chunks come.
 
     The pre-tokenizer never joins a word to the space after it, so a text whose
     spaces all stand alone between other characters falls into chunks that can
-    be tokenized apart; any other text is tokenized whole.
+    be tokenized apart; any other text is tokenized whole. A byte-level BPE file
+    is read as ranks, which give the same ids sooner; texts with an added token
+    and other kinds of file go through the file's own tokenizer.
     """
 
     def __init__(self, path: str):
@@ -41,9 +72,17 @@ class Ids(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        self.ranks, self.added = None, []
+        if found := byte_ranks(path):
+            import tiktoken
+
+            ranks, self.added = found
+            self.ranks = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        if self.ranks and not any(t in text for t in self.added):
+            return array("I", self.ranks.encode_ordinary(text)).tobytes()
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def __missing__(self, chunk: str) -> bytes:
         self[chunk] = out = self.encode(" " + chunk)
@@ -52,9 +91,9 @@ class Ids(dict):
     def of(self, text: str) -> bytes:
         if len(self) > REMEMBERED:
             self.clear()
-        chunks = text.split(" ")
-        if any(not c or c[0].isspace() or c[-1].isspace() for c in chunks):
+        if not text or text[0] == " " or text[-1] == " " or any(x in text for x in ("  ", " \n", "\n ")) or OTHER_SPACE.search(text):
             return self.encode(text)
+        chunks = text.split(" ")
         return self.encode(chunks[0]) + b"".join(map(self.__getitem__, chunks[1:]))
 
 
