@@ -219,11 +219,10 @@ def concentrated(rows: DataFrame, keys: list[str]) -> DataFrame:
     fit = checkpointed(start(rows, keys))
     binned = F.floor(F.log2(F.col("_d") + 1e-9) * BINS).cast("int")
     for _ in range(STEPS):
-        placed = join_small(rows, fit.drop("_n"), keys, "inner") if keys else rows.crossJoin(F.broadcast(fit.drop("_n")))
+        placed = join_small(rows, fit.drop("_n"), keys, "inner")
         placed = placed.select(*rows.columns, distance().alias("_d")).withColumn("_bin", binned)
         reach = checkpointed(nearest(placed, keys))
-        near = join_small(placed, reach, keys, "inner") if keys else placed.crossJoin(F.broadcast(reach))
-        near = near.where("_bin <= _reach")
+        near = join_small(placed, reach, keys, "inner").where("_bin <= _reach")
         # the nearest three quarters of a normal cloud in five dimensions have about 0.63 of its covariance
         fit = checkpointed(estimates(moments(near, keys), keys, 1 / 0.63))
     return fit
@@ -243,16 +242,16 @@ def judge(df: DataFrame, carry: list[str], text: str = "text", lang: str = "lang
     prepared = df.select(*carry, F.col(lang).cast("string").alias("_lang"), F.col(source).cast("string").alias("_source"), F.col(text).alias("_text"))
     rows = statistics(prepared, [*carry, *keys], "_text")
     failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT)
-    rows = checkpointed(rows.select("*", failed.alias("base_failed"), *vectors()))
-    good = rows.where("not base_failed").select(*keys, *[f"x{i}" for i in range(DIMS)])
+    rows = checkpointed(rows.select("*", failed.alias("base_failed"), F.lit(1).alias("_all"), *vectors()))
+    good = rows.where("not base_failed").select(*keys, "_all", *[f"x{i}" for i in range(DIMS)])
     sizes = checkpointed(good.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")))
     total = sizes.agg(F.sum("_rows")).first()[0] or 0
     result = [*carry, *NAMES, "base_failed"]
     if total < MIN_ROWS:
         return rows.select(*result, (~F.col("base_failed")).alias("kept"), F.lit(None).cast("double").alias("distance"))
     large = sizes.where(F.col("_rows") >= MIN_ROWS)
-    own = concentrated(_only(good, large, keys), keys)
-    every = concentrated(good.drop(*keys), [])
+    own = concentrated(_only(good.drop("_all"), large, keys), keys)
+    every = concentrated(good.drop(*keys), ["_all"])
     params = [f"m{i}" for i in range(DIMS)] + [f"p{i}{j}" for i, j in PAIRS]
     joined = join_small(rows, own.select(*keys, *params), keys, "left")
     common = every.first()

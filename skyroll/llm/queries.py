@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from skyroll.llm.lines import op10_lines
+from skyroll.llm.near import op4_near_duplicates
 from skyroll.llm.packing import op8_packing
 from skyroll.llm.pages import op9_main_text
 from skyroll.llm.quality import op7_quality
@@ -17,6 +18,7 @@ from skyroll.llm.tokens import op5_token_counts
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substrings": op1_substrings,
     "op3_sharding": op3_sharding,
+    "op4_near_duplicates": op4_near_duplicates,
     "op5_token_counts": op5_token_counts,
     "op7_quality": op7_quality,
     "op8_packing": op8_packing,
