@@ -86,16 +86,18 @@ LEVELS = (12, 28, 44)
 
 
 def gapless_starts(
-    df: DataFrame, group: list[str], key: str, weight: str, out: str, tie: str | None = None, then: tuple[str, ...] = ()
+    df: DataFrame, group: list[str], key: str, sums: dict[str, str], tie: str | None = None, then: tuple[str, ...] = ()
 ) -> DataFrame:
-    """Add ``out``: the sum of ``weight`` over the rows of the group that come before, by (key, tie).
+    """Add columns: for each out, weight of ``sums`` the sum of weight over the rows of the group that come before.
 
-    ``key`` is a non-null long. Ranks come from a radix tree over the key's
+    Rows are in order of (key, tie); groups must not be null.
+
+    ``key`` is a non-null long. Sums come from a radix tree over the key's
     bits: each level sums its children and runs a window over at most 2^20 of
     them, so no window ever holds a whole group, whatever the group's size.
     ``tie`` is a non-null long below 2^32 that orders rows of one key, with
     levels of its own, and ``then`` orders the few rows that are equal in both.
-    ``df`` is read twice: give it checkpointed.
+    ``df`` is read twice: give it checkpointed unless that is cheap.
     """
     chain: list[list[Column]] = []
     if tie:
@@ -104,22 +106,25 @@ def gapless_starts(
     names = [[f"_p{i}_{j}" for j in range(len(cols))] for i, cols in enumerate(chain)]
     marked = df.withColumns({n: c for ns, cs in zip(names, chain, strict=True) for n, c in zip(ns, cs, strict=True)})
 
-    def before(level: int, order: list[str]) -> Column:
+    def before(level: int, order: list[str], weight: str) -> Column:
         w = Window.partitionBy(*group, *names[level]).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
         return F.coalesce(F.sum(weight).over(w), F.lit(0)).cast("long")
 
-    rows = marked.withColumn(out, before(0, [tie, *then] if tie else [key, *then]))
-    sums = marked
+    own = [tie, *then] if tie else [key, *then]
+    rows = marked.select("*", *[before(0, own, w).alias(out) for out, w in sums.items()])
+    totals = marked.select("*", *[F.col(w).cast("long").alias(f"_w_{out}") for out, w in sums.items()])
     offsets = None
     for i in range(len(chain) - 1):
         coarser = [n for ns in names[i + 1 :] for n in ns]
-        sums = sums.groupBy(*group, *names[i], *[n for n in coarser if n not in names[i]]).agg(F.sum(weight).alias(weight))
-        here = sums.withColumn(f"_o{i}", before(i + 1, names[i]))
+        keys = list(dict.fromkeys([*group, *names[i], *coarser]))
+        totals = totals.groupBy(*keys).agg(*[F.sum(f"_w_{out}").alias(f"_w_{out}") for out in sums])
+        here = totals.select("*", *[before(i + 1, names[i], f"_w_{out}").alias(f"_o{i}_{out}") for out in sums])
         if offsets is None:
-            offsets = here.drop(weight)
+            offsets = here.drop(*[f"_w_{out}" for out in sums])
         else:
-            offsets = offsets.join(here.select(*group, *names[i], f"_o{i}"), [*group, *names[i]])
-    total = sum((F.col(f"_o{i}") for i in range(1, len(chain) - 1)), F.col("_o0"))
-    offsets = offsets.select(*group, *names[0], total.alias("_offset"))
-    back = rows.join(offsets, [*group, *names[0]]).withColumn(out, F.col(out) + F.col("_offset"))
-    return back.select(*df.columns, out)
+            offsets = offsets.join(here.select(*group, *names[i], *[f"_o{i}_{out}" for out in sums]), [*group, *names[i]])
+    levels = range(1, len(chain) - 1)
+    offset = lambda out: sum((F.col(f"_o{i}_{out}") for i in levels), F.col(f"_o0_{out}"))
+    offsets = offsets.select(*group, *names[0], *[offset(out).alias(f"_offset_{out}") for out in sums])
+    back = rows.join(offsets, [*group, *names[0]])
+    return back.select(*df.columns, *[(F.col(out) + F.col(f"_offset_{out}")).alias(out) for out in sums])

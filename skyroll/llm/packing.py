@@ -211,7 +211,7 @@ def pack(df: DataFrame, path: str, key: str = "doc_id", text: str = "text", capa
     cuts = checkpointed(pieces(df, path, key, text, capacity).withColumn("_order", F.coalesce("_key", F.lit(NULL_KEY))).withColumn("_one", F.lit(1)))
     histogram = {r["length"]: r["n"] for r in cuts.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # capacity rows at most
     runs = places(plan(histogram, capacity))
-    ranked = gapless_starts(cuts, ["length"], "_order", "_one", "_rank", tie="ids_crc32", then=("piece",))
+    ranked = gapless_starts(cuts, ["length"], "_order", {"_rank": "_one"}, tie="ids_crc32", then=("piece",))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

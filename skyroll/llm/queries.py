@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from skyroll.llm.chat import OP2_SQL, op2_chat
+from skyroll.llm.contamination import OP6_SQL, op6_decontamination
 from skyroll.llm.lines import op10_lines
 from skyroll.llm.near import op4_near_duplicates
 from skyroll.llm.packing import op8_packing
@@ -17,9 +19,11 @@ from skyroll.llm.tokens import op5_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substrings": op1_substrings,
+    "op2_chat": op2_chat,
     "op3_sharding": op3_sharding,
     "op4_near_duplicates": op4_near_duplicates,
     "op5_token_counts": op5_token_counts,
+    "op6_decontamination": op6_decontamination,
     "op7_quality": op7_quality,
     "op8_packing": op8_packing,
     "op9_main_text": op9_main_text,
@@ -28,5 +32,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 SQL: dict[str, str] = {
     "op1_substrings": OP1_SQL,
+    "op2_chat": OP2_SQL,
     "op3_sharding": OP3_SQL,
+    "op6_decontamination": OP6_SQL,
 }

@@ -65,7 +65,7 @@ def assign_shards(df: DataFrame, n_shards: int, key: str = "doc_id", text: str =
         shard_of(F.col("_key"), n_shards).cast("int").alias("shard"),
         shard_of(F.col("_key"), n_shards + 1).cast("int").alias("grown_shard"),
     )
-    started = gapless_starts(checkpointed(placed), ["shard"], "_order", "_n", "_start", tie="text_crc32", then=("size",))
+    started = gapless_starts(checkpointed(placed), ["shard"], "_order", {"_start": "_n"}, tie="text_crc32", then=("size",))
     zero = F.lit(0).cast("long")
     pieces = started.withColumn("_from", F.explode(F.sequence(zero, F.col("_n") - 1, F.lit(PIECE).cast("long"))))
     most = F.least(F.col("_n"), F.col("_from") + PIECE) - 1
