@@ -135,6 +135,15 @@ def decontaminate(
     )
 
 
+def clean(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", size: int = WINDOW) -> DataFrame:
+    """The rows of ``docs``, unchanged, in which no window of an item occurs."""
+    names = [f"_in{i}" for i in range(len(docs.columns))]
+    of = dict(zip(docs.columns, names, strict=True))
+    rows = identified(docs.toDF(*names), of[key], of[text], tuple(names))
+    kept = matches(rows, items, item, item_text, size).where(F.size("found") == 0)
+    return kept.select(*[F.col(n).alias(c) for c, n in of.items()])
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents against all benchmark items."""
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("found")

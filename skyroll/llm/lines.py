@@ -342,6 +342,19 @@ def dedup_lines(df: DataFrame, percent: int = PERCENT, key: str = "doc_id", text
     return out.withColumnsRenamed({"_key": key, **dict(zip(names, more, strict=True))})
 
 
+def with_lines_removed(df: DataFrame, key: str = "doc_id", text: str = "text", length: str = "n_chars") -> DataFrame:
+    """All rows of ``df`` with the kept lines as their text, and its code points as ``length`` if there is that column."""
+    others = [c for c in df.columns if c not in (key, text)]
+    names = tuple(f"_in{i}" for i in range(len(others)))
+    marked = df.select(df[key].alias("_k"), df[text].alias("_t"), *[df[c].alias(n) for c, n in zip(others, names, strict=True)])
+    out = dedup_lines(marked, PERCENT, "_k", "_t", names)
+    of = dict(zip(others, names, strict=True))
+    value = {key: F.col("_k"), text: F.col("kept_text")} | {c: F.col(n) for c, n in of.items()}
+    if length in of:
+        value[length] = F.char_length("kept_text").cast(df.schema[length].dataType)
+    return out.select(*[value[c].alias(c) for c in df.columns])
+
+
 def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without lines similar to an earlier one; the kept text as its hash."""
     out = dedup_lines(table(spark, sf_dir, "documents"))

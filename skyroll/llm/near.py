@@ -311,6 +311,29 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     return out.select(F.col("_key").alias(key), F.col("class_key").alias("class_id"), "n_shingles", "kept")
 
 
+def without_near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``df``, unchanged, that near_duplicates() keeps; of rows equal in key and text one."""
+    plan = B.layout(df, text)
+    names = tuple(f"_in{i}" for i in range(len(df.columns)))
+    of = dict(zip(df.columns, names, strict=True))
+    dealt = _dealt(df.toDF(*names), plan, of[key], of[text], tuple(n for n in names if n != of[text]))
+    gone = near_classes(dealt, plan).where("not kept").select("block", "_id")
+
+    def remove(docs: pa.Table, answer: pa.Table) -> pa.Table:
+        ids = docs.column("_id").to_numpy()
+        stays = ~np.isin(ids, answer.column("_id").to_numpy())
+        again = np.ones(len(ids), dtype=bool)
+        again[np.unique(ids, return_index=True)[1]] = False
+        if again.any():
+            stays &= ~again | (Shingles(docs).n == 0)
+        columns = {n: docs.column("_text" if n == of[text] else n) for n in names}
+        return pa.table(columns).filter(pa.array(stays))
+
+    kinds = {n: "string" if n == of[text] else dealt.schema[n].dataType.simpleString() for n in names}
+    out = B.with_answers(dealt, gone, remove, ", ".join(f"{n} {k}" for n, k in kinds.items()))
+    return out.withColumnsRenamed({n: c for c, n in of.items()})
+
+
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of all documents."""
     return near_duplicates(table(spark, sf_dir, "documents"))

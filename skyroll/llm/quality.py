@@ -228,6 +228,43 @@ def concentrated(rows: DataFrame, keys: list[str]) -> DataFrame:
     return fit
 
 
+KEYS = ["_lang", "_source"]
+PARAMS = [f"m{i}" for i in range(DIMS)] + [f"p{i}{j}" for i, j in PAIRS]
+
+
+def measured(df: DataFrame, carry: list[str], text: str, lang: str, source: str) -> DataFrame:
+    """``carry`` columns, language and source, the counts, base_failed and the vectors of all texts."""
+    prepared = df.select(*carry, df[lang].cast("string").alias("_lang"), df[source].cast("string").alias("_source"), df[text].alias("_text"))
+    rows = statistics(prepared, [*carry, *KEYS], "_text")
+    failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT)
+    return rows.select("*", failed.alias("base_failed"), *vectors())
+
+
+def fit(rows: DataFrame) -> tuple[DataFrame, dict[str, float]] | None:
+    """Estimates of the (language, source) groups and the one of all documents, from measured rows.
+
+    None if too few rows pass the fixed rule. ``rows`` is read many times: give it checkpointed.
+    """
+    good = rows.where("not base_failed").select(*KEYS, F.col("base_failed").cast("int").alias("_all"), *[f"x{i}" for i in range(DIMS)])
+    sizes = checkpointed(good.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("_rows")))
+    if (sizes.agg(F.sum("_rows")).first()[0] or 0) < MIN_ROWS:
+        return None
+    large = sizes.where(F.col("_rows") >= MIN_ROWS)
+    own = concentrated(_only(good.drop("_all"), large, KEYS), KEYS)
+    return own.select(*KEYS, *PARAMS), concentrated(good.drop(*KEYS), ["_all"]).first().asDict()
+
+
+def verdict(rows: DataFrame, fitted: tuple[DataFrame, dict[str, float]] | None) -> DataFrame:
+    """Measured rows with kept and distance instead of the vectors."""
+    result = [c for c in rows.columns if c not in (*KEYS, *[f"x{i}" for i in range(DIMS)])]
+    if fitted is None:
+        return rows.select(*result, (~F.col("base_failed")).alias("kept"), F.lit(None).cast("double").alias("distance"))
+    own, common = fitted
+    filled = join_small(rows, own, KEYS, "left").withColumns({p: F.coalesce(p, F.lit(common[p])) for p in PARAMS})
+    kept = ~F.col("base_failed") & (F.col("distance") <= CUTOFF)
+    return filled.withColumn("distance", distance()).select(*result, kept.alias("kept"), "distance")
+
+
 def judge(df: DataFrame, carry: list[str], text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
     """One row per input row: ``carry``, the five counts, base_failed, kept, distance.
 
@@ -236,29 +273,20 @@ def judge(df: DataFrame, carry: list[str], text: str = "text", lang: str = "lang
     where even those are fewer than MIN_ROWS only the fixed rule speaks. Null
     languages and sources are groups of their own; null and empty texts have no
     words and fail the rule; repeated rows are judged alike; an empty table
-    gives no rows. The result is checkpointed statistics with the verdict.
+    gives no rows. Other columns are ignored.
     """
-    keys = ["_lang", "_source"]
-    prepared = df.select(*carry, F.col(lang).cast("string").alias("_lang"), F.col(source).cast("string").alias("_source"), F.col(text).alias("_text"))
-    rows = statistics(prepared, [*carry, *keys], "_text")
-    failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT)
-    rows = checkpointed(rows.select("*", failed.alias("base_failed"), F.lit(1).alias("_all"), *vectors()))
-    good = rows.where("not base_failed").select(*keys, "_all", *[f"x{i}" for i in range(DIMS)])
-    sizes = checkpointed(good.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")))
-    total = sizes.agg(F.sum("_rows")).first()[0] or 0
-    result = [*carry, *NAMES, "base_failed"]
-    if total < MIN_ROWS:
-        return rows.select(*result, (~F.col("base_failed")).alias("kept"), F.lit(None).cast("double").alias("distance"))
-    large = sizes.where(F.col("_rows") >= MIN_ROWS)
-    own = concentrated(_only(good.drop("_all"), large, keys), keys)
-    every = concentrated(good.drop(*keys), ["_all"])
-    params = [f"m{i}" for i in range(DIMS)] + [f"p{i}{j}" for i, j in PAIRS]
-    joined = join_small(rows, own.select(*keys, *params), keys, "left")
-    common = every.first()
-    filled = joined.withColumns({p: F.coalesce(p, F.lit(common[p])) for p in params})
-    measured = filled.withColumn("distance", distance())
-    kept = ~F.col("base_failed") & (F.col("distance") <= CUTOFF)
-    return measured.select(*result, kept.alias("kept"), "distance")
+    rows = checkpointed(measured(df, carry, text, lang, source))
+    return verdict(rows, fit(rows))
+
+
+def passing(df: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
+    """The rows of ``df`` that judge() keeps, unchanged; texts are counted twice rather than moved or stored."""
+    fitted = fit(checkpointed(measured(df, [], text, lang, source)))
+    names = [f"_in{i}" for i in range(len(df.columns))]
+    marked = df.toDF(*names)
+    of = dict(zip(df.columns, names, strict=True))
+    kept = verdict(measured(marked, names, of[text], of[lang], of[source]), fitted).where("kept")
+    return kept.select(*[F.col(n).alias(c) for c, n in of.items()])
 
 
 def _only(rows: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
