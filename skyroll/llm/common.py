@@ -69,7 +69,7 @@ def join_small(
     else:
         others = [c for c in big.columns if c not in keys] or keys
         spread = F.pmod(F.xxhash64(*[F.col(c).cast("string") for c in others]), F.lit(salts))
-        copies = renamed.withColumn("_salt2", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("long"))
+        copies = renamed.withColumn("_salt2", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
         out = big.withColumn("_salt", spread).join(copies, [*match, F.col("_salt") == F.col("_salt2")], how)
         out = out.drop("_salt", "_salt2")
     return out.drop(*[f"_k_{k}" for k in keys])
