@@ -74,6 +74,26 @@ def risen(data: bytes) -> np.ndarray:
     return np.cumsum(unpacked(data), dtype=np.uint64)
 
 
+def packed_keys(keys: np.ndarray) -> bytes:
+    """Like packed(), for any longs: as distances from the least, which comes first."""
+    least = keys.min() if len(keys) else np.int64(0)
+    return int(least).to_bytes(8, "little", signed=True) + packed(keys.view(np.uint64) - least.astype(np.int64).view(np.uint64))
+
+
+def unpacked_keys(data: bytes) -> np.ndarray:
+    least = np.frombuffer(data, np.uint64, 1)[0]
+    return (unpacked(data[8:]) + least).view(np.int64)
+
+
+def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values in order, and how often each comes."""
+    values = np.sort(values)
+    new = np.ones(len(values), dtype=bool)
+    new[1:] = values[1:] != values[:-1]
+    at = np.flatnonzero(new)
+    return values[at], np.diff(np.append(at, len(values)))
+
+
 def cut_keys(keys: np.ndarray, plan: Layout) -> np.ndarray:
     return keys >> np.uint64(64 - plan.bits)
 
@@ -90,7 +110,7 @@ def bucket_edges(cuts: np.ndarray, plan: Layout) -> np.ndarray:
 
 def distinct_cuts(keys: np.ndarray, plan: Layout) -> tuple[np.ndarray, np.ndarray]:
     """Distinct cut keys in order, and how often each comes."""
-    return np.unique(cut_keys(keys, plan), return_counts=True)
+    return distinct(cut_keys(keys, plan))
 
 
 KeysOf = Callable[[pa.Table], tuple[np.ndarray, np.ndarray]]

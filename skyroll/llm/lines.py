@@ -2,9 +2,11 @@
 
 A line is its set of words. Words are ordered by how rare they are in the whole
 corpus, and two lines can only reach the threshold if they share a word in
-their prefixes. Lines meet at these words; the length filter, the positional
-filter and a bound from 128-bit parity sketches of the sets leave few pairs,
-whose words are then compared. A line goes if an earlier line is similar enough.
+their prefixes. Lines meet at these words. The length filter, the positional
+filter and a bound from parity sketches of the sets first tell which postings
+have a partner at all; only those are sent whole, and only for the pairs that
+longer sketches leave are the words compared. A line goes if an earlier line is
+similar enough.
 
 Equal sets meet by their hash and are joined only once. A line needs a single
 similar earlier line, so each word's meeting place first names only the most
@@ -16,6 +18,7 @@ from __future__ import annotations
 
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,34 +35,35 @@ NULL_KEY = -(2**63)
 class Lines:
     """Lines of a block that have words: their places, distinct words and set hashes."""
 
-    def __init__(self, table: pa.Table):
+    def __init__(self, table: pa.Table, totals_of=None):
         in_word = space_class()
         w = split_words(table.column("_text"), in_word)
         self.keys = table.column("_key").fill_null(NULL_KEY).to_numpy().astype(np.int64)
+        newlines = np.concatenate(([0], np.cumsum(w.data == 10)))
         #: number of each text's first line, counting through the block
-        newlines = np.concatenate(([0], np.cumsum(w.data == 10)))[w.offsets]
-        self.first = newlines + np.arange(len(w.offsets))
-        doc = w.doc
-        number = np.concatenate(([0], np.cumsum(w.data == 10)))[w.starts] + doc  # of the word's line among all
-        hashes = hash_words(w, in_word)
-        self.words = hashes
-        n = len(hashes)
-        line_of, short = (np.unique(number, return_inverse=True) if n else (np.zeros(0, np.int64),) * 2)
-        order = np.argsort((short.astype(np.uint64) << np.uint64(40)) | (hashes >> np.uint64(24)), kind="stable")
-        line, tokens = short[order], hashes[order]
-        new = np.ones(n, dtype=bool)
-        new[1:] = (line[1:] != line[:-1]) | (tokens[1:] != tokens[:-1])
-        self.line, self.tokens = line[new], tokens[new]
-        self.at = np.searchsorted(self.line, np.arange(len(line_of) + 1))
+        self.first = newlines[w.offsets] + np.arange(len(w.offsets))
+        codes, vocabulary = pd.factorize(hash_words(w, in_word))
+        counts = np.bincount(codes, minlength=len(vocabulary))
+        totals = totals_of(vocabulary, counts) if totals_of else counts
+        order = np.lexsort((vocabulary, totals))
+        rank = np.empty(len(order), dtype=np.uint64)
+        rank[order] = np.arange(len(order), dtype=np.uint64)
+        #: numbers of the lines that have words
+        number = newlines[w.starts] + w.doc
+        new = np.ones(len(number), dtype=bool)
+        new[1:] = number[1:] != number[:-1]
+        lines = number[new]
+        both, _ = B.distinct((np.cumsum(new) - 1).astype(np.uint64) << np.uint64(32) | rank[codes])
+        words = order[(both & np.uint64(0xFFFFFFFF)).astype(np.int64)]
+        #: distinct words of all lines, line by line, the rarest first
+        self.tokens, self.totals = vocabulary[words], totals[words]
+        self.at = np.searchsorted(both >> np.uint64(32), np.arange(len(lines) + 1).astype(np.uint64))
         self.size = np.diff(self.at)
-        self.number = line_of
-        self.doc = np.searchsorted(self.first, line_of, side="right") - 1
-        self.key, self.place = self.keys[self.doc], line_of - self.first[self.doc]
-        if len(line_of):
-            self.one = mix(np.add.reduceat(mix(self.tokens), self.at[:-1]))
-            self.two = np.add.reduceat(mix(self.tokens ^ np.uint64(0x2545F4914F6CDD1D)), self.at[:-1])
-        else:
-            self.one = self.two = np.zeros(0, np.uint64)
+        self.doc = np.searchsorted(self.first, lines, side="right") - 1
+        self.key, self.place = self.keys[self.doc], lines - self.first[self.doc]
+        add = lambda x: np.add.reduceat(x, self.at[:-1]) if len(lines) else np.zeros(0, np.uint64)
+        self.one = mix(add(mix(self.tokens)))
+        self.two = add(mix(self.tokens ^ np.uint64(0x2545F4914F6CDD1D)))
         order = np.lexsort((self.place, self.key, self.two, self.one))
         new = np.ones(len(order), dtype=bool)
         new[1:] = (np.diff(self.one[order]) != 0) | (np.diff(self.two[order]) != 0)
@@ -68,25 +72,62 @@ class Lines:
         self.head = np.empty(len(order), dtype=np.int64)
         self.head[order] = self.sets[np.cumsum(new) - 1] if len(order) else order
 
-    def tokens_of(self, lines: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct words of these lines, one line after the other, and the number of the line in the list."""
+    def of(self, lines: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the words of these lines are, one line after the other, and the line's number in the list."""
         sizes = self.size[lines]
         owner = np.repeat(np.arange(len(lines)), sizes)
-        inside = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        return self.tokens[self.at[lines][owner] + inside], owner
+        return np.arange(len(owner)) + np.repeat(self.at[lines] - (np.cumsum(sizes) - sizes), sizes), owner
+
+    def sketches(self, lines: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Parity sketches of 128 bits: the sets of two lines differ in at least as many words as these in bits."""
+        if not len(lines):
+            return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        at, _ = self.of(lines)
+        tokens = self.tokens[at]
+        bit = np.uint64(1) << ((tokens >> np.uint64(8)) & np.uint64(63))
+        upper = (tokens >> np.uint64(14)) & np.uint64(1) == 1
+        starts = np.cumsum(self.size[lines]) - self.size[lines]
+        fold = lambda x: np.bitwise_xor.reduceat(x, starts)
+        return fold(np.where(upper, np.uint64(0), bit)), fold(np.where(upper, bit, np.uint64(0)))
+
+
+def shared_at_least(size_a: np.ndarray, size_b: np.ndarray, percent: int) -> np.ndarray:
+    """Words that two sets of these sizes must share for the threshold."""
+    return -(-percent * (size_a + size_b) // (100 + percent))
+
+
+def table_of(rows: list[dict], schema: pa.Schema) -> pa.Table:
+    return pa.table({n: pa.array([r.get(n) for r in rows], schema.field(n).type) for n in schema.names}, schema=schema)
 
 
-CELL = ("cut", "one", "two", "size", "pos", "low", "high", "key", "place")
-CELLS = pa.schema([("bucket", pa.int32()), ("block", pa.int32()), *((c, pa.binary()) for c in CELL)])
+def in_buckets(cuts: np.ndarray, plan: B.Layout) -> list[tuple[int, np.ndarray]]:
+    """Buckets that have any of the cut keys, and which in order of key."""
+    order = np.argsort(cuts, kind="stable")
+    edges = B.bucket_edges(cuts[order], plan)
+    return [(b, order[edges[b] : edges[b + 1]]) for b in np.flatnonzero(np.diff(edges)).tolist()]
 
 
 def set_bucket(one: np.ndarray, plan: B.Layout) -> np.ndarray:
     """Bucket of a set's hash; these come after the words' buckets."""
-    return (one >> np.uint64(32)) % np.uint64(plan.buckets) + np.uint64(plan.buckets)
+    return ((one >> np.uint64(32)) % np.uint64(plan.buckets)).astype(np.int64) + plan.buckets
 
 
-def cells(dealt: DataFrame, plan: B.Layout, percent: int) -> DataFrame:
-    """Packed rows for the words' buckets (prefix postings) and the sets' buckets (set hashes with places)."""
+def schema_of(*binary: str) -> pa.Schema:
+    return pa.schema([("bucket", pa.int32()), ("block", pa.int32()), *((c, pa.binary()) for c in binary)])
+
+
+FIRST = schema_of("cut", "number", "pos", "size", "sketch", "id")
+ALIVE = schema_of("number", "cut", "pos")
+FULL = schema_of("cut", "one", "two", "size", "pos", "low", "high", "key", "place", "lengths", "tokens")
+raw = lambda x: np.frombuffer(x, np.uint64)
+
+
+def ddl(schema: pa.Schema) -> str:
+    return ", ".join(f"{f.name} {'binary' if f.type == pa.binary() else 'int'}" for f in schema)
+
+
+def prefixes(dealt: DataFrame, plan: B.Layout, percent: int) -> DataFrame:
+    """FIRST rows: the prefix words of the sets of each block, with short sketches."""
 
     def counted(docs: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         in_word = space_class()
@@ -94,51 +135,107 @@ def cells(dealt: DataFrame, plan: B.Layout, percent: int) -> DataFrame:
 
     def send(docs: pa.Table, answer: pa.Table) -> pa.Table:
         if not docs.num_rows:
-            return pa.table({n: [] for n in CELLS.names}, schema=CELLS)
-        x = Lines(docs)
-        cuts, counts = B.distinct_cuts(x.words, plan)
-        totals = B.totals_of(cuts, counts, answer, plan)
-        sets = x.sets
-        tokens, owner = x.tokens_of(sets)
-        size = x.size[sets]
-        rarity = totals[np.searchsorted(cuts, B.cut_keys(tokens, plan))]
-        order = np.lexsort((tokens, rarity, owner))
-        pos = np.arange(len(order)) - (np.cumsum(size) - size)[owner]
+            return FIRST.empty_table()
+
+        def totals(vocabulary: np.ndarray, counts: np.ndarray) -> np.ndarray:
+            order = np.argsort(vocabulary)
+            cuts = B.cut_keys(vocabulary[order], plan)
+            new = np.ones(len(cuts), dtype=bool)
+            new[1:] = cuts[1:] != cuts[:-1]
+            summed = np.add.reduceat(counts[order], np.flatnonzero(new)) if len(cuts) else counts
+            out = np.empty(len(cuts), dtype=np.int64)
+            out[order] = B.totals_of(cuts[new], summed, answer, plan)[np.cumsum(new) - 1]
+            return out
+
+        x = Lines(docs, totals)
+        at, owner = x.of(x.sets)
+        size = x.size[x.sets]
+        pos = at - x.at[x.sets][owner]
         prefix = size - (percent * size + 99) // 100 + 1
-        # a line of n words can match one of other length only if n or n + 1 words reach the threshold
-        near = percent * (size + 1) <= 100 * size
-        posted = (pos < prefix[owner]) & near[owner] & (rarity[order] > 1)
-        who, what, pos = owner[posted], B.cut_keys(tokens[order][posted], plan), pos[posted]
-        bit = np.uint64(1) << ((tokens >> np.uint64(8)) & np.uint64(63))
-        upper = ((tokens >> np.uint64(14)) & np.uint64(1)).astype(bool)
-        starts = np.cumsum(size) - size
-        low = np.bitwise_xor.reduceat(np.where(upper, np.uint64(0), bit), starts) if len(sets) else np.zeros(0, np.uint64)
-        high = np.bitwise_xor.reduceat(np.where(upper, bit, np.uint64(0)), starts) if len(sets) else np.zeros(0, np.uint64)
-        out: dict[str, list] = {n: [] for n in CELLS.names}
+        # a set of n words can be similar to an unequal one only if n of n + 1 words reach the threshold
+        posted = np.flatnonzero((pos < prefix[owner]) & (percent * (size + 1) <= 100 * size)[owner] & (x.totals[at] > 1))
+        cut, who, pos = B.cut_keys(x.tokens[at[posted]], plan), owner[posted], pos[posted]
+        low, high = x.sketches(x.sets)
+        sketch, ids = low ^ high, (x.one[x.sets] & np.uint64(0xFFFFFFFF)).astype("<u4")
         block = docs.column("block")[0].as_py()
+        rows = [
+            {"bucket": b, "block": block, "cut": B.rising(cut[i]), "number": B.packed(who[i]), "pos": B.packed(pos[i])}
+            | {"size": B.packed(size[who[i]]), "sketch": sketch[who[i]].tobytes(), "id": ids[who[i]].tobytes()}
+            for b, i in in_buckets(cut, plan)
+        ]
+        return table_of(rows, FIRST)
 
-        def row(bucket: int, chosen: np.ndarray, **packed: bytes) -> None:
-            full = {"one": x.one[sets[chosen]].tobytes(), "key": x.key[sets[chosen]].tobytes(), "place": B.packed(x.place[sets[chosen]])}
-            full |= packed
-            for n in CELLS.names:
-                out[n].append({"bucket": bucket, "block": block}.get(n) if n in ("bucket", "block") else full.get(n, b""))
+    return B.with_answers(dealt, B.answers(dealt, plan, counted), send, ddl(FIRST))
 
-        order = np.argsort(what, kind="stable")
-        edges = B.bucket_edges(what[order], plan)
-        for b in np.flatnonzero(np.diff(edges)).tolist():
-            at = order[edges[b] : edges[b + 1]]
-            s = who[at]
-            row(b, s, cut=B.rising(what[at]), size=B.packed(size[s]), pos=B.packed(pos[at]), low=low[s].tobytes(), high=high[s].tobytes())
-        to = set_bucket(x.one[sets], plan)
+
+def alive(first: DataFrame, percent: int) -> DataFrame:
+    """ALIVE rows: postings that the filters leave at least one partner."""
+
+    def meet(sent: pa.Table) -> pa.Table:
+        col = {c: sent.column(c).to_pylist() for c in sent.column_names}
+        cuts = [B.risen(c) for c in col["cut"]]
+        cut = np.concatenate(cuts)
+        number, pos, size = (np.concatenate([B.unpacked(x) for x in col[c]]).astype(np.int64) for c in ("number", "pos", "size"))
+        sketch, ids = np.concatenate([raw(x) for x in col["sketch"]]), np.concatenate([np.frombuffer(x, "<u4") for x in col["id"]])
+        order = np.lexsort((sketch, ids, size, cut))
+        c, s, k, i_ = cut[order], size[order], sketch[order], ids[order]
+        new = np.ones(len(order), dtype=bool)  # copies of a set count once
+        new[1:] = (c[1:] != c[:-1]) | (s[1:] != s[:-1]) | (i_[1:] != i_[:-1]) | (k[1:] != k[:-1])
+        c, s, k, p = c[new], s[new], k[new], pos[order][new]
+        found = np.zeros(len(c), dtype=bool)
+        i, d = np.arange(len(c)), 0
+        while len(i):
+            d += 1
+            i = i[i + d < len(c)]
+            i = i[(c[i] == c[i + d]) & (percent * s[i + d] <= 100 * s[i])]
+            j = i + d
+            need = shared_at_least(s[i], s[j], percent)
+            ok = (s[i] + s[j] - np.bitwise_count(k[i] ^ k[j])) // 2 >= need
+            ok &= np.minimum(p[i], p[j]) + np.minimum(s[i] - p[i], s[j] - p[j]) >= need
+            found[i[ok]] = found[j[ok]] = True
+        lives = np.empty(len(order), dtype=bool)
+        lives[order] = found[np.cumsum(new) - 1]
+        ends = np.cumsum([len(x) for x in cuts])
+        rows = []
+        for block, n, end in zip(col["block"], map(len, cuts), ends, strict=True):
+            at = np.flatnonzero(lives[end - n : end]) + end - n
+            if len(at):
+                rows.append({"bucket": sent.column("bucket")[0].as_py(), "block": block, "number": B.packed(number[at]), "cut": B.rising(cut[at]), "pos": B.packed(pos[at])})
+        return table_of(rows, ALIVE)
+
+    return first.groupBy("bucket").applyInArrow(meet, ddl(ALIVE))
+
+
+def cells(dealt: DataFrame, plan: B.Layout, percent: int) -> DataFrame:
+    """FULL rows: in the words' buckets the postings that live, in the sets' buckets all sets, with the words of those."""
+
+    def send(docs: pa.Table, answer: pa.Table) -> pa.Table:
+        if not docs.num_rows:
+            return FULL.empty_table()
+        x = Lines(docs)
+        sets, size = x.sets, x.size[x.sets]
+        low, high = x.sketches(sets)
+        one, key, place = x.one[sets], x.key[sets], x.place[sets]
+        lives = np.zeros(len(sets), dtype=bool)
+        block = docs.column("block")[0].as_py()
+        common = lambda i: {"block": block, "one": one[i].tobytes(), "key": B.packed_keys(key[i]), "place": B.packed(place[i])}
+        rows = []
+        for a in answer.to_pylist():
+            i = B.unpacked(a["number"]).astype(np.int64)
+            lives[i] = True
+            more = {"bucket": a["bucket"], "cut": a["cut"], "pos": a["pos"], "size": B.packed(size[i]), "low": low[i].tobytes(), "high": high[i].tobytes()}
+            rows.append(common(i) | more)
+        to = set_bucket(one, plan)
         order = np.argsort(to, kind="stable")
-        edges = np.searchsorted(to[order], np.arange(plan.buckets, 2 * plan.buckets + 1).astype(np.uint64))
+        edges = np.searchsorted(to[order], np.arange(plan.buckets, 2 * plan.buckets + 1))
         for b in np.flatnonzero(np.diff(edges)).tolist():
-            at = order[edges[b] : edges[b + 1]]
-            row(plan.buckets + b, at, two=x.two[sets[at]].tobytes())
-        return pa.table(out, schema=CELLS)
+            i = order[edges[b] : edges[b + 1]]
+            at, _ = x.of(sets[i[lives[i]]])
+            more = {"bucket": plan.buckets + b, "two": x.two[sets[i]].tobytes(), "lengths": B.packed(size[i] * lives[i]), "tokens": x.tokens[at].tobytes()}
+            rows.append(common(i) | more)
+        return table_of(rows, FULL)
 
-    schema = "bucket int, block int, " + ", ".join(f"{c} binary" for c in CELL)
-    return B.with_answers(dealt, B.answers(dealt, plan, counted), send, schema)
+    return B.with_answers(dealt, alive(prefixes(dealt, plan, percent), percent), send, ddl(FULL))
 
 
 class Postings:
@@ -146,71 +243,56 @@ class Postings:
 
     def __init__(self, sent: pa.Table):
         col = {c: sent.column(c).to_pylist() for c in sent.column_names}
-        cut = [B.risen(x) for x in col["cut"]]
         join = lambda c, f: np.concatenate([f(x) for x in col[c]])
-        raw = lambda x: np.frombuffer(x, np.uint64)
-        block = np.repeat(np.array(col["block"], dtype=np.int64), [len(c) for c in cut])
-        cut_, one, key = np.concatenate(cut), join("one", raw), join("key", lambda x: np.frombuffer(x, np.int64))
+        cut, one, key = join("cut", B.risen), join("one", raw), join("key", B.unpacked_keys)
         size, pos, place = (join(c, B.unpacked).astype(np.int64) for c in ("size", "pos", "place"))
         low, high = join("low", raw), join("high", raw)
-        order = np.lexsort((place, key, one, cut_))
+        order = np.lexsort((place, key, one, cut))
         new = np.ones(len(order), dtype=bool)
-        new[1:] = (np.diff(cut_[order]) != 0) | (np.diff(one[order]) != 0)
+        new[1:] = (np.diff(cut[order]) != 0) | (np.diff(one[order]) != 0)
         first = order[new]
-        first = first[np.lexsort((one[first], size[first], cut_[first]))]
-        self.cut, self.one, self.key, self.place = cut_[first], one[first], key[first], place[first]
-        self.size, self.pos, self.low, self.high, self.block = size[first], pos[first], low[first], high[first], block[first]
+        first = first[np.lexsort((one[first], size[first], cut[first]))]
+        self.cut, self.one, self.key, self.place = cut[first], one[first], key[first], place[first]
+        self.size, self.pos, self.low, self.high = size[first], pos[first], low[first], high[first]
 
     def pairs(self, percent: int):
-        """Pairs (later, earlier, bound on the words they share) that pass all filters, in parts."""
-        n = len(self.cut)
-        i, d = np.arange(n), 0
+        """Pairs (later, earlier, how alike their sketches are) that pass all filters, in parts."""
+        i, d = np.arange(len(self.cut)), 0
         while len(i):
             d += 1
-            i = i[i + d < n]
+            i = i[i + d < len(self.cut)]
+            i = i[(self.cut[i] == self.cut[i + d]) & (percent * self.size[i + d] <= 100 * self.size[i])]
             j = i + d
-            alive = (self.cut[i] == self.cut[j]) & (percent * self.size[j] <= 100 * self.size[i])
-            i, j = i[alive], j[alive]
             total = self.size[i] + self.size[j]
-            need = -(-percent * total // (100 + percent))
-            rest = 1 + np.minimum(self.pos[i], self.pos[j]) + np.minimum(self.size[i] - self.pos[i], self.size[j] - self.pos[j]) - 1
+            need = shared_at_least(self.size[i], self.size[j], percent)
+            rest = np.minimum(self.pos[i], self.pos[j]) + np.minimum(self.size[i] - self.pos[i], self.size[j] - self.pos[j])
             differ = np.bitwise_count(self.low[i] ^ self.low[j]).astype(np.int64) + np.bitwise_count(self.high[i] ^ self.high[j])
             shared = (total - differ) // 2
-            ok = (rest >= need) & (shared >= need)
+            same = (self.key[i] == self.key[j]) & (self.place[i] == self.place[j])
+            ok = (rest >= need) & (shared >= need) & ~same
             a, b = i[ok], j[ok]
             swap = (self.key[a] < self.key[b]) | ((self.key[a] == self.key[b]) & (self.place[a] < self.place[b]))
-            same = (self.key[a] == self.key[b]) & (self.place[a] == self.place[b])
-            later, earlier = np.where(swap, b, a)[~same], np.where(swap, a, b)[~same]
-            yield later, earlier, (shared[ok] * 1000 // total[ok])[~same]
+            yield np.where(swap, b, a), np.where(swap, a, b), shared[ok] * 1000 // total[ok]
 
 
-PAIR = "bucket int, x long, x_block int, y long, y_block int, score long, more boolean"
+PAIR = pa.schema([("bucket", pa.int32()), ("x", pa.int64()), ("y", pa.int64()), ("score", pa.int64()), ("more", pa.bool_())])
+PAIRS = "bucket int, x long, y long, score long, more boolean"
+NAMED = pa.schema([("id", pa.int64()), ("tokens", pa.list_(pa.int64()))])
 
 
 def pair_table(p: Postings, bucket: int, x: np.ndarray, y: np.ndarray, score: np.ndarray, more: np.ndarray) -> pa.Table:
-    return pa.table(
-        {
-            "bucket": pa.array(np.full(len(x), bucket), pa.int32()),
-            "x": p.one[x].view(np.int64),
-            "x_block": pa.array(p.block[x], pa.int32()),
-            "y": p.one[y].view(np.int64),
-            "y_block": pa.array(p.block[y], pa.int32()),
-            "score": pa.array(score, pa.int64()),
-            "more": pa.array(more, pa.bool_()),
-        }
-    )
-
-
-def similar(posted: DataFrame, dealt: DataFrame, plan: B.Layout, percent: int) -> DataFrame:
-    """Column x: set hashes with a similar set that comes earlier."""
+    return pa.table([np.full(len(x), bucket, np.int32), p.one[x].view(np.int64), p.one[y].view(np.int64), score, more], schema=PAIR)
+
+
+def similar(posted: DataFrame, plan: B.Layout, percent: int) -> DataFrame:
+    """Columns x and bucket: set hashes with a similar set that comes earlier, and the bucket of that hash."""
 
     def most_similar(sent: pa.Table) -> pa.Table:
         bucket = sent.column("bucket")[0].as_py()
         if bucket >= plan.buckets:
-            return pa.table({n: pa.array([], t) for n, t in KINDS.items()})
+            return PAIR.empty_table()
         p = Postings(sent)
-        best = np.full(len(p.cut), -1, dtype=np.int64)
-        score, number = np.full(len(p.cut), -1, dtype=np.int64), np.zeros(len(p.cut), dtype=np.int64)
+        best, score, number = (np.full(len(p.cut), v, dtype=np.int64) for v in (-1, -1, 0))
         for later, earlier, close in p.pairs(percent):
             np.add.at(number, later, 1)
             order = np.lexsort((earlier, -close, later))
@@ -225,48 +307,49 @@ def similar(posted: DataFrame, dealt: DataFrame, plan: B.Layout, percent: int) -
 
     def all_others(sent: pa.Table, asked: pa.Table) -> pa.Table:
         if not asked.num_rows or not sent.num_rows:
-            return pa.table({n: pa.array([], t) for n, t in KINDS.items()})
-        bucket = asked.column("bucket")[0].as_py()
+            return PAIR.empty_table()
         p = Postings(sent)
         wanted = np.isin(p.one, asked.column("x").to_numpy().view(np.uint64))
         parts = [(later[wanted[later]], earlier[wanted[later]]) for later, earlier, _ in p.pairs(percent)]
-        x, y = (np.concatenate(c) if parts else np.zeros(0, np.int64) for c in zip(*parts, strict=True)) if parts else (np.zeros(0, np.int64),) * 2
-        return pair_table(p, bucket, x, y, np.zeros(len(x), np.int64), np.zeros(len(x), bool))
+        x, y = (np.concatenate([part[i] for part in parts] or [np.zeros(0, np.int64)]) for i in (0, 1))
+        return pair_table(p, asked.column("bucket")[0].as_py(), x, y, np.zeros(len(x), np.int64), np.zeros(len(x), bool))
 
-    def named(docs: pa.Table, asked: pa.Table) -> pa.Table:
-        none = pa.table({"id": pa.array([], pa.int64()), "tokens": pa.array([], pa.list_(pa.int64()))})
-        if not docs.num_rows or not asked.num_rows:
-            return none
-        x = Lines(docs)
-        sets = x.sets[np.isin(x.one[x.sets], asked.column("id").to_numpy().view(np.uint64))]
-        tokens, _ = x.tokens_of(sets)
-        offsets = np.concatenate(([0], np.cumsum(x.size[sets])))
-        lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(tokens.view(np.int64)))
-        return pa.table({"id": x.one[sets].view(np.int64), "tokens": lists})
+    def named(sent: pa.Table, asked: pa.Table) -> pa.Table:
+        if not asked.num_rows or not sent.num_rows:
+            return NAMED.empty_table()
+        wanted = set(asked.column("id").to_pylist())
+        out: dict[int, list[int]] = {}
+        for one, lengths, tokens in zip(*(sent.column(c).to_pylist() for c in ("one", "lengths", "tokens")), strict=True):
+            ids, sizes, words = raw(one).view(np.int64), B.unpacked(lengths).astype(np.int64), np.frombuffer(tokens, np.int64)
+            ends = np.cumsum(sizes)
+            for i in np.flatnonzero(sizes).tolist():
+                if (name := int(ids[i])) in wanted and name not in out:
+                    out[name] = words[ends[i] - sizes[i] : ends[i]].tolist()
+        return pa.table([pa.array(list(out), pa.int64()), pa.array(list(out.values()), pa.list_(pa.int64()))], schema=NAMED)
+
+    def to_bucket(name: str):
+        return (F.pmod(F.shiftrightunsigned(name, 32), F.lit(plan.buckets)) + plan.buckets).cast("int")
 
     def verified(pairs: DataFrame) -> DataFrame:
         """``pairs`` with ok: whether the words' Jaccard similarity reaches the threshold."""
-        ends = pairs.select(F.explode(F.array(F.struct(F.col("x").alias("id"), F.col("x_block").alias("block")), F.struct(F.col("y").alias("id"), F.col("y_block").alias("block")))).alias("e"))
-        asked = ends.select("e.id", "e.block").distinct()
-        words = B.with_answers(dealt, asked, named, "id long, tokens array<long>")
+        asked = pairs.select(F.explode(F.array("x", "y")).alias("id")).distinct().withColumn("bucket", to_bucket("id"))
+        words = posted.groupBy("bucket").cogroup(asked.groupBy("bucket")).applyInArrow(named, "id long, tokens array<long>")
         left = words.select(F.col("id").alias("x"), F.col("tokens").alias("_x"))
         right = words.select(F.col("id").alias("y"), F.col("tokens").alias("_y"))
         shared = F.size(F.array_intersect("_x", "_y"))
         ok = shared * (100 + percent) >= (F.size("_x") + F.size("_y")) * percent
         return pairs.join(left, "x").join(right, "y").select(*pairs.columns, ok.alias("ok"))
 
-    named_first = posted.groupBy("bucket").applyInArrow(most_similar, PAIR)
-    pick = F.max(F.struct("score", "y", "x_block", "y_block")).alias("_p")
-    firsts = named_first.groupBy("x").agg(pick, (F.max("more") | (F.min("y") != F.max("y"))).alias("more"))
-    firsts = verified(firsts.select("x", "more", "_p.y", "_p.x_block", "_p.y_block"))
+    nearest = posted.groupBy("bucket").applyInArrow(most_similar, PAIRS)
+    pick = F.max(F.struct("score", "y"))["y"].alias("_y")
+    firsts = nearest.groupBy("x").agg(pick, (F.max("more") | (F.min("y") != F.max("y"))).alias("more"))
+    firsts = verified(firsts.withColumnRenamed("_y", "y"))
     failed = firsts.where("not ok and more").select("x")
-    asked = named_first.select("bucket", "x").join(failed, "x", "left_semi")
-    others = posted.groupBy("bucket").cogroup(asked.groupBy("bucket")).applyInArrow(all_others, PAIR)
-    others = verified(others.groupBy("x", "y").agg(F.min("x_block").alias("x_block"), F.min("y_block").alias("y_block")))
-    return firsts.where("ok").select("x").union(others.where("ok").select("x")).distinct()
-
-
-KINDS = {"bucket": pa.int32(), "x": pa.int64(), "x_block": pa.int32(), "y": pa.int64(), "y_block": pa.int32(), "score": pa.int64(), "more": pa.bool_()}
+    asked = nearest.select("bucket", "x").join(failed, "x", "left_semi")
+    others = posted.groupBy("bucket").cogroup(asked.groupBy("bucket")).applyInArrow(all_others, PAIRS)
+    others = verified(others.select("x", "y").distinct())
+    found = firsts.where("ok").select("x").union(others.where("ok").select("x")).distinct()
+    return found.withColumn("bucket", to_bucket("x"))
 
 
 def dedup_lines(df: DataFrame, percent: int = PERCENT, key: str = "doc_id", text: str = "text", more: tuple[str, ...] = ()) -> DataFrame:
@@ -287,9 +370,7 @@ def dedup_lines(df: DataFrame, percent: int = PERCENT, key: str = "doc_id", text
     dealt = B.in_blocks(df.select(key, text, *[df[c].alias(n) for c, n in zip(more, names, strict=True)]), plan, key, text, names)
 
     posted = cells(dealt, plan, percent)
-    near = similar(posted, dealt, plan, percent)
-    bucket = F.pmod(F.shiftrightunsigned("x", 32), F.lit(plan.buckets)) + plan.buckets
-    told = near.select("x", bucket.cast("int").alias("bucket"))
+    told = similar(posted, plan, percent)
 
     def verdicts(sent: pa.Table, gone: pa.Table) -> pa.Table:
         """Sets of each block that go there: equal to an earlier one, or similar."""
@@ -298,7 +379,7 @@ def dedup_lines(df: DataFrame, percent: int = PERCENT, key: str = "doc_id", text
         col = {c: sent.column(c).to_pylist() for c in ("block", "one", "two", "key", "place")}
         parts = [np.frombuffer(x, np.uint64) for x in col["one"]]
         one, two = np.concatenate(parts), np.concatenate([np.frombuffer(x, np.uint64) for x in col["two"]])
-        key, place = np.concatenate([np.frombuffer(x, np.int64) for x in col["key"]]), np.concatenate([B.unpacked(x) for x in col["place"]])
+        key, place = np.concatenate([B.unpacked_keys(x) for x in col["key"]]), np.concatenate([B.unpacked(x) for x in col["place"]])
         order = np.lexsort((place, key, two, one))
         new = np.ones(len(order), dtype=bool)
         new[1:] = (np.diff(one[order]) != 0) | (np.diff(two[order]) != 0)
