@@ -18,13 +18,22 @@ from skyroll.schema import BIGINT_METRICS, DOUBLE_METRICS, LINE_JSON_SCHEMA, WEA
 
 REASON = "reject_reason"
 
-_PARSE_SCHEMA = T.StructType(LINE_JSON_SCHEMA.fields + [T.StructField("_corrupt_record", T.StringType())])
+# The line is parsed inside ``{"_o":[<line>],"_end":1}``: text after the object then either breaks the
+# wrapper or shows as a second element or key.
+_PARSE_SCHEMA = T.StructType([T.StructField("_o", T.ArrayType(LINE_JSON_SCHEMA)), T.StructField("_end", T.LongType()),
+                              T.StructField("_corrupt_record", T.StringType())])
 
 # Reject reasons.
 BLANK = "blank_line"
 MALFORMED = "malformed_json"
 BAD_DT = "bad_dt"
 NO_STATION = "no_station"
+BAD_NUMBER = "bad_number"
+
+
+def strip_space(text: Column) -> Column:
+    """Without white space of any kind at either end."""
+    return F.regexp_replace(text, r"^\s+|\s+$", "")
 
 
 def to_double(text: Column) -> Column:
@@ -48,25 +57,34 @@ def parse_lines(df: DataFrame, line_col: str = "line", default_station: str | No
     as missing. The stored hostname is ``node.hostname`` or the station.
     """
     keep = list(keep if keep is not None else [c for c in df.columns if c != line_col])
-    raw = F.trim(F.col(line_col))
+    raw = strip_space(F.col(line_col))
     # Parse once per line: the parsed struct comes out of a one-element
     # generator, so the optimizer cannot copy ``from_json`` into the pushed
     # reject filter or into each of the 30 field extractions.
-    # A malformed line or a JSON value that is not an object lands in
-    # ``_corrupt_record``, so one parser pass also classifies the line.
-    o = F.from_json(raw, _PARSE_SCHEMA, {"columnNameOfCorruptRecord": "_corrupt_record"})
-    pinned = F.inline(F.array(F.struct(raw.alias("_line"), o.alias("_o"))))
-    d = df.select(*keep, pinned)
+    # A malformed line lands in ``_corrupt_record`` and a value that is not an
+    # object becomes NULL, so one parser pass also classifies the line.
+    wrapped = F.concat(F.lit('{"_o":['), raw, F.lit('],"_end":1}'))
+    o = F.from_json(wrapped, _PARSE_SCHEMA, {"columnNameOfCorruptRecord": "_corrupt_record", "allowSingleQuotes": "false"})
+    pinned = F.inline(F.array(F.struct(raw.alias("_line"), o.alias("_p"))))
+    whole = (F.col("_p._corrupt_record").isNull() & (F.col("_p._end") == 1) & (F.size("_p._o") == 1)
+             & (~F.col("_line").contains("]") | (F.size(F.json_object_keys(F.concat(F.lit('{"_o":['), F.col("_line"), F.lit('],"_end":1}')))) == 2)))
+    d = df.select(*keep, pinned).select(*keep, "_line", F.when(whole, F.get("_p._o", F.lit(0))).alias("_o"))
     if default_station is not None:
         station = first_present("_o.node.hostname", default_station)
     else:
         station = first_present("_o.station", "_o.node.hostname")
     dt = parse_local_ts("_o.dt")
-    is_object = F.col("_o").isNotNull() & F.col("_o._corrupt_record").isNull()
+    is_object = F.col("_o").isNotNull()
+    numbers = [F.col(f"_o.{c}") for c in WEATHER_COLUMNS if c in DOUBLE_METRICS or c in BIGINT_METRICS]
+    numbers += [F.col("_o.node.uptime_seconds"), F.col("_o.node.millis")]
+    bad_number = F.lit(False)
+    for n in numbers:
+        bad_number = bad_number | (n.isNotNull() & n.try_cast("double").isNull())
     reason = (F.when((F.col("_line").isNull()) | (F.col("_line") == ""), F.lit(BLANK))
               .when(~is_object, F.lit(MALFORMED))
               .when(dt.isNull(), F.lit(BAD_DT))
-              .when(station.isNull(), F.lit(NO_STATION)))
+              .when(station.isNull(), F.lit(NO_STATION))
+              .when(bad_number, F.lit(BAD_NUMBER)))
     cols = []
     for c in WEATHER_COLUMNS:
         if c == "station":

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyroll.functions.text import event_key
+from skyroll.operators.parse import strip_space
 from skyroll.functions.time import iso_text
 
 
@@ -23,7 +24,7 @@ def enrich_line(line: Column, fields: dict[str, Column]) -> Column:
     """The original JSON object text with ``fields`` appended as its last keys.
     Readers that keep the last of duplicate keys (Python ``json``, Spark
     ``from_json``) see the new values, and every other field is forwarded as is."""
-    s = F.trim(line)
+    s = strip_space(line)
     add = [F.concat(F.lit(f'"{k}":'), _json_value(v)) for k, v in fields.items()]
     tail = F.concat_ws(",", *add)
     empty = s.rlike(r"^\{\s*\}$")
@@ -69,8 +70,3 @@ def assign_stream(spark: SparkSession, servers: str, assignment_json: str, start
     """Stream from explicit partitions and start offsets (``assign``)."""
     return (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
             .option("assign", assignment_json).option("startingOffsets", starting_json).load())
-
-
-def offsets_lag(end_offsets: DataFrame, committed: DataFrame) -> DataFrame:
-    """Join end offsets with committed offsets per (topic, partition)."""
-    return end_offsets.join(committed, ["topic", "partition"], "left")

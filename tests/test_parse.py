@@ -11,7 +11,7 @@ def _parse(spark, lines, **kw):
 
 def test_numbers_to_bigint_and_double(spark):
     lines = ['{"dt":"2024-07-01T00:00:00","station":"a","dir_avg_deg":12.5,"lux_avg_lx":13.5,"pres_avg_pa":"12",'
-             '"rain_inc_count":"x","temps_avg_f":"71.5","vel_avg_mph":3}']
+             '"rain_inc_count":null,"temps_avg_f":"71.5","vel_avg_mph":3}']
     r = good_rows(_parse(spark, lines)).collect()[0]
     assert (r.dir_avg_deg, r.lux_avg_lx, r.pres_avg_pa, r.rain_inc_count) == (12, 14, 12, None)
     assert (r.temps_avg_f, r.vel_avg_mph) == (71.5, 3.0)
@@ -40,3 +40,23 @@ def test_writer_side_station_defaults_to_dir(spark):
                                "station_dir string, line string")
     rows = good_rows(parse_lines(df, default_station="station_dir", keep=["station_dir"])).collect()
     assert sorted(r.station for r in rows) == ["h", "wx_a"]
+
+
+def test_strict_json_and_bad_numbers(spark):
+    good = '{"dt":"2024-07-01T00:00:00","station":"a"}'
+    lines = [good + "\t", "\t" + good + " \r", "\t", good + " x", good + "}", good + good, good + "," + good, good.replace('"', "'"),
+             good + '],"z":[{"b":1}', good[:-1] + ',"tags":["x]","y"]}', good[:-1] + ',"rain_inc_count":"x"}',
+             good[:-1] + ',"node":{"millis":"soon"}}', good[:-1] + ',"temps_avg_f":" 7 "}', "null", "[" + good + "]", None]
+    parsed = _parse(spark, lines)
+    rej = {r.arrival: r.reject_reason for r in reject_rows(parsed, keep=["arrival"]).collect()}
+    bad = "malformed_json"
+    assert rej == {2: "blank_line", 3: bad, 4: bad, 5: bad, 6: bad, 7: bad, 8: bad, 10: "bad_number", 11: "bad_number", 13: bad, 14: bad, 15: "blank_line"}
+
+
+def test_forwarded_line_has_no_space_left(spark):
+    from skyroll.sources.kafka import enrich_line
+    from pyspark.sql import functions as F
+    import json
+    df = spark.createDataFrame([('{"a":1}\t',), ("  {}\r\n",), ('\n{"a":"}"} ',)], "line string")
+    got = [json.loads(r[0]) for r in df.select(enrich_line(F.col("line"), {"station": F.lit("s")})).collect()]
+    assert got == [{"a": 1, "station": "s"}, {"station": "s"}, {"a": "}", "station": "s"}]
