@@ -16,9 +16,11 @@ different texts is lost.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyroll.llm import blocks as B
@@ -46,6 +48,8 @@ class Shingles:
         n_words = np.diff(w.first)
         every, owner = [], []
         for k in range(1, size + 1):
+            if k < size and not (n_words == k).any():
+                continue
             found = window_hashes(hashes, k) ^ np.uint64(k)
             at = np.arange(len(found))
             at = at[w.doc[at] == w.doc[at + k - 1]] if len(found) else at
@@ -132,8 +136,8 @@ def sketches(dealt: DataFrame, plan: B.Layout, documents: int) -> DataFrame:
             firsts.setdefault(i, d)
         chosen = np.array(sorted(firsts.values()), dtype=np.int64)
         vectors, signatures, bands = [None] * n, [None] * n, [None] * n
-        for s in range(0, len(chosen), 256):  # so many at a time, for memory
-            some = chosen[s : s + 256]
+        length = x.first[chosen + 1] - x.first[chosen]
+        for some in np.split(chosen, np.flatnonzero(np.diff(np.cumsum(length) >> 16)) + 1) if len(chosen) else []:  # about 65,536 shingles at a time
             sizes = x.first[some + 1] - x.first[some]
             first = np.concatenate(([0], np.cumsum(sizes)))
             at = np.repeat(x.first[some] - first[:-1], sizes) + np.arange(first[-1])
@@ -184,36 +188,26 @@ def _from_vector(data: bytes, documents: int) -> tuple[np.ndarray, np.ndarray]:
     return hashes, weight(counts.astype(np.float64), B.unpacked(data[at + 1 + width * n :]).astype(np.float64), documents)
 
 
-def similarity_udf(documents: int):
-    """Column function: exact weighted Jaccard similarity of two vectors."""
-
-    @F.pandas_udf("double")
-    def similarity(x, y):
-        import pandas as pd
-
-        out = []
-        for a, b in zip(x, y, strict=True):
-            (ha, wa), (hb, wb) = _from_vector(a, documents), _from_vector(b, documents)
-            _, i, j = np.intersect1d(ha, hb, assume_unique=True, return_indices=True)
-            shared = np.minimum(wa[i], wb[j]).sum()
-            out.append(shared / (wa.sum() + wb.sum() - shared))
-        return pd.Series(out, dtype=float)
+def similarity(a: bytes, b: bytes, documents: int) -> float:
+    """Exact weighted Jaccard similarity of two vectors."""
+    (ha, wa), (hb, wb) = _from_vector(a, documents), _from_vector(b, documents)
+    _, i, j = np.intersect1d(ha, hb, assume_unique=True, return_indices=True)
+    shared = np.minimum(wa[i], wb[j]).sum()
+    return float(shared / (wa.sum() + wb.sum() - shared))
 
-    return similarity
 
+def possible(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs (x, y) whose signatures agree often enough for the threshold, but for a chance of DEVIATIONS."""
+    signed = pairs.join(texts.select(F.col("cid").alias("x"), F.col("signature").alias("_x")), "x")
+    signed = signed.join(texts.select(F.col("cid").alias("y"), F.col("signature").alias("_y")), "y")
 
-def possible() -> Column:
-    """Whether two signatures agree often enough for the threshold, but for a chance of DEVIATIONS."""
-
-    @F.pandas_udf("boolean")
-    def agree(x, y):
-        import pandas as pd
-
-        a = np.frombuffer(b"".join(x), np.uint8).reshape(-1, SAMPLES)
-        b = np.frombuffer(b"".join(y), np.uint8).reshape(-1, SAMPLES)
-        return pd.Series((a == b).sum(axis=1) >= least_agreement())
+    def agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, SAMPLES) for i in (2, 3))
+                yield batch.select(["x", "y"]).filter(pa.array((a == b).sum(axis=1) >= least_agreement()))
 
-    return agree
+    return signed.select("x", "y", "_x", "_y").mapInArrow(agree, "x binary, y binary")
 
 
 def least_agreement() -> float:
@@ -224,7 +218,14 @@ def links(pairs: DataFrame, texts: DataFrame, documents: int) -> DataFrame:
     """Of pairs (x, y) of content ids those whose weighted Jaccard similarity reaches the threshold."""
     with_x = pairs.join(texts.select(F.col("cid").alias("x"), F.col("vector").alias("_x")), "x")
     with_y = with_x.join(texts.select(F.col("cid").alias("y"), F.col("vector").alias("_y")), "y")
-    return with_y.withColumn("similarity", similarity_udf(documents)("_x", "_y")).where(F.col("similarity") >= THRESHOLD - 1e-9).select("x", "y", "similarity")
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = [similarity(a.as_py(), b.as_py(), documents) for a, b in zip(batch.column(2), batch.column(3), strict=True)]
+            out = batch.select(["x", "y"]).append_column("similarity", pa.array(values, pa.float64()))
+            yield out.filter(pa.array([v >= THRESHOLD - 1e-9 for v in values], pa.bool_()))
+
+    return with_y.select("x", "y", "_x", "_y").mapInArrow(verify, "x binary, y binary, similarity double")
 
 
 def apart(entries: DataFrame) -> DataFrame:
@@ -265,9 +266,8 @@ def near_classes(dealt: DataFrame, plan: B.Layout) -> DataFrame:
     company = met.groupBy("cid").agg(F.sum("_n").alias("_company"))
     hubs = met.join(company, "cid").groupBy("band").agg(F.max(F.struct("_company", "cid"))["cid"].alias("y"))
     pairs = met.join(hubs, "band").where("cid <> y").select(F.col("cid").alias("x"), "y").distinct()
-    signed = pairs.join(texts.select(F.col("cid").alias("x"), F.col("signature").alias("_x")), "x")
-    signed = signed.join(texts.select(F.col("cid").alias("y"), F.col("signature").alias("_y")), "y")
-    first = checkpointed(links(signed.where(possible()("_x", "_y")).select("x", "y"), texts, documents))
+    # written in between, so that no task runs two Python workers
+    first = checkpointed(links(checkpointed(possible(pairs, texts)), texts, documents))
     joined = components(first, "x", "y")
     placed = met.join(joined.withColumnRenamed("node", "cid"), "cid", "left").select("cid", "band", F.coalesce("component", "cid").alias("component"))
     mixed = placed.groupBy("band").agg(F.min("component").alias("_a"), F.max("component").alias("_b")).where("_a <> _b").select("band")
