@@ -42,45 +42,58 @@ def _stations(lines: DataFrame, stations: DataFrame | None) -> DataFrame:
 
 
 def publish_cycle(spark: SparkSession, lines: DataFrame, ingest: TableStore, producer: TableStore,
-                  sink: Sink, run_id: int, stations: DataFrame | None = None) -> DataFrame:
+                  sink: Sink, run_id: int | None = None, stations: DataFrame | None = None) -> DataFrame:
     """One incremental producer cycle (R8). Returns the per-station summary;
-    a station without a resume point is reported, not published."""
+    a station without a resume point is reported, not published.
+
+    The rows are written to the producer store first; what is published, the
+    marks and the summary all come from that copy, so a mark never passes a row
+    that wasn't sent. A ``run_id`` that isn't newer than the last is refused."""
     apply_session_defaults(spark)
+    number = producer.begin(run_id, PRODUCER)
     marks = producer.read(PRODUCER, _producer_schema())
-    weather = I.read_weather(ingest).select("station", "dt")
-    resume = P.resume_points(_stations(lines, stations), marks, weather).persist()
-    try:
-        rows = P.incremental_rows(lines, resume, keep_line=True).persist()
-        try:
-            sink(publish_rows(rows))
-            newest = rows.groupBy(F.col("station_dir").alias("station")).agg(F.max("dt").alias("_n"))
-            new = (marks.join(newest, "station", "full_outer")
-                   .select("station", F.greatest("producer_latest_ts", "_n").alias("producer_latest_ts")))
-            producer.write_version(new, PRODUCER, run_id)
-            producer.commit(run_id, {PRODUCER: run_id})
-            return P.publish_summary(resume, rows).orderBy("station")
-        finally:
-            rows.unpersist()
-    finally:
-        resume.unpersist()
+    stored = ingest.read(I.LATEST, I._latest_schema()).select("station", "dt")
+    resume = P.resume_points(_stations(lines, stations), marks, stored)
+    resume = _staged(producer, resume, "resume", number)
+    rows = _staged(producer, P.incremental_rows(lines, resume, keep_line=True), "outgoing", number)
+    sink(publish_rows(_last_per_key(rows)))
+    newest = rows.groupBy(F.col("station_dir").alias("station")).agg(F.max("dt").alias("_n"))
+    new = (marks.join(newest, "station", "full_outer")
+           .select("station", F.greatest("producer_latest_ts", "_n").alias("producer_latest_ts")))
+    producer.write_version(new, PRODUCER, number)
+    producer.commit(number, {PRODUCER: number}, PRODUCER, run_id)
+    return P.publish_summary(resume, rows).orderBy("station")
+
+
+def _staged(store: TableStore, df: DataFrame, name: str, number: int) -> DataFrame:
+    """``df`` as written under this run's number; growing source files no longer change it."""
+    path = store.write_version(df, f"_staged_{name}", number)
+    return store.spark.read.schema(df.schema).parquet(path)
+
+
+def _last_per_key(rows: DataFrame) -> DataFrame:
+    """The last row of each message key: a sink gives no order across its tasks."""
+    return U.latest_wins(rows, ["station", "dt"], ["arrival"]) if "arrival" in rows.columns else rows
 
 
 def backfill_cycle(spark: SparkSession, lines: DataFrame, ingest: TableStore, reconcile: TableStore,
-                   sink: Sink, run_id: int, reconciled_at=None,
+                   sink: Sink, run_id: int | None = None, reconciled_at=None,
                    lookback_days: int = RECONCILIATION_LOOKBACK_DAYS) -> DataFrame:
     """Backfill / reconcile (R9 + U5): publish the repair window of every
     station that is behind its source, then record source and database marks
-    with the computed status. Returns the reconcile marks."""
+    with the computed status. Returns the reconcile marks. The newest stored
+    reading of a station is its row of the latest table."""
     apply_session_defaults(spark)
-    stored = P.table_max(I.read_weather(ingest).select("station", "dt"))
+    number = reconcile.begin(run_id, RECONCILE)
+    stored = P.table_max(ingest.read(I.LATEST, I._latest_schema()).select("station", "dt"))
     src = P.source_latest(lines)
-    rows = P.backfill_rows(lines, stored, src, lookback_days, keep_line=True)
-    sink(publish_rows(rows, {"ingestion_mode": F.lit(BACKFILL_MODE)}))
+    rows = _staged(reconcile, P.backfill_rows(lines, stored, src, lookback_days, keep_line=True), "outgoing", number)
+    sink(publish_rows(_last_per_key(rows), {"ingestion_mode": F.lit(BACKFILL_MODE)}))
     before = reconcile.read(RECONCILE, STATE_SCHEMA)
     after = U.reconcile_marks(before, P.observed_marks(src, stored),
                               F.current_timestamp().cast("timestamp_ntz") if reconciled_at is None else reconciled_at)
-    reconcile.write_version(after, RECONCILE, run_id)
-    reconcile.commit(run_id, {RECONCILE: run_id})
+    reconcile.write_version(after, RECONCILE, number)
+    reconcile.commit(number, {RECONCILE: number}, RECONCILE, run_id)
     return reconcile.read(RECONCILE, STATE_SCHEMA)
 
 
@@ -96,12 +109,16 @@ def state_view(ingest: TableStore, producer: TableStore | None = None,
     if reconcile is not None:
         r = reconcile.read(RECONCILE, STATE_SCHEMA).select(
             "station", F.col("source_latest_ts").alias("_s"), F.col("status").alias("_st"),
-            F.col("last_reconciliation_at").alias("_r"))
+            F.col("last_reconciliation_at").alias("_r"), F.col("database_latest_ts").alias("_d"))
         state = (state.join(r, "station", "full_outer")
                  .withColumn("source_latest_ts", F.coalesce("_s", "source_latest_ts"))
                  .withColumn("last_reconciliation_at", F.coalesce("_r", "last_reconciliation_at"))
-                 .withColumn("status", F.coalesce("status", "_st", F.lit("unknown")))
-                 .drop("_s", "_st", "_r"))
+                 # The reconcile job's status stands until the stream has committed a later reading.
+                 .withColumn("database_latest_ts", F.greatest("database_latest_ts", "_d"))
+                 .withColumn("status", F.when(F.col("_st").isNotNull() & (F.col("consumer_latest_ts").isNull()
+                             | F.col("_s").isNull() | (F.col("consumer_latest_ts") < F.col("_s"))), F.col("_st"))
+                             .otherwise(F.coalesce("status", "_st", F.lit("unknown"))))
+                 .drop("_s", "_st", "_r", "_d"))
     return state.select(*[f.name for f in STATE_SCHEMA.fields])
 
 
@@ -111,28 +128,6 @@ def state_report(ingest: TableStore, producer: TableStore | None = None,
     return P.ingestion_status(state_view(ingest, producer, reconcile))
 
 
-def file_sink(path: str, topic: str = "weather") -> Sink:
-    """A stand-in for the Kafka sink in tests: appends Kafka-shaped rows to a
-    folder the consume job can stream from. Offsets increase across calls."""
-    counter = {"next": 0}
-
-    def write(messages: DataFrame) -> None:
-        base = counter["next"]
-        rows = messages.select(
-            "key", "value", F.lit(topic).alias("topic"), F.lit(0).alias("partition"),
-            (F.lit(base) + F.monotonically_increasing_id()).alias("offset"),
-            F.current_timestamp().alias("timestamp"))
-        rows = rows.persist()
-        try:
-            n = rows.count()
-            if n:
-                rows.coalesce(1).write.mode("append").parquet(path)
-                counter["next"] = int(rows.agg(F.max("offset")).first()[0]) + 1
-        finally:
-            rows.unpersist()
-    return write
-
-
 def history_from_store(rollups: TableStore, window: str, metric: str | None = None,
                        station: str | None = None) -> DataFrame:
     """R2 over the stored roll-up table: the window filter prunes to that

@@ -1,10 +1,7 @@
-"""Session defaults and the shared checkpoint folder."""
+"""Session defaults."""
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings every job relies on. Wall-clock timestamps are TIMESTAMP_NTZ, but a few
@@ -15,7 +12,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     # Wide parse projections (30 aliased columns over one from_json) make
@@ -39,38 +35,15 @@ def build_session(master: str | None = None, app_name: str = "skyroll",
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     apply_session_defaults(spark)
-    ensure_checkpoint_dir(spark)
     return spark
 
 
 def apply_session_defaults(spark: SparkSession) -> None:
     """Set the runtime SQL settings the library depends on (idempotent)."""
-    for k in ("spark.sql.session.timeZone", "spark.sql.adaptive.enabled",
-              "spark.sql.sources.partitionOverwriteMode", "spark.sql.constraintPropagation.enabled"):
+    for k in ("spark.sql.session.timeZone", "spark.sql.adaptive.enabled", "spark.sql.constraintPropagation.enabled"):
         spark.conf.set(k, DEFAULT_CONF[k])
 
 
-def checkpoint_dir(spark: SparkSession) -> str | None:
-    """The shared folder the cluster names for checkpoints, if any."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    return spark.sparkContext.getCheckpointDir()
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; only when it is unset (local
-    tests) fall back to a fresh scratch folder."""
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="skyroll-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.sparkContext.setCheckpointDir(configured)
-    return spark.sparkContext.getCheckpointDir() or configured
-
-
 def scale_conf(input_bytes: int, cores: int, target_partition_bytes: int = 256 << 20) -> dict:
     """Shuffle and split sizes for a cluster run over ``input_bytes`` of input.
 

@@ -58,18 +58,20 @@ def _latest_schema() -> T.StructType:
 
 
 def ingest_batch(spark: SparkSession, store: TableStore, batch: DataFrame, batch_id: int,
-                 compact_every: int = 30) -> None:
-    """Apply one micro-batch of Kafka-shaped rows to the store (idempotent)."""
-    if store.is_committed(batch_id):
+                 compact_every: int = 30, writer: str = "batch") -> None:
+    """Apply one micro-batch of Kafka-shaped rows to the store, once for each
+    ``batch_id`` of a ``writer``. What is applied later wins."""
+    if store.is_committed(batch_id, writer):
         return
+    number = store.next_version()
     msgs = batch.select(F.col("value").cast("string").alias("line"), "partition", "offset", "timestamp")
     parsed = parse_lines(msgs, keep=["partition", "offset", "timestamp"]).persist()
     try:
         commit = store.latest_commit()
         tables = dict(commit.get("tables", {}))
 
-        store.write_version(reject_rows(parsed, keep=["partition", "offset"]).withColumn("batch_id", F.lit(batch_id)),
-                            REJECTS, batch_id)
+        store.write_version(reject_rows(parsed, keep=["partition", "offset"]).withColumn("batch_id", F.lit(number)),
+                            REJECTS, number)
         good = good_rows(parsed).withColumn("arrival", F.col("offset"))
 
         # Raw table, merge-on-read: the batch appends only its own rows (one per key,
@@ -81,26 +83,27 @@ def ingest_batch(spark: SparkSession, store: TableStore, batch: DataFrame, batch
         raw = _raw_entry(tables)
         if dates:
             store.write_version(delta.withColumn(DATE_COL, F.to_date("dt"))
-                                .repartition(DATE_COL).sortWithinPartitions(DATE_COL, "station", "dt"),
-                                WEATHER_DELTA, batch_id, DATE_COL)
-            raw["deltas"][str(batch_id)] = dates
+                                .repartitionByRange(DATE_COL, "station", "dt")
+                                .sortWithinPartitions(DATE_COL, "station", "dt"),
+                                WEATHER_DELTA, number, DATE_COL)
+            raw["deltas"][str(number)] = dates
         if len(raw["deltas"]) >= compact_every:
-            raw = _compact(store, raw, batch_id)
+            raw = _compact(store, raw, number)
         tables[WEATHER] = raw
 
         latest_now = store.read(LATEST, _latest_schema(), commit)
         latest_new = U.merge_latest(latest_now, good, updated_at=F.current_timestamp())
-        store.write_version(latest_new, LATEST, batch_id)
-        tables[LATEST] = batch_id
+        store.write_version(latest_new, LATEST, number)
+        tables[LATEST] = number
 
         state_now = store.read(STATE, STATE_SCHEMA, commit)
         marks = U.consumer_marks(state_now, good.select("station", "dt", "partition", "offset",
                                                         F.struct("timestamp", "offset").alias("_order")),
                                  arrival="_order")
-        store.write_version(marks, STATE, batch_id)
-        tables[STATE] = batch_id
+        store.write_version(marks, STATE, number)
+        tables[STATE] = number
 
-        store.commit(batch_id, tables)
+        store.commit(number, tables, writer, batch_id)
     finally:
         parsed.unpersist()
 
@@ -110,16 +113,20 @@ def start_ingest(spark: SparkSession, source: DataFrame, store_root: str, checkp
     """Start the streaming ingest from a Kafka-shaped streaming DataFrame."""
     apply_session_defaults(spark)
     store = TableStore(spark, store_root)
-    writer = (source.writeStream
-              .option("checkpointLocation", checkpoint)
-              .foreachBatch(lambda df, bid: ingest_batch(spark, store, df, bid, compact_every)))
+
+    def apply(df: DataFrame, batch_id: int) -> None:
+        # The checkpoint's own identity, which Spark wrote before the first batch.
+        row = spark.read.json(f"{checkpoint.rstrip('/')}/metadata", schema="id string").first()
+        ingest_batch(spark, store, df, batch_id, compact_every, f"stream {row.id}")
+
+    writer = source.writeStream.option("checkpointLocation", checkpoint).foreachBatch(apply)
     writer = writer.trigger(**(trigger or {"processingTime": "120 seconds"}))
     return writer.start()
 
 
-def kafka_source(spark: SparkSession, servers: str, topic: str, max_offsets: int | None = 10_000_000) -> DataFrame:
+def kafka_source(spark: SparkSession, servers: str, topic: str, max_offsets: int | None) -> DataFrame:
     """Subscribe from the earliest offset; progress lives in the checkpoint.
-    ``max_offsets`` bounds each micro-batch (backpressure), so a restart after a
+    ``max_offsets`` bounds each micro-batch (backpressure; None: no bound), so a restart after a
     long outage drains the backlog in bounded batches instead of one huge one."""
     r = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
          .option("subscribe", topic).option("startingOffsets", "earliest"))
@@ -163,10 +170,13 @@ def _read_raw(store: TableStore, raw: dict, only: list[str] | None = None) -> Da
         base = store.read(WEATHER, schema, {"tables": {WEATHER: raw["base"]}}, DATE_COL, only=touched)
         paths = [f"{store.version_path(WEATHER_DELTA, int(b))}/{DATE_COL}={d}"
                  for b, ds in raw["deltas"].items() for d in ds if d in set(touched)]
-        deltas = store.spark.read.schema(schema).parquet(*paths)
+        numbered = T.StructType([*schema.fields, T.StructField("b", T.LongType())])
+        deltas = (store.spark.read.schema(numbered).option("basePath", f"{store.root}/{WEATHER_DELTA}")
+                  .parquet(*paths))
         cols = list(WEATHER_COLUMNS) + ["arrival"]
-        # One aggregate: a delta row beats the base row, later arrival among deltas.
-        parts.append(U.merge_upsert(base.select(*cols), deltas.select(*cols), ["station", "dt"], ["arrival"]))
+        # One aggregate: a delta row beats the base row, a later commit an earlier one; offsets only
+        # order the rows of one commit, as a topic's offsets can start again.
+        parts.append(U.merge_upsert(base.select(*cols), deltas.select(*cols, "b"), ["station", "dt"], ["b", "arrival"]))
     if not parts:
         return store.spark.createDataFrame([], schema)
     out = parts[0]
@@ -175,17 +185,18 @@ def _read_raw(store: TableStore, raw: dict, only: list[str] | None = None) -> Da
     return out
 
 
-def _compact(store: TableStore, raw: dict, batch_id: int) -> dict:
+def _compact(store: TableStore, raw: dict, number: int) -> dict:
     """Fold all deltas into new versions of the dates they touched."""
     dates = _delta_dates(raw)
     if not dates:
         return raw
     merged = _read_raw(store, raw, only=dates)
     store.write_version(merged.withColumn(DATE_COL, F.to_date("dt"))
-                        .repartition(DATE_COL).sortWithinPartitions(DATE_COL, "station", "dt"),
-                        WEATHER, batch_id, DATE_COL)
+                        .repartitionByRange(DATE_COL, "station", "dt")
+                        .sortWithinPartitions(DATE_COL, "station", "dt"),
+                        WEATHER, number, DATE_COL)
     base = dict(raw["base"])
-    base.update({d: batch_id for d in dates})
+    base.update({d: number for d in dates})
     return {"base": base, "deltas": {}}
 
 
@@ -195,7 +206,7 @@ def read_weather(store: TableStore, commit: dict | None = None, only: list[str]
     return _read_raw(store, _raw_entry(commit.get("tables", {})), only)
 
 
-def refresh_rollup_table(spark: SparkSession, source: TableStore, target: TableStore, run_id: int,
+def refresh_rollup_table(spark: SparkSession, source: TableStore, target: TableStore, run_id: int | None = None,
                          single_pass: bool = True) -> DataFrame:
     """Full refresh of the roll-up table into its own store.
 
@@ -219,10 +230,11 @@ def refresh_rollup_table(spark: SparkSession, source: TableStore, target: TableS
     else:
         out = R.rollups_union(weather, max_dt)
     out = out.withColumn("updated_at", F.current_timestamp())
+    number = target.begin(run_id, ROLLUPS)
     target.write_version(out.repartition("window_name", "station")
                          .sortWithinPartitions("window_name", "station", "bucket_ts"),
-                         ROLLUPS, run_id, partition_by="window_name")
-    target.commit(run_id, {ROLLUPS: run_id})
+                         ROLLUPS, number, partition_by="window_name")
+    target.commit(number, {ROLLUPS: number}, ROLLUPS, run_id)
     return target.read(ROLLUPS, _rollup_schema())
 
 

@@ -2,16 +2,18 @@
 
 Plain Parquet ``mode("overwrite")`` is not reader-atomic and cannot overwrite a
 table it is reading from. Here every write goes to a new directory named by the
-writer's batch id, and a small JSON marker written last makes the new versions
-visible together (several tables commit as one unit):
-
-    <root>/<table>/b=<batch>/...            data written by that batch
-    <root>/_commits/<batch:020d>.json       {"batch_id": n, "tables": {...}}
-
-A table entry is either a batch id (whole-table version) or a map
-``partition value -> batch id`` (partitioned tables; a batch rewrites only the
-partitions it touched). Readers follow the newest marker. A batch id that
-already has a marker is skipped, so replaying a micro-batch is a no-op.
+store's next commit number, and a small JSON marker written last makes the new
+versions visible together (several tables commit as one unit):
+
+    <root>/<table>/b=<number>/...           data written by that commit
+    <root>/_commits/<number:020d>.json      {"batch_id": number, "tables": {...}, "writers": {...}}
+
+A table entry is either a commit number (whole-table version) or a map
+``partition value -> number`` (partitioned tables; a commit rewrites only the
+partitions it touched). Readers follow the newest marker. ``writers`` has each
+writer's last own id: a stream's is its checkpoint's identity with the batch id,
+which only grows within one checkpoint. So a replayed micro-batch is skipped,
+while a batch of a new checkpoint is new whatever its id.
 On an object store the marker is one small object; on HDFS it is renamed into
 place. Swap for a MERGE-capable table format when one is available.
 """
@@ -35,15 +37,22 @@ class TableStore:
         self._fs = self._Path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
 
     # -- markers -----------------------------------------------------------
-    def _marker_path(self, batch_id: int) -> str:
-        return f"{self.root}/{COMMITS}/{int(batch_id):020d}.json"
+    def _marker_path(self, number: int) -> str:
+        return f"{self.root}/{COMMITS}/{int(number):020d}.json"
+
+    def is_committed(self, own_id: int, writer: str = "batch") -> bool:
+        """Whether this writer committed its own id (ids of one writer only grow)."""
+        return int(own_id) <= int(self.latest_commit().get("writers", {}).get(writer, -1))
+
+    def next_version(self) -> int:
+        """Number of the next commit; a try that left data without a marker is overwritten by the next."""
+        return int(self.latest_commit()["batch_id"]) + 1
 
-    def is_committed(self, batch_id: int) -> bool:
-        """A batch is committed when its marker exists or a later batch
-        committed (batch ids grow; old markers may have been trimmed)."""
-        if self._fs.exists(self._Path(self._marker_path(batch_id))):
-            return True
-        return int(batch_id) <= int(self.latest_commit()["batch_id"])
+    def begin(self, own_id: int | None, writer: str) -> int:
+        """Number for a run of a job; a run id that isn't newer than the last one is refused."""
+        if own_id is not None and self.is_committed(own_id, writer):
+            raise ValueError(f"run {own_id} of {writer} isn't newer than the last one committed to {self.root}")
+        return self.next_version()
 
     def latest_commit(self) -> dict:
         d = self._Path(f"{self.root}/{COMMITS}")
@@ -62,16 +71,20 @@ class TableStore:
             stream.close()
         return json.loads(data.decode("utf-8"))
 
-    def commit(self, batch_id: int, tables: dict, keep_markers: int = 1000) -> None:
+    def commit(self, number: int, tables: dict, writer: str | None = None, own_id: int | None = None,
+               keep_markers: int = 1000) -> None:
         """Write the marker last: all tables named in it become visible at once.
         Each marker holds the full manifest, so older markers are superseded;
         only the newest ``keep_markers`` are kept, which bounds the listing a
         reader does (data directories are never touched here)."""
-        final = self._Path(self._marker_path(batch_id))
-        tmp = self._Path(f"{self.root}/{COMMITS}/_tmp-{int(batch_id):020d}.json")
+        writers = dict(self.latest_commit().get("writers", {}))
+        if writer is not None and own_id is not None:
+            writers[writer] = int(own_id)
+        final = self._Path(self._marker_path(number))
+        tmp = self._Path(f"{self.root}/{COMMITS}/_tmp-{int(number):020d}.json")
         out = self._fs.create(tmp, True)
         try:
-            out.write(bytearray(json.dumps({"batch_id": int(batch_id), "tables": tables}).encode("utf-8")))
+            out.write(bytearray(json.dumps({"batch_id": int(number), "tables": tables, "writers": writers}).encode("utf-8")))
         finally:
             out.close()
         if not self._fs.rename(tmp, final):
@@ -81,20 +94,21 @@ class TableStore:
         for name in markers[:-keep_markers] if keep_markers > 0 else []:
             self._fs.delete(self._Path(f"{self.root}/{COMMITS}/{name}"), False)
 
-    def reset(self, batch_id: int) -> None:
+    def reset(self) -> None:
         """Start over (optional reset before a full reload): commit an empty
         manifest. Old versions stay on disk but are no longer reachable, so the
-        reset is atomic and a reader never sees a half-deleted table."""
-        self.commit(batch_id, {})
+        reset is atomic and a reader never sees a half-deleted table. Writers
+        keep their ids: a running stream goes on with its next batch."""
+        self.commit(self.next_version(), {})
 
     # -- data --------------------------------------------------------------
-    def version_path(self, table: str, batch_id: int) -> str:
-        return f"{self.root}/{table}/b={int(batch_id)}"
+    def version_path(self, table: str, number: int) -> str:
+        return f"{self.root}/{table}/b={int(number)}"
 
-    def write_version(self, df: DataFrame, table: str, batch_id: int, partition_by: str | None = None) -> str:
-        """Write (or rewrite, on a replay before its marker) one table version."""
-        path = self.version_path(table, batch_id)
-        w = df.write.mode("overwrite")
+    def write_version(self, df: DataFrame, table: str, number: int, partition_by: str | None = None) -> str:
+        """Write (or rewrite, on a replay before its marker) one table version, whole."""
+        path = self.version_path(table, number)
+        w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
         if partition_by:
             w = w.partitionBy(partition_by)
         w.parquet(path)

@@ -15,6 +15,28 @@ from skyroll.streaming.storage import TableStore
 SF = "/root/testdata/sf0.001"
 
 
+def file_sink(path, topic="weather"):
+    """A stand-in for the Kafka sink in tests: appends Kafka-shaped rows to a
+    folder the consume job can stream from. Offsets increase across calls."""
+    counter = {"next": 0}
+
+    def write(messages):
+        base = counter["next"]
+        rows = messages.select(
+            "key", "value", F.lit(topic).alias("topic"), F.lit(0).alias("partition"),
+            (F.lit(base) + F.monotonically_increasing_id()).alias("offset"),
+            F.current_timestamp().alias("timestamp"))
+        rows = rows.persist()
+        try:
+            n = rows.count()
+            if n:
+                rows.coalesce(1).write.mode("append").parquet(path)
+                counter["next"] = int(rows.agg(F.max("offset")).first()[0]) + 1
+        finally:
+            rows.unpersist()
+    return write
+
+
 def _write_station_files(root, rows):
     for r in rows:
         d = os.path.join(root, r.station_dir)
@@ -36,7 +58,7 @@ def test_producer_backfill_consume_cycle(spark):
     lines = tt.raw_lines(tt.events(spark, SF)).orderBy("arrival").collect()
     cut = "20240125.txt"
     _write_station_files(files, [r for r in lines if r.file_name < cut])
-    sink = J.file_sink(topic)
+    sink = file_sink(topic)
 
     # Nothing stored yet: every station must be backfilled first.
     summary = J.publish_cycle(spark, read_station_lines(spark, files), ingest, producer, sink, 0).collect()
@@ -61,3 +83,50 @@ def test_producer_backfill_consume_cycle(spark):
     assert set(report) >= set(latest)
     for r in report.values():
         assert r.database_latest_ts is not None and r.producer_latest_ts is not None
+
+
+def test_failing_sink_leaves_marks_and_reused_runs_are_refused(spark):
+    import pytest
+    work = tempfile.mkdtemp(prefix="skyroll-sink-", dir="/tmp")
+    ingest, producer, reconcile = (TableStore(spark, os.path.join(work, d)) for d in ("ingest", "producer", "reconcile"))
+    rows = tt.kafka_rows(tt.events(spark, SF)).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    I.ingest_batch(spark, ingest, rows.filter(F.col("offset") < 200), 0)
+    lines = tt.raw_lines(tt.events(spark, SF))
+
+    def fails(messages):
+        messages.count()
+        raise RuntimeError("broker gone")
+
+    for job, store in ((J.publish_cycle, producer), (J.backfill_cycle, reconcile)):
+        with pytest.raises(RuntimeError, match="broker gone"):
+            job(spark, lines, ingest, store, fails, 5)
+        assert store.latest_commit()["batch_id"] == -1
+        sent = []
+        job(spark, lines, ingest, store, lambda m: sent.append(m.count()), 5)
+        before = store.latest_commit()
+        for run in (5, 3):
+            with pytest.raises(ValueError, match="newer"):
+                job(spark, lines, ingest, store, lambda m: sent.append(m.count()), run)
+        assert len(sent) == 1 and store.latest_commit() == before
+
+
+def test_report_shows_the_last_writer(spark):
+    import datetime as dt
+    from skyroll.schema import STATE_SCHEMA
+    work = tempfile.mkdtemp(prefix="skyroll-report-", dir="/tmp")
+    ingest, reconcile = (TableStore(spark, os.path.join(work, d)) for d in ("ingest", "reconcile"))
+    day = lambda n: dt.datetime(2024, 1, n)
+
+    def state(store, table, rows):
+        names = [f.name for f in STATE_SCHEMA.fields]
+        full = [tuple(r.get(n) for n in names) for r in rows]
+        store.write_version(spark.createDataFrame(full, STATE_SCHEMA), table, 0)
+        store.commit(0, {table: 0})
+
+    state(ingest, I.STATE, [{"station": s, "consumer_latest_ts": day(5), "database_latest_ts": day(5), "status": "streaming"} for s in "ab"])
+    state(reconcile, J.RECONCILE, [
+        {"station": "a", "source_latest_ts": day(9), "database_latest_ts": day(6), "status": "database_gap_detected"},
+        {"station": "b", "source_latest_ts": day(4), "database_latest_ts": day(4), "status": "database_gap_detected"}])
+    got = {r.station: r for r in J.state_view(ingest, None, reconcile).collect()}
+    assert (got["a"].status, got["a"].database_latest_ts) == ("database_gap_detected", day(6))
+    assert (got["b"].status, got["b"].database_latest_ts) == ("streaming", day(5))  # the stream went on since

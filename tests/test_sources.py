@@ -50,7 +50,7 @@ def test_store_reset_is_atomic(spark):
     store.write_version(spark.createDataFrame([("a",)], "station string"), "t", 0)
     store.commit(0, {"t": 0})
     assert store.read("t", spark.createDataFrame([], "station string").schema).count() == 1
-    store.reset(1)
+    store.reset()
     assert store.read("t", spark.createDataFrame([], "station string").schema).count() == 0
 
 
@@ -95,7 +95,7 @@ def test_store_keeps_bounded_markers(spark):
         store.commit(i, {"t": i}, keep_markers=2)
     names = sorted(os.listdir(os.path.join(store.root, "_commits")))
     assert [n for n in names if n.endswith(".json") and not n.startswith("_")] == [f"{3:020d}.json", f"{4:020d}.json"]
-    assert store.latest_commit() == {"batch_id": 4, "tables": {"t": 4}}
+    assert store.latest_commit() == {"batch_id": 4, "tables": {"t": 4}, "writers": {}}
     assert store.is_committed(0) and not store.is_committed(5)
 
 

@@ -58,7 +58,8 @@ def test_stream_equals_batch(spark):
 
     # Replaying a committed batch is a no-op.
     before = store.latest_commit()
-    I.ingest_batch(spark, store, spark.read.parquet(os.path.join(src, "part0")), 0)
+    (stream_writer,) = before["writers"]
+    I.ingest_batch(spark, store, spark.read.parquet(os.path.join(src, "part0")), 0, writer=stream_writer)
     assert store.latest_commit() == before
 
 
@@ -134,11 +135,11 @@ def test_failed_batch_replays_after_restart(spark):
     original = TableStore.commit
     calls = {"n": 0}
 
-    def flaky(self, batch_id, tables):
+    def flaky(self, number, *rest):
         calls["n"] += 1
-        if batch_id == 1 and calls["n"] == 2:
+        if number == 1 and calls["n"] == 2:
             raise RuntimeError("lost before commit")
-        return original(self, batch_id, tables)
+        return original(self, number, *rest)
 
     TableStore.commit = flaky
     try:
@@ -158,3 +159,45 @@ def test_failed_batch_replays_after_restart(spark):
     good = good_rows(parse_lines(msgs, keep=["partition", "offset", "timestamp"])).withColumn("arrival", F.col("offset"))
     want = U.latest_wins(good.select(*WEATHER_COLUMNS, "arrival"), ["station", "dt"], ["arrival"])
     assert _rows(I.read_weather(store), list(WEATHER_COLUMNS)) == _rows(want, list(WEATHER_COLUMNS))
+
+
+def _message(offset, station, day, value):
+    import datetime as dt
+    line = f'{{"dt":"2024-01-{day:02d}T00:00:00","station":"{station}","temps_avg_f":{value}}}'
+    return (b"k", line.encode(), "t", 0, offset, dt.datetime(2024, 2, 1))
+
+
+def _values(store):
+    raw = {(r.station, r.dt.day): r.temps_avg_f for r in I.read_weather(store).collect()}
+    return raw, {r.station: r.temperature for r in store.read(I.LATEST, I._latest_schema()).collect()}
+
+
+def test_new_checkpoint_and_reset_lose_no_batch(spark):
+    work = tempfile.mkdtemp(prefix="skyroll-new-ckpt-", dir="/tmp")
+    store = TableStore(spark, os.path.join(work, "store"))
+
+    def feed(name, checkpoint, rows):
+        src = os.path.join(work, name)
+        spark.createDataFrame(rows, I.KAFKA_SCHEMA).coalesce(1).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(I.KAFKA_SCHEMA).parquet(src)
+        I.start_ingest(spark, stream, store.root, os.path.join(work, checkpoint), {"availableNow": True}).awaitTermination(300)
+
+    feed("one", "c1", [_message(0, "a", 1, 1.0)])
+    feed("one", "c1", [_message(1, "a", 2, 2.0)])
+    feed("two", "c2", [_message(0, "b", 1, 3.0)])  # batch 0 again, of another checkpoint
+    assert _values(store)[0] == {("a", 1): 1.0, ("a", 2): 2.0, ("b", 1): 3.0}
+    store.reset()
+    feed("one", "c1", [_message(2, "a", 3, 4.0)])  # the running stream goes on
+    assert _values(store)[0] == {("a", 3): 4.0}
+
+
+def test_last_processed_wins_with_restarted_offsets(spark):
+    results = set()
+    for compact_every in (1, 2, 30):
+        store = TableStore(spark, os.path.join(tempfile.mkdtemp(prefix="skyroll-last-", dir="/tmp"), "store"))
+        for i, (offset, value) in enumerate([(100, 1.0), (5, 2.0), (7, 3.0), (6, 4.0)]):
+            batch = spark.createDataFrame([_message(offset, "a", 1, value), _message(offset + 1, "b", 1, value)], I.KAFKA_SCHEMA)
+            I.ingest_batch(spark, store, batch, i, compact_every)
+        raw, latest = _values(store)
+        results.add((raw["a", 1], raw["b", 1], latest["a"] is not None))
+    assert results == {(4.0, 4.0, True)}
