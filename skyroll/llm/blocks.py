@@ -21,6 +21,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,22 +48,44 @@ def layout(df: DataFrame, text: str, block_bytes: int = BLOCK_BYTES) -> Layout:
 
 
 def in_blocks(df: DataFrame, plan: Layout, key: str, text: str, more: tuple[str, ...] = ()) -> DataFrame:
-    """Columns _key, _text, ``more`` and block; equal rows share a block. Read more than once, dealt out once."""
+    """Columns _key, _text (compressed, see opened()), ``more`` and block; equal rows share a block.
+
+    Read more than once, dealt out once.
+    """
     ship(df.sparkSession)
     rows = df.select(df[key].cast("long").alias("_key"), df[text].cast("string").alias("_text"), *more)
     block = F.pmod(F.xxhash64("_key", "_text"), F.lit(plan.blocks)).cast("int")
-    return rows.withColumn("block", block).repartition("block")
+    rows = rows.withColumn("block", block)
+
+    def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            small = [None if t is None else squeeze(t.encode()) for t in batch.column("_text").to_pylist()]
+            at = batch.schema.get_field_index("_text")
+            yield batch.set_column(at, "_text", pa.array(small, pa.binary()))
+
+    kinds = {f.name: "binary" if f.name == "_text" else f.dataType.simpleString() for f in rows.schema}
+    return rows.mapInArrow(compress, ", ".join(f"{n} {k}" for n, k in kinds.items())).repartition("block")
+
+
+def opened(docs: pa.Table) -> pa.Table:
+    """A block's rows with their texts."""
+    expand = zstandard.ZstdDecompressor().decompress
+    texts = [None if t is None else expand(t).decode() for t in docs.column("_text").to_pylist()]
+    return docs.set_column(docs.schema.get_field_index("_text"), "_text", pa.array(texts, pa.string()))
 
 
 def packed(values: np.ndarray) -> bytes:
-    """Non-negative whole numbers in the narrowest of 1, 2, 4 or 8 bytes each, after a byte that says which."""
+    """Non-negative whole numbers in the narrowest of 1, 2, 4 or 8 bytes each, byte by byte of all and compressed."""
     top = int(values.max()) if len(values) else 0
     kind = next(k for k in (1, 2, 4, 8) if top < 1 << (8 * k))
-    return bytes([kind]) + values.astype(f"<u{kind}").tobytes()
+    planes = values.astype(f"<u{kind}").view(np.uint8).reshape(-1, kind).T.tobytes()
+    return bytes([kind]) + zstandard.ZstdCompressor(level=1, write_content_size=True).compress(planes)
 
 
 def unpacked(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, dtype=f"<u{data[0]}", offset=1).astype(np.uint64)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data[1:]), np.uint8)
+    return np.ascontiguousarray(planes.reshape(data[0], -1).T).view(f"<u{data[0]}").ravel().astype(np.uint64)
 
 
 def rising(values: np.ndarray) -> bytes:
@@ -123,7 +146,7 @@ def answers(blocks: DataFrame, plan: Layout, cuts_of: KeysOf) -> DataFrame:
     """
 
     def send(table: pa.Table) -> pa.Table:
-        cuts, counts = cuts_of(table)
+        cuts, counts = cuts_of(opened(table))
         edges = bucket_edges(cuts, plan)
         full = np.flatnonzero(np.diff(edges))
         parts = [(edges[b], edges[b + 1]) for b in full]
@@ -170,4 +193,8 @@ def totals_of(cuts: np.ndarray, counts: np.ndarray, answer: pa.Table, plan: Layo
 
 def with_answers(blocks: DataFrame, given: DataFrame, fn: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
     """``fn`` on each block with the answers to it (none: an empty table); answers without a block don't occur."""
-    return blocks.groupBy("block").cogroup(given.groupBy("block")).applyInArrow(fn, schema)
+
+    def on_texts(docs: pa.Table, answer: pa.Table) -> pa.Table:
+        return fn(opened(docs), answer)
+
+    return blocks.groupBy("block").cogroup(given.groupBy("block")).applyInArrow(on_texts, schema)

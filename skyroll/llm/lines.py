@@ -30,6 +30,8 @@ from skyroll.llm.words import hash_words, mix, space_class, split_words
 #: Least Jaccard similarity, in percent.
 PERCENT = 80
 NULL_KEY = -(2**63)
+#: Text in a block: more than elsewhere, as a word is sent once for each block that has it.
+BLOCK_BYTES = 4 << 20
 
 
 class Lines:
@@ -122,6 +124,17 @@ FULL = schema_of("cut", "one", "two", "size", "pos", "low", "high", "key", "plac
 raw = lambda x: np.frombuffer(x, np.uint64)
 
 
+def six_bytes(tokens: np.ndarray) -> bytes:
+    """The upper 48 bits of hashes: enough to tell the words of two lines apart."""
+    return tokens.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:].tobytes()
+
+
+def from_six_bytes(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 6, 8), dtype=np.uint8)
+    out[:, 2:] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    return out.view("<i8").ravel()
+
+
 def ddl(schema: pa.Schema) -> str:
     return ", ".join(f"{f.name} {'binary' if f.type == pa.binary() else 'int'}" for f in schema)
 
@@ -231,7 +244,7 @@ def cells(dealt: DataFrame, plan: B.Layout, percent: int) -> DataFrame:
         for b in np.flatnonzero(np.diff(edges)).tolist():
             i = order[edges[b] : edges[b + 1]]
             at, _ = x.of(sets[i[lives[i]]])
-            more = {"bucket": plan.buckets + b, "two": x.two[sets[i]].tobytes(), "lengths": B.packed(size[i] * lives[i]), "tokens": x.tokens[at].tobytes()}
+            more = {"bucket": plan.buckets + b, "two": x.two[sets[i]].tobytes(), "lengths": B.packed(size[i] * lives[i]), "tokens": six_bytes(x.tokens[at])}
             rows.append(common(i) | more)
         return table_of(rows, FULL)
 
@@ -320,7 +333,7 @@ def similar(posted: DataFrame, plan: B.Layout, percent: int) -> DataFrame:
         wanted = set(asked.column("id").to_pylist())
         out: dict[int, list[int]] = {}
         for one, lengths, tokens in zip(*(sent.column(c).to_pylist() for c in ("one", "lengths", "tokens")), strict=True):
-            ids, sizes, words = raw(one).view(np.int64), B.unpacked(lengths).astype(np.int64), np.frombuffer(tokens, np.int64)
+            ids, sizes, words = raw(one).view(np.int64), B.unpacked(lengths).astype(np.int64), from_six_bytes(tokens)
             ends = np.cumsum(sizes)
             for i in np.flatnonzero(sizes).tolist():
                 if (name := int(ids[i])) in wanted and name not in out:
@@ -365,7 +378,7 @@ def dedup_lines(df: DataFrame, percent: int = PERCENT, key: str = "doc_id", text
     nor later, so repeated rows lose the same lines. A null text stays null and
     an empty one empty; other columns are ignored; an empty table gives no rows.
     """
-    plan = B.layout(df, text)
+    plan = B.layout(df, text, BLOCK_BYTES)
     names = tuple(f"_more{i}" for i in range(len(more)))
     dealt = B.in_blocks(df.select(key, text, *[df[c].alias(n) for c, n in zip(more, names, strict=True)]), plan, key, text, names)
 

@@ -175,7 +175,8 @@ def _vector(hashes: np.ndarray, counts: np.ndarray, holders: np.ndarray) -> byte
     """A document's shingles for verification: hashes (upper 40 bits), counts and holders, packed."""
     cut = hashes >> np.uint64(24)
     low = (cut & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes()
-    parts = [low, (cut >> np.uint64(32)).astype(np.uint8).tobytes(), B.packed(counts), B.packed(holders)]
+    number = B.packed(counts)
+    parts = [low, (cut >> np.uint64(32)).astype(np.uint8).tobytes(), len(number).to_bytes(4, "little"), number, B.packed(holders)]
     return len(hashes).to_bytes(4, "little") + b"".join(parts)
 
 
@@ -183,9 +184,9 @@ def _from_vector(data: bytes, documents: int) -> tuple[np.ndarray, np.ndarray]:
     n = int.from_bytes(data[:4], "little")
     hashes = np.frombuffer(data, "<u4", n, 4).astype(np.uint64) | np.frombuffer(data, np.uint8, n, 4 + 4 * n).astype(np.uint64) << np.uint64(32)
     at = 4 + 5 * n
-    width = data[at]
-    counts = B.unpacked(data[at : at + 1 + width * n])
-    return hashes, weight(counts.astype(np.float64), B.unpacked(data[at + 1 + width * n :]).astype(np.float64), documents)
+    end = at + 4 + int.from_bytes(data[at : at + 4], "little")
+    counts, holders = B.unpacked(data[at + 4 : end]), B.unpacked(data[end:])
+    return hashes, weight(counts.astype(np.float64), holders.astype(np.float64), documents)
 
 
 def similarity(a: bytes, b: bytes, documents: int) -> float:
