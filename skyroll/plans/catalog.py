@@ -83,6 +83,13 @@ def _rollup_input(spark, sf, range_days: int):
     return anchor, weather_table(obs, ["station", "dt", *ROLLUP_MEASURES])
 
 
+def _rollup_of(spark, sf, name: str) -> DataFrame:
+    """One window's roll-up, from no more than that window's own range."""
+    window = WINDOWS_BY_NAME[name]
+    anchor, w = _rollup_input(spark, sf, window.range_days)
+    return R.rollup_window(w, window, anchor)
+
+
 def _rollups(spark, sf) -> DataFrame:
     anchor, w = _rollup_input(spark, sf, max(x.range_days for x in ROLLUP_WINDOWS))
     return R.rollups_single_pass(w, anchor)
@@ -113,13 +120,13 @@ def _stored_for_repair(spark, sf):
     e = _events(spark, sf)
     et, ts = F.col("event_type"), F.col("ts")
     held = (et != "signup") & ~(et.isin("click", "error") & (ts >= ntz("2024-01-28 00:00:00")))
-    return weather_table(tt.observations(e.filter(held)), ["station", "dt"])
+    return tt.observations(e.filter(held)).select("station", "dt")
 
 
 def _resume(spark, sf):
     stations = _lines(spark, sf).select(F.col("station_dir").alias("station")).distinct()
     stored, _ = _split(spark, sf)
-    return P.resume_points(stations, _state(spark, sf), weather_table(stored, ["station", "dt"]))
+    return P.resume_points(stations, _state(spark, sf), stored.select("station", "dt"))
 
 
 # ---------------------------------------------------------------------------
@@ -128,9 +135,7 @@ def _resume(spark, sf):
 
 def _one_window(name):
     def q(spark, sf):
-        window = WINDOWS_BY_NAME[name]
-        anchor, w = _rollup_input(spark, sf, window.range_days)
-        return rounded(R.rollup_window(w, window, anchor))
+        return rounded(_rollup_of(spark, sf, name))
     return q
 
 
@@ -169,17 +174,17 @@ def q_load_profile(spark, sf):
 
 @register("history_window")
 def q_history_window(spark, sf):
-    return rounded(Q.history(_rollups(spark, sf), "week"))
+    return rounded(Q.history(_rollup_of(spark, sf, "week"), "week"))
 
 
 @register("history_metric")
 def q_history_metric(spark, sf):
-    return rounded(Q.history(_rollups(spark, sf), "month", metric="humidity", station="error"))
+    return rounded(Q.history(_rollup_of(spark, sf, "month"), "month", metric="humidity", station="error"))
 
 
 @register("history_chart")
 def q_history_chart(spark, sf):
-    return rounded(Q.chart_series(Q.history(_rollups(spark, sf), "day", metric="pressure"), "pressure"))
+    return rounded(Q.chart_series(Q.history(_rollup_of(spark, sf, "day"), "day", metric="pressure"), "pressure"))
 
 
 @register("latest_per_station")
@@ -221,26 +226,35 @@ def q_schema_evolve(spark, sf):
     return rounded(U.merge_latest(U.evolve_schema(old, target), batch))
 
 
+def _batch_with_new_station(spark, sf, station: str) -> DataFrame:
+    """The batch half of the observations, in which ``station`` reports under a name the state doesn't have."""
+    _, batch = _split(spark, sf)
+    named = F.when(F.col("station") == station, F.concat("station", F.lit("-new"))).otherwise(F.col("station"))
+    return batch.withColumn("station", named)
+
+
 @register("consumer_marks")
 def q_consumer_marks(spark, sf):
-    _, batch = _split(spark, sf)
-    state = _state(spark, sf).filter(F.col("station") != "signup")
+    batch = _batch_with_new_station(spark, sf, "signup")
+    state = _state(spark, sf)
     msgs = batch.select("station", "dt", "arrival", F.lit(0).alias("partition"), F.col("arrival").alias("offset"))
     return U.consumer_marks(state, msgs)
 
 
 @register("producer_marks")
 def q_producer_marks(spark, sf):
-    _, batch = _split(spark, sf)
-    state = _state(spark, sf).filter(F.col("station") != "view")
+    batch = _batch_with_new_station(spark, sf, "view")
+    state = _state(spark, sf)
     return U.producer_marks(state, batch)
 
 
 @register("reconcile_merge")
 def q_reconcile_merge(spark, sf):
-    state = _state(spark, sf).filter(F.col("station") != "purchase")
+    state = _state(spark, sf)
     observed = P.observed_marks(P.source_latest(_lines(spark, sf)),
                                 P.table_max(_stored_for_repair(spark, sf)))
+    named = F.when(F.col("station") == "purchase", F.lit("purchase-new")).otherwise(F.col("station"))
+    observed = observed.withColumn("station", named)
     return U.reconcile_marks(state, observed, ntz(AS_OF))
 
 
@@ -363,7 +377,7 @@ def q_backfill_window(spark, sf):
 @register("listing_links")
 def q_listing_links(spark, sf):
     pages = tt.read_table(spark, sf, "pages")
-    return listing.listing_links(pages, prefix_regex="^/", suffix=".")
+    return listing.listing_links(pages, prefix_regex="", suffix="")
 
 
 # ---------------------------------------------------------------------------

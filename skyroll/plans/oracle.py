@@ -238,15 +238,17 @@ def oracle_sql() -> dict[str, str]:
         "CAST(CASE WHEN b.station IS NOT NULL THEN 0 ELSE s.kafka_partition END AS INTEGER) AS kafka_partition, "
         "CASE WHEN b.station IS NOT NULL THEN b.off ELSE s.kafka_offset END AS kafka_offset, "
         "CASE WHEN b.station IS NOT NULL THEN 'streaming' ELSE s.status END AS status, s.last_reconciliation_at "
-        "FROM (SELECT * FROM st WHERE station <> 'signup') s FULL OUTER JOIN "
-        "(SELECT station, max(dt) AS new_ts, max(arrival) AS off FROM batch GROUP BY station) b "
+        "FROM st s FULL OUTER JOIN "
+        "(SELECT CASE WHEN station = 'signup' THEN 'signup-new' ELSE station END AS station, max(dt) AS new_ts, "
+        "max(arrival) AS off FROM batch GROUP BY 1) b "
         "ON s.station = b.station")
     q["producer_marks"] = _with(OBS, STATE, BATCH) + (
         "SELECT coalesce(s.station, b.station) AS station, s.source_latest_ts, "
         "greatest(s.producer_latest_ts, b.new_ts) AS producer_latest_ts, s.consumer_latest_ts, s.database_latest_ts, "
         "s.kafka_partition, s.kafka_offset, coalesce(s.status, 'unknown') AS status, s.last_reconciliation_at "
-        "FROM (SELECT * FROM st WHERE station <> 'view') s FULL OUTER JOIN "
-        "(SELECT station, max(dt) AS new_ts FROM batch GROUP BY station) b ON s.station = b.station")
+        "FROM st s FULL OUTER JOIN "
+        "(SELECT CASE WHEN station = 'view' THEN 'view-new' ELSE station END AS station, max(dt) AS new_ts "
+        "FROM batch GROUP BY 1) b ON s.station = b.station")
     null_ts = "CAST(NULL AS TIMESTAMP)"
     q["reconcile_merge"] = _with(OBS, STATE, SRC, SRC_LATEST, HELD) + (
         "SELECT coalesce(s.station, o.station) AS station, "
@@ -258,8 +260,8 @@ def oracle_sql() -> dict[str, str]:
         "ELSE s.status END AS status, "
         "CASE WHEN o.station IS NOT NULL THEN TIMESTAMP '2024-02-01 00:00:00' ELSE s.last_reconciliation_at END "
         "AS last_reconciliation_at "
-        "FROM (SELECT * FROM st WHERE station <> 'purchase') s FULL OUTER JOIN "
-        "(SELECT coalesce(a.station, h.station) AS station, a.source_latest_ts, h.table_latest_ts AS database_latest_ts "
+        "FROM st s FULL OUTER JOIN "
+        "(SELECT replace(coalesce(a.station, h.station), 'purchase', 'purchase-new') AS station, a.source_latest_ts, h.table_latest_ts AS database_latest_ts "
         " FROM srclatest a FULL OUTER JOIN held h ON a.station = h.station) o ON s.station = o.station")
 
     q["parse_observations"] = _with(OBS) + (
@@ -334,7 +336,7 @@ def oracle_sql() -> dict[str, str]:
     q["listing_links"] = (
         "SELECT page_id, href FROM (SELECT page_id, unnest(regexp_extract_all(html, "
         "'<a\\b[^>]*\\bhref=\"([^\"]*)\"', 1)) AS href FROM pages) "
-        "WHERE href <> '' AND ends_with(href, '.') AND regexp_matches(href, '^/')")
+        "WHERE href <> ''")
 
     q["request_counts"] = _with(LOG) + "SELECT method, route, status, count(*) AS requests_total FROM log GROUP BY ALL"
     q["duration_histogram"] = _with(LOG, BOUNDS) + (

@@ -12,13 +12,21 @@ from pyspark.sql import functions as F
 
 # A daily file name starts with 8 digits (YYYYMMDD) and ends with ".txt".
 NAME_RULE = "^[0-9]{8}.*[.]txt$"
-_EMPTY = "station_dir string, file_name string, arrival long, line string"
+_EMPTY = ("station_dir string, file_name string, arrival struct<file_name:string,start:bigint,id:bigint>, "
+          "line string")
 
 
 def _name() -> Column:
     return F.col("_metadata.file_name")
 
 
+def _arrival() -> Column:
+    """Order of a station's lines: file name, then place within the file. Splits of a file are in order
+    of their start, and the id grows within a split; how Spark packs files into tasks doesn't matter."""
+    return F.struct(_name().alias("file_name"), F.col("_metadata.file_block_start").alias("start"),
+                    F.monotonically_increasing_id().alias("id"))
+
+
 def _station_of_path(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -2)
 
@@ -44,8 +52,8 @@ def read_station_lines(spark: SparkSession, root: str, min_date: dict[str, str |
     ``min_date`` maps station -> ``yyyymmdd`` (or None for all files): other
     stations are skipped, and the earliest cutoff is a file-name predicate the
     file index applies before any file is opened; the exact per-station cutoff
-    follows as a row filter. ``arrival`` orders lines for last-wins merges (file
-    order, then read order within a file)."""
+    follows as a row filter. ``arrival`` orders a station's lines for last-wins
+    merges: by file name, then by place in the file."""
     df = spark.read.option("pathGlobFilter", "*.txt").text(f"{root.rstrip('/')}/*")
     df = df.filter(_name().rlike(NAME_RULE))
     if min_date is not None:
@@ -56,7 +64,7 @@ def read_station_lines(spark: SparkSession, root: str, min_date: dict[str, str |
             df = df.filter(F.substring(_name(), 1, 8) >= F.lit(min(cutoffs)))
     out = df.select(_station_of_path(F.col("_metadata.file_path")).alias("station_dir"),
                     _name().alias("file_name"),
-                    F.monotonically_increasing_id().alias("arrival"),
+                    _arrival().alias("arrival"),
                     F.col("value").alias("line"))
     if min_date is not None:
         pairs = []
@@ -78,4 +86,4 @@ def newest_files_lines(spark: SparkSession, root: str) -> DataFrame:
     df = spark.read.text([r.path for r in newest])
     return df.select(_station_of_path(F.col("_metadata.file_path")).alias("station_dir"),
                      _name().alias("file_name"),
-                     F.monotonically_increasing_id().alias("arrival"), F.col("value").alias("line"))
+                     _arrival().alias("arrival"), F.col("value").alias("line"))

@@ -16,10 +16,13 @@ from pyspark.sql import functions as F
 from skyroll.schema import ROLLUP_AVG_COLUMNS, ROLLUP_MEASURES, ROLLUP_SUM_COLUMNS, RollupWindow
 
 
-def live_rollup(observations: DataFrame, window: RollupWindow, watermark: str = "2 hours") -> DataFrame:
-    """Streaming aggregate (use output mode ``update``) with the roll-up columns."""
+def live_rollup(observations: DataFrame, window: RollupWindow, watermark: str) -> DataFrame:
+    """Streaming aggregate (use output mode ``update``) with the roll-up columns.
+    A reading delivered again (same station and time) within the watermark counts
+    once, as first delivered."""
     et = F.col("dt").cast("timestamp")  # event-time column for the watermark (session zone UTC)
     d = observations.select("station", et.alias("_et"), *ROLLUP_MEASURES).withWatermark("_et", watermark)
+    d = d.dropDuplicatesWithinWatermark(["station", "_et"])
     aggs = ([F.avg(c).alias(c) for c in ROLLUP_AVG_COLUMNS] + [F.sum(c).alias(c) for c in ROLLUP_SUM_COLUMNS])
     g = d.groupBy(F.window("_et", f"{window.bucket_seconds} seconds").alias("_w"), "station").agg(*aggs)
     return g.select(F.lit(window.name).alias("window_name"),

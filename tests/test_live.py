@@ -15,8 +15,12 @@ def test_live_rollup_matches_batch_buckets(spark):
     work = tempfile.mkdtemp(prefix="skyroll-live-", dir="/tmp")
     rows = tt.kafka_rows(tt.events(spark, "/root/testdata/sf0.001")).withColumn(
         "timestamp", F.col("timestamp").cast("timestamp"))
+    line = F.from_json(F.col("value").cast("string"), "dt string, station string")
+    first = rows.groupBy(line["station"], line["dt"]).agg(F.min("offset").alias("offset")).select("offset")
+    rows = rows.join(first, "offset", "left_semi")  # one delivery of each reading, then a third of them again
     for i in range(2):
-        rows.filter(F.col("offset") % 2 == i).coalesce(1).write.parquet(os.path.join(work, "src", f"p{i}"))
+        part = rows.filter(F.col("offset") % 2 == i)
+        part.unionByName(rows.filter(F.col("offset") % 3 == 0)).coalesce(1).write.parquet(os.path.join(work, "src", f"p{i}"))
     stream = (spark.readStream.schema(I.KAFKA_SCHEMA).option("maxFilesPerTrigger", 1)
               .option("recursiveFileLookup", "true").parquet(os.path.join(work, "src")))
     obs = good_rows(parse_lines(stream.select(F.col("value").cast("string").alias("line"), "offset"), keep=["offset"]))

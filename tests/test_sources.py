@@ -92,11 +92,11 @@ def test_store_keeps_bounded_markers(spark):
     from skyroll.streaming.storage import TableStore
     store = TableStore(spark, tempfile.mkdtemp(prefix="skyroll-markers-", dir="/tmp"))
     for i in range(5):
-        store.commit(i, {"t": i}, keep_markers=2)
+        store.commit(i, {"t": i}, "w", i, keep_markers=2)
     names = sorted(os.listdir(os.path.join(store.root, "_commits")))
     assert [n for n in names if n.endswith(".json") and not n.startswith("_")] == [f"{3:020d}.json", f"{4:020d}.json"]
-    assert store.latest_commit() == {"batch_id": 4, "tables": {"t": 4}, "writers": {}}
-    assert store.is_committed(0) and not store.is_committed(5)
+    assert store.latest_commit() == {"batch_id": 4, "tables": {"t": 4}, "writers": {"w": 4}}
+    assert store.is_committed(0, "w") and not store.is_committed(5, "w") and not store.is_committed(0, "other")
 
 
 def test_enrich_line_edge_cases(spark):
@@ -105,3 +105,33 @@ def test_enrich_line_edge_cases(spark):
     df = spark.createDataFrame([("{}", 'a"b'), ('  {"x": 1}  ', None)], "line string, st string")
     out = [json.loads(r[0]) for r in df.select(enrich_line(F.col("line"), {"station": F.col("st")})).collect()]
     assert out == [{"station": 'a"b'}, {"x": 1, "station": None}]
+
+
+def test_later_file_wins_whatever_its_size(spark):
+    from skyroll.operators.parse import good_rows, parse_lines
+    from skyroll.operators.upsert import latest_wins
+    root = tempfile.mkdtemp(prefix="skyroll-order-", dir="/tmp")
+    line = lambda v: f'{{"dt":"2024-07-01T00:00:00","temps_avg_f":{v}}}'
+    _write(root, "wx_a", "20240701.txt", [line(1), line(2)])
+    _write(root, "wx_a", "20240701_b.txt", [line(i) for i in range(1000, 3000)])
+    _write(root, "wx_a", "20240701_c.txt", [line(7), line(8)])
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("16k", "1k", old):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            lines = read_station_lines(spark, root)
+            rows = good_rows(parse_lines(lines, default_station="station_dir", keep=["station_dir", "arrival", "file_name"]))
+            rows = rows.select("station", "dt", "arrival", "temps_avg_f", "file_name")
+            assert [r.temps_avg_f for r in latest_wins(rows, ["station", "dt"], ["arrival"]).collect()] == [8.0]
+            middle = rows.filter(F.col("file_name") == "20240701_b.txt")
+            assert [r.temps_avg_f for r in latest_wins(middle, ["station", "dt"], ["arrival"]).collect()] == [2999.0]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_listing_takes_any_form_of_href(spark):
+    from skyroll.sources.listing import listing_links
+    html = ("<A HREF='20240701.txt'>x</A><a class=b href=20240702.txt>y</a><a\nhref = \"20240703.txt\">z</a>"
+            "<a data-href='20240704.txt'>no</a><a href=\"20240705_a&amp;b.txt\">w</a><a href='about.txt'>no</a>")
+    got = [r.href for r in listing_links(spark.createDataFrame([(1, html)], "page_id long, html string")).collect()]
+    assert got == ["20240701.txt", "20240702.txt", "20240703.txt", "20240705_a&b.txt"]
