@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from skyroll.functions.time import floor_to_bucket, seconds_between
 from skyroll.operators import series as S
-from skyroll.schema import ALERT_RULES, DURATION_BUCKETS, STALENESS_SECONDS
+from skyroll.schema import ALERT_RULES, RESTART_FOR_SECONDS, RESTART_RANGE_SECONDS, DURATION_BUCKETS, STALENESS_SECONDS
 
 
 def request_counts(log: DataFrame) -> DataFrame:
@@ -53,17 +53,6 @@ def inflight_gauge(log: DataFrame, chunk_seconds: int = S.DEFAULT_CHUNK_SECONDS)
     return S.running_sum(edges, ["method"], "edge_ts", ["delta", "request_id"], "delta", "in_flight", chunk_seconds)
 
 
-def counter_samples(log: DataFrame, series: Sequence[str] = ("route",), reset_every: int = 50,
-                    chunk_seconds: int = S.DEFAULT_CHUNK_SECONDS, keep_keys: bool = False) -> DataFrame:
-    """A cumulative request counter per series sampled at each request, made to
-    reset to zero every ``reset_every`` requests (a restarted process).
-    ``keep_keys`` keeps the (series, chunk) partition columns for a chained
-    ``counter_increase`` / ``counter_rate`` with the same series and chunk width."""
-    d = S.running_sum(log.select(*series, "request_id", "ts"), list(series), "ts", ["request_id"],
-                      F.lit(1), "_n", chunk_seconds, keep_keys=keep_keys)
-    return d.withColumn("counter", (F.col("_n") % reset_every).cast("double")).drop("_n")
-
-
 def counter_deltas(samples: DataFrame, series: Sequence[str], value: str = "counter",
                    chunk_seconds: int = S.DEFAULT_CHUNK_SECONDS) -> DataFrame:
     """Non-negative per-sample increase: ``v - prev``; after a reset (``v < prev``)
@@ -172,19 +161,22 @@ def stream_lag(offsets: DataFrame) -> DataFrame:
 
 
 def rules_frame(spark, rules=ALERT_RULES) -> DataFrame:
-    return spark.createDataFrame(list(rules), "alert string, metric string, op string, threshold double, "
-                                              "for_seconds int, severity string")
+    return spark.createDataFrame(list(rules), "alert string, metric string, matchers map<string,string>, op string, "
+                                              "threshold double, for_seconds int, severity string")
 
 
 def alert_rules(samples: DataFrame, rules: DataFrame, staleness_seconds: int = STALENESS_SECONDS,
                 chunk_seconds: int = S.DEFAULT_CHUNK_SECONDS) -> DataFrame:
     """Evaluate threshold rules with ``for`` durations over long-format samples
-    ``(sample_id, metric, instance, ts, value)``: each rule's predicate
+    ``(sample_id, metric, labels, instance, ts, value)``. A rule takes the samples of
+    its metric whose label map has all its matchers' values; its predicate
     (``==``, ``>``, ``<``, ``>=``, ``<=``, ``!=`` against its threshold) is taken per
     (rule, instance) series; runs of true samples (a false sample or a stale gap
     ends a run) become alert islands, ``fired`` when the run lasts ``for``.
     The rules table is joined by metric (a plain equi-join; it is tiny)."""
     j = samples.join(rules, "metric")
+    wanted = F.forall(F.map_keys("matchers"), lambda k: F.col("labels")[k].eqNullSafe(F.col("matchers")[k]))
+    j = j.filter(wanted)
     v, t = F.col("value"), F.col("threshold")
     pred = (F.when(F.col("op") == "==", v == t).when(F.col("op") == ">", v > t).when(F.col("op") == "<", v < t)
             .when(F.col("op") == ">=", v >= t).when(F.col("op") == "<=", v <= t).when(F.col("op") == "!=", v != t))
@@ -194,3 +186,11 @@ def alert_rules(samples: DataFrame, rules: DataFrame, staleness_seconds: int = S
     dur = seconds_between(F.col("end_ts"), F.col("start_ts"))
     return runs.select("alert", "severity", "instance", "start_ts", "end_ts", "samples",
                        dur.alias("duration_seconds"), (dur >= F.col("for_seconds")).alias("fired"))
+
+
+def restart_alerts(samples: DataFrame, series: Sequence[str], value: str = "counter",
+                   range_seconds: int = RESTART_RANGE_SECONDS, for_seconds: int = RESTART_FOR_SECONDS,
+                   staleness_seconds: int = STALENESS_SECONDS, chunk_seconds: int = S.DEFAULT_CHUNK_SECONDS) -> DataFrame:
+    """``increase(counter[range]) > 0`` that holds for ``for_seconds``, per series."""
+    inc = counter_increase(samples, series, range_seconds, "_increase", value, chunk_seconds)
+    return sustained(inc, series, "ts", ["request_id"], F.col("_increase") > 0, for_seconds, staleness_seconds, chunk_seconds)

@@ -405,20 +405,20 @@ def q_inflight_gauge(spark, sf):
 
 @register("counter_increase")
 def q_counter_increase(spark, sf):
-    samples = M.counter_samples(_log(spark, sf), ["route"], keep_keys=True)
+    samples = tt.counter_samples(_log(spark, sf), ["route"], keep_keys=True)
     return rounded(M.counter_increase(samples, ["route"], 900, "increase_15m"))
 
 
 @register("counter_rate")
 def q_counter_rate(spark, sf):
-    samples = M.counter_samples(_log(spark, sf), ["route"], keep_keys=True)
+    samples = tt.counter_samples(_log(spark, sf), ["route"], keep_keys=True)
     return rounded(M.counter_rate(samples, ["route"], 300, "rate_5m"))
 
 
 @register("request_rate")
 def q_request_rate(spark, sf):
     series = ["method", "route", "status"]
-    samples = M.counter_samples(_log(spark, sf), series, keep_keys=True)
+    samples = tt.counter_samples(_log(spark, sf), series, keep_keys=True)
     return rounded(M.rate_by_labels(samples, series, ["route", "status"], 300, 60))
 
 
@@ -440,6 +440,12 @@ def q_alert_rules(spark, sf):
     return rounded(M.alert_rules(samples, M.rules_frame(spark)))
 
 
+@register("restart_alerts")
+def q_restart_alerts(spark, sf):
+    samples = tt.counter_samples(_log(spark, sf), ["route"], keep_keys=True)
+    return rounded(M.restart_alerts(samples, ["route"]))
+
+
 @register("status_tiles")
 def q_status_tiles(spark, sf):
     log = _log(spark, sf)

@@ -9,7 +9,7 @@ DOUBLE outputs are rounded as ``round(x * 1e6) / 1e6`` like the Spark side.
 
 from __future__ import annotations
 
-from skyroll.schema import ALERT_RULES, DOUBLE_METRICS, ROLLUP_MEASURES, STALENESS_SECONDS, WEATHER_COLUMNS
+from skyroll.schema import DOUBLE_METRICS, ROLLUP_MEASURES, STALENESS_SECONDS, WEATHER_COLUMNS
 
 
 def R(expr: str, alias: str) -> str:
@@ -383,21 +383,27 @@ def oracle_sql() -> dict[str, str]:
         "            FROM (SELECT window_start, firing, lag(firing) OVER (ORDER BY window_start) AS pf, "
         "                         lag(window_start) OVER (ORDER BY window_start) AS pts FROM ratio))) "
         "WHERE firing GROUP BY isl")
-    rules = ", ".join(f"('{a}', '{m}', '{o}', CAST({t} AS DOUBLE), {f}, '{sv}')" for a, m, o, t, f, sv in ALERT_RULES)
+    rules = (
+        "('WeatherApiDown', 'up', 'weather-api', '==', 0.0, 120, 'critical'), "
+        "('WeatherDatabaseDown', 'weather_database_up', NULL, '==', 0.0, 120, 'critical'), "
+        "('WeatherIngestionNeedsBackfill', 'weather_ingestion_requires_backfill', NULL, '==', 1.0, 300, 'warning'), "
+        "('WeatherProducerConsumerGap', 'weather_ingestion_gap_seconds', 'producer_consumer', '>', 120.0, 300, 'warning'), "
+        "('KubernetesDeploymentUnavailable', 'kube_deployment_status_replicas_unavailable', NULL, '>', 0.0, 300, 'warning')")
     q["alert_rules"] = (
         "WITH samples AS (SELECT event_id AS sample_id, "
         "CASE event_id % 4 WHEN 0 THEN 'up' WHEN 1 THEN 'weather_database_up' "
         "WHEN 2 THEN 'weather_ingestion_requires_backfill' ELSE 'weather_ingestion_gap_seconds' END AS metric, "
-        "event_type AS instance, ts, "
+        "CASE event_id % 8 WHEN 0 THEN 'weather-api' WHEN 4 THEN 'other' WHEN 3 THEN 'producer_consumer' "
+        "WHEN 7 THEN 'source_database' END AS label, event_type AS instance, ts, "
         "CASE WHEN event_id % 4 < 2 THEN (CASE WHEN event_type = 'error' THEN 0.0 ELSE 1.0 END) "
         "WHEN event_id % 4 = 2 THEN (CASE WHEN event_type IN ('click', 'error') "
         "AND ts >= TIMESTAMP '2024-01-28 00:00:00' THEN 1.0 ELSE 0.0 END) ELSE value END AS value FROM events), "
-        f"rules AS (SELECT * FROM (VALUES {rules}) t(alert, metric, op, threshold, for_seconds, severity)), "
+        f"rules AS (SELECT * FROM (VALUES {rules}) t(alert, metric, label, op, threshold, for_seconds, severity)), "
         "flagged AS (SELECT r.alert, r.severity, r.for_seconds, s.instance, s.ts, s.sample_id, "
         "  CASE r.op WHEN '==' THEN s.value = r.threshold WHEN '>' THEN s.value > r.threshold "
         "  WHEN '<' THEN s.value < r.threshold WHEN '>=' THEN s.value >= r.threshold "
         "  WHEN '<=' THEN s.value <= r.threshold WHEN '!=' THEN s.value <> r.threshold END AS flag "
-        "  FROM samples s JOIN rules r ON r.metric = s.metric), "
+        "  FROM samples s JOIN rules r ON r.metric = s.metric AND (r.label IS NULL OR r.label = s.label)), "
         "lagged AS (SELECT *, lag(flag) OVER w AS pf, lag(ts) OVER w AS pts FROM flagged "
         "  WINDOW w AS (PARTITION BY alert, instance ORDER BY ts, sample_id)), "
         f"started AS (SELECT *, CASE WHEN coalesce(flag, false) AND (NOT coalesce(pf, false) "
@@ -408,6 +414,19 @@ def oracle_sql() -> dict[str, str]:
         + R("date_diff('microsecond', min(ts), max(ts)) / 1e6", "duration_seconds") + ", "
         "date_diff('microsecond', min(ts), max(ts)) / 1e6 >= max(for_seconds) AS fired "
         "FROM isl WHERE coalesce(flag, false) GROUP BY alert, severity, instance, island")
+    q["restart_alerts"] = _with(LOG, COUNTER).rstrip() + ",\n" + (
+        "inc AS (SELECT route, request_id, ts, sum(delta) OVER (PARTITION BY route ORDER BY ts "
+        "  RANGE BETWEEN INTERVAL 600 SECOND PRECEDING AND CURRENT ROW) > 0 AS flag FROM d2), "
+        "lagged AS (SELECT *, lag(flag) OVER w AS pf, lag(ts) OVER w AS pts FROM inc "
+        "  WINDOW w AS (PARTITION BY route ORDER BY ts, request_id)), "
+        "started AS (SELECT *, CASE WHEN flag AND (NOT coalesce(pf, false) "
+        "  OR date_diff('microsecond', pts, ts) > 300000000) THEN 1 ELSE 0 END AS st FROM lagged), "
+        "isl AS (SELECT *, sum(st) OVER (PARTITION BY route ORDER BY ts, request_id "
+        "  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS island FROM started) "
+        "SELECT route, min(ts) AS start_ts, max(ts) AS end_ts, count(*) AS samples, "
+        + R("date_diff('microsecond', min(ts), max(ts)) / 1e6", "duration_seconds") + ", "
+        "date_diff('microsecond', min(ts), max(ts)) / 1e6 >= 300 AS fired "
+        "FROM isl WHERE flag GROUP BY route, island")
     q["status_tiles"] = _with(LOG) + (
         "SELECT method, up AS last_value, ts AS last_ts, CASE up WHEN 0 THEN 'DOWN' WHEN 1 THEN 'UP' END AS text "
         "FROM (SELECT *, row_number() OVER (PARTITION BY method ORDER BY ts DESC, request_id DESC) AS rn FROM ("

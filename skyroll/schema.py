@@ -200,15 +200,18 @@ STATE_SCHEMA = T.StructType([
 ])
 STATE_COLUMNS = tuple(f.name for f in STATE_SCHEMA.fields)
 
-# Alert rules on metric samples (name, metric, comparison,
-# threshold, for seconds, severity). The error-ratio rule is a ratio of sums
-# and is evaluated by ``monitor.error_ratio`` instead.
+# Alert rules on metric samples (name, metric, label matchers,
+# comparison, threshold, for seconds, severity). The error-ratio rule is a ratio
+# of sums (``monitor.error_ratio``), the restart rule an increase of a counter
+# (``monitor.restart_alerts``).
 ALERT_RULES = (
-    ("WeatherApiDown", "up", "==", 0.0, 120, "critical"),
-    ("WeatherDatabaseDown", "weather_database_up", "==", 0.0, 120, "critical"),
-    ("WeatherIngestionNeedsBackfill", "weather_ingestion_requires_backfill", "==", 1.0, 300, "warning"),
-    ("WeatherProducerConsumerGap", "weather_ingestion_gap_seconds", ">", 120.0, 300, "warning"),
-    ("KubernetesDeploymentUnavailable", "kube_deployment_status_replicas_unavailable", ">", 0.0, 300, "warning"),
+    ("WeatherApiDown", "up", {"job": "weather-api"}, "==", 0.0, 120, "critical"),
+    ("WeatherDatabaseDown", "weather_database_up", {}, "==", 0.0, 120, "critical"),
+    ("WeatherIngestionNeedsBackfill", "weather_ingestion_requires_backfill", {}, "==", 1.0, 300, "warning"),
+    ("WeatherProducerConsumerGap", "weather_ingestion_gap_seconds", {"stage": "producer_consumer"}, ">", 120.0, 300, "warning"),
+    ("KubernetesDeploymentUnavailable", "kube_deployment_status_replicas_unavailable", {}, ">", 0.0, 300, "warning"),
 )
+# A counter's increase over this range above 0 for so long is a restart alert.
+RESTART_RANGE_SECONDS, RESTART_FOR_SECONDS = 600, 300
 # A series without a sample for this long is stale: a run of true samples ends.
 STALENESS_SECONDS = 300

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skyroll.operators import series as S
 from skyroll.functions.time import floor_to_bucket, ntz, yyyymmdd
 from skyroll.schema import WEATHER_COLUMNS
 
@@ -148,12 +149,24 @@ def request_log(e: DataFrame) -> DataFrame:
     )
 
 
+def counter_samples(log: DataFrame, series: tuple[str, ...] | list[str] = ("route",), reset_every: int = 50,
+                    chunk_seconds: int = S.DEFAULT_CHUNK_SECONDS, keep_keys: bool = False) -> DataFrame:
+    """A cumulative request counter per series sampled at each request, made to
+    reset to zero every ``reset_every`` requests (a restarted process).
+    ``keep_keys`` keeps the (series, chunk) partition columns for a chained
+    ``counter_increase`` / ``counter_rate`` with the same series and chunk width."""
+    d = S.running_sum(log.select(*series, "request_id", "ts"), list(series), "ts", ["request_id"],
+                      F.lit(1), "_n", chunk_seconds, keep_keys=keep_keys)
+    return d.withColumn("counter", (F.col("_n") % reset_every).cast("double")).drop("_n")
+
+
 def metric_samples(e: DataFrame) -> DataFrame:
-    """Long-format metric samples ``(sample_id, metric, instance, ts, value)``:
+    """Long-format metric samples ``(sample_id, metric, labels, instance, ts, value)``:
     each event is one sample of one of four gauges (by ``event_id % 4``) for the
     instance ``event_type``: api up (0 for error requests), database up (same
     rule), requires-backfill (1 for click/error from Jan 28, when their database
-    mark stops) and a gap in seconds (the event value)."""
+    mark stops) and a gap in seconds (the event value). Every other up sample is of
+    another job and every other gap of another stage."""
     eid, et, t = F.col("event_id"), F.col("event_type"), F.col("ts")
     metric = (F.when(eid % 4 == 0, F.lit("up")).when(eid % 4 == 1, F.lit("weather_database_up"))
               .when(eid % 4 == 2, F.lit("weather_ingestion_requires_backfill"))
@@ -161,5 +174,10 @@ def metric_samples(e: DataFrame) -> DataFrame:
     down = F.when(et == "error", F.lit(0.0)).otherwise(F.lit(1.0))
     behind = F.when(et.isin("click", "error") & (t >= ntz("2024-01-28 00:00:00")), F.lit(1.0)).otherwise(F.lit(0.0))
     value = F.when(eid % 4 < 2, down).when(eid % 4 == 2, behind).otherwise(F.col("value"))
-    return e.select(eid.alias("sample_id"), metric.alias("metric"), et.alias("instance"), t.alias("ts"),
+    mine = eid % 8 < 4
+    label = (F.when(eid % 4 == 0, F.create_map(F.lit("job"), F.when(mine, F.lit("weather-api")).otherwise(F.lit("other"))))
+             .when(eid % 4 == 3, F.create_map(F.lit("stage"), F.when(mine, F.lit("producer_consumer"))
+                                              .otherwise(F.lit("source_database"))))
+             .otherwise(F.create_map().cast("map<string,string>")))
+    return e.select(eid.alias("sample_id"), metric.alias("metric"), label.alias("labels"), et.alias("instance"), t.alias("ts"),
                     value.alias("value"))
