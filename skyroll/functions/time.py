@@ -11,15 +11,20 @@ from skyroll.schema import BUCKET_ORIGIN
 EPOCH_NTZ = "1970-01-01 00:00:00"
 
 # Extended ISO-8601 accepted by the parse: a full date, optional time with optional
-# minutes, seconds and fraction, optional zone (Z, +HH, +HHMM, +HH:MM).
-_EXTENDED = (r"^\d{4}-\d{2}-\d{2}"
-             r"([T ]\d{2}(:\d{2}(:\d{2}(\.\d{1,9})?)?)?)?"
-             r"(Z|[+-]\d{2}(:?\d{2})?)?$")
+# minutes, seconds and fraction, optional zone (Z, +HH, +HHMM, +HH:MM, +HH:MM:SS).
+# Group 1 is the wall clock; the zone is checked and dropped.
+_EXTENDED = (r"^(\d{4}-\d{2}-\d{2}"
+             r"([T ]\d{2}(:\d{2}(:\d{2}(\.\d{1,6})?)?)?)?)\d*"
+             r"(Z|[+-]([01]\d|2[0-3])(:?\d{2}(:?\d{2}(\.\d{1,6})?)?)?)?$")
+# ISO week dates, with and without separators: year, week, optional day of the week.
+_WEEK = r"^(\d{4})(?:-W(\d{2})(?:-([1-7]))?|W(\d{2})([1-7])?)(?![\dW-])"
 # Basic forms (no separators) rewritten to the extended form first.
 _BASIC_REWRITES = (
     (r"^(\d{4})(\d{2})(\d{2})T(\d{2})(\d{2})(\d{2})", "$1-$2-$3T$4:$5:$6"),
     (r"^(\d{4})(\d{2})(\d{2})T(\d{2})(\d{2})(?![\d:])", "$1-$2-$3T$4:$5"),
     (r"^(\d{4})(\d{2})(\d{2})(?=T|$)", "$1-$2-$3"),
+    # A comma may stand before the fraction.
+    (r"(:\d{2}),(?=\d)", "$1."),
     # Any single character may separate date and time.
     (r"^(\d{4}-\d{2}-\d{2})[^\d](\d{2})", "$1T$2"),
 )
@@ -42,10 +47,20 @@ def parse_local_ts(text) -> Column:
     matching the extended pattern is cast (a non-match extracts ``''`` -> NULL).
     Each sub-expression is used once, so the optimizer never copies it.
     """
-    s = F.trim(_col(text))
+    s = _week_as_day(_col(text))
     for pattern, repl in _BASIC_REWRITES:
         s = F.regexp_replace(s, pattern, repl)
-    return F.regexp_extract(s, _EXTENDED, 0).try_cast("timestamp_ntz")
+    return F.regexp_extract(s, _EXTENDED, 1).try_cast("timestamp_ntz")
+
+
+def _week_as_day(text: Column) -> Column:
+    """An ISO week date at the start of a text as year-month-day; other texts, and weeks a year doesn't have, as they are."""
+    part = lambda *groups: F.coalesce(*[F.nullif(F.regexp_extract(text, _WEEK, g), F.lit("")) for g in groups])
+    week = part(2, 4).cast("int")
+    monday = F.date_trunc("week", F.make_date(part(1).cast("int"), F.lit(1), F.lit(4))).cast("date")
+    day = F.date_add(monday, (week - 1) * 7 + F.coalesce(part(3, 5).cast("int"), F.lit(1)) - 1)
+    real = F.weekofyear(day) == week
+    return F.when(text.rlike(_WEEK), F.when(real, F.concat(day.cast("string"), F.regexp_replace(text, _WEEK, ""))).otherwise(text)).otherwise(text)
 
 
 def epoch_micros(ts) -> Column:

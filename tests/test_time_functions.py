@@ -17,7 +17,21 @@ def test_parse_local_ts_forms(spark):
     got = _one(spark, [(t,) for t in texts], "s string", parse_local_ts(F.col("s")))
     wall = dt.datetime(2024, 7, 1, 12, 34, 56)
     assert got == [wall, wall, wall, wall.replace(microsecond=500000), wall, None, None, None, None,
-                   dt.datetime(2024, 7, 1, 12, 0, 0), wall, wall, wall]
+                   dt.datetime(2024, 7, 1, 12, 0, 0), None, wall, wall]
+
+
+def test_parse_local_ts_as_the_standard_library(spark):
+    texts = ["2024-W05-3", "2024-W05", "2024W053T12:00:00", "2020-W53-7T01:02:03Z", "2021-W53-1", "2024-W00-1", "2024-W05-8", "2024-W053",
+             "2024-07-01T12:34:56,5", "2024-07-01T12:34:56.1234567", "2024-07-01T12:34:56+05:30:15", "2024-07-01T12:34:56-23:59",
+             "2024-07-01T12:34:56+24:00", "2024-07-01T12:34:56+05:60", " 2024-07-01", "2024-07-01 ", "2024-02-30", "2024-07-01T25:00",
+             "2024-07-01T12", "2024-07-01T12:3", "20240701", "20240701T1234", "2024-07-01x12:00", "1999-W52-7", "2015-W01-1T00:00:00.000001Z"]
+    def want(t):
+        try:
+            return dt.datetime.fromisoformat(t).replace(tzinfo=None)
+        except ValueError:
+            return None
+    got = _one(spark, [(t,) for t in texts], "s string", parse_local_ts(F.col("s")))
+    assert dict(zip(texts, got)) == {t: want(t) for t in texts}
 
 
 def test_iso_text_fraction(spark):
