@@ -290,6 +290,7 @@ class Postings:
 
 PAIR = pa.schema([("bucket", pa.int32()), ("x", pa.int64()), ("y", pa.int64()), ("score", pa.int64()), ("more", pa.bool_())])
 PAIRS = "bucket int, x long, y long, score long, more boolean"
+OTHERS = pa.schema([("x", pa.int64()), ("ys", pa.list_(pa.int64()))])
 NAMED = pa.schema([("id", pa.int64()), ("tokens", pa.list_(pa.int64()))])
 
 
@@ -320,12 +321,16 @@ def similar(posted: DataFrame, plan: B.Layout, percent: int) -> DataFrame:
 
     def all_others(sent: pa.Table, asked: pa.Table) -> pa.Table:
         if not asked.num_rows or not sent.num_rows:
-            return PAIR.empty_table()
+            return OTHERS.empty_table()
         p = Postings(sent)
         wanted = np.isin(p.one, asked.column("x").to_numpy().view(np.uint64))
         parts = [(later[wanted[later]], earlier[wanted[later]]) for later, earlier, _ in p.pairs(percent)]
-        x, y = (np.concatenate([part[i] for part in parts] or [np.zeros(0, np.int64)]) for i in (0, 1))
-        return pair_table(p, asked.column("bucket")[0].as_py(), x, y, np.zeros(len(x), np.int64), np.zeros(len(x), bool))
+        x, y = (p.one[np.concatenate([part[i] for part in parts] or [np.zeros(0, np.int64)])].view(np.int64) for i in (0, 1))
+        order = np.lexsort((y, x))
+        x, y = x[order], y[order]
+        first = np.flatnonzero(np.diff(x, prepend=~x[:1]) != 0) if len(x) else np.zeros(0, np.int64)
+        lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(y)), pa.int32()), pa.array(y))
+        return pa.table([pa.array(x[first]), lists], schema=OTHERS)
 
     def named(sent: pa.Table, asked: pa.Table) -> pa.Table:
         if not asked.num_rows or not sent.num_rows:
@@ -359,8 +364,10 @@ def similar(posted: DataFrame, plan: B.Layout, percent: int) -> DataFrame:
     firsts = verified(firsts.withColumnRenamed("_y", "y"))
     failed = firsts.where("not ok and more").select("x")
     asked = nearest.select("bucket", "x").join(failed, "x", "left_semi")
-    others = posted.groupBy("bucket").cogroup(asked.groupBy("bucket")).applyInArrow(all_others, PAIRS)
-    others = verified(others.select("x", "y").distinct())
+    others = posted.groupBy("bucket").cogroup(asked.groupBy("bucket")).applyInArrow(all_others, "x long, ys array<long>")
+    # a pair shares several words: it is listed once before it becomes a row
+    once = others.groupBy("x").agg(F.array_distinct(F.flatten(F.collect_list("ys"))).alias("ys"))
+    others = verified(once.select("x", F.explode("ys").alias("y")))
     found = firsts.where("ok").select("x").union(others.where("ok").select("x")).distinct()
     return found.withColumn("bucket", to_bucket("x"))
 
