@@ -3,11 +3,13 @@
 Each document gets its text counts; a fixed rule rejects texts that are too
 short or repeat too much. The others become vectors of transformed statistics,
 and each (language, source) group gets a robust mean and covariance from
-concentration steps: keep the share of rows nearest to the current estimate,
-estimate again from those. Rows beyond a Mahalanobis cutoff are rejected.
+concentration steps: keep the half of the rows nearest to the current estimate,
+estimate again from those; at the end once more from all rows that are not far.
+Half is the most that still withstands close to half of a group being junk.
+Rows beyond a Mahalanobis cutoff are rejected.
 
 Every step is a map-side combined aggregate over all rows of the narrow
-statistics table. The nearest share is found from a histogram of distances, so
+statistics table. The nearest half is found from a histogram of distances, so
 no group is ever sorted or gathered, however many rows it has. Vectors are
 whole numbers (fixed point) and their sums decimals, so a recomputed task gives
 the same sums in any order.
@@ -15,7 +17,9 @@ the same sums in any order.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import functools
+import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,10 +34,10 @@ SYMBOLS = b"#*$%&|<>"
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 #: Steps of a unit in a transformed statistic.
 SCALE = 4096
-#: Share of a group that the estimate is made from.
-SUPPORT = 0.75
+#: Share of a normal cloud whose distances count in the last estimate of a group.
+REWEIGHT = 0.975
 #: Rows that a group needs for an estimate of its own, and concentration steps.
-MIN_ROWS, STEPS = 60, 5
+MIN_ROWS, STEPS = 60, 10
 #: Bins for each doubling of the squared distance.
 BINS = 16
 #: Least standard deviation of each dimension: below it a deviation isn't worth a rejection.
@@ -46,6 +50,27 @@ PAIRS = [(i, j) for i in range(DIMS) for j in range(i, DIMS)]
 NAMES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
+def chi_square(x: float, more: int = 0) -> float:
+    """Chi-square distribution function for DIMS (5) degrees of freedom, or with ``more`` = 2 for 7."""
+    head = math.erf(math.sqrt(x / 2)) - math.sqrt(2 * x / math.pi) * math.exp(-x / 2) * (1 + x / 3)
+    return head - (math.sqrt(2 * x / math.pi) * math.exp(-x / 2) * x * x / 15 if more else 0)
+
+
+@functools.cache
+def quantile(share: float) -> float:
+    """Squared distance within which this share of a normal cloud lies."""
+    low, high = 0.0, 200.0
+    for _ in range(100):
+        mid = (low + high) / 2
+        low, high = (mid, high) if chi_square(mid) < share else (low, mid)
+    return high
+
+
+def consistency(share: float) -> float:
+    """What the covariance of the nearest share of a normal cloud is multiplied with to give the cloud's."""
+    return share / chi_square(quantile(share), 2) if share < 1 else 1.0
+
+
 def count_texts(texts: pa.ChunkedArray | pa.Array) -> dict[str, np.ndarray]:
     """The five counts of each text, whole."""
     in_word = space_class()
@@ -127,19 +152,21 @@ def vectors() -> list[Column]:
 
 
 def moments(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Count, sums and sums of products of the vectors per group; exact."""
+    """Count, sums and sums of products of the vectors per group; exact. _total is the group's size."""
     total = lambda c: F.sum(c.cast("decimal(18,0)"))
     return rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"),
+        F.max("_total").alias("_total"),
         *[total(F.col(f"x{i}")).alias(f"_s{i}") for i in range(DIMS)],
         *[total(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"_q{i}{j}") for i, j in PAIRS],
     )
 
 
-def estimates(sums: DataFrame, keys: list[str], spread: float) -> DataFrame:
+def estimates(sums: DataFrame, keys: list[str], share: float | None = None) -> DataFrame:
     """Mean m0.. and inverse covariance p00.. of each group from its moments (one small matrix a row).
 
-    ``spread`` scales the covariance to undo that only the nearest rows count.
+    The covariance is scaled to undo that only the nearest rows count: ``share``
+    of a normal cloud, by default the counted share of the group.
     """
     schema = sums.schema
     fields = [f"{k} {schema[k].dataType.simpleString()}" for k in keys] + ["_n long"]
@@ -156,7 +183,7 @@ def estimates(sums: DataFrame, keys: list[str], spread: float) -> DataFrame:
                 cov = np.zeros((DIMS, DIMS))
                 for i, j in PAIRS:  # whole numbers until the last division
                     cov[i, j] = cov[j, i] = (int(d[f"_q{i}{j}"][r]) * n - int(d[f"_s{i}"][r]) * int(d[f"_s{j}"][r])) / (n * n) / SCALE**2
-                inv = np.linalg.inv(cov * spread + np.diag(floor))
+                inv = np.linalg.inv(cov * consistency(share or n / d["_total"][r]) + np.diag(floor))
                 out.append([*(mean / SCALE), *(inv[i, j] for i, j in PAIRS)])
             cols = [batch.column(k) for k in keys] + [batch.column("_n")]
             cols += [pa.array([row[c] for row in out], pa.float64()) for c in range(DIMS + len(PAIRS))]
@@ -171,8 +198,13 @@ def distance() -> Column:
     return sum(((1 if i == j else 2) * dev[i] * dev[j] * F.col(f"p{i}{j}") for i, j in PAIRS[1:]), dev[0] * dev[0] * F.col("p00"))
 
 
-def nearest(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Largest bin of distance that the nearest SUPPORT share of each group reaches.
+def half(total: Column) -> Column:
+    """Rows of a group that an estimate needs for the highest breakdown."""
+    return F.least(total, F.floor((total + DIMS + 1) / 2))
+
+
+def nearest(rows: DataFrame, keys: list[str], need: Callable[[Column], Column] = half) -> DataFrame:
+    """Per group its size, and the largest bin of distance that the nearest ``need`` of its rows reach.
 
     A group's histogram has a bounded number of bins (BINS for each power of two
     that a double can have), so summing it up is a small job for any input.
@@ -180,18 +212,20 @@ def nearest(rows: DataFrame, keys: list[str]) -> DataFrame:
     bins = rows.groupBy(*keys, "_bin").agg(F.count(F.lit(1)).alias("_c"))
     pair = F.struct(F.col("_bin").cast("long").alias("b"), F.col("_c").alias("c"))
     lists = bins.groupBy(*keys).agg(F.sort_array(F.collect_list(pair)).alias("_b"), F.sum("_c").alias("_total"))
-    return lists.select(*keys, reached("_b", SUPPORT, F.col("_total")).alias("_reach"))
+    return lists.select(*keys, "_total", reached("_b", need(F.col("_total"))).alias("_reach"))
+
 
+def middle(total: Column) -> Column:
+    return F.ceil(total / 2)
 
-def reached(pairs: str, share: float, total: Column) -> Column:
-    """First value at which the counts of a sorted array of (value, count) reach a share of the total."""
+
+def reached(pairs: str, need: Column) -> Column:
+    """First value at which the counts of a sorted array of (value, count) reach ``need``."""
     step = F.struct(F.lit(0).cast("long").alias("c"), F.lit(None).cast("long").alias("b"))
     return F.aggregate(
         pairs,
         step,
-        lambda a, x: F.struct(
-            (a["c"] + x["c"]).alias("c"), F.when(a["c"] < F.ceil(total * share), x["b"]).otherwise(a["b"]).alias("b")
-        ),
+        lambda a, x: F.struct((a["c"] + x["c"]).alias("c"), F.when(a["c"] < need, x["b"]).otherwise(a["b"]).alias("b")),
     )["b"]
 
 
@@ -200,9 +234,9 @@ def start(rows: DataFrame, keys: list[str]) -> DataFrame:
     flat = rows.select(*keys, F.posexplode(F.array(*[F.col(f"x{i}") for i in range(DIMS)])).alias("_dim", "_x"))
     counts = flat.groupBy(*keys, "_dim", F.expr("_x div 32").alias("b")).agg(F.count(F.lit(1)).alias("c"))
     lists = counts.groupBy(*keys, "_dim").agg(F.sort_array(F.collect_list(F.struct("b", "c"))).alias("_h"), F.sum("c").alias("_n"))
-    mid = lists.withColumn("_m", reached("_h", 0.5, F.col("_n")))
+    mid = lists.withColumn("_m", reached("_h", middle(F.col("_n"))))
     away = F.sort_array(F.transform("_h", lambda x: F.struct(F.abs(x["b"] - F.col("_m")).alias("b"), x["c"].alias("c"))))
-    both = mid.withColumn("_a", away).withColumn("_a", reached("_a", 0.5, F.col("_n")))
+    both = mid.withColumn("_a", away).withColumn("_a", reached("_a", middle(F.col("_n"))))
     pick = lambda c, i: F.max(F.when(F.col("_dim") == i, F.col(c)))
     wide = both.groupBy(*keys).agg(F.max("_n").alias("_n"), *[pick(c, i).alias(f"{c}{i}") for c in ("_m", "_a") for i in range(DIMS)])
     sd = [F.col(f"_a{i}") * (1.4826 * 32 / SCALE) for i in range(DIMS)]
@@ -214,18 +248,33 @@ def start(rows: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def spread() -> Column:
+    """How far a group's median squared distance is above a normal cloud's, 1 at least; from nearest(..., middle)."""
+    return F.greatest(F.lit(1.0), F.pow(F.lit(2.0), (F.col("_reach") + 0.5) / BINS) / quantile(0.5))
+
+
 def concentrated(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Minimum-covariance-determinant estimate of each group, by concentration steps from all its rows' moments."""
+    """Minimum-covariance-determinant estimate of each group, by concentration steps from all its rows' moments.
+
+    The last one counts all rows within the REWEIGHT quantile, measured by the
+    group's median distance: as resistant as the nearest half, but less noisy.
+    """
     fit = checkpointed(start(rows, keys))
     binned = F.floor(F.log2(F.col("_d") + 1e-9) * BINS).cast("int")
-    for _ in range(STEPS):
+
+    def place(fit: DataFrame) -> DataFrame:
         placed = join_small(rows, fit.drop("_n"), keys, "inner")
-        placed = placed.select(*rows.columns, distance().alias("_d")).withColumn("_bin", binned)
+        return placed.select(*rows.columns, distance().alias("_d")).withColumn("_bin", binned)
+
+    for _ in range(STEPS):
+        placed = place(fit)
         reach = checkpointed(nearest(placed, keys))
         near = join_small(placed, reach, keys, "inner").where("_bin <= _reach")
-        # the nearest three quarters of a normal cloud in five dimensions have about 0.63 of its covariance
-        fit = checkpointed(estimates(moments(near, keys), keys, 1 / 0.63))
-    return fit
+        fit = checkpointed(estimates(moments(near, keys), keys))
+    placed = place(fit)
+    reach = checkpointed(nearest(placed, keys, middle).select(*keys, "_total", spread().alias("_spread")))
+    near = join_small(placed, reach, keys, "inner").where(F.col("_d") <= quantile(REWEIGHT) * F.col("_spread"))
+    return checkpointed(estimates(moments(near, keys), keys, REWEIGHT))
 
 
 KEYS = ["_lang", "_source"]

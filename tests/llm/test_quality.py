@@ -2,6 +2,7 @@ import random
 import re
 
 import pyarrow as pa
+import pytest
 
 from skyroll.llm import quality
 
@@ -55,3 +56,31 @@ def test_pipeline_rows(documents, odd_rows):
 def test_empty_table(documents):
     assert quality.judge(documents([]), ["doc_id"]).count() == 0
     assert quality.passing(documents([])).count() == 0
+
+
+@pytest.fixture
+def grouped(spark):
+    """Maker of a documents table from (doc_id, text, lang, source) rows."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    return lambda rows: spark.createDataFrame([(*r, len(r[1])) for r in rows], schema)
+
+
+def spoilt(text, share, rng):
+    return " ".join(x + rng.choice(["$$$", "###", "&&&", "***"]) if rng.random() < share else x for x in text.split())
+
+
+def mixture(first, n, junk, share, rng, lang, source):
+    """n rows, of which the last ``junk`` have symbols in a share of their words."""
+    texts = [prose(rng.randint(60, 400), rng) for _ in range(n)]
+    texts[n - junk :] = [spoilt(t, share, rng) for t in texts[n - junk :]]
+    return [(first + i, t, lang, source) for i, t in enumerate(texts)]
+
+
+def test_junk_up_to_nearly_half_of_a_group_goes(grouped):
+    rng = random.Random(2)
+    sizes = {0: 30, 1000: 60, 2000: 90}  # first id and junk rows of 200
+    rows = [r for first, junk in sizes.items() for r in mixture(first, 200, junk, 1, rng, "en", f"s{first}")]
+    kept = {r.doc_id for r in quality.judge(grouped(rows), ["doc_id"]).collect() if r.kept}
+    for first, junk in sizes.items():
+        assert not kept & set(range(first + 200 - junk, first + 200))
+        assert len(kept & set(range(first, first + 200 - junk))) >= 0.97 * (200 - junk)
