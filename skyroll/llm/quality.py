@@ -6,7 +6,8 @@ and each (language, source) group gets a robust mean and covariance from
 concentration steps: keep the half of the rows nearest to the current estimate,
 estimate again from those; at the end once more from all rows that are not far.
 Half is the most that still withstands close to half of a group being junk.
-Rows beyond a Mahalanobis cutoff are rejected.
+Rows beyond the 99.9 % distance of a normal cloud, measured by the group's
+median distance, are rejected.
 
 Every step is a map-side combined aggregate over all rows of the narrow
 statistics table. The nearest half is found from a histogram of distances, so
@@ -37,14 +38,13 @@ SCALE = 4096
 #: Share of a normal cloud whose distances count in the last estimate of a group.
 REWEIGHT = 0.975
 #: Rows that a group needs for an estimate of its own, and concentration steps.
-MIN_ROWS, STEPS = 60, 10
+MIN_ROWS, STEPS = 60, 5
 #: Bins for each doubling of the squared distance.
 BINS = 16
 #: Least standard deviation of each dimension: below it a deviation isn't worth a rejection.
 LEAST_SD = (0.05, 0.02, 0.05, 0.05, 0.05)
-#: Squared Mahalanobis distance beyond which a row is rejected. Text statistics have longer tails than a normal
-#: distribution, so this is far beyond its usual quantiles (5 dimensions: 99.9 % is 20.5).
-CUTOFF = 150.0
+#: Share of a normal cloud within the distance beyond which a row is rejected (the squared distance is 20.5).
+WITHIN = 0.999
 DIMS = 5
 PAIRS = [(i, j) for i in range(DIMS) for j in range(i, DIMS)]
 NAMES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -139,14 +139,19 @@ def slices(batch: pa.RecordBatch, size: int = 2 << 20) -> Iterator[pa.RecordBatc
 
 
 def vectors() -> list[Column]:
-    """Fixed-point transforms: log words, log mean word length, and shares of symbols, repeats and repeated lines."""
+    """Fixed-point transforms: log words, log mean word length, and shares of symbols, repeats and repeated lines.
+
+    Repeats have long tails in clean text, most of all in short ones, where one
+    repeated phrase is a large share: theirs is the share, not its root, of the
+    words and MIN_WORDS more, and repeated lines count by an eighth of their log.
+    """
     words = F.greatest(F.col("n_words"), F.lit(1))
     shares = (
         F.log(words) / 4,
         F.log((F.col("word_chars") + 1) / words),
         F.sqrt(F.col("n_symbols") / F.greatest(F.col("word_chars"), F.lit(1))),
-        F.sqrt(F.col("n_repeat_words") / words),
-        F.log1p(F.col("n_dup_lines").cast("double")) / 4,
+        F.col("n_repeat_words") / (words + MIN_WORDS),
+        F.log1p(F.col("n_dup_lines").cast("double")) / 8,
     )
     return [F.round(x * SCALE).cast("long").alias(f"x{i}") for i, x in enumerate(shares)]
 
@@ -274,11 +279,13 @@ def concentrated(rows: DataFrame, keys: list[str]) -> DataFrame:
     placed = place(fit)
     reach = checkpointed(nearest(placed, keys, middle).select(*keys, "_total", spread().alias("_spread")))
     near = join_small(placed, reach, keys, "inner").where(F.col("_d") <= quantile(REWEIGHT) * F.col("_spread"))
-    return checkpointed(estimates(moments(near, keys), keys, REWEIGHT))
+    fit = checkpointed(estimates(moments(near, keys), keys, REWEIGHT))
+    cut = nearest(place(fit), keys, middle).select(*keys, (spread() * quantile(WITHIN)).alias("cut"))
+    return checkpointed(join_small(fit, checkpointed(cut), keys, "inner"))
 
 
 KEYS = ["_lang", "_source"]
-PARAMS = [f"m{i}" for i in range(DIMS)] + [f"p{i}{j}" for i, j in PAIRS]
+PARAMS = [f"m{i}" for i in range(DIMS)] + [f"p{i}{j}" for i, j in PAIRS] + ["cut"]
 
 
 def measured(df: DataFrame, carry: list[str], text: str, lang: str, source: str) -> DataFrame:
@@ -310,7 +317,7 @@ def verdict(rows: DataFrame, fitted: tuple[DataFrame, dict[str, float]] | None)
         return rows.select(*result, (~F.col("base_failed")).alias("kept"), F.lit(None).cast("double").alias("distance"))
     own, common = fitted
     filled = join_small(rows, own, KEYS, "left").withColumns({p: F.coalesce(p, F.lit(common[p])) for p in PARAMS})
-    kept = ~F.col("base_failed") & (F.col("distance") <= CUTOFF)
+    kept = ~F.col("base_failed") & (F.col("distance") <= F.col("cut"))
     return filled.withColumn("distance", distance()).select(*result, kept.alias("kept"), "distance")
 
 

@@ -84,3 +84,11 @@ def test_junk_up_to_nearly_half_of_a_group_goes(grouped):
     for first, junk in sizes.items():
         assert not kept & set(range(first + 200 - junk, first + 200))
         assert len(kept & set(range(first, first + 200 - junk))) >= 0.97 * (200 - junk)
+
+
+def test_part_junk_goes(grouped):
+    rng = random.Random(3)
+    rows = mixture(0, 200, 40, 0.3, rng, "en", "a") + mixture(1000, 200, 70, 0.5, rng, "en", "b")
+    kept = {r.doc_id for r in quality.judge(grouped(rows), ["doc_id"]).collect() if r.kept}
+    assert not kept & {*range(160, 200), *range(1130, 1200)}
+    assert len(kept) >= 0.97 * (160 + 130)
