@@ -7,7 +7,8 @@ concentration steps: keep the half of the rows nearest to the current estimate,
 estimate again from those; at the end once more from all rows that are not far.
 Half is the most that still withstands close to half of a group being junk.
 Rows beyond the 99.9 % distance of a normal cloud, measured by the group's
-median distance, are rejected.
+median distance, are rejected. The fewer rows a group has, the more of its
+estimate is its language's, and the fewer those are, the wider the cutoff.
 
 Every step is a map-side combined aggregate over all rows of the narrow
 statistics table. The nearest half is found from a histogram of distances, so
@@ -37,7 +38,7 @@ MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 SCALE = 4096
 #: Share of a normal cloud whose distances count in the last estimate of a group.
 REWEIGHT = 0.975
-#: Rows that a group needs for an estimate of its own, and concentration steps.
+#: Rows at which a group's estimate is half its own and half its language's, and concentration steps.
 MIN_ROWS, STEPS = 60, 5
 #: Bins for each doubling of the squared distance.
 BINS = 16
@@ -71,6 +72,22 @@ def consistency(share: float) -> float:
     return share / chi_square(quantile(share), 2) if share < 1 else 1.0
 
 
+@functools.lru_cache(1 << 16)
+def cutoff(rows: float) -> float:
+    """Squared distance within which the share WITHIN of new rows lies if the estimate is from so many rows.
+
+    Hotelling's distribution: the normal quantile for many rows, without bound towards DIMS of them.
+    """
+    more = rows - DIMS
+    if more <= 0:
+        return math.inf
+    log = np.linspace(-7.0, 40.0, 8001)  # of the distance
+    density = DIMS * log - (more + DIMS) / 2 * np.logaddexp(0, 2 * log - math.log(more))
+    total = np.cumsum(np.exp(density - density.max()))
+    at = float(np.interp(WITHIN * total[-1], total, log)) + (log[1] - log[0]) / 2
+    return math.exp(2 * at) * (rows * rows - 1) / (rows * more)
+
+
 def count_texts(texts: pa.ChunkedArray | pa.Array) -> dict[str, np.ndarray]:
     """The five counts of each text, whole."""
     in_word = space_class()
@@ -167,6 +184,16 @@ def moments(rows: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def centre(d: dict[str, list], r: int, of: str = "") -> tuple[np.ndarray, np.ndarray]:
+    """Mean and covariance of row ``r`` of moments, in columns whose names end in ``of``."""
+    n = d[f"_n{of}"][r]
+    mean = np.array([int(d[f"_s{i}{of}"][r]) / n for i in range(DIMS)])
+    cov = np.zeros((DIMS, DIMS))
+    for i, j in PAIRS:  # whole numbers until the last division
+        cov[i, j] = cov[j, i] = (int(d[f"_q{i}{j}{of}"][r]) * n - int(d[f"_s{i}{of}"][r]) * int(d[f"_s{j}{of}"][r])) / (n * n) / SCALE**2
+    return mean / SCALE, cov
+
+
 def estimates(sums: DataFrame, keys: list[str], share: float | None = None) -> DataFrame:
     """Mean m0.. and inverse covariance p00.. of each group from its moments (one small matrix a row).
 
@@ -183,13 +210,9 @@ def estimates(sums: DataFrame, keys: list[str], share: float | None = None) -> D
             d = {k: batch.column(k).to_pylist() for k in batch.schema.names}
             out: list[list[float]] = []
             for r in range(batch.num_rows):
-                n = d["_n"][r]
-                mean = np.array([int(d[f"_s{i}"][r]) / n for i in range(DIMS)])
-                cov = np.zeros((DIMS, DIMS))
-                for i, j in PAIRS:  # whole numbers until the last division
-                    cov[i, j] = cov[j, i] = (int(d[f"_q{i}{j}"][r]) * n - int(d[f"_s{i}"][r]) * int(d[f"_s{j}"][r])) / (n * n) / SCALE**2
-                inv = np.linalg.inv(cov * consistency(share or n / d["_total"][r]) + np.diag(floor))
-                out.append([*(mean / SCALE), *(inv[i, j] for i, j in PAIRS)])
+                mean, cov = centre(d, r)
+                inv = np.linalg.inv(cov * consistency(share or d["_n"][r] / d["_total"][r]) + np.diag(floor))
+                out.append([*mean, *(inv[i, j] for i, j in PAIRS)])
             cols = [batch.column(k) for k in keys] + [batch.column("_n")]
             cols += [pa.array([row[c] for row in out], pa.float64()) for c in range(DIMS + len(PAIRS))]
             yield pa.RecordBatch.from_arrays(cols, names=[f.split(" ")[0] for f in fields])
@@ -259,7 +282,7 @@ def spread() -> Column:
 
 
 def concentrated(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Minimum-covariance-determinant estimate of each group, by concentration steps from all its rows' moments.
+    """Minimum-covariance-determinant estimate of each group as moments and spread, by concentration steps.
 
     The last one counts all rows within the REWEIGHT quantile, measured by the
     group's median distance: as resistant as the nearest half, but less noisy.
@@ -279,9 +302,9 @@ def concentrated(rows: DataFrame, keys: list[str]) -> DataFrame:
     placed = place(fit)
     reach = checkpointed(nearest(placed, keys, middle).select(*keys, "_total", spread().alias("_spread")))
     near = join_small(placed, reach, keys, "inner").where(F.col("_d") <= quantile(REWEIGHT) * F.col("_spread"))
-    fit = checkpointed(estimates(moments(near, keys), keys, REWEIGHT))
-    cut = nearest(place(fit), keys, middle).select(*keys, (spread() * quantile(WITHIN)).alias("cut"))
-    return checkpointed(join_small(fit, checkpointed(cut), keys, "inner"))
+    sums = checkpointed(moments(near, keys))
+    reach = nearest(place(estimates(sums, keys, REWEIGHT)), keys, middle)
+    return checkpointed(join_small(sums, checkpointed(reach.select(*keys, spread().alias("_spread"))), keys, "inner"))
 
 
 KEYS = ["_lang", "_source"]
@@ -296,38 +319,63 @@ def measured(df: DataFrame, carry: list[str], text: str, lang: str, source: str)
     return rows.select("*", failed.alias("base_failed"), *vectors())
 
 
-def fit(rows: DataFrame) -> tuple[DataFrame, dict[str, float]] | None:
-    """Estimates of the (language, source) groups and the one of all documents, from measured rows.
+def shrunk(sums: DataFrame) -> DataFrame:
+    """Estimate and cutoff of each (language, source) group, drawn towards its language's (_level 1) by MIN_ROWS.
 
-    None if too few rows pass the fixed rule. ``rows`` is read many times: give it checkpointed.
+    The weight of n own rows is n^2 / (n^2 + MIN_ROWS^2): a few rows, which junk
+    may well be most of, hardly count, and no size switches anything.
     """
-    good = rows.where("not base_failed").select(*KEYS, F.col("base_failed").cast("int").alias("_all"), *[f"x{i}" for i in range(DIMS)])
-    sizes = checkpointed(good.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("_rows")))
-    if (sizes.agg(F.sum("_rows")).first()[0] or 0) < MIN_ROWS:
-        return None
-    large = sizes.where(F.col("_rows") >= MIN_ROWS)
-    own = concentrated(_only(good.drop("_all"), large, KEYS), KEYS)
-    return own.select(*KEYS, *PARAMS), concentrated(good.drop(*KEYS), ["_all"]).first().asDict()
+    renamed = {c: f"{c}_l" for c in sums.columns if c not in ("_level", *KEYS)}
+    languages = sums.where("_level = 1").drop("_level", "_source").withColumnsRenamed(renamed)
+    both = join_small(sums.where("_level = 0").drop("_level"), languages, KEYS[:1], "inner")
+    floor = np.diag(np.array(LEAST_SD) ** 2)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            d = {k: batch.column(k).to_pylist() for k in batch.schema.names}
+            out: list[list[float]] = []
+            for r in range(batch.num_rows):
+                (mean, cov), (mean_l, cov_l) = centre(d, r), centre(d, r, "_l")
+                n, n_l = d["_n"][r], d["_n_l"][r]
+                own = n * n / (n * n + MIN_ROWS * MIN_ROWS)
+                away = mean - mean_l
+                inv = np.linalg.inv(
+                    (own * cov + (1 - own) * cov_l) * consistency(REWEIGHT) + own * (1 - own) * np.outer(away, away) + floor
+                )
+                rows = min(1 / (own * own / n + (1 - own) ** 2 / n_l), n_l)
+                wide = own * d["_spread"][r] + (1 - own) * d["_spread_l"][r]
+                out.append([*(mean_l + own * away), *(inv[i, j] for i, j in PAIRS), wide * cutoff(rows)])
+            cols = [batch.column(k) for k in KEYS] + [pa.array([row[c] for row in out], pa.float64()) for c in range(len(PARAMS))]
+            yield pa.RecordBatch.from_arrays(cols, names=[*KEYS, *PARAMS])
+
+    return both.mapInArrow(run, ", ".join([f"{k} string" for k in KEYS] + [f"{p} double" for p in PARAMS]))
+
+
+def fit(rows: DataFrame) -> DataFrame:
+    """Estimates of the (language, source) groups of measured rows, of those that pass the fixed rule.
+
+    ``rows`` is read many times: give it checkpointed.
+    """
+    good = rows.where("not base_failed").select(*KEYS, *[f"x{i}" for i in range(DIMS)])
+    levels = good.withColumn("_level", F.explode(F.array(F.lit(0), F.lit(1))))
+    levels = levels.withColumn("_source", F.when(F.col("_level") == 0, F.col("_source")))
+    return checkpointed(shrunk(concentrated(levels, ["_level", *KEYS])))
 
-def verdict(rows: DataFrame, fitted: tuple[DataFrame, dict[str, float]] | None) -> DataFrame:
+
+def verdict(rows: DataFrame, fitted: DataFrame) -> DataFrame:
     """Measured rows with kept and distance instead of the vectors."""
     result = [c for c in rows.columns if c not in (*KEYS, *[f"x{i}" for i in range(DIMS)])]
-    if fitted is None:
-        return rows.select(*result, (~F.col("base_failed")).alias("kept"), F.lit(None).cast("double").alias("distance"))
-    own, common = fitted
-    filled = join_small(rows, own, KEYS, "left").withColumns({p: F.coalesce(p, F.lit(common[p])) for p in PARAMS})
     kept = ~F.col("base_failed") & (F.col("distance") <= F.col("cut"))
-    return filled.withColumn("distance", distance()).select(*result, kept.alias("kept"), "distance")
+    return join_small(rows, fitted, KEYS, "left").withColumn("distance", distance()).select(*result, kept.alias("kept"), "distance")
 
 
 def judge(df: DataFrame, carry: list[str], text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
     """One row per input row: ``carry``, the five counts, base_failed, kept, distance.
 
-    Groups with fewer than MIN_ROWS documents that pass the fixed rule have no
-    estimate of their own and are held against the estimate over all documents;
-    where even those are fewer than MIN_ROWS only the fixed rule speaks. Null
-    languages and sources are groups of their own; null and empty texts have no
+    Small groups are held against an estimate that is mostly their language's,
+    never another's; in a language of few documents that pass the fixed rule
+    (five at most) only that rule speaks. distance is null where none of the
+    group passes it. Null languages and sources are groups of their own; null and empty texts have no
     words and fail the rule; repeated rows are judged alike; an empty table
     gives no rows. Other columns are ignored.
     """
@@ -345,10 +393,6 @@ def passing(df: DataFrame, text: str = "text", lang: str = "lang", source: str =
     return kept.select(*[F.col(n).alias(c) for c, n in of.items()])
 
 
-def _only(rows: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
-    return join_small(rows, groups.select(*keys, F.lit(1).alias("_in")), keys, "inner").drop("_in")
-
-
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, judged."""
     return judge(table(spark, sf_dir, "documents"), ["doc_id"]).drop("distance")

@@ -92,3 +92,20 @@ def test_part_junk_goes(grouped):
     kept = {r.doc_id for r in quality.judge(grouped(rows), ["doc_id"]).collect() if r.kept}
     assert not kept & {*range(160, 200), *range(1130, 1200)}
     assert len(kept) >= 0.97 * (160 + 130)
+
+
+def test_small_groups_follow_their_own_language(grouped):
+    rng = random.Random(4)
+    runs = lambda: " ".join("".join(rng.choice("かきくけこさしすせそ") for _ in range(rng.randint(8, 40))) for _ in range(rng.randint(60, 200)))
+    rows = mixture(0, 300, 0, 0, rng, "en", "big") + mixture(1000, 20, 4, 1, rng, "en", "small")
+    rows += [(first + i, runs(), lang, "s") for first, n, lang in ((2000, 59, "ja"), (3000, 60, "zh"), (4000, 4, "th")) for i in range(n)]
+    rows += [(5000, rows[315 + 1][1], "en", "one")]  # alone in its source, junk
+    kept = {r.doc_id for r in quality.judge(grouped(rows), ["doc_id"]).collect() if r.kept}
+    assert {*range(2000, 2059), *range(3000, 3060), *range(4000, 4004), *range(1000, 1016)} <= kept
+    assert not kept & {*range(1016, 1020), 5000}
+
+
+def test_cutoff_by_rows():
+    assert quality.cutoff(5) == float("inf") and abs(quality.cutoff(1e6) - quality.quantile(0.999)) < 0.2
+    values = [quality.cutoff(n) for n in (6, 7, 10, 30, 59, 60, 200)]
+    assert values == sorted(values, reverse=True) and values[4] / values[5] < 1.01
