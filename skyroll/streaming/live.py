@@ -19,7 +19,8 @@ from skyroll.schema import ROLLUP_AVG_COLUMNS, ROLLUP_MEASURES, ROLLUP_SUM_COLUM
 def live_rollup(observations: DataFrame, window: RollupWindow, watermark: str) -> DataFrame:
     """Streaming aggregate (use output mode ``update``) with the roll-up columns.
     A reading delivered again (same station and time) within the watermark counts
-    once, as first delivered."""
+    once, as first delivered: a correction of it is ignored here, and the batch refresh
+    has it."""
     et = F.col("dt").cast("timestamp")  # event-time column for the watermark (session zone UTC)
     d = observations.select("station", et.alias("_et"), *ROLLUP_MEASURES).withWatermark("_et", watermark)
     d = d.dropDuplicatesWithinWatermark(["station", "_et"])
