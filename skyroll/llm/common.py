@@ -6,6 +6,7 @@ import atexit
 import math
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -34,13 +35,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared checkpoint folder, so later jobs neither repeat nor lose it.
+def shared_folder(spark: SparkSession) -> str:
+    """A folder of this application's own in the session's ``spark.checkpoint.dir``.
 
-    The folder is the session's ``spark.checkpoint.dir``. Only a local master
-    without that setting (tests) gets a folder of its own.
+    Only a local master without that setting (tests) gets a folder elsewhere.
     """
-    spark = df.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         shared = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
@@ -49,9 +48,39 @@ def checkpointed(df: DataFrame) -> DataFrame:
                 raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             shared = tempfile.mkdtemp(prefix="checkpoint-")
         sc.setCheckpointDir(shared)
+    return sc.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared checkpoint folder, so later jobs neither repeat nor lose it."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """Like checkpointed(), as a Parquet table: its size is known from its files, so plans over many rounds stay small."""
+    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:
+    """``df`` with a long ``name`` that counts rows from 0 without gaps by ``order`` (nulls first), and _part.
+
+    A range partitioning deals the rows out, equal ones too; only the number
+    of rows of each partition is summed in one task. The result is written.
+    """
+    spread = df.withColumn("_salt", F.xxhash64(F.monotonically_increasing_id()))
+    dealt = spread.repartitionByRange(*order, "_salt").sortWithinPartitions(*order, "_salt").drop("_salt")
+    part = F.spark_partition_id()
+    row = F.monotonically_increasing_id() - F.shiftleft(part.cast("long"), 33)
+    rows = written(dealt.select("*", part.alias("_part"), row.alias("_row")))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    starts = sizes.select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
+    return rows.join(F.broadcast(starts), "_part").withColumn(name, F.col("_start") + F.col("_row")).drop("_start", "_row")
+
+
 def join_small(
     big: DataFrame, small: DataFrame, keys: list[str], how: str = "left", max_rows: int = 100_000, salts: int = 64
 ) -> DataFrame:

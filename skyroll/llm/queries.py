@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from skyroll.llm.chat import OP2_SQL, op2_chat
 from skyroll.llm.contamination import OP6_SQL, op6_decontamination
 from skyroll.llm.lines import op10_lines
+from skyroll.llm.merkle import OP12_SQL, op12_merkle
 from skyroll.llm.near import op4_near_duplicates
 from skyroll.llm.packing import op8_packing
 from skyroll.llm.pages import op9_main_text
@@ -28,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_main_text": op9_main_text,
     "op10_lines": op10_lines,
+    "op12_merkle": op12_merkle,
 }
 
 SQL: dict[str, str] = {
@@ -35,4 +37,5 @@ SQL: dict[str, str] = {
     "op2_chat": OP2_SQL,
     "op3_sharding": OP3_SQL,
     "op6_decontamination": OP6_SQL,
+    "op12_merkle": OP12_SQL,
 }
