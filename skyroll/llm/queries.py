@@ -14,6 +14,7 @@ from skyroll.llm.near import op4_near_duplicates
 from skyroll.llm.packing import op8_packing
 from skyroll.llm.pages import op9_main_text
 from skyroll.llm.quality import op7_quality
+from skyroll.llm.ranked import OP11_SQL, op11_search
 from skyroll.llm.shard import OP3_SQL, op3_sharding
 from skyroll.llm.substrings import OP1_SQL, op1_substrings
 from skyroll.llm.tokens import op5_token_counts
@@ -29,6 +30,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_main_text": op9_main_text,
     "op10_lines": op10_lines,
+    "op11_search": op11_search,
     "op12_merkle": op12_merkle,
 }
 
@@ -37,5 +39,6 @@ SQL: dict[str, str] = {
     "op2_chat": OP2_SQL,
     "op3_sharding": OP3_SQL,
     "op6_decontamination": OP6_SQL,
+    "op11_search": OP11_SQL,
     "op12_merkle": OP12_SQL,
 }
