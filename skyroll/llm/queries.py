@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from skyroll.llm.chat import OP2_SQL, op2_chat
 from skyroll.llm.contamination import OP6_SQL, op6_decontamination
+from skyroll.llm.langid import OP13_SQL, op13_language
 from skyroll.llm.lines import op10_lines
 from skyroll.llm.merkle import OP12_SQL, op12_merkle
 from skyroll.llm.near import op4_near_duplicates
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_lines": op10_lines,
     "op11_search": op11_search,
     "op12_merkle": op12_merkle,
+    "op13_language": op13_language,
 }
 
 SQL: dict[str, str] = {
@@ -41,4 +43,5 @@ SQL: dict[str, str] = {
     "op6_decontamination": OP6_SQL,
     "op11_search": OP11_SQL,
     "op12_merkle": OP12_SQL,
+    "op13_language": OP13_SQL,
 }
