@@ -16,8 +16,10 @@ EPOCH_NTZ = "1970-01-01 00:00:00"
 _EXTENDED = (r"^(\d{4}-\d{2}-\d{2}"
              r"([T ]\d{2}(:\d{2}(:\d{2}(\.\d{1,6})?)?)?)?)\d*"
              r"(Z|[+-]([01]\d|2[0-3])(:?\d{2}(:?\d{2}(\.\d{1,6})?)?)?)?$")
-# ISO week dates, with and without separators: year, week, optional day of the week.
-_WEEK = r"^(\d{4})(?:-W(\d{2})(?:-([1-7]))?|W(\d{2})([1-7])?)(?![\dW-])"
+# ISO week dates, with and without separators: year, week, optional day of the week; then the rest of the text.
+_WEEK = r"(?s)^(\d{4})(?:-W(\d{2})(?:-([1-7]))?|W(\d{2})([1-7])?)(?![\dW-])(.*)$"
+# A week date taken apart; no time text starts like this.
+_PARTS = "week|"
 # Basic forms (no separators) rewritten to the extended form first.
 _BASIC_REWRITES = (
     (r"^(\d{4})(\d{2})(\d{2})T(\d{2})(\d{2})(\d{2})", "$1-$2-$3T$4:$5:$6"),
@@ -42,25 +44,35 @@ def parse_local_ts(text) -> Column:
     """Parse an ISO-8601 text to TIMESTAMP_NTZ keeping the wall clock and
     dropping any zone offset; empty, malformed or date-less text gives NULL.
 
-    ``try_cast`` alone also accepts a bare year (``'2024'``) and rejects the basic
-    form (``20240701T120000``): the basic form is rewritten first, and only text
-    matching the extended pattern is cast (a non-match extracts ``''`` -> NULL).
-    Each sub-expression is used once, so the optimizer never copies it.
+    ``try_cast`` alone also accepts a bare year (``'2024'``), so only text matching
+    the extended pattern is cast (a non-match extracts ``''`` -> NULL). Most
+    texts do as they are; only others are rewritten, week dates and basic forms
+    (``20240701T120000``) to the extended one.
     """
-    s = _week_as_day(_col(text))
-    for pattern, repl in _BASIC_REWRITES:
-        s = F.regexp_replace(s, pattern, repl)
-    return F.regexp_extract(s, _EXTENDED, 1).try_cast("timestamp_ntz")
+    t = _col(text)
+    return F.coalesce(_cast_extended(t), wall_clock(week_parts(t)))
+
+
+def _cast_extended(text: Column) -> Column:
+    return F.regexp_extract(text, _EXTENDED, 1).try_cast("timestamp_ntz")
 
 
-def _week_as_day(text: Column) -> Column:
-    """An ISO week date at the start of a text as year-month-day; other texts, and weeks a year doesn't have, as they are."""
-    part = lambda *groups: F.coalesce(*[F.nullif(F.regexp_extract(text, _WEEK, g), F.lit("")) for g in groups])
-    week = part(2, 4).cast("int")
+def week_parts(text) -> Column:
+    """A text that starts with an ISO week date as marked parts; other texts as they are."""
+    return F.regexp_replace(_col(text), _WEEK, _PARTS + "$1|$2$4|$3$5|$6")
+
+
+def wall_clock(parts) -> Column:
+    """The timestamp of ``week_parts``; a week that its year doesn't have is NULL."""
+    m = _col(parts)
+    part = lambda i: F.split(m, r"\|", 5)[i]
+    week, day = part(2).cast("int"), F.coalesce(part(3).try_cast("int"), F.lit(1))
     monday = F.date_trunc("week", F.make_date(part(1).cast("int"), F.lit(1), F.lit(4))).cast("date")
-    day = F.date_add(monday, (week - 1) * 7 + F.coalesce(part(3, 5).cast("int"), F.lit(1)) - 1)
-    real = F.weekofyear(day) == week
-    return F.when(text.rlike(_WEEK), F.when(real, F.concat(day.cast("string"), F.regexp_replace(text, _WEEK, ""))).otherwise(text)).otherwise(text)
+    date = F.date_add(monday, (week - 1) * 7 + day - 1)
+    s = F.when(m.startswith(_PARTS), F.when(F.weekofyear(date) == week, F.concat(date.cast("string"), part(4)))).otherwise(m)
+    for pattern, repl in _BASIC_REWRITES:
+        s = F.regexp_replace(s, pattern, repl)
+    return _cast_extended(s)
 
 
 def epoch_micros(ts) -> Column:

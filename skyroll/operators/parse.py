@@ -33,7 +33,7 @@ BAD_NUMBER = "bad_number"
 
 def strip_space(text: Column) -> Column:
     """Without white space of any kind at either end."""
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    return F.btrim(text, F.lit(" \t\n\x0b\f\r"))
 
 
 def to_double(text: Column) -> Column:
@@ -69,11 +69,15 @@ def parse_lines(df: DataFrame, line_col: str = "line", default_station: str | No
     whole = (F.col("_p._corrupt_record").isNull() & (F.col("_p._end") == 1) & (F.size("_p._o") == 1)
              & (~F.col("_line").contains("]") | (F.size(F.json_object_keys(F.concat(F.lit('{"_o":['), F.col("_line"), F.lit('],"_end":1}')))) == 2)))
     d = df.select(*keep, pinned).select(*keep, "_line", F.when(whole, F.get("_p._o", F.lit(0))).alias("_o"))
+    # The two times are bound the same way: as columns of the wide projection below their
+    # rare forms would make its code too large to compile.
+    times = F.struct(parse_local_ts("_o.dt").alias("_dt"), parse_local_ts("_o.server.svr_dt").alias("_svr_dt"))
+    d = d.select(*keep, "_line", "_o", F.inline(F.array(times)))
     if default_station is not None:
         station = first_present("_o.node.hostname", default_station)
     else:
         station = first_present("_o.station", "_o.node.hostname")
-    dt = parse_local_ts("_o.dt")
+    dt = F.col("_dt")
     is_object = F.col("_o").isNotNull()
     numbers = [F.col(f"_o.{c}") for c in WEATHER_COLUMNS if c in DOUBLE_METRICS or c in BIGINT_METRICS]
     numbers += [F.col("_o.node.uptime_seconds"), F.col("_o.node.millis")]
@@ -106,7 +110,7 @@ def parse_lines(df: DataFrame, line_col: str = "line", default_station: str | No
         elif c == "server_rmt_ip":
             e = F.col("_o.server.rmt_ip")
         elif c == "server_svr_dt":
-            e = parse_local_ts("_o.server.svr_dt")
+            e = F.col("_svr_dt")
         else:  # pragma: no cover - every column is listed above
             raise KeyError(c)
         cols.append(e.alias(c))

@@ -18,6 +18,9 @@ DEFAULT_CONF = {
     # constraint inference grow exponentially in the optimizer; the inferred
     # IS NOT NULL join filters it would add are not needed by these plans.
     "spark.sql.constraintPropagation.enabled": "false",
+    # The JVM only interprets methods of more than 8,000 bytes; wide projections
+    # are faster as many small methods than as one of whole-stage code.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -40,7 +43,8 @@ def build_session(master: str | None = None, app_name: str = "skyroll",
 
 def apply_session_defaults(spark: SparkSession) -> None:
     """Set the runtime SQL settings the library depends on (idempotent)."""
-    for k in ("spark.sql.session.timeZone", "spark.sql.adaptive.enabled", "spark.sql.constraintPropagation.enabled"):
+    for k in ("spark.sql.session.timeZone", "spark.sql.adaptive.enabled", "spark.sql.constraintPropagation.enabled",
+              "spark.sql.codegen.hugeMethodLimit"):
         spark.conf.set(k, DEFAULT_CONF[k])
 
 

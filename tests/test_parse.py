@@ -60,3 +60,25 @@ def test_forwarded_line_has_no_space_left(spark):
     df = spark.createDataFrame([('{"a":1}\t',), ("  {}\r\n",), ('\n{"a":"}"} ',)], "line string")
     got = [json.loads(r[0]) for r in df.select(enrich_line(F.col("line"), {"station": F.lit("s")})).collect()]
     assert got == [{"a": 1, "station": "s"}, {"station": "s"}, {"a": "}", "station": "s"}]
+
+
+def test_generated_code_compiles(spark, tmp_path):
+    """No method beyond 64 KB: the parse's generated code is compiled and not given up for interpreted rows."""
+    log4j = spark._jvm.org.apache.logging.log4j
+    name = "org.apache.spark.sql.catalyst.expressions.codegen.CodeGenerator"
+    context = log4j.LogManager.getContext(False)
+    layout = spark._jvm.org.apache.logging.log4j.core.layout.PatternLayout.createDefaultLayout()
+    file = tmp_path / "codegen.log"
+    appender = (spark._jvm.org.apache.logging.log4j.core.appender.FileAppender.newBuilder()
+                .withFileName(str(file)).setName("codegen-test").setLayout(layout).build())
+    appender.start()
+    logger = context.getLogger(name)
+    logger.addAppender(appender)
+    try:
+        df = spark.createDataFrame([(f'{{"dt":"2024-01-01T00:00:0{i}","station":"a","lux_avg_lx":{i}}}',) for i in range(5)], "line string")
+        parsed = parse_lines(df)
+        assert good_rows(parsed).count() == 5 and len(parsed.collect()) == 5 and reject_rows(parsed).count() == 0
+    finally:
+        logger.removeAppender(appender)
+        appender.stop()
+    assert "grows beyond" not in file.read_text()
