@@ -186,6 +186,7 @@ def oracle_sql() -> dict[str, str]:
     for w in ("day", "week", "month", "year"):
         q[f"rollup_{w}"] = BASE_RU + f"SELECT {RU_COLS} FROM ru WHERE window_name = '{w}'"
     q["rollup_all"] = BASE_RU + f"SELECT {RU_COLS} FROM ru"
+    q["rollup_incremental"] = q["rollup_all"]
     q["rollup_profile"] = BASE_RU + (
         "SELECT window_name, station, count(*) AS row_count, min(bucket_ts) AS earliest_bucket, "
         "max(bucket_ts) AS latest_bucket FROM ru GROUP BY window_name, station")

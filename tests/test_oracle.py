@@ -14,7 +14,7 @@ from check import frame_hash  # noqa: E402
 from skyroll.sources.testtables import TABLES  # noqa: E402
 
 SF = "/root/testdata/sf0.01"
-NAMES = ["rollup_all", "upsert_observations", "latest_merge", "parse_observations", "reject_rows",
+NAMES = ["rollup_all", "rollup_incremental", "upsert_observations", "latest_merge", "parse_observations", "reject_rows",
          "backfill_window", "ingestion_status", "reconcile_merge", "history_chart", "conditions_card",
          "counter_rate", "request_rate", "sustained_alerts", "alert_rules", "duration_histogram", "listing_links"]
 
