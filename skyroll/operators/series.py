@@ -11,6 +11,11 @@ time chunks and partitions by ``(series, chunk)``:
 * trailing range sums of width ``W <= chunk``: rows in the last ``W`` of a chunk
   are copied into the next chunk as context rows (``W / chunk`` extra rows).
 
+A chunk that holds more than ``MAX_CHUNK_ROWS`` is split: fine bins of it are put
+together up to that many rows, and a bin that is still too large is split the same
+way. So one series that has most rows within one hour, or one second, is spread
+like any other; only rows of one microsecond stay together.
+
 The per-chunk tables have ``#series x #chunks`` rows; they are joined back with a
 plain equi-join so AQE broadcasts them only when their measured size is small.
 Results are exact and independent of the chunk width.
@@ -26,6 +31,10 @@ from pyspark.sql import functions as F
 from skyroll.functions.time import epoch_micros
 
 DEFAULT_CHUNK_SECONDS = 6 * 3600
+#: Rows of one chunk beyond which it is split, bins that it is counted in, and rows of a split's table that are broadcast.
+MAX_CHUNK_ROWS = 1_000_000
+BINS = 360
+MAX_BROADCAST_ROWS = 1_000_000
 
 _CHUNK = "_chunk"
 _SK = "_sk"
@@ -53,7 +62,36 @@ def _keyed(df: DataFrame, series: Sequence[str], ts: str, chunk_seconds: int) ->
     chained helpers stay on one hash partitioning instead of re-shuffling."""
     if _SK in df.columns and _CHUNK in df.columns:
         return df
-    return with_chunk(_with_key(df, series), ts, chunk_seconds)
+    return _split_dense(with_chunk(_with_key(df, series), ts, chunk_seconds), ts, chunk_seconds)
+
+
+def _dense(d: DataFrame) -> DataFrame:
+    """Chunks of more than MAX_CHUNK_ROWS rows; at most one for each so many rows of the input."""
+    return d.groupBy(_SK, _CHUNK).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > MAX_CHUNK_ROWS).select(_SK, _CHUNK)
+
+
+def _split_dense(d: DataFrame, ts: str, chunk_seconds: int) -> DataFrame:
+    """Chunks of more than MAX_CHUNK_ROWS rows as several, which keep the order of time."""
+    width, us = int(chunk_seconds) * 1_000_000, epoch_micros(ts)
+    while width > 1:
+        dense = _dense(d)
+        if dense.isEmpty():
+            break
+        width = -(-width // BINS)
+        step = F.lit(width)
+        fine = us - F.pmod(us - F.col(_CHUNK), step)
+        bins = (d.join(dense, [_SK, _CHUNK], "left_semi").withColumn("_bin", fine)
+                .groupBy(_SK, _CHUNK, "_bin").agg(F.count(F.lit(1)).alias("_n")))
+        # At most BINS rows a chunk are ordered here. Pieces of whole bins hold half of the rows allowed and one bin more.
+        half = F.lit(MAX_CHUNK_ROWS / 2)
+        before = F.sum("_n").over(Window.partitionBy(_SK, _CHUNK).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1))
+        bins = bins.withColumn("_piece", F.floor(F.coalesce(before, F.lit(0)) / half)).withColumn("_alone", F.col("_n") > half)
+        first = F.min("_bin").over(Window.partitionBy(_SK, _CHUNK, "_piece", "_alone"))
+        bins = bins.select(_SK, _CHUNK, "_bin", first.alias("_from"))
+        few = bins.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS
+        d = d.withColumn("_bin", fine).join(F.broadcast(bins) if few else bins, [_SK, _CHUNK, "_bin"], "left")
+        d = d.withColumn(_CHUNK, F.coalesce("_from", _CHUNK)).drop("_bin", "_from")
+    return d
 
 
 def _finish(df: DataFrame, keep_keys: bool) -> DataFrame:
@@ -115,6 +153,8 @@ def trailing_sum(df: DataFrame, series: Sequence[str], ts: str, value: Column |
     included), chunk-parallel with context rows copied from the previous chunk."""
     if range_seconds > chunk_seconds:
         chunk_seconds = range_seconds
+    elif not _dense(with_chunk(_with_key(df.drop(_SK, _CHUNK), series), ts, chunk_seconds)).isEmpty():
+        chunk_seconds = range_seconds  # every row is copied once, but no chunk is longer than the range
     v = F.col(value) if isinstance(value, str) else value
     width = int(chunk_seconds) * 1_000_000
     rng = int(range_seconds) * 1_000_000

@@ -79,3 +79,48 @@ def test_hot_key_is_spread_across_tasks(spark):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
         spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert max(shares) / len(rows) < 0.25
+
+
+def _dense_samples(spark, n=3000):
+    """One series has 90 % of all rows, within one hour, a third of them within one second."""
+    rnd = random.Random(11)
+    rows = []
+    for i in range(n):
+        if rnd.random() < 0.9:
+            us = rnd.randint(0, 10**6) if rnd.random() < 0.33 else rnd.randint(0, 3600 * 10**6)
+            rows.append((i, "hot", BASE + dt.timedelta(hours=30, microseconds=us), float(rnd.randint(-3, 9)), rnd.random() < 0.7))
+        else:
+            rows.append((i, rnd.choice(["hot", "a", None]), BASE + dt.timedelta(seconds=rnd.randint(0, 3 * 86400)), 1.0, rnd.random() < 0.7))
+    return spark.createDataFrame(rows, "id long, k string, ts timestamp_ntz, v double, flag boolean")
+
+
+@pytest.mark.parametrize("broadcast_rows", [S.MAX_BROADCAST_ROWS, 0])
+def test_dense_hour_is_exact(spark, monkeypatch, broadcast_rows):
+    df = _dense_samples(spark).persist()
+    monkeypatch.setattr(S, "MAX_CHUNK_ROWS", 100)
+    monkeypatch.setattr(S, "MAX_BROADCAST_ROWS", broadcast_rows)
+    order = Window.partitionBy("k").orderBy("ts", "id")
+    want = _rows(df.withColumn("rs", F.sum("v").over(order)), ["id", "rs"])
+    assert _rows(S.running_sum(df, ["k"], "ts", ["id"], "v", "rs"), ["id", "rs"]) == want
+    want = _rows(df.withColumn("p_id", F.lag("id").over(order)), ["id", "p_id"])
+    assert _rows(S.previous_values(df, ["k"], "ts", ["id"], ["id"], "p_"), ["id", "p_id"]) == want
+    us = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("ts"))
+    w = Window.partitionBy("k").orderBy(us).rangeBetween(-300 * 1_000_000, 0)
+    want = _rows(df.withColumn("t", F.sum("v").over(w)), ["id", "t"])
+    assert _rows(S.trailing_sum(df, ["k"], "ts", "v", "t", 300), ["id", "t"]) == want
+    df.unpersist()
+
+
+def test_dense_hour_is_spread_across_tasks(spark, monkeypatch):
+    df = _dense_samples(spark)
+    monkeypatch.setattr(S, "MAX_CHUNK_ROWS", 100)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        out = S.running_sum(df, ["k"], "ts", ["id"], "v", "rs")
+        shares = [r["n"] for r in out.select("rs", F.spark_partition_id().alias("p")).groupBy("p").agg(F.count("rs").alias("n")).collect()]
+        chunks = S._keyed(df, ["k"], "ts", S.DEFAULT_CHUNK_SECONDS).groupBy(S._SK, S._CHUNK).count().agg(F.max("count")).first()[0]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert chunks <= 100 and max(shares) / 3000 < 0.25
