@@ -97,6 +97,58 @@ def rate_by_labels(samples: DataFrame, series: Sequence[str], by: Sequence[str],
             .agg((F.sum("delta") / F.lit(float(range_seconds))).alias(f"rate_{range_seconds // 60}m")))
 
 
+def range_vector(samples: DataFrame, series: Sequence[str], range_seconds: int, step_seconds: int,
+                 value: str = "counter", tiebreak: str = "request_id",
+                 chunk_seconds: int = S.DEFAULT_CHUNK_SECONDS) -> DataFrame:
+    """``increase(counter[range])`` and ``rate(counter[range])`` of each series at every step of a grid.
+
+    The evaluation times are the multiples of ``step_seconds`` from a series'
+    first sample to the last whose window ``(eval - range, eval]`` holds one.
+    The reset-corrected increase from the window's first to its last sample is
+    extrapolated to the window's ends: up to the whole distance where it is
+    below 1.1 of the mean distance of the samples, otherwise by half of that
+    mean, and never back beyond the time at which the counter was zero. A window with fewer than two samples, or
+    all of one time, has NULLs. Each (series, step) is first summed up by one
+    partial aggregate; a window merges ``range / step`` of these."""
+    if range_seconds % step_seconds:
+        raise ValueError("range must be a multiple of the step")
+    d = counter_deltas(samples.select(*series, "ts", tiebreak, value).withColumnRenamed(tiebreak, "request_id"),
+                       series, value, chunk_seconds)
+    floor = floor_to_bucket("ts", step_seconds)
+    end = F.when(floor == F.col("ts"), floor).otherwise(F.timestamp_add("SECOND", F.lit(step_seconds), floor))
+    first = F.struct("ts", "request_id", F.col(value).alias("v"), F.col("delta").alias("d"))
+    cells = d.groupBy(*series, end.alias("_end")).agg(
+        F.min(first).alias("_first"), F.max("ts").alias("_last"), F.count(F.lit(1)).alias("_n"), F.sum("delta").alias("_sum"))
+    # One row per series and evaluation time, empty or not: a cell counts in the windows of the steps after it.
+    steps = range_seconds // step_seconds
+    ends = F.transform(F.sequence(F.lit(0), F.lit(steps - 1)), lambda i: F.timestamp_add("SECOND", i * step_seconds, F.col("_end")))
+    merged = cells.withColumn("eval_ts", F.explode(ends)).groupBy(*series, "eval_ts").agg(
+        F.min("_first").alias("_first"), F.max("_last").alias("_last"), F.sum("_n").alias("samples"), F.sum("_sum").alias("_sum"))
+    span = cells.groupBy(*series).agg(F.min("_end").alias("_from"), F.max("_end").alias("_to"))
+    span = span.withColumn("_to", F.timestamp_add("SECOND", F.lit(range_seconds - step_seconds), F.col("_to")))
+    count = F.timestamp_diff("SECOND", F.col("_from"), F.col("_to")) / F.lit(step_seconds)
+    grid = span.withColumn("_i", F.explode(F.sequence(F.lit(0).cast("long"), count.cast("long"))))
+    grid = grid.select(*[F.col(c).alias(f"_g_{c}") for c in series],
+                       F.timestamp_add("SECOND", F.col("_i") * step_seconds, F.col("_from")).alias("_g_ts"))
+    match = F.col("eval_ts") == F.col("_g_ts")
+    for c in series:
+        match = match & F.col(c).eqNullSafe(F.col(f"_g_{c}"))
+    j = grid.join(merged, match, "left")
+
+    increase = F.col("_sum") - F.col("_first.d")
+    start = F.timestamp_add("SECOND", F.lit(-range_seconds), F.col("_g_ts"))
+    sampled = seconds_between(F.col("_last"), F.col("_first.ts"))
+    mean = sampled / (F.col("samples") - 1)
+    to_start, to_end = seconds_between(F.col("_first.ts"), start), seconds_between(F.col("_g_ts"), F.col("_last"))
+    reach = lambda gap: F.when(gap >= mean * 1.1, mean / 2).otherwise(gap)
+    to_zero = F.when((increase > 0) & (F.col("_first.v") >= 0), sampled * (F.col("_first.v") / increase))
+    wide = sampled + F.least(reach(to_start), to_zero) + reach(to_end)
+    extrapolated = F.when((F.col("samples") > 1) & (sampled > 0), increase * (wide / sampled))
+    return j.select(*[F.col(f"_g_{c}").alias(c) for c in series], F.col("_g_ts").alias("eval_ts"),
+                    F.coalesce("samples", F.lit(0)).alias("samples"), extrapolated.alias("increase"),
+                    (extrapolated / F.lit(float(range_seconds))).alias("rate"))
+
+
 def error_ratio(log: DataFrame, window_seconds: int = 300, step_seconds: int = 60,
                 threshold: float = 0.05, floor: float = 0.001) -> DataFrame:
     """Per sliding window (``window_seconds`` long, every ``step_seconds``):

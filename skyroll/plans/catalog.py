@@ -436,6 +436,12 @@ def q_request_rate(spark, sf):
     return rounded(M.rate_by_labels(samples, series, ["route", "status"], 300, 60))
 
 
+@register("rate_range")
+def q_rate_range(spark, sf):
+    series = ["method", "route", "status"]
+    return rounded(M.range_vector(tt.counter_samples(_log(spark, sf), series), series, 3600, 900))
+
+
 @register("error_ratio")
 def q_error_ratio(spark, sf):
     return rounded(M.error_ratio(_log(spark, sf)))

@@ -372,6 +372,26 @@ def oracle_sql() -> dict[str, str]:
         "SELECT route, status, e0 + to_minutes(CAST(k AS BIGINT)) AS eval_ts, "
         + R("sum(delta) / 300.0", "rate_5m") +
         " FROM d3 CROSS JOIN (SELECT unnest([0, 1, 2, 3, 4]) AS k) GROUP BY ALL")
+    q["rate_range"] = _with(LOG).rstrip() + ",\n" + (
+        "cs AS (SELECT method, route, status, request_id, ts, CAST((row_number() OVER "
+        "  (PARTITION BY method, route, status ORDER BY ts, request_id)) % 50 AS DOUBLE) AS v FROM log), "
+        "dl AS (SELECT *, lag(v) OVER (PARTITION BY method, route, status ORDER BY ts, request_id) AS p FROM cs), "
+        "ds AS (SELECT *, CASE WHEN p IS NULL THEN 0.0 WHEN v < p THEN v ELSE v - p END AS delta, "
+        "  time_bucket(INTERVAL 15 MINUTE, ts - INTERVAL 1 MICROSECOND, TIMESTAMP '2000-01-01 00:00:00') + INTERVAL 15 MINUTE AS step_end FROM dl), "
+        "span AS (SELECT method, route, status, min(step_end) AS lo, max(step_end) + INTERVAL 45 MINUTE AS hi FROM ds GROUP BY ALL), "
+        "grid AS (SELECT method, route, status, unnest(generate_series(lo, hi, INTERVAL 15 MINUTE)) AS eval_ts FROM span), "
+        "w AS (SELECT g.method, g.route, g.status, g.eval_ts, count(s.ts) AS samples, min(s.ts) AS t0, max(s.ts) AS t1, "
+        "  arg_min(s.v, (s.ts, s.request_id)) AS v0, sum(s.delta) - arg_min(s.delta, (s.ts, s.request_id)) AS inc "
+        "  FROM grid g LEFT JOIN ds s ON s.method = g.method AND s.route = g.route AND s.status = g.status "
+        "  AND s.ts > g.eval_ts - INTERVAL 1 HOUR AND s.ts <= g.eval_ts GROUP BY ALL), "
+        "x AS (SELECT *, date_diff('microsecond', t0, t1) / 1e6 AS sampled, date_diff('microsecond', eval_ts - INTERVAL 1 HOUR, t0) / 1e6 AS a, "
+        "  date_diff('microsecond', t1, eval_ts) / 1e6 AS b FROM w), "
+        "y AS (SELECT *, CASE WHEN a >= sampled / (samples - 1) * 1.1 THEN sampled / (samples - 1) / 2 ELSE a END AS a2, "
+        "  CASE WHEN b >= sampled / (samples - 1) * 1.1 THEN sampled / (samples - 1) / 2 ELSE b END AS b2, "
+        "  CASE WHEN inc > 0 AND v0 >= 0 THEN sampled * (v0 / inc) END AS z FROM x WHERE samples > 1 AND sampled > 0), "
+        "e AS (SELECT *, inc * ((sampled + CASE WHEN z < a2 THEN z ELSE a2 END + b2) / sampled) AS increase FROM y) "
+        f"SELECT w.method, w.route, w.status, w.eval_ts, w.samples, {R('e.increase', 'increase')}, {R('e.increase / 3600.0', 'rate')} "
+        "FROM w LEFT JOIN e USING (method, route, status, eval_ts)")
     q["error_ratio"] = _with(LOG, RATIO) + (
         f"SELECT window_start, window_end, requests, errors, {R('error_ratio', 'error_ratio')}, firing FROM ratio")
     q["sustained_alerts"] = _with(LOG, RATIO) + (

@@ -48,3 +48,45 @@ def test_listing_rule(spark):
     pages = spark.createDataFrame([(1, "u", html)], "page_id long, url string, html string")
     got = [r.href for r in listing_links(pages).collect()]
     assert got == ["20240630.txt", "20240701.txt", "20240701_b.txt"]
+
+
+def _extrapolated(window, start, end):
+    """The published rule for counters over (time in seconds, value) samples of one window."""
+    if len(window) < 2 or window[0][0] == window[-1][0]:
+        return None
+    increase = sum(b if b < a else b - a for (_, a), (_, b) in zip(window, window[1:]))
+    sampled = window[-1][0] - window[0][0]
+    mean = sampled / (len(window) - 1)
+    to_start, to_end = window[0][0] - start, end - window[-1][0]
+    if to_start >= mean * 1.1:
+        to_start = mean / 2
+    if increase > 0 and window[0][1] >= 0:
+        to_start = min(to_start, sampled * window[0][1] / increase)
+    if to_end >= mean * 1.1:
+        to_end = mean / 2
+    return increase * (sampled + to_start + to_end) / sampled
+
+
+def test_range_vector_on_a_grid(spark):
+    import random
+    rnd = random.Random(2)
+    rows, at = [], {}
+    for name in ("a", "b", None):
+        t, v = 7, float(rnd.randint(0, 3))
+        for _ in range(60):
+            t += rnd.choice([0, 1, 20, 60, 61, 400, 1300])
+            v = 0.0 if rnd.random() < 0.1 else v + rnd.randint(0, 5)
+            at.setdefault(name, []).append((t, v))
+            rows.append((name, len(rows), BASE + dt.timedelta(seconds=t), v))
+    s = spark.createDataFrame(rows, "route string, request_id long, ts timestamp_ntz, counter double")
+    got = {(r.route, int((r.eval_ts - BASE).total_seconds())): r for r in M.range_vector(s, ["route"], 300, 60).collect()}
+    want = {}
+    for name, samples in at.items():
+        first, last = -(-samples[0][0] // 60) * 60, -(-samples[-1][0] // 60) * 60 + 240
+        for end in range(first, last + 1, 60):
+            want[name, end] = [x for x in samples if end - 300 < x[0] <= end]
+    assert set(got) == set(want) and any(not w for w in want.values())
+    for (name, end), window in want.items():
+        r, x = got[name, end], _extrapolated(window, end - 300, end)
+        assert r.samples == len(window)
+        assert (r.increase is None) == (x is None) and (x is None or (abs(r.increase - x) < 1e-9 and abs(r.rate - x / 300) < 1e-9))
