@@ -217,24 +217,26 @@ def rules_frame(spark, rules=ALERT_RULES) -> DataFrame:
                                               "threshold double, for_seconds int, severity string")
 
 
-def alert_rules(samples: DataFrame, rules: DataFrame, staleness_seconds: int = STALENESS_SECONDS,
-                chunk_seconds: int = S.DEFAULT_CHUNK_SECONDS) -> DataFrame:
-    """Evaluate threshold rules with ``for`` durations over long-format samples
-    ``(sample_id, metric, labels, instance, ts, value)``. A rule takes the samples of
-    its metric whose label map has all its matchers' values; its predicate
-    (``==``, ``>``, ``<``, ``>=``, ``<=``, ``!=`` against its threshold) is taken per
-    (rule, instance) series; runs of true samples (a false sample or a stale gap
-    ends a run) become alert islands, ``fired`` when the run lasts ``for``.
-    The rules table is joined by metric (a plain equi-join; it is tiny)."""
+def flagged(samples: DataFrame, rules: DataFrame) -> DataFrame:
+    """The samples of each rule's metric whose label map has all its matchers' values, with ``_flag``: whether its
+    predicate (``==``, ``>``, ``<``, ``>=``, ``<=``, ``!=`` against its threshold) holds. The rules table is joined by
+    metric (a plain equi-join; it is tiny)."""
     j = samples.join(rules, "metric")
     wanted = F.forall(F.map_keys("matchers"), lambda k: F.col("labels")[k].eqNullSafe(F.col("matchers")[k]))
-    j = j.filter(wanted)
     v, t = F.col("value"), F.col("threshold")
     pred = (F.when(F.col("op") == "==", v == t).when(F.col("op") == ">", v > t).when(F.col("op") == "<", v < t)
             .when(F.col("op") == ">=", v >= t).when(F.col("op") == "<=", v <= t).when(F.col("op") == "!=", v != t))
+    return j.filter(wanted).withColumn("_flag", pred)
+
+
+def alert_rules(samples: DataFrame, rules: DataFrame, staleness_seconds: int = STALENESS_SECONDS,
+                chunk_seconds: int = S.DEFAULT_CHUNK_SECONDS) -> DataFrame:
+    """Evaluate threshold rules with ``for`` durations over long-format samples
+    ``(sample_id, metric, labels, instance, ts, value)``. ``flagged`` samples make
+    a series per (rule, instance); runs of true samples (a false sample or a stale gap
+    ends a run) become alert islands, ``fired`` when the run lasts ``for``."""
     series = ["alert", "severity", "for_seconds", "instance"]
-    runs = S.islands(j.withColumn("_flag", pred), series, "ts", ["sample_id"], "_flag",
-                     staleness_seconds, chunk_seconds)
+    runs = S.islands(flagged(samples, rules), series, "ts", ["sample_id"], "_flag", staleness_seconds, chunk_seconds)
     dur = seconds_between(F.col("end_ts"), F.col("start_ts"))
     return runs.select("alert", "severity", "instance", "start_ts", "end_ts", "samples",
                        dur.alias("duration_seconds"), (dur >= F.col("for_seconds")).alias("fired"))
