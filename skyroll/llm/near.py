@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyroll.llm import blocks as B
-from skyroll.llm.common import checkpointed, table
+from skyroll.llm.common import table, written
 from skyroll.llm.graph import components
 from skyroll.llm.words import hash_words, mix, space_class, split_words, window_hashes
 
@@ -229,22 +229,33 @@ def links(pairs: DataFrame, texts: DataFrame, documents: int) -> DataFrame:
     return with_y.select("x", "y", "_x", "_y").mapInArrow(verify, "x binary, y binary, similarity double")
 
 
-def apart(entries: DataFrame) -> DataFrame:
-    """Pairs of one band and different components whose signatures allow the threshold, each from its first common band."""
+def apart(entries: DataFrame, documents: int) -> DataFrame:
+    """Links (x, y) of one band between different components, enough of them to join all that the band's links join.
+
+    Texts of the band's largest component are compared with the others alone.
+    A pair is verified from its first common band, unless links found before
+    join its components already; so a band gives fewer links than it has components.
+    """
 
     def compare(rows: pa.Table) -> pa.Table:
         cid = np.array(rows.column("cid").to_pylist(), dtype=object)
-        part = np.unique(np.array(rows.column("component").to_pylist(), dtype=object), return_inverse=True)[1]
+        part, sizes = np.unique(np.array(rows.column("component").to_pylist(), dtype=object), return_inverse=True, return_counts=True)[1:]
         signature = np.frombuffer(b"".join(rows.column("signature").to_pylist()), np.uint8).reshape(-1, SAMPLES)
         bands = np.array(rows.column("bands").to_pylist(), dtype=np.int64)
+        vectors = rows.column("vector")
         this = int(np.flatnonzero(bands[0] == rows.column("band")[0].as_py())[0])
+        outside = part != sizes.argmax()
         xs, ys = [], []
-        for i in range(len(cid) - 1):
-            j = np.flatnonzero(part[i + 1 :] != part[i]) + i + 1
+        for i in np.flatnonzero(outside):
+            # each pair of two outsiders once
+            j = np.flatnonzero((part != part[i]) & (~outside | (np.arange(len(cid)) > i)))
             j = j[(signature[j] == signature[i]).sum(axis=1) >= least_agreement()]
             j = j[~(bands[j, :this] == bands[i, :this]).any(axis=1)]
-            xs += [cid[i]] * len(j)
-            ys += cid[j].tolist()
+            for k in j.tolist():
+                if part[k] != part[i] and similarity(vectors[int(i)].as_py(), vectors[k].as_py(), documents) >= THRESHOLD - 1e-9:
+                    xs.append(cid[i])
+                    ys.append(cid[k])
+                    part[part == part[k]] = part[i]
         return pa.table({"x": pa.array(xs, pa.binary()), "y": pa.array(ys, pa.binary())})
 
     return entries.groupBy("band").applyInArrow(compare, "x binary, y binary")
@@ -256,28 +267,28 @@ def near_classes(dealt: DataFrame, plan: B.Layout) -> DataFrame:
     ``kept`` marks the documents with their class's smallest (key, content).
     """
     documents = dealt.count()
-    every = checkpointed(sketches(dealt, plan, documents))
+    every = written(sketches(dealt, plan, documents))
     texts = every.where(F.col("vector").isNotNull()).groupBy("cid").agg(
         F.any_value("vector").alias("vector"), F.any_value("signature").alias("signature"), F.any_value("bands").alias("bands")
     )
-    texts = checkpointed(texts)
+    texts = written(texts)
     entries = texts.select("cid", F.explode("bands").alias("band"))
     crowds = entries.groupBy("band").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    met = checkpointed(entries.join(crowds, "band"))
+    met = written(entries.join(crowds, "band"))
     company = met.groupBy("cid").agg(F.sum("_n").alias("_company"))
     hubs = met.join(company, "cid").groupBy("band").agg(F.max(F.struct("_company", "cid"))["cid"].alias("y"))
     pairs = met.join(hubs, "band").where("cid <> y").select(F.col("cid").alias("x"), "y").distinct()
     # written in between, so that no task runs two Python workers
-    first = checkpointed(links(checkpointed(possible(pairs, texts)), texts, documents))
+    first = written(links(written(possible(pairs, texts)), texts, documents))
     joined = components(first, "x", "y")
     placed = met.join(joined.withColumnRenamed("node", "cid"), "cid", "left").select("cid", "band", F.coalesce("component", "cid").alias("component"))
     mixed = placed.groupBy("band").agg(F.min("component").alias("_a"), F.max("component").alias("_b")).where("_a <> _b").select("band")
-    rest = placed.join(mixed, "band").join(texts.select("cid", "signature", "bands"), "cid")
-    second = links(apart(rest).distinct(), texts, documents)
+    rest = placed.join(mixed, "band").join(texts.select("cid", "signature", "bands", "vector"), "cid")
+    second = apart(rest, documents)
     of = joined.select("node", "component")
     across = second.join(of.select(F.col("node").alias("x"), F.col("component").alias("_cx")), "x", "left")
     across = across.join(of.select(F.col("node").alias("y"), F.col("component").alias("_cy")), "y", "left")
-    across = checkpointed(across.select(F.coalesce("_cx", "x").alias("a"), F.coalesce("_cy", "y").alias("b")))
+    across = written(across.select(F.coalesce("_cx", "x").alias("a"), F.coalesce("_cy", "y").alias("b")))
     merged = components(across, "a", "b").select(F.col("node").alias("component"), F.col("component").alias("_merged"))
     contents = texts.select("cid").join(joined.withColumnRenamed("node", "cid"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
     contents = contents.join(merged, "component", "left").select("cid", F.coalesce("_merged", "component").alias("component"))
@@ -285,7 +296,10 @@ def near_classes(dealt: DataFrame, plan: B.Layout) -> DataFrame:
     firsts = least.join(contents, "cid")
     heads = firsts.groupBy("component").agg(F.min("_first").alias("_head"))
     known = firsts.join(heads, "component").select("cid", "_head")
-    own = every.select("_id", "_key", "block", "n_shingles", "cid").join(known, "cid", "left")
+    own = every.select("_id", "_key", "block", "n_shingles", "cid")
+    # documents without a partner have no cid; they take no part in the join
+    alone = own.where(F.col("cid").isNull()).withColumn("_head", F.lit(None).cast(known.schema["_head"].dataType))
+    own = own.where(F.col("cid").isNotNull()).join(known, "cid", "left").unionByName(alone)
     kept = F.col("_head").isNull() | (F.col("_head._key").eqNullSafe(F.col("_key")) & (F.col("_head.cid") == F.col("cid")))
     return own.select(
         "_id", "_key", "block", "n_shingles", F.when(F.col("_head").isNull(), F.col("_key")).otherwise(F.col("_head._key")).alias("class_key"), kept.alias("kept")
