@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skyroll.llm.common import checkpointed, ship, table
+from skyroll.llm.common import ship, table, written
 from skyroll.llm.contamination import clean
 from skyroll.llm.lines import with_lines_removed
 from skyroll.llm.near import without_near_duplicates
@@ -60,10 +60,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of ``sf_dir``; what a stage keeps is checkpointed for the next."""
+    """All stages over the documents of ``sf_dir``; what a stage keeps is written for the next."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
         if name != STAGES[-1][0]:
-            docs = checkpointed(docs)
+            docs = written(docs)
     return docs
