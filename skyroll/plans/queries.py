@@ -72,6 +72,21 @@ def chart_series(history_rows: DataFrame, metric: str, labels: dict | None = Non
     return df.orderBy("station", "bucket_ts")
 
 
+#: Bytes of a label table up to which it is broadcast.
+MAX_LABEL_BYTES = 16 << 20
+
+
+def with_labels(rows: DataFrame, labels: DataFrame, key: str = "station", out: str = "station_label") -> DataFrame:
+    """``rows`` with the label of their key from a table ``(key, label)`` as it is now; an unknown key, or one whose
+    label is NULL, shows itself. Keys should be unique in ``labels``; of repeated ones the greatest label counts.
+    In a stream, call it on each micro-batch with the table read again, so that changed labels show. The table is
+    broadcast when its measured size allows it, and otherwise joined by a shuffle."""
+    known = labels.groupBy(F.col(key).alias("_key")).agg(F.max("label").alias("_label"))
+    size = known.agg(F.sum(F.octet_length(F.col("_key").cast("string")) + F.coalesce(F.octet_length("_label"), F.lit(0)))).first()[0]
+    side = F.broadcast(known) if (size or 0) <= MAX_LABEL_BYTES else known
+    return rows.join(side, F.col(key) == F.col("_key"), "left").withColumn(out, F.coalesce("_label", F.col(key).cast("string"))).drop("_key", "_label")
+
+
 def conditions_card(latest_table: DataFrame, station: str | None = None) -> DataFrame:
     """Formatted current conditions per station (NULL -> ``N/A``)."""
     st = _station_arg(station)

@@ -9,9 +9,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # A daily file name starts with 8 digits (YYYYMMDD) and ends with ".txt".
 NAME_RULE = "^[0-9]{8}.*[.]txt$"
+# Folders (named by a station and a date, some 30 bytes) that a join broadcasts.
+MAX_FOLDERS = 500_000
 _EMPTY = ("station_dir string, file_name string, arrival struct<file_name:string,start:bigint,id:bigint>, "
           "line string")
 
@@ -87,3 +90,54 @@ def newest_files_lines(spark: SparkSession, root: str) -> DataFrame:
     return df.select(_station_of_path(F.col("_metadata.file_path")).alias("station_dir"),
                      _name().alias("file_name"),
                      _arrival().alias("arrival"), F.col("value").alias("line"))
+
+
+def land_lines(lines: DataFrame, path: str) -> None:
+    """Append lines to a table laid out by station and ``file_day`` (``station|yyyymmdd``), whose folders joins can
+    prune: one column names station and date, as Spark prunes each column by itself. Names that don't follow the rule
+    are left out, as in the listing."""
+    day = F.concat_ws("|", "station_dir", F.substring("file_name", 1, 8))
+    rows = lines.filter(F.col("file_name").rlike(NAME_RULE)).withColumn("file_day", day)
+    rows.repartition("file_day").write.mode("append").partitionBy("station_dir", "file_day").parquet(path)
+
+
+def landed_lines(spark: SparkSession, path: str) -> DataFrame:
+    """The landed table; its partition columns are text."""
+    schema = spark.read.parquet(path).schema
+    for f in schema.fields:
+        if f.name in ("station_dir", "file_day"):
+            f.dataType = T.StringType()
+    return spark.read.schema(schema).parquet(path)
+
+
+def _folders(landed: DataFrame) -> DataFrame:
+    """Folders of the landed table, by station and date; no column of its files is read. The filter drops nothing: Spark
+    prunes by a join whose other side is filtered."""
+    folders = landed.filter(F.col("file_day") > "").select(F.col("station_dir").alias("_s"), F.col("file_day").alias("_f")).distinct()
+    return folders.withColumn("_d", F.right("_f", F.lit(8)))
+
+
+def _pruned(landed: DataFrame, folders: DataFrame) -> DataFrame:
+    """The lines of some folders. Their names are broadcast up to a counted number, and that broadcast reaches
+    the scan as a partition filter (dynamic pruning); beyond it the join is a shuffle."""
+    folders = folders.select("_f")
+    few = folders.limit(MAX_FOLDERS + 1).count() <= MAX_FOLDERS
+    return landed.join(F.broadcast(folders) if few else folders, F.col("file_day") == F.col("_f"), "left_semi")
+
+
+def lines_since(landed: DataFrame, cutoffs: DataFrame, column: str = "cutoff") -> DataFrame:
+    """Lines of each station's files dated on or after its own cutoff (a timestamp; NULL takes all its files).
+
+    ``cutoffs`` has one row a station and may hold any number of them: it is
+    joined, never collected, and stations without a row are skipped."""
+    c = cutoffs.select(F.col("station").alias("_cs"), F.date_format(F.col(column), "yyyyMMdd").alias("_cut"))
+    wanted = _folders(landed).join(c, F.col("_s") == F.col("_cs")).filter(F.col("_d") >= F.coalesce("_cut", F.lit("")))
+    return _pruned(landed, wanted)
+
+
+def newest_lines(landed: DataFrame) -> DataFrame:
+    """Lines of each station's newest file (greatest name), from the folder of its newest date alone."""
+    newest = _folders(landed).groupBy("_s").agg(F.max_by("_f", "_d").alias("_f"))
+    rows = _pruned(landed, newest)
+    names = rows.groupBy(F.col("station_dir").alias("_ns")).agg(F.max("file_name").alias("_name"))
+    return rows.join(names, (F.col("station_dir") == F.col("_ns")) & (F.col("file_name") == F.col("_name")), "left_semi")

@@ -46,3 +46,24 @@ def test_chart_labels_and_units(spark):
                                  "bucket_ts timestamp_ntz, station string, pressure string")
     rows = Q.chart_series(hist, "pressure").collect()
     assert [(r.station, r.station_label, r.pressure) for r in rows] == [("wx_waverly", "Waverly", 1013.25)]
+
+
+def test_labels_change_between_micro_batches(spark, tmp_path, monkeypatch):
+    from skyroll.plans import queries as Q
+    src, dim = str(tmp_path / "src"), str(tmp_path / "labels")
+    seen = []
+
+    def apply(rows, _batch):
+        labels = spark.read.parquet(dim)
+        seen.append({r.station: r.station_label for r in Q.with_labels(rows, labels).collect()})
+
+    def send(labels, *stations):
+        spark.createDataFrame(labels, "station string, label string").write.mode("overwrite").parquet(dim)
+        spark.createDataFrame([(s,) for s in stations], "station string").coalesce(1).write.mode("append").parquet(src)
+        stream = spark.readStream.schema("station string").parquet(src)
+        stream.writeStream.foreachBatch(apply).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination(300)
+
+    send([("a", "Alpha"), ("b", None)], "a", "b", "x")
+    monkeypatch.setattr(Q, "MAX_LABEL_BYTES", 0)  # beyond the bound: a plain join
+    send([("a", "Alpha 2"), ("x", "Ex"), ("x", "E")], "a", "x", None)
+    assert seen == [{"a": "Alpha", "b": "b", "x": "x"}, {"a": "Alpha 2", "x": "Ex", None: None}]

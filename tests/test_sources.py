@@ -135,3 +135,42 @@ def test_listing_takes_any_form_of_href(spark):
             "<a data-href='20240704.txt'>no</a><a href=\"20240705_a&amp;b.txt\">w</a><a href='about.txt'>no</a>")
     got = [r.href for r in listing_links(spark.createDataFrame([(1, html)], "page_id long, html string")).collect()]
     assert got == ["20240701.txt", "20240702.txt", "20240703.txt", "20240705_a&b.txt"]
+
+
+def _files_read(spark, df):
+    """Files of the largest scan of an executed plan."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        again = df.select("*")
+        plan = again._jdf.queryExecution().executedPlan()
+        rows = again.count(), plan.toString()
+        leaves = again._jdf.queryExecution().executedPlan().collectLeaves()
+        again._jdf.queryExecution().toRdd().count()
+        scans = [leaves.apply(i) for i in range(leaves.size())]
+        return rows, max(int(x.metrics().get("numFiles").get().value()) for x in scans if "file_name" in x.toString())
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_landed_lines_are_pruned_by_station_and_date(spark):
+    import datetime as dt
+    from skyroll.operators.progress import source_latest
+    from skyroll.sources.files import land_lines, landed_lines, lines_since, newest_lines
+    path = os.path.join(tempfile.mkdtemp(prefix="skyroll-landed-", dir="/tmp"), "lines")
+    rows = [(s, f"202407{d:02d}{x}.txt", i, f'{{"dt":"2024-07-{d:02d}T0{i}:00:00"}}')
+            for s in ("007", "b", "c") for d in range(1, 11) for x in ("", "_b") for i in range(2)]
+    lines = spark.createDataFrame([*rows, ("b", "notes.txt", 0, "x")], "station_dir string, file_name string, arrival long, line string")
+    land_lines(lines, path)
+    landed = landed_lines(spark, path)
+    assert {r.station_dir for r in landed.select("station_dir").distinct().collect()} == {"007", "b", "c"}
+    cutoffs = spark.createDataFrame([("007", dt.datetime(2024, 7, 9, 13)), ("b", None)], "station string, cutoff timestamp_ntz")
+    got = lines_since(landed, cutoffs)
+    want = sorted(r[:3] for r in rows if r[0] == "b" or (r[0] == "007" and r[1] >= "20240709"))
+    assert sorted((r.station_dir, r.file_name, r.arrival) for r in got.collect()) == want
+    (n, plan), files = _files_read(spark, got)
+    assert n == len(want) and "dynamicpruning" in plan and files == 12  # of 30 folders
+    newest = newest_lines(landed)
+    assert {(r.station_dir, r.file_name) for r in newest.collect()} == {(s, "20240710_b.txt") for s in ("007", "b", "c")}
+    assert _files_read(spark, newest)[1] == 3
+    assert {str(r.source_latest_ts) for r in source_latest(newest).collect()} == {"2024-07-10 01:00:00"}
+    assert lines_since(landed, cutoffs.limit(0)).count() == 0
