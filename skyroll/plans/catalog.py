@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from skyroll.functions.text import event_key, first_present
 from skyroll.functions.time import ntz, parse_local_ts
+from skyroll.operators import evolve
 from skyroll.operators import monitor as M
 from skyroll.operators import progress as P
 from skyroll.operators import rollup as R
@@ -240,6 +241,15 @@ def q_schema_evolve(spark, sf):
     return rounded(U.merge_latest(U.evolve_schema(old, target), batch))
 
 
+@register("schema_generations")
+def q_schema_generations(spark, sf):
+    rows = evolve.union_generations(tt.reading_generations(_events(spark, sf)))
+    rows = rows.select("arrival", "station", F.col("wind.avg").alias("wind_avg"), F.col("wind.dir.deg").alias("wind_dir_deg"),
+                       F.col("wind.dir.gust").alias("wind_dir_gust"), F.col("rain").isNull().alias("no_rain"),
+                       F.element_at("lux", 1).alias("lux"), F.size("lux").alias("n_lux"), "power")
+    return rounded(rows)
+
+
 def _batch_with_new_station(spark, sf, station: str) -> DataFrame:
     """The batch half of the observations, in which ``station`` reports under a name the state doesn't have."""
     _, batch = _split(spark, sf)
@@ -394,6 +404,11 @@ def q_listing_links(spark, sf):
     return listing.listing_links(pages, prefix_regex="", suffix="")
 
 
+@register("daily_file_links")
+def q_daily_file_links(spark, sf):
+    return listing.listing_links(tt.index_pages(_events(spark, sf)))
+
+
 # ---------------------------------------------------------------------------
 # Monitoring
 # ---------------------------------------------------------------------------

@@ -232,6 +232,15 @@ def oracle_sql() -> dict[str, str]:
         stored=("SELECT station, dt, temperature, wind_speed, wind_direction, CAST(NULL AS DOUBLE) AS humidity, "
                 f"CAST(NULL AS DOUBLE) AS pressure, lux, rain_inches FROM ({_latest_of('stored')})"))
 
+    q["schema_generations"] = (
+        "SELECT event_id AS arrival, event_type AS station, "
+        + R("CASE WHEN event_id % 10 >= 7 THEN value WHEN event_id % 5 <> 0 THEN CAST(user_id % 100 AS DOUBLE) END", "wind_avg") + ", "
+        "CASE WHEN event_id % 10 >= 7 THEN 5000000000 + event_id WHEN event_id % 5 <> 0 THEN event_id % 360 END AS wind_dir_deg, "
+        "CASE WHEN event_id % 10 >= 7 THEN event_id % 7 = 0 END AS wind_dir_gust, event_id % 10 < 7 AS no_rain, "
+        + R("CASE WHEN event_id % 10 >= 7 THEN value / 2 ELSE CAST(event_id % 1000 AS DOUBLE) END", "lux") + ", "
+        "CASE WHEN event_id % 10 >= 7 THEN 2 ELSE 1 END AS n_lux, "
+        "CASE WHEN event_id % 10 >= 7 THEN event_type END AS power FROM events")
+
     q["consumer_marks"] = _with(OBS, STATE, BATCH) + (
         "SELECT coalesce(s.station, b.station) AS station, s.source_latest_ts, s.producer_latest_ts, "
         "greatest(s.consumer_latest_ts, b.new_ts) AS consumer_latest_ts, "
@@ -339,6 +348,12 @@ def oracle_sql() -> dict[str, str]:
         "'<a\\b[^>]*\\bhref=\"([^\"]*)\"', 1)) AS href FROM pages) "
         "WHERE href <> ''")
 
+    q["daily_file_links"] = (
+        "SELECT page_id, href FROM (SELECT event_id AS page_id, unnest([d || '.txt', d || '_a&b.txt', d || '.csv', 'old/' || d || '.txt', "
+        "substr(d, 1, 7) || '.txt', d || '.txt.gz', d || event_type || '.txt']) AS href "
+        "FROM (SELECT event_id, event_type, strftime(ts, '%Y%m%d') AS d FROM events)) "
+        "WHERE href SIMILAR TO '[0-9]{8}.*' AND href LIKE '%.txt'")
+
     q["request_counts"] = _with(LOG) + "SELECT method, route, status, count(*) AS requests_total FROM log GROUP BY ALL"
     q["duration_histogram"] = _with(LOG, BOUNDS) + (
         "SELECT t.method, t.route, b.le, "

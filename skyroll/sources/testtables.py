@@ -96,6 +96,32 @@ def raw_lines(e: DataFrame, keep_ts: bool = False) -> DataFrame:
     return e.select("event_id", "event_type", *observation_columns(e)).select(*out)
 
 
+def index_pages(e: DataFrame) -> DataFrame:
+    """One index page ``(page_id, html)`` per event: links to its day's files in all quotings, and to files that aren't daily ones."""
+    day = F.date_format("ts", "yyyyMMdd")
+    html = F.concat(F.lit('<html><a href="../">up</a><a href="'), day, F.lit('.txt">day</a><A class=x HREF=\''), day,
+                    F.lit("_a&amp;b.txt'>part</A><a href="), day, F.lit('.csv>csv</a><a href="old/'), day,
+                    F.lit('.txt">old</a><a href="'), F.substring(day, 1, 7), F.lit('.txt">short</a><a href="'), day,
+                    F.lit('.txt.gz">packed</a><p data-href="'), day, F.lit('.txt">'), day, F.lit(".txt</p><a id=z href="), day,
+                    F.col("event_type"), F.lit(".txt>named</a></html>"))
+    return e.select(F.col("event_id").alias("page_id"), html.alias("html"))
+
+
+def reading_generations(e: DataFrame) -> list[DataFrame]:
+    """Events as readings of two generations: stored ones in a narrow schema, later ones with new nested fields and wider types."""
+    eid = F.col("event_id")
+    key = [eid.alias("arrival"), F.col("event_type").alias("station")]
+    narrow = F.struct((F.col("user_id") % 100).cast("int").alias("avg"), F.struct((eid % 360).cast("int").alias("deg")).alias("dir"))
+    wide = F.struct(F.col("value").cast("double").alias("avg"),
+                    F.struct((eid + 5_000_000_000).alias("deg"), (eid % 7 == 0).alias("gust")).alias("dir"))
+    lux = F.col("value") / 2
+    return [
+        e.filter(is_stored("event_id")).select(*key, F.when(eid % 5 != 0, narrow).alias("wind"), F.array((eid % 1000).cast("int")).alias("lux")),
+        e.filter(~is_stored("event_id")).select(*key, wide.alias("wind"), F.array(lux, lux + 1).alias("lux"),
+                                                F.col("value").alias("rain"), F.col("event_type").alias("power")),
+    ]
+
+
 def kafka_rows(e: DataFrame, topic: str = "weather") -> DataFrame:
     """Kafka-shaped rows ``(key, value, topic, partition, offset, timestamp)``
     carrying the raw lines; one partition as configured by the source system."""

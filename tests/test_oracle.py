@@ -16,7 +16,8 @@ from skyroll.sources.testtables import TABLES  # noqa: E402
 SF = "/root/testdata/sf0.01"
 NAMES = ["rollup_all", "rollup_incremental", "upsert_observations", "latest_merge", "parse_observations", "reject_rows",
          "backfill_window", "ingestion_status", "reconcile_merge", "history_chart", "conditions_card",
-         "counter_rate", "request_rate", "rate_range", "sustained_alerts", "alert_rules", "duration_histogram", "listing_links"]
+         "counter_rate", "request_rate", "rate_range", "sustained_alerts", "alert_rules", "duration_histogram", "listing_links",
+         "daily_file_links", "schema_generations"]
 
 
 @pytest.fixture(scope="module")
