@@ -9,7 +9,7 @@ Layout
 - ``skyroll.operators``   parse, upsert, roll-up, progress marks, monitoring, chunked series
 - ``skyroll.plans``       user-level queries, jobs (producer, backfill, report),
                           the named query catalog and its DuckDB oracle
-- ``skyroll.streaming``   versioned storage, the micro-batch ingest, the live roll-up
+- ``skyroll.streaming``   plain tables written run by run, the micro-batch ingest, the live roll-up
 """
 
 __version__ = "0.1.0"

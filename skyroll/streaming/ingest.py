@@ -1,18 +1,21 @@
-"""Micro-batch ingest: Kafka-shaped rows -> raw, latest and progress tables.
+"""Micro-batch ingest: Kafka-shaped rows -> observations, station rows, rejects.
 
 ``readStream`` (Kafka, or any source with the Kafka row contract
 ``key, value, topic, partition, offset, timestamp``) -> ``foreachBatch``:
 
 1. parse each message once; rejects go to their own table with the reason;
-2. upsert the raw table on (station, dt), later offset wins, rewriting only the
-   date partitions the batch touches;
-3. conditional latest upsert per station;
-4. consumer progress marks;
-5. one commit marker makes the three new versions visible together.
+2. write the batch's observations, one row per (station, dt), later offset wins,
+   into date partitions of the batch's own;
+3. write one row per touched station: its latest reading and consumer marks;
+4. finish the run, which shows the three together (``streaming/tables.py``).
+
+No stored row is read or rewritten. ``read_weather``, ``read_latest`` and
+``read_state`` merge on (station, dt) or station; latest and marks read the
+station rows only.
 
 Offsets are committed by the checkpoint only after ``foreachBatch`` returns, so
-a failure replays the batch; a replayed batch id whose marker exists is skipped,
-and the upserts are idempotent anyway (at-least-once + idempotent write).
+a failure replays the batch; it overwrites its own partitions, and one that was
+finished is skipped (at-least-once + idempotent write).
 The roll-up refresh is a separate scheduled batch job (``refresh_rollup_table``).
 """
 
@@ -27,15 +30,12 @@ from pyspark.sql import types as T
 from skyroll.operators import rollup as R
 from skyroll.operators import upsert as U
 from skyroll.operators.parse import REASON, good_rows, parse_lines, reject_rows
-from skyroll.schema import (LATEST_COLUMNS, ROLLUP_MEASURES, ROLLUP_WINDOWS, STATE_SCHEMA, WEATHER_COLUMNS,
-                            weather_schema)
+from skyroll.schema import LATEST_COLUMNS, ROLLUP_MEASURES, ROLLUP_WINDOWS, WEATHER_COLUMNS, weather_schema
 from skyroll.session import apply_session_defaults
-from skyroll.streaming.storage import TableStore
+from skyroll.streaming.tables import Tables
 
 WEATHER = "weather"
-WEATHER_DELTA = "weather_delta"
-LATEST = "weather_latest"
-STATE = "ingestion_state"
+STATIONS = "station_rows"
 REJECTS = "rejects"
 ROLLUPS = "weather_aggregates"
 DATE_COL = "obs_date"
@@ -47,77 +47,66 @@ KAFKA_SCHEMA = T.StructType([
 ])
 
 
-def _weather_stored_schema() -> T.StructType:
-    return T.StructType(weather_schema().fields + [T.StructField("arrival", T.LongType())])
+def _weather_schema() -> T.StructType:
+    return T.StructType([*weather_schema().fields, T.StructField("arrival", T.LongType()),
+                         T.StructField(DATE_COL, T.DateType())])
 
 
-def _latest_schema() -> T.StructType:
+def _latest_fields() -> list[T.StructField]:
     fields = [T.StructField("station", T.StringType()), T.StructField("dt", T.TimestampNTZType())]
-    fields += [T.StructField(c, T.DoubleType()) for c in LATEST_COLUMNS[2:]]
-    return T.StructType(fields + [T.StructField("updated_at", T.TimestampType())])
+    return fields + [T.StructField(c, T.DoubleType()) for c in LATEST_COLUMNS[2:]]
+
+
+def _stations_schema() -> T.StructType:
+    return T.StructType([*_latest_fields(), T.StructField("arrival", T.LongType()),
+                         T.StructField("kafka_partition", T.IntegerType()), T.StructField("kafka_offset", T.LongType())])
+
+
+def _rejects_schema() -> T.StructType:
+    return T.StructType([T.StructField("partition", T.IntegerType()), T.StructField("offset", T.LongType()),
+                         T.StructField("line", T.StringType()), T.StructField(REASON, T.StringType())])
 
 
-def ingest_batch(spark: SparkSession, store: TableStore, batch: DataFrame, batch_id: int,
-                 compact_every: int = 30, writer: str = "batch") -> None:
-    """Apply one micro-batch of Kafka-shaped rows to the store, once for each
-    ``batch_id`` of a ``writer``. What is applied later wins."""
-    if store.is_committed(batch_id, writer):
+def station_rows(good: DataFrame) -> DataFrame:
+    """One row per station of a batch: its latest reading (equal times: later
+    arrival), and partition and offset of its last message."""
+    last = good.groupBy("station").agg(
+        F.max_by(F.struct("partition", "offset"), F.struct("timestamp", "offset")).alias("_at"))
+    latest = U.latest_wins(U.latest_projection(good), ["station"], ["dt", "arrival"])
+    return (latest.join(last, "station")
+            .select(*latest.columns, F.col("_at.partition").alias("kafka_partition"), F.col("_at.offset").alias("kafka_offset")))
+
+
+def ingest_batch(tables: Tables, batch: DataFrame, batch_id: int, writer: str = "batch") -> None:
+    """Apply one micro-batch of Kafka-shaped rows, once for each ``batch_id``
+    of a ``writer``. What is applied later wins."""
+    if batch_id <= tables.last_run(writer):
         return
-    number = store.next_version()
     msgs = batch.select(F.col("value").cast("string").alias("line"), "partition", "offset", "timestamp")
     parsed = parse_lines(msgs, keep=["partition", "offset", "timestamp"]).persist()
     try:
-        commit = store.latest_commit()
-        tables = dict(commit.get("tables", {}))
-
-        store.write_version(reject_rows(parsed, keep=["partition", "offset"]).withColumn("batch_id", F.lit(number)),
-                            REJECTS, number)
+        tables.write(reject_rows(parsed, keep=["partition", "offset"]).select(*_rejects_schema().names),
+                     REJECTS, writer, batch_id)
         good = good_rows(parsed).withColumn("arrival", F.col("offset"))
-
-        # Raw table, merge-on-read: the batch appends only its own rows (one per key,
-        # later offset wins) as a delta tagged with the dates it touched; every
-        # ``compact_every`` batches the deltas are folded into the date partitions.
-        cols = list(WEATHER_COLUMNS) + ["arrival"]
-        delta = U.latest_wins(good.select(*cols), ["station", "dt"], ["arrival"])
-        dates = [str(r[0]) for r in good.select(F.to_date("dt")).distinct().collect()]
-        raw = _raw_entry(tables)
-        if dates:
-            store.write_version(delta.withColumn(DATE_COL, F.to_date("dt"))
-                                .repartitionByRange(DATE_COL, "station", "dt")
-                                .sortWithinPartitions(DATE_COL, "station", "dt"),
-                                WEATHER_DELTA, number, DATE_COL)
-            raw["deltas"][str(number)] = dates
-        if len(raw["deltas"]) >= compact_every:
-            raw = _compact(store, raw, number)
-        tables[WEATHER] = raw
-
-        latest_now = store.read(LATEST, _latest_schema(), commit)
-        latest_new = U.merge_latest(latest_now, good, updated_at=F.current_timestamp())
-        store.write_version(latest_new, LATEST, number)
-        tables[LATEST] = number
-
-        state_now = store.read(STATE, STATE_SCHEMA, commit)
-        marks = U.consumer_marks(state_now, good.select("station", "dt", "partition", "offset",
-                                                        F.struct("timestamp", "offset").alias("_order")),
-                                 arrival="_order")
-        store.write_version(marks, STATE, number)
-        tables[STATE] = number
-
-        store.commit(number, tables, writer, batch_id)
+        rows = U.latest_wins(good.select(*WEATHER_COLUMNS, "arrival"), ["station", "dt"], ["arrival"])
+        tables.write(rows.withColumn(DATE_COL, F.to_date("dt")).repartitionByRange(DATE_COL, "station", "dt")
+                     .sortWithinPartitions(DATE_COL, "station", "dt"), WEATHER, writer, batch_id, by=(DATE_COL,))
+        tables.write(station_rows(good), STATIONS, writer, batch_id)
+        tables.finish(writer, batch_id)
     finally:
         parsed.unpersist()
 
 
-def start_ingest(spark: SparkSession, source: DataFrame, store_root: str, checkpoint: str,
-                 trigger: dict | None = None, compact_every: int = 30):
+def start_ingest(spark: SparkSession, source: DataFrame, root: str, checkpoint: str,
+                 trigger: dict | None = None):
     """Start the streaming ingest from a Kafka-shaped streaming DataFrame."""
     apply_session_defaults(spark)
-    store = TableStore(spark, store_root)
+    tables = Tables(spark, root)
 
     def apply(df: DataFrame, batch_id: int) -> None:
         # The checkpoint's own identity, which Spark wrote before the first batch.
         row = spark.read.json(f"{checkpoint.rstrip('/')}/metadata", schema="id string").first()
-        ingest_batch(spark, store, df, batch_id, compact_every, f"stream {row.id}")
+        ingest_batch(tables, df, batch_id, f"stream-{row.id}")
 
     writer = source.writeStream.option("checkpointLocation", checkpoint).foreachBatch(apply)
     writer = writer.trigger(**(trigger or {"processingTime": "120 seconds"}))
@@ -135,107 +124,68 @@ def kafka_source(spark: SparkSession, servers: str, topic: str, max_offsets: int
     return r.load()
 
 
-def read_rejects(store: TableStore) -> DataFrame:
-    """Rejects of committed batches (batch ids up to the newest marker)."""
-    last = store.latest_commit()["batch_id"]
-    schema = T.StructType([T.StructField("partition", T.IntegerType()), T.StructField("offset", T.LongType()),
-                           T.StructField("line", T.StringType()), T.StructField(REASON, T.StringType()),
-                           T.StructField("batch_id", T.IntegerType())])
-    if last < 0:
-        return store.spark.createDataFrame([], schema)
-    return (store.spark.read.schema(schema).option("basePath", f"{store.root}/{REJECTS}")
-            .parquet(f"{store.root}/{REJECTS}").filter(F.col("batch_id") <= last))
-
-
-def _raw_entry(tables: dict) -> dict:
-    raw = tables.get(WEATHER) or {}
-    return {"base": dict(raw.get("base", {})), "deltas": {k: list(v) for k, v in raw.get("deltas", {}).items()}}
-
-
-def _delta_dates(raw: dict) -> list[str]:
-    return sorted({d for ds in raw["deltas"].values() for d in ds})
-
-
-def _read_raw(store: TableStore, raw: dict, only: list[str] | None = None) -> DataFrame:
-    """Base partitions; the dates that have deltas are merged with them (later
-    arrival wins, any delta row beats the base row). Other dates are read as is."""
-    schema = _weather_stored_schema()
-    keep = None if only is None else set(only)
-    touched = [d for d in _delta_dates(raw) if keep is None or d in keep]
-    plain = [d for d in raw["base"] if d not in set(touched) and (keep is None or d in keep)]
-    parts = []
-    if plain:
-        parts.append(store.read(WEATHER, schema, {"tables": {WEATHER: raw["base"]}}, DATE_COL, only=plain))
-    if touched:
-        base = store.read(WEATHER, schema, {"tables": {WEATHER: raw["base"]}}, DATE_COL, only=touched)
-        paths = [f"{store.version_path(WEATHER_DELTA, int(b))}/{DATE_COL}={d}"
-                 for b, ds in raw["deltas"].items() for d in ds if d in set(touched)]
-        numbered = T.StructType([*schema.fields, T.StructField("b", T.LongType())])
-        deltas = (store.spark.read.schema(numbered).option("basePath", f"{store.root}/{WEATHER_DELTA}")
-                  .parquet(*paths))
-        cols = list(WEATHER_COLUMNS) + ["arrival"]
-        # One aggregate: a delta row beats the base row, a later commit an earlier one; offsets only
-        # order the rows of one commit, as a topic's offsets can start again.
-        parts.append(U.merge_upsert(base.select(*cols), deltas.select(*cols, "b"), ["station", "dt"], ["b", "arrival"]))
-    if not parts:
-        return store.spark.createDataFrame([], schema)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def _compact(store: TableStore, raw: dict, number: int) -> dict:
-    """Fold all deltas into new versions of the dates they touched."""
-    dates = _delta_dates(raw)
-    if not dates:
-        return raw
-    merged = _read_raw(store, raw, only=dates)
-    store.write_version(merged.withColumn(DATE_COL, F.to_date("dt"))
-                        .repartitionByRange(DATE_COL, "station", "dt")
-                        .sortWithinPartitions(DATE_COL, "station", "dt"),
-                        WEATHER, number, DATE_COL)
-    base = dict(raw["base"])
-    base.update({d: number for d in dates})
-    return {"base": base, "deltas": {}}
-
-
-def read_weather(store: TableStore, commit: dict | None = None, only: list[str] | None = None) -> DataFrame:
-    """The committed raw table (``only``: restrict to these ``yyyy-mm-dd`` dates)."""
-    commit = store.latest_commit() if commit is None else commit
-    return _read_raw(store, _raw_entry(commit.get("tables", {})), only)
-
-
-def refresh_rollup_table(spark: SparkSession, source: TableStore, target: TableStore, run_id: int | None = None,
+def read_rejects(tables: Tables) -> DataFrame:
+    """Rejects of finished batches, with the reason."""
+    return tables.read(REJECTS, _rejects_schema()).drop("finished_at")
+
+
+def read_weather(tables: Tables, since: _dt.date | None = None) -> DataFrame:
+    """The raw table, last write wins on (station, dt); ``since`` prunes to dates from then on.
+
+    Offsets only order the rows of one batch, as a topic's offsets can start again.
+    """
+    rows = tables.read(WEATHER, _weather_schema())
+    if since is not None:
+        rows = rows.filter(F.col(DATE_COL) >= F.lit(since))
+    order = {"_at": F.col("finished_at"), "_run": F.col("run")}
+    return U.latest_wins(rows.select(*WEATHER_COLUMNS, "arrival", *[e.alias(n) for n, e in order.items()]),
+                         ["station", "dt"], [*order, "arrival"])
+
+
+def read_latest(tables: Tables) -> DataFrame:
+    """The latest reading of each station (equal times: the later batch); ``updated_at``: when its batch was finished."""
+    rows = tables.read(STATIONS, _stations_schema())
+    names = [f.name for f in _latest_fields()]
+    return U.latest_wins(rows.select(*names, F.col("finished_at").alias("updated_at"), F.col("run").alias("_run")),
+                         ["station"], ["dt", "updated_at", "_run"])
+
+
+def read_state(tables: Tables) -> DataFrame:
+    """Consumer marks of each station: the newest time, and the last batch's partition and offset."""
+    rows = tables.read(STATIONS, _stations_schema())
+    return U.consumer_marks(U.empty_state(tables.spark), rows.withColumn("_order", F.struct("finished_at", "run")),
+                            partition="kafka_partition", offset="kafka_offset", arrival="_order")
+
+
+def refresh_rollup_table(spark: SparkSession, source: Tables, target: Tables, run_id: int | None = None,
                          single_pass: bool = True) -> DataFrame:
-    """Full refresh of the roll-up table into its own store.
+    """Full refresh of the roll-up table.
 
-    Static partition pruning from the manifest: the anchor ``MAX(dt)`` is read
-    from the newest date partition only, then only date partitions inside the
-    widest trailing range are read. The output is partitioned by window and
-    sorted by (station, bucket) for the history lookups. Readers keep the
-    previous version until the new marker is written."""
+    The anchor ``MAX(dt)`` comes from the station rows, so only dates inside the
+    widest trailing range are read of the raw table. The output is partitioned by
+    window and sorted by (station, bucket) for the history lookups. Readers keep
+    the previous run's rows until the new run is finished."""
     apply_session_defaults(spark)
-    commit = source.latest_commit()
-    raw = _raw_entry(commit.get("tables", {}))
-    parts = sorted(set(raw["base"]) | set(_delta_dates(raw)))
-    if not parts:
-        return target.read(ROLLUPS, _rollup_schema())
-    max_dt = R.global_max(read_weather(source, commit, only=[parts[-1]]))
+    number = target.begin(ROLLUPS, run_id)
+    max_dt = R.global_max(station_times(source))
     widest = max(w.range_days for w in ROLLUP_WINDOWS)
-    lo = (max_dt - _dt.timedelta(days=widest)).date().isoformat()
-    weather = read_weather(source, commit, only=[p for p in parts if p >= lo])
-    if single_pass:
-        out = R.rollups_single_pass(weather, max_dt)
-    else:
-        out = R.rollups_union(weather, max_dt)
-    out = out.withColumn("updated_at", F.current_timestamp())
-    number = target.begin(run_id, ROLLUPS)
-    target.write_version(out.repartition("window_name", "station")
-                         .sortWithinPartitions("window_name", "station", "bucket_ts"),
-                         ROLLUPS, number, partition_by="window_name")
-    target.commit(number, {ROLLUPS: number}, ROLLUPS, run_id)
-    return target.read(ROLLUPS, _rollup_schema())
+    since = None if max_dt is None else (max_dt - _dt.timedelta(days=widest)).date()
+    roll = R.rollups_single_pass if single_pass else R.rollups_union
+    out = roll(read_weather(source, since), max_dt).withColumn("updated_at", F.current_timestamp())
+    target.write(out.repartition("window_name", "station")
+                 .sortWithinPartitions("window_name", "station", "bucket_ts"), ROLLUPS, ROLLUPS, number, by=("window_name",))
+    target.finish(ROLLUPS, number)
+    return read_rollups(target)
+
+
+def station_times(tables: Tables) -> DataFrame:
+    """The newest time of each station row; their maximum is the raw table's."""
+    return tables.read(STATIONS, _stations_schema()).select("dt")
+
+
+def read_rollups(tables: Tables) -> DataFrame:
+    """The roll-up rows of the last finished refresh."""
+    return tables.newest(ROLLUPS, _rollup_schema(), ROLLUPS)
 
 
 def _rollup_schema() -> T.StructType:

@@ -10,7 +10,7 @@ from skyroll.plans import jobs as J
 from skyroll.sources.files import read_station_lines
 from skyroll.sources import testtables as tt
 from skyroll.streaming import ingest as I
-from skyroll.streaming.storage import TableStore
+from skyroll.streaming.tables import Tables
 
 SF = "/root/testdata/sf0.001"
 
@@ -54,7 +54,7 @@ def _consume(spark, topic_dir, store_root, ckpt):
 def test_producer_backfill_consume_cycle(spark):
     work = tempfile.mkdtemp(prefix="skyroll-jobs-", dir="/tmp")
     files, topic, ckpt = (os.path.join(work, d) for d in ("files", "topic", "ckpt"))
-    ingest, producer, reconcile = (TableStore(spark, os.path.join(work, d)) for d in ("ingest", "producer", "reconcile"))
+    ingest, producer, reconcile = (Tables(spark, os.path.join(work, d)) for d in ("ingest", "producer", "reconcile"))
     lines = tt.raw_lines(tt.events(spark, SF)).orderBy("arrival").collect()
     cut = "20240125.txt"
     _write_station_files(files, [r for r in lines if r.file_name < cut])
@@ -77,7 +77,7 @@ def test_producer_backfill_consume_cycle(spark):
     assert all(r.outcome == "ok" for r in summary.values()) and sum(r.published_count for r in summary.values()) > 0
     _consume(spark, topic, ingest.root, ckpt)
 
-    latest = {r.station: r.dt for r in ingest.read(I.LATEST, I._latest_schema()).collect()}
+    latest = {r.station: r.dt for r in I.read_latest(ingest).collect()}
     assert max(latest.values()).strftime("%Y%m%d") >= cut[:8]
     report = {r.station: r for r in J.state_report(ingest, producer, reconcile).collect()}
     assert set(report) >= set(latest)
@@ -88,9 +88,9 @@ def test_producer_backfill_consume_cycle(spark):
 def test_failing_sink_leaves_marks_and_reused_runs_are_refused(spark):
     import pytest
     work = tempfile.mkdtemp(prefix="skyroll-sink-", dir="/tmp")
-    ingest, producer, reconcile = (TableStore(spark, os.path.join(work, d)) for d in ("ingest", "producer", "reconcile"))
+    ingest, producer, reconcile = (Tables(spark, os.path.join(work, d)) for d in ("ingest", "producer", "reconcile"))
     rows = tt.kafka_rows(tt.events(spark, SF)).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
-    I.ingest_batch(spark, ingest, rows.filter(F.col("offset") < 200), 0)
+    I.ingest_batch(ingest, rows.filter(F.col("offset") < 200), 0)
     lines = tt.raw_lines(tt.events(spark, SF))
 
     def fails(messages):
@@ -100,31 +100,30 @@ def test_failing_sink_leaves_marks_and_reused_runs_are_refused(spark):
     for job, store in ((J.publish_cycle, producer), (J.backfill_cycle, reconcile)):
         with pytest.raises(RuntimeError, match="broker gone"):
             job(spark, lines, ingest, store, fails, 5)
-        assert store.latest_commit()["batch_id"] == -1
+        assert store.runs().count() == 0
         sent = []
         job(spark, lines, ingest, store, lambda m: sent.append(m.count()), 5)
-        before = store.latest_commit()
+        before = store.runs().collect()
         for run in (5, 3):
             with pytest.raises(ValueError, match="newer"):
                 job(spark, lines, ingest, store, lambda m: sent.append(m.count()), run)
-        assert len(sent) == 1 and store.latest_commit() == before
+        assert len(sent) == 1 and store.runs().collect() == before
 
 
 def test_report_shows_the_last_writer(spark):
     import datetime as dt
     from skyroll.schema import STATE_SCHEMA
     work = tempfile.mkdtemp(prefix="skyroll-report-", dir="/tmp")
-    ingest, reconcile = (TableStore(spark, os.path.join(work, d)) for d in ("ingest", "reconcile"))
+    ingest, reconcile = (Tables(spark, os.path.join(work, d)) for d in ("ingest", "reconcile"))
     day = lambda n: dt.datetime(2024, 1, n)
 
-    def state(store, table, rows):
-        names = [f.name for f in STATE_SCHEMA.fields]
-        full = [tuple(r.get(n) for n in names) for r in rows]
-        store.write_version(spark.createDataFrame(full, STATE_SCHEMA), table, 0)
-        store.commit(0, {table: 0})
+    def write(store, table, schema, writer, rows):
+        full = [tuple(r.get(n) for n in schema.names) for r in rows]
+        store.write(spark.createDataFrame(full, schema), table, writer, 0)
+        store.finish(writer, 0)
 
-    state(ingest, I.STATE, [{"station": s, "consumer_latest_ts": day(5), "database_latest_ts": day(5), "status": "streaming"} for s in "ab"])
-    state(reconcile, J.RECONCILE, [
+    write(ingest, I.STATIONS, I._stations_schema(), "batch", [{"station": s, "dt": day(5)} for s in "ab"])
+    write(reconcile, J.RECONCILE, STATE_SCHEMA, J.RECONCILE, [
         {"station": "a", "source_latest_ts": day(9), "database_latest_ts": day(6), "status": "database_gap_detected"},
         {"station": "b", "source_latest_ts": day(4), "database_latest_ts": day(4), "status": "database_gap_detected"}])
     got = {r.station: r for r in J.state_view(ingest, None, reconcile).collect()}

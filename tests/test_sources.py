@@ -44,14 +44,21 @@ def test_newest_files_only(spark):
     assert (r.station, r.newest_file, str(r.source_latest_ts)) == ("wx_a", "20240701.txt", "2024-07-01 01:00:00")
 
 
-def test_store_reset_is_atomic(spark):
-    from skyroll.streaming.storage import TableStore
-    store = TableStore(spark, tempfile.mkdtemp(prefix="skyroll-reset-", dir="/tmp"))
-    store.write_version(spark.createDataFrame([("a",)], "station string"), "t", 0)
-    store.commit(0, {"t": 0})
-    assert store.read("t", spark.createDataFrame([], "station string").schema).count() == 1
-    store.reset()
-    assert store.read("t", spark.createDataFrame([], "station string").schema).count() == 0
+def test_reset_hides_earlier_runs(spark):
+    from skyroll.streaming.tables import Tables
+    tables = Tables(spark, tempfile.mkdtemp(prefix="skyroll-reset-", dir="/tmp"))
+    df = spark.createDataFrame([("a",)], "station string")
+    tables.write(df, "t", "w", 0)
+    assert tables.read("t", df.schema).count() == 0
+    tables.finish("w", 0)
+    assert tables.read("t", df.schema).count() == tables.newest("t", df.schema, "w").count() == 1
+    tables.reset()
+    assert tables.read("t", df.schema).count() == tables.newest("t", df.schema, "w").count() == 0
+    assert tables.last_run("w") == 0
+    tables.write(df, "t", "w", 1)
+    tables.write(df, "t", "w", 1)  # again: its own partition is overwritten
+    tables.finish("w", 1)
+    assert tables.read("t", df.schema).count() == 1
 
 
 def test_source_latest_reads_newest_file_of_each_station(spark):
@@ -88,17 +95,6 @@ def test_scale_conf_sizes():
     assert scale_conf(1, 8)["spark.sql.shuffle.partitions"] == "16"
 
 
-def test_store_keeps_bounded_markers(spark):
-    from skyroll.streaming.storage import TableStore
-    store = TableStore(spark, tempfile.mkdtemp(prefix="skyroll-markers-", dir="/tmp"))
-    for i in range(5):
-        store.commit(i, {"t": i}, "w", i, keep_markers=2)
-    names = sorted(os.listdir(os.path.join(store.root, "_commits")))
-    assert [n for n in names if n.endswith(".json") and not n.startswith("_")] == [f"{3:020d}.json", f"{4:020d}.json"]
-    assert store.latest_commit() == {"batch_id": 4, "tables": {"t": 4}, "writers": {"w": 4}}
-    assert store.is_committed(0, "w") and not store.is_committed(5, "w") and not store.is_committed(0, "other")
-
-
 def test_enrich_line_edge_cases(spark):
     import json
     from skyroll.sources.kafka import enrich_line

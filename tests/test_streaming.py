@@ -1,9 +1,10 @@
 """Stream = batch: feed Kafka-shaped rows in three micro-batches (shuffled, with
-duplicate deliveries), then compare the committed tables with the batch result;
-replaying a committed batch changes nothing; a batch that wrote data but no
-marker is redone on restart."""
+duplicate deliveries), then compare the tables with the batch result; replaying
+a finished batch changes nothing; a batch that wrote rows but did not finish
+doesn't show and is redone on restart."""
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from skyroll.operators.parse import good_rows, parse_lines
 from skyroll.schema import LATEST_COLUMNS, WEATHER_COLUMNS
 from skyroll.sources import testtables as tt
 from skyroll.streaming import ingest as I
-from skyroll.streaming.storage import TableStore
+from skyroll.streaming.tables import Tables
 
 SF = "/root/testdata/sf0.001"
 
@@ -35,19 +36,19 @@ def test_stream_equals_batch(spark):
               .option("recursiveFileLookup", "true").parquet(src))
     q = I.start_ingest(spark, stream, store_root, ckpt, trigger={"availableNow": True})
     q.awaitTermination(300)
-    store = TableStore(spark, store_root)
-    commit = store.latest_commit()
-    assert commit["batch_id"] >= 2
+    store = Tables(spark, store_root)
+    (stream_writer,) = {r.writer for r in store.runs().collect()}
+    assert store.last_run(stream_writer) >= 2
 
     msgs = rows.select(F.col("value").cast("string").alias("line"), "partition", "offset", "timestamp")
     good = good_rows(parse_lines(msgs, keep=["partition", "offset", "timestamp"])).withColumn("arrival", F.col("offset"))
     want_weather = U.latest_wins(good.select(*WEATHER_COLUMNS, "arrival"), ["station", "dt"], ["arrival"])
     assert _rows(I.read_weather(store), list(WEATHER_COLUMNS)) == _rows(want_weather, list(WEATHER_COLUMNS))
 
-    latest = store.read(I.LATEST, I._latest_schema())
+    latest = I.read_latest(store)
     assert _rows(latest, list(LATEST_COLUMNS)) == _rows(U.latest_per_station(good), list(LATEST_COLUMNS))
 
-    state = store.read(I.STATE, U.empty_state(spark).schema)
+    state = I.read_state(store)
     want_state = U.consumer_marks(U.empty_state(spark), good.select(
         "station", "dt", "partition", "offset", F.struct("timestamp", "offset").alias("_o")), arrival="_o")
     cols = ["station", "consumer_latest_ts", "database_latest_ts", "kafka_partition", "kafka_offset", "status"]
@@ -56,23 +57,32 @@ def test_stream_equals_batch(spark):
     rejects = I.read_rejects(store).select("offset").distinct().count()
     assert rejects == parse_lines(msgs, keep=["offset"]).filter(F.col("reject_reason").isNotNull()).count()
 
-    # Replaying a committed batch is a no-op.
-    before = store.latest_commit()
-    (stream_writer,) = before["writers"]
-    I.ingest_batch(spark, store, spark.read.parquet(os.path.join(src, "part0")), 0, writer=stream_writer)
-    assert store.latest_commit() == before
+    # Replaying a finished batch is a no-op.
+    before = sorted(store.runs().collect())
+    I.ingest_batch(store, spark.read.parquet(os.path.join(src, "part0")), 0, writer=stream_writer)
+    assert sorted(store.runs().collect()) == before
 
 
-def test_restart_after_data_before_marker(spark):
+def _stray(schema):
+    import datetime as dt
+    values = {"station": "x", "dt": dt.datetime(2100, 1, 1), I.DATE_COL: dt.date(2024, 1, 1)}
+    return tuple(values.get(n) for n in schema.names)
+
+
+def test_rows_of_a_broken_run_do_not_show(spark):
     work = tempfile.mkdtemp(prefix="skyroll-restart-", dir="/tmp")
-    store = TableStore(spark, os.path.join(work, "store"))
+    store = Tables(spark, os.path.join(work, "store"))
     rows = tt.kafka_rows(tt.events(spark, SF)).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
-    I.ingest_batch(spark, store, rows.filter(F.col("offset") < 300), 0)
-    # Simulate a crash: batch 1 wrote a stray version but no marker.
-    store.write_version(spark.createDataFrame([("x",)], "station string"), I.LATEST, 1)
-    assert store.latest_commit()["batch_id"] == 0
-    I.ingest_batch(spark, store, rows.filter(F.col("offset") >= 300), 1)
-    latest = store.read(I.LATEST, I._latest_schema())
+    I.ingest_batch(store, rows.filter(F.col("offset") < 300), 0)
+    # A crash: batch 1 wrote rows to both tables, and did not finish.
+    before = _rows(I.read_latest(store), list(LATEST_COLUMNS)), I.read_weather(store).count()
+    for table, schema in ((I.STATIONS, I._stations_schema()), (I.WEATHER, I._weather_schema())):
+        stray = spark.createDataFrame([_stray(schema)], schema)
+        store.write(stray, table, "batch", 1, by=(I.DATE_COL,) if I.DATE_COL in stray.columns else ())
+    assert (_rows(I.read_latest(store), list(LATEST_COLUMNS)), I.read_weather(store).count()) == before
+    assert store.last_run("batch") == 0
+    I.ingest_batch(store, rows.filter(F.col("offset") >= 300), 1)
+    latest = I.read_latest(store)
     msgs = rows.select(F.col("value").cast("string").alias("line"), "partition", "offset", "timestamp")
     good = good_rows(parse_lines(msgs, keep=["partition", "offset", "timestamp"])).withColumn("arrival", F.col("offset"))
     assert _rows(latest, list(LATEST_COLUMNS)) == _rows(U.latest_per_station(good), list(LATEST_COLUMNS))
@@ -80,10 +90,10 @@ def test_restart_after_data_before_marker(spark):
 
 def test_refresh_rollups_from_store_and_progress_lag(spark):
     work = tempfile.mkdtemp(prefix="skyroll-refresh-", dir="/tmp")
-    store = TableStore(spark, os.path.join(work, "store"))
-    target = TableStore(spark, os.path.join(work, "rollups"))
+    store = Tables(spark, os.path.join(work, "store"))
+    target = Tables(spark, os.path.join(work, "rollups"))
     rows = tt.kafka_rows(tt.events(spark, SF)).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
-    I.ingest_batch(spark, store, rows, 0)
+    I.ingest_batch(store, rows, 0)
     got = I.refresh_rollup_table(spark, store, target, 0)
     from skyroll.operators import rollup as R
     from skyroll.schema import ROLLUP_COLUMNS
@@ -95,30 +105,36 @@ def test_refresh_rollups_from_store_and_progress_lag(spark):
     from skyroll.plans.jobs import history_from_store
     h = history_from_store(target, "week", metric="humidity", station="click")
     plan = h._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [(window_name" in plan and "week" in plan
+    filters = re.search(r"PartitionFilters: \[([^]]*)", plan).group(1)
+    assert re.search(r"window_name#\d+ = week", filters) and re.search(r"run#\d+L? = 0", filters)
     assert h.count() == got.filter((F.col("window_name") == "week") & (F.col("station") == "click")).count() > 0
     assert I.lag_from_progress({"sources": [{"latestOffset": '{"weather":{"0":120,"1":7}}',
                                              "endOffset": '{"weather":{"0":100,"1":7}}'}]}) == 20
 
 
-def test_compaction_keeps_results(spark):
-    work = tempfile.mkdtemp(prefix="skyroll-compact-", dir="/tmp")
-    store = TableStore(spark, os.path.join(work, "store"))
+def test_a_batch_writes_its_own_rows_only(spark):
+    work = tempfile.mkdtemp(prefix="skyroll-own-", dir="/tmp")
+    store = Tables(spark, os.path.join(work, "store"))
     rows = tt.kafka_rows(tt.events(spark, SF)).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
     n = rows.count()
-    for i in range(3):  # offsets grow from batch to batch, as on a topic partition
+    for i in range(3):
         part = rows.filter((F.col("offset") * 3 >= i * n) & (F.col("offset") * 3 < (i + 1) * n))
-        I.ingest_batch(spark, store, part, i, compact_every=2)
-    raw = store.latest_commit()["tables"][I.WEATHER]
-    assert len(raw["deltas"]) == 1 and raw["base"]
-    msgs = rows.select(F.col("value").cast("string").alias("line"), "partition", "offset", "timestamp")
-    good = good_rows(parse_lines(msgs, keep=["partition", "offset", "timestamp"])).withColumn("arrival", F.col("offset"))
-    want = U.latest_wins(good.select(*WEATHER_COLUMNS, "arrival"), ["station", "dt"], ["arrival"])
-    assert _rows(I.read_weather(store), list(WEATHER_COLUMNS)) == _rows(want, list(WEATHER_COLUMNS))
+        I.ingest_batch(store, part, i)
+        msgs = part.select(F.col("value").cast("string").alias("line"), "partition", "offset", "timestamp")
+        good = good_rows(parse_lines(msgs, keep=["offset"]))
+        written = store.of_run(I.STATIONS, I._stations_schema(), "batch", i)
+        assert sorted(r[0] for r in written.select("station").collect()) == \
+            sorted(r[0] for r in good.select("station").distinct().collect())
+        assert store.of_run(I.WEATHER, I._weather_schema(), "batch", i).count() == good.select("station", "dt").distinct().count()
+    # A date filter reaches the raw table's partitions, and so do the finished runs.
+    import datetime as dt
+    some = I.read_weather(store, dt.date(2024, 1, 20))
+    assert some.count() == I.read_weather(store).filter(F.col("dt") >= F.lit("2024-01-20").cast("timestamp_ntz")).count() > 0
+    assert re.search(r"PartitionFilters: \[[^]]*obs_date#\d+ >= 2024-01-20", some._jdf.queryExecution().executedPlan().toString())
 
 
 def test_failed_batch_replays_after_restart(spark):
-    """A batch fails after writing its data but before its marker: the query
+    """A batch fails after writing its rows but before it finishes: the query
     stops, the checkpoint does not advance, and a restart replays the batch."""
     work = tempfile.mkdtemp(prefix="skyroll-fail-", dir="/tmp")
     src, store_root, ckpt = (os.path.join(work, d) for d in ("src", "store", "ckpt"))
@@ -132,29 +148,29 @@ def test_failed_batch_replays_after_restart(spark):
         return (spark.readStream.schema(I.KAFKA_SCHEMA).option("maxFilesPerTrigger", 1)
                 .option("recursiveFileLookup", "true").parquet(src))
 
-    original = TableStore.commit
+    original = Tables.finish
     calls = {"n": 0}
 
-    def flaky(self, number, *rest):
+    def flaky(self, writer, run):
         calls["n"] += 1
-        if number == 1 and calls["n"] == 2:
-            raise RuntimeError("lost before commit")
-        return original(self, number, *rest)
+        if run == 1 and calls["n"] == 2:
+            raise RuntimeError("lost before the end")
+        return original(self, writer, run)
 
-    TableStore.commit = flaky
+    Tables.finish = flaky
     try:
         q = I.start_ingest(spark, stream(), store_root, ckpt, trigger={"availableNow": True})
         try:
             q.awaitTermination(300)
         except Exception:  # noqa: BLE001 - the injected failure stops the query
             pass
-        assert TableStore(spark, store_root).latest_commit()["batch_id"] == 0
+        assert [r.run for r in Tables(spark, store_root).runs().collect()] == [0]
         q = I.start_ingest(spark, stream(), store_root, ckpt, trigger={"availableNow": True})
         q.awaitTermination(300)
     finally:
-        TableStore.commit = original
-    store = TableStore(spark, store_root)
-    assert store.latest_commit()["batch_id"] == 1
+        Tables.finish = original
+    store = Tables(spark, store_root)
+    assert sorted(r.run for r in store.runs().collect()) == [0, 1]
     msgs = rows.select(F.col("value").cast("string").alias("line"), "partition", "offset", "timestamp")
     good = good_rows(parse_lines(msgs, keep=["partition", "offset", "timestamp"])).withColumn("arrival", F.col("offset"))
     want = U.latest_wins(good.select(*WEATHER_COLUMNS, "arrival"), ["station", "dt"], ["arrival"])
@@ -169,12 +185,12 @@ def _message(offset, station, day, value):
 
 def _values(store):
     raw = {(r.station, r.dt.day): r.temps_avg_f for r in I.read_weather(store).collect()}
-    return raw, {r.station: r.temperature for r in store.read(I.LATEST, I._latest_schema()).collect()}
+    return raw, {r.station: r.temperature for r in I.read_latest(store).collect()}
 
 
 def test_new_checkpoint_and_reset_lose_no_batch(spark):
     work = tempfile.mkdtemp(prefix="skyroll-new-ckpt-", dir="/tmp")
-    store = TableStore(spark, os.path.join(work, "store"))
+    store = Tables(spark, os.path.join(work, "store"))
 
     def feed(name, checkpoint, rows):
         src = os.path.join(work, name)
@@ -192,12 +208,19 @@ def test_new_checkpoint_and_reset_lose_no_batch(spark):
 
 
 def test_last_processed_wins_with_restarted_offsets(spark):
-    results = set()
-    for compact_every in (1, 2, 30):
-        store = TableStore(spark, os.path.join(tempfile.mkdtemp(prefix="skyroll-last-", dir="/tmp"), "store"))
-        for i, (offset, value) in enumerate([(100, 1.0), (5, 2.0), (7, 3.0), (6, 4.0)]):
-            batch = spark.createDataFrame([_message(offset, "a", 1, value), _message(offset + 1, "b", 1, value)], I.KAFKA_SCHEMA)
-            I.ingest_batch(spark, store, batch, i, compact_every)
-        raw, latest = _values(store)
-        results.add((raw["a", 1], raw["b", 1], latest["a"] is not None))
-    assert results == {(4.0, 4.0, True)}
+    store = Tables(spark, os.path.join(tempfile.mkdtemp(prefix="skyroll-last-", dir="/tmp"), "store"))
+    for i, (offset, value) in enumerate([(100, 1.0), (5, 2.0), (7, 3.0), (6, 4.0)]):
+        batch = spark.createDataFrame([_message(offset, "a", 1, value), _message(offset + 1, "b", 1, value)], I.KAFKA_SCHEMA)
+        I.ingest_batch(store, batch, i)
+    raw, latest = _values(store)
+    assert raw == {("a", 1): 4.0, ("b", 1): 4.0} and latest == {"a": 4.0, "b": 4.0}
+    assert {(r.station, r.kafka_offset) for r in I.read_state(store).collect()} == {("a", 6), ("b", 7)}
+
+
+def test_empty_tables_and_batches(spark):
+    store = Tables(spark, os.path.join(tempfile.mkdtemp(prefix="skyroll-none-", dir="/tmp"), "store"))
+    readers = (I.read_weather, I.read_latest, I.read_state, I.read_rejects, I.read_rollups)
+    assert [r(store).count() for r in readers] == [0] * 5
+    I.ingest_batch(store, spark.createDataFrame([], I.KAFKA_SCHEMA), 0)
+    assert store.last_run("batch") == 0 and [r(store).count() for r in readers] == [0] * 5
+    assert I.refresh_rollup_table(spark, store, store).count() == 0
