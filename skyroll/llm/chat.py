@@ -70,8 +70,21 @@ def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rotate(table(spark, sf_dir, "conversations"))
 
 
+#: Ties of a turn by the crc32 of speaker and text, byte by byte with a table made from its polynomial.
 OP2_SQL = """
-WITH m AS (SELECT conv_id, turn, coalesce(role, 'unknown') AS who, coalesce(text, '') AS said FROM conversations),
+WITH RECURSIVE bits(i, k, c) AS (
+  SELECT i::BIGINT, 0, i::BIGINT FROM range(256) t(i)
+  UNION ALL
+  SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM bits WHERE k < 8
+),
+crc_table AS (SELECT list(c ORDER BY i) AS t FROM bits WHERE k = 8),
+named AS (SELECT conv_id, turn, coalesce(role, 'unknown') AS who, coalesce(text, '') AS said FROM conversations),
+m AS (
+  SELECT conv_id, turn, who, said, xor(list_reduce(
+    list_concat([4294967295::BIGINT], list_transform(range(1, length(hx) // 2 + 1), lambda i: ('0x' || substr(hx, 2 * i - 1, 2))::BIGINT)),
+    lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1])), 4294967295) AS tie
+  FROM (SELECT *, hex(encode(who || chr(10) || said)) AS hx FROM named), crc_table
+),
 p AS (SELECT DISTINCT conv_id, who AS perspective FROM m WHERE who <> 'system'),
 r AS (
   SELECT m.*, perspective,
@@ -86,7 +99,7 @@ h AS (
 s AS (SELECT *, head || said || '<|im_end|>' || chr(10) AS segment FROM h),
 o AS (
   SELECT *, row_number() OVER w - 1 AS seq, coalesce(sum(length(segment)) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
-  FROM s WINDOW w AS (PARTITION BY conv_id, perspective ORDER BY turn, who, said)
+  FROM s WINDOW w AS (PARTITION BY conv_id, perspective ORDER BY turn NULLS FIRST, tie, who, said)
 )
 SELECT conv_id, perspective, seq, role, name, segment, start,
   CASE WHEN role = 'assistant' THEN start + length(head) ELSE start END AS mask_from,

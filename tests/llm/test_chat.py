@@ -43,6 +43,16 @@ def test_one_long_conversation(spark):
     assert result(chat.rotate(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))) == brute(rows)
 
 
+def test_sql_orders_repeated_turns_alike(spark):
+    rows = [(1, t, s, x) for t in (2, None, 2) for s in ("ann", "bob", None, "system") for x in ("é 1", "two", "", None, "two")]
+    con = duckdb.connect()
+    con.sql("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", rows)
+    df = chat.rotate(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    names = ", ".join(df.columns)
+    assert result(df) == sorted(con.sql(f"SELECT {names} FROM ({chat.OP2_SQL})").fetchall(), key=str)
+
+
 def test_sql_and_no_python(spark):
     d = "/root/testdata/sf0.001"
     con = duckdb.connect()

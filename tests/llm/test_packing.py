@@ -1,5 +1,7 @@
+import bisect
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -44,6 +46,35 @@ def test_few_sequences():
     assert sum(g.count for g in packing.plan(histogram)) <= 1.02 * max(total / 1024, singles) + 1
 
 
+def item_by_item(lengths, capacity):
+    """Room left in each sequence: large-item matching done one piece at a time."""
+    third = capacity // 3
+    large, small = sorted(x for x in lengths if x > third), sorted((x for x in lengths if x <= third), reverse=True)
+    rooms = []
+    while large:
+        room = capacity - large.pop()
+        if (i := bisect.bisect_right(large, room)) > 0:
+            room -= large.pop(i - 1)
+        rooms.append(room)
+    rooms.sort()
+    for x in small:
+        i = bisect.bisect_left(rooms, x)
+        bisect.insort(rooms, (rooms.pop(i) if i < len(rooms) else capacity) - x)
+    return rooms
+
+
+def test_plan_equals_item_by_item_matching():
+    rng = random.Random(7)
+    for capacity in (9, 10, 16, 100, 1024):
+        for _ in range(150):
+            most = rng.choice([capacity, capacity // 2, capacity // 3])
+            lengths = [rng.randint(1, most) for _ in range(rng.randint(1, 400))]
+            found = []
+            for g in packing.plan(Counter(lengths), capacity):
+                found += [capacity - sum(g.lengths)] * g.count
+            assert sorted(found) == item_by_item(lengths, capacity)
+
+
 @pytest.mark.parametrize("capacity", [16, 1024])
 def test_odd_rows(documents, odd_rows, capacity):
     got = packing.pack(documents(odd_rows), PATH, capacity=capacity).collect()

@@ -1,6 +1,8 @@
+import math
 import random
 import re
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -109,3 +111,53 @@ def test_cutoff_by_rows():
     assert quality.cutoff(5) == float("inf") and abs(quality.cutoff(1e6) - quality.quantile(0.999)) < 0.2
     values = [quality.cutoff(n) for n in (6, 7, 10, 30, 59, 60, 200)]
     assert values == sorted(values, reverse=True) and values[4] / values[5] < 1.01
+
+
+def vector(c):
+    words, chars, symbols, lines, repeats = c
+    x = (math.log(words) / 4, math.log((chars + 1) / words), math.sqrt(symbols / max(chars, 1)), repeats / (words + 50), math.log1p(lines) / 8)
+    return [round(v * 4096) / 4096 for v in x]
+
+
+def plain_mcd(x, rng, starts=60):
+    """Distance and verdict of each row: the half with the least determinant over many starts, exact order statistics, reweighted."""
+    n, p = x.shape
+    h, floor = min(n, (n + p + 1) // 2), np.diag(np.array(quality.LEAST_SD) ** 2)
+
+    def far(rows, factor):
+        mean, cov = rows.mean(0), np.cov(rows.T, bias=True) * factor + floor
+        away = x - mean
+        return np.einsum("ij,jk,ik->i", away, np.linalg.inv(cov), away), np.linalg.det(cov)
+
+    def spread(d):
+        return max(1.0, np.sort(d)[(n + 1) // 2 - 1] / 4.35146)
+
+    best = (math.inf, None)
+    for _ in range(starts):
+        near = rng.choice(n, min(n, p + 1), replace=False)
+        for _ in range(15):
+            near = np.argsort(far(x[near], quality.consistency(h / n))[0], kind="stable")[:h]
+        d, det = far(x[near], quality.consistency(h / n))
+        best = min(best, (det, d.tolist()))
+    d = np.array(best[1])
+    near = d <= 12.8325 * spread(d)
+    d, _ = far(x[near], quality.consistency(0.975))
+    return d, d <= spread(d) * quality.cutoff(int(near.sum()))
+
+
+def test_against_plain_mcd(grouped):
+    rng, random_rows = random.Random(5), np.random.default_rng(5)
+    sizes = [(n, round(n * share)) for n in (6, 7, 12, 30, 60, 200, 500) for share in (0.05, 0.25, 0.45)]
+    rows = []
+    for g, (n, junk) in enumerate(sizes):  # a language each, so that its estimate is its group's
+        rows += mixture(1000 * g, n, junk, 1 if n != 200 else 0.4, rng, f"l{g}", "s")
+    texts = {r[0]: r[1] for r in rows}
+    got = {r.doc_id: r for r in quality.judge(grouped(rows), ["doc_id"]).collect()}
+    wrong = 0
+    for g, (n, junk) in enumerate(sizes):
+        ids = range(1000 * g, 1000 * g + n)
+        d, kept = plain_mcd(np.array([vector(counts(texts[i])) for i in ids]), random_rows)
+        wrong += sum(got[i].kept != k for i, k in zip(ids, kept, strict=True))
+        clean = np.array([got[i].distance for i in ids[: n - junk]]) / np.maximum(d[: n - junk], 0.5)
+        assert 0.8 < np.median(clean) < 1.25
+    assert wrong <= 0.005 * len(rows)
