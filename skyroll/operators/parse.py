@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyroll.functions.text import first_present, present
-from skyroll.functions.time import parse_local_ts
+from skyroll.functions.time import epoch_seconds, parse_local_ts
 from skyroll.schema import BIGINT_METRICS, DOUBLE_METRICS, LINE_JSON_SCHEMA, WEATHER_COLUMNS
 
 REASON = "reject_reason"
@@ -125,3 +125,10 @@ def good_rows(parsed: DataFrame) -> DataFrame:
 def reject_rows(parsed: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return parsed.filter(F.col(REASON).isNotNull()).select(
         *keep, F.col("_line").alias("line"), F.col(REASON))
+
+
+def line_counts() -> list[Column]:
+    """Aggregates over parsed lines: rows, rejects, delivered and the newest event time. No lines count 0."""
+    rejected = F.col(REASON).isNotNull()
+    return [F.count(F.lit(1)).alias("rows"), F.count_if(rejected).alias("rejects"), F.count_if(~rejected).alias("delivered"),
+            F.max(F.when(~rejected, epoch_seconds("dt"))).alias("latest_epoch")]

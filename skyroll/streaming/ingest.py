@@ -7,7 +7,8 @@
 2. write the batch's observations, one row per (station, dt), later offset wins,
    into date partitions of the batch's own;
 3. write one row per touched station: its latest reading and consumer marks;
-4. finish the run, which shows the three together (``streaming/tables.py``).
+4. write the batch's counts: rows, rejects, delivered, newest event time;
+5. finish the run, which shows the four together (``streaming/tables.py``).
 
 No stored row is read or rewritten. ``read_weather``, ``read_latest`` and
 ``read_state`` merge on (station, dt) or station; latest and marks read the
@@ -27,9 +28,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from skyroll.functions.time import epoch_seconds
 from skyroll.operators import rollup as R
 from skyroll.operators import upsert as U
-from skyroll.operators.parse import REASON, good_rows, parse_lines, reject_rows
+from skyroll.operators.parse import REASON, good_rows, line_counts, parse_lines, reject_rows
 from skyroll.schema import LATEST_COLUMNS, ROLLUP_MEASURES, ROLLUP_WINDOWS, WEATHER_COLUMNS, weather_schema
 from skyroll.session import apply_session_defaults
 from skyroll.streaming.tables import Tables
@@ -37,6 +39,7 @@ from skyroll.streaming.tables import Tables
 WEATHER = "weather"
 STATIONS = "station_rows"
 REJECTS = "rejects"
+COUNTS = "batch_counts"
 ROLLUPS = "weather_aggregates"
 DATE_COL = "obs_date"
 
@@ -92,6 +95,7 @@ def ingest_batch(tables: Tables, batch: DataFrame, batch_id: int, writer: str =
         tables.write(rows.withColumn(DATE_COL, F.to_date("dt")).repartitionByRange(DATE_COL, "station", "dt")
                      .sortWithinPartitions(DATE_COL, "station", "dt"), WEATHER, writer, batch_id, by=(DATE_COL,))
         tables.write(station_rows(good), STATIONS, writer, batch_id)
+        tables.write(parsed.agg(*line_counts()), COUNTS, writer, batch_id)
         tables.finish(writer, batch_id)
     finally:
         parsed.unpersist()
@@ -129,6 +133,15 @@ def read_rejects(tables: Tables) -> DataFrame:
     return tables.read(REJECTS, _rejects_schema()).drop("finished_at")
 
 
+def read_batch_counts(tables: Tables) -> DataFrame:
+    """One row per finished batch: writer, run, finished_at, rows, rejects, delivered, the newest event
+    time, and the seconds that it lies behind the finish (wall clock, read as UTC; null without a reading)."""
+    schema = T.StructType([T.StructField(n, T.LongType()) for n in ("rows", "rejects", "delivered")]
+                          + [T.StructField("latest_epoch", T.DoubleType())])
+    behind = epoch_seconds(F.to_utc_timestamp("finished_at", F.current_timezone()).cast("timestamp_ntz")) - F.col("latest_epoch")
+    return tables.read(COUNTS, schema).withColumn("event_lag_seconds", behind)
+
+
 def read_weather(tables: Tables, since: _dt.date | None = None) -> DataFrame:
     """The raw table, last write wins on (station, dt); ``since`` prunes to dates from then on.
 

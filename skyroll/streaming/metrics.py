@@ -7,7 +7,8 @@ event time and how far it lies behind the trigger, and the topic lag, where
 the source tells its end offsets. Event times are wall clocks, read as UTC.
 
 Only streams with a plain sink count once: ``foreachBatch`` may read its batch
-several times, and each reading counts. A batch that is run again after a
+several times, and each reading counts. The ingest job therefore writes the counts
+of a batch with its rows (``ingest.read_batch_counts``). A batch that is run again after a
 failure has a second row; ``read_metrics`` keeps the last.
 """
 
@@ -21,8 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQueryListener
 
-from skyroll.functions.time import epoch_seconds
-from skyroll.operators.parse import REASON
+from skyroll.operators.parse import line_counts
 from skyroll.operators.upsert import latest_wins
 from skyroll.streaming.ingest import lag_from_progress
 
@@ -38,9 +38,7 @@ METRICS_SCHEMA = T.StructType([
 
 def observed(parsed: DataFrame, name: str = NAME) -> DataFrame:
     """Parsed lines with their counts observed under ``name``. A reject has a reason; an empty batch counts 0."""
-    rejected = F.col(REASON).isNotNull()
-    return parsed.observe(name, F.count(F.lit(1)).alias("rows"), F.count_if(rejected).alias("rejects"),
-                          F.count_if(~rejected).alias("delivered"), F.max(F.when(~rejected, epoch_seconds("dt"))).alias("latest_epoch"))
+    return parsed.observe(name, *line_counts())
 
 
 class MetricsTable(StreamingQueryListener):

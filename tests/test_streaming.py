@@ -3,6 +3,7 @@ duplicate deliveries), then compare the tables with the batch result; replaying
 a finished batch changes nothing; a batch that wrote rows but did not finish
 doesn't show and is redone on restart."""
 
+import datetime as dt
 import os
 import re
 import tempfile
@@ -57,6 +58,16 @@ def test_stream_equals_batch(spark):
     rejects = I.read_rejects(store).select("offset").distinct().count()
     assert rejects == parse_lines(msgs, keep=["offset"]).filter(F.col("reject_reason").isNotNull()).count()
 
+    # Each batch's counts add up to the messages, the second deliveries among them.
+    counts = I.read_batch_counts(store).collect()
+    assert len(counts) == store.last_run(stream_writer) + 1
+    assert sum(r.rows for r in counts) == spark.read.parquet(*[os.path.join(src, f"part{i}") for i in range(3)]).count()
+    assert all(r.rows == r.rejects + r.delivered for r in counts) and sum(r.rejects for r in counts) == I.read_rejects(store).count()
+    newest = good.agg(F.max("dt")).first()[0].replace(tzinfo=dt.timezone.utc).timestamp()
+    assert max(r.latest_epoch for r in counts) == newest
+    for r in counts:
+        assert abs(r.finished_at.astimezone(dt.timezone.utc).timestamp() - r.latest_epoch - r.event_lag_seconds) < 1e-3
+
     # Replaying a finished batch is a no-op.
     before = sorted(store.runs().collect())
     I.ingest_batch(store, spark.read.parquet(os.path.join(src, "part0")), 0, writer=stream_writer)
@@ -64,7 +75,6 @@ def test_stream_equals_batch(spark):
 
 
 def _stray(schema):
-    import datetime as dt
     values = {"station": "x", "dt": dt.datetime(2100, 1, 1), I.DATE_COL: dt.date(2024, 1, 1)}
     return tuple(values.get(n) for n in schema.names)
 
@@ -127,7 +137,6 @@ def test_a_batch_writes_its_own_rows_only(spark):
             sorted(r[0] for r in good.select("station").distinct().collect())
         assert store.of_run(I.WEATHER, I._weather_schema(), "batch", i).count() == good.select("station", "dt").distinct().count()
     # A date filter reaches the raw table's partitions, and so do the finished runs.
-    import datetime as dt
     some = I.read_weather(store, dt.date(2024, 1, 20))
     assert some.count() == I.read_weather(store).filter(F.col("dt") >= F.lit("2024-01-20").cast("timestamp_ntz")).count() > 0
     assert re.search(r"PartitionFilters: \[[^]]*obs_date#\d+ >= 2024-01-20", some._jdf.queryExecution().executedPlan().toString())
@@ -178,7 +187,6 @@ def test_failed_batch_replays_after_restart(spark):
 
 
 def _message(offset, station, day, value):
-    import datetime as dt
     line = f'{{"dt":"2024-01-{day:02d}T00:00:00","station":"{station}","temps_avg_f":{value}}}'
     return (b"k", line.encode(), "t", 0, offset, dt.datetime(2024, 2, 1))
 
@@ -223,4 +231,5 @@ def test_empty_tables_and_batches(spark):
     assert [r(store).count() for r in readers] == [0] * 5
     I.ingest_batch(store, spark.createDataFrame([], I.KAFKA_SCHEMA), 0)
     assert store.last_run("batch") == 0 and [r(store).count() for r in readers] == [0] * 5
+    assert [(r.rows, r.rejects, r.latest_epoch, r.event_lag_seconds) for r in I.read_batch_counts(store).collect()] == [(0, 0, None, None)]
     assert I.refresh_rollup_table(spark, store, store).count() == 0
