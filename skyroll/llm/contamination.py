@@ -3,8 +3,10 @@
 Postings are (term, document, position). Only terms of the test items are
 posted, and of each window of an item only its rarest terms are looked up: their
 lists, moved back by the term's offset in the window, must meet at the same
-start. What is left is compared with the document word by word, exactly or, for
-proximity matches, within a number of places. Everything is DataFrame
+start. A document's postings are dealt to one task, so that their starts meet
+there without being sent on. What is left is compared with the document word by
+word, exactly or, for proximity matches, within a number of places; only the
+text of documents with something left is read again. Everything is DataFrame
 expressions.
 """
 
@@ -13,13 +15,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyroll.llm.common import checkpointed, join_small, table
+from skyroll.llm.common import checkpointed, join_small, table, written
 
 WINDOW = 10
 #: Terms of a window whose postings are met before whole windows are compared.
 RAREST = 3
-#: Maximal runs of these are words, in lower case.
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: What stands between words, in lower case. Splitting at it is several times faster than matching all words.
+BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: Rows of ids alone that a join broadcasts.
+MAX_IDS = 1_000_000
+#: Stands after a document's last word, so that its position is the number of words. No word is empty.
+END = ""
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -27,7 +33,7 @@ def words_of(text: Column) -> Column:
     """Words of a text with A-Z as a-z; none if null. Only letters of ASCII change case."""
     plain = F.octet_length(text) == F.char_length(text)
     lowered = F.when(plain, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
-    return F.regexp_extract_all(F.coalesce(lowered, F.lit("")), F.lit(WORD), F.lit(0))
+    return F.array_remove(F.split(F.coalesce(lowered, F.lit("")), BREAK), "")
 
 
 def item_windows(items: DataFrame, item: str, text: str, size: int) -> DataFrame:
@@ -39,9 +45,9 @@ def item_windows(items: DataFrame, item: str, text: str, size: int) -> DataFrame
 
 
 def postings(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """Positional index over the given terms (one row each, column term): term, _id, pos."""
-    tokens = docs.select("_id", F.posexplode(words_of(F.col("_text"))).alias("pos", "term"))
-    return join_small(tokens, terms, ["term"], "inner")
+    """Positional index over the given terms (one row each, column term): _id, _key, pos, term. END is posted as any term."""
+    words = F.array_append(words_of(F.col("_text")), F.lit(END))
+    return join_small(docs.select("_id", "_key", F.posexplode(words).alias("pos", "term")), terms, ["term"], "inner")
 
 
 def rarest_terms(windows: DataFrame, docs: DataFrame) -> DataFrame:
@@ -56,12 +62,16 @@ def rarest_terms(windows: DataFrame, docs: DataFrame) -> DataFrame:
     )
 
 
-def candidates(docs: DataFrame, windows: DataFrame, slop: int) -> DataFrame:
+def listed_terms(docs: DataFrame, rare: DataFrame) -> DataFrame:
+    """Postings of the rare terms only, so that a frequent word's list is read where a window has nothing rarer; and of END."""
+    end = rare.sparkSession.range(1).select(F.lit(END).alias("term"))
+    return written(postings(docs, checkpointed(rare.select("term").distinct().union(end))))
+
+
+def candidates(listed: DataFrame, rare: DataFrame, slop: int) -> DataFrame:
     """_id, uid, at, start: places where the lists of a window's rarest terms meet."""
-    rare = checkpointed(rarest_terms(windows, docs))
-    # rare terms only, so that a frequent word's list is read where a window has nothing rarer
-    listed = postings(docs, rare.select("term").distinct())
-    met = listed.join(rare, "term").select("_id", "uid", "at", "bit", (F.col("pos") - F.col("offset")).alias("start"))
+    own = listed.where(F.col("term") != END).select("_id", "pos", "term").repartition("_id")
+    met = join_small(own, rare, ["term"], "inner").select("_id", "uid", "at", "bit", (F.col("pos") - F.col("offset")).alias("start"))
     if slop:
         met = met.withColumn("start", F.explode(F.sequence(F.col("start") - slop, F.col("start") + slop)))
     full = rare.groupBy("uid", "at").agg(F.bit_or("bit").alias("full"))
@@ -69,16 +79,23 @@ def candidates(docs: DataFrame, windows: DataFrame, slop: int) -> DataFrame:
     return found.join(full, ["uid", "at"]).where("bits = full").select("_id", "uid", "at", "start")
 
 
-def matches(docs: DataFrame, items: DataFrame, item: str, text: str, size: int, slop: int = 0) -> DataFrame:
-    """``docs`` (with _id and _text) and found: (item, start, len) of every match.
+def matches(docs: DataFrame, items: DataFrame, item: str, text: str, size: int, slop: int = 0) -> tuple[DataFrame, DataFrame]:
+    """Number of words of each document of ``docs`` (with _id, _key and _text), and found, (item, start, len) of
+    every match, of those that have any: _id, _key, n_words and _id, _key, found, one row for all rows of one id and key.
 
     A window matches at a start if each of its words is within ``slop`` places
     of its own: 0 is the exact phrase, more a proximity match.
     """
     windows = checkpointed(item_windows(items, item, text, size))
-    placed = candidates(docs, windows, slop).join(windows, ["uid", "at"])
-    lists = checkpointed(placed.groupBy("_id").agg(F.collect_list(F.struct("item", "start", "words")).alias("_c")))
-    rows = docs.join(lists, "_id", "left").withColumn("_w", words_of(F.col("_text")))
+    rare = checkpointed(rarest_terms(windows, docs))
+    listed = listed_terms(docs, rare)
+    sizes = listed.where(F.col("term") == END).groupBy("_id", "_key").agg(F.max("pos").cast("long").alias("n_words"))
+    placed = candidates(listed, rare, slop).join(windows, ["uid", "at"])
+    lists = written(placed.groupBy("_id").agg(F.collect_list(F.struct("item", "start", "words")).alias("_c")))
+    texts = join_small(docs.select("_id", "_key", "_text"), lists.select("_id"), ["_id"], "left_semi", MAX_IDS)
+    rows = texts.dropDuplicates(["_id", "_key"]).join(lists, "_id")
+    # out of a generator, so that words are split once a text and not for each place
+    rows = rows.select("_id", "_key", "_c", F.explode(F.array(words_of(F.col("_text")))).alias("_w"))
     if slop:
         fits = lambda c: F.forall(
             F.sequence(F.lit(0), F.size(c["words"]) - 1),
@@ -91,9 +108,8 @@ def matches(docs: DataFrame, items: DataFrame, item: str, text: str, size: int,
         fits = lambda c: F.slice(F.col("_w"), c["start"] + 1, F.size(c["words"])) == c["words"]
     real = F.filter("_c", fits)
     found = F.transform(real, lambda c: F.struct(c["item"].alias("item"), c["start"].alias("start"), F.size(c["words"]).alias("len")))
-    none = F.array().cast("array<struct<item:string,start:int,len:int>>")
-    as_text = F.coalesce(found.cast("array<struct<item:string,start:int,len:int>>"), none)
-    return rows.select(*docs.columns, F.size("_w").cast("long").alias("n_words"), as_text.alias("found"))
+    as_text = found.cast("array<struct<item:string,start:int,len:int>>")
+    return sizes, rows.select("_id", "_key", as_text.alias("found")).where(F.size("found") > 0)
 
 
 def identified(docs: DataFrame, key: str, text: str, more: tuple[str, ...] = ()) -> DataFrame:
@@ -121,7 +137,13 @@ def decontaminate(
     documents are judged alike; other columns are ignored. Without items, or
     without documents, nothing is found.
     """
-    rows = matches(identified(docs, key, text), items, item, item_text, size, slop)
+    named = identified(docs, key, text)
+    sizes, hits = matches(named, items, item, item_text, size, slop)
+    same = [F.col("_id") == F.col("_hid"), F.col("_key").eqNullSafe(F.col("_hkey"))]
+    marks = sizes.join(hits.select(F.col("_id").alias("_hid"), F.col("_key").alias("_hkey"), "found"), same, "left")
+    none = F.array().cast("array<struct<item:string,start:int,len:int>>")
+    marks = marks.select(F.col("_id").alias("_mid"), F.col("_key").alias("_mkey"), "n_words", F.coalesce("found", none).alias("found"))
+    rows = named.select("_id", "_key").join(marks, [F.col("_id") == F.col("_mid"), F.col("_key").eqNullSafe(F.col("_mkey"))])
     ids = F.array_sort(F.array_compact(F.array_distinct(F.transform("found", lambda m: m["item"]))))
     out = rows.withColumn("_ids", ids).withColumn("n_hit", F.size(covered()).cast("long"))
     return out.select(
@@ -140,7 +162,8 @@ def clean(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
     names = [f"_in{i}" for i in range(len(docs.columns))]
     of = dict(zip(docs.columns, names, strict=True))
     rows = identified(docs.toDF(*names), of[key], of[text], tuple(names))
-    kept = matches(rows, items, item, item_text, size).where(F.size("found") == 0)
+    _, hits = matches(rows, items, item, item_text, size)
+    kept = join_small(rows, written(hits.select("_id", "_key")), ["_id", "_key"], "left_anti", MAX_IDS)
     return kept.select(*[F.col(n).alias(c) for c, n in of.items()])
 
 

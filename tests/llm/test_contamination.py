@@ -81,3 +81,9 @@ def test_sql_and_no_python(spark):
     assert sorted(map(str, df.toPandas().values.tolist())) == sorted(map(str, want.values.tolist()))
     plan = df._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_clean_sends_no_text_on(spark, documents, odd_rows):
+    kept = c.clean(documents(odd_rows), items_frame(spark, [(1, " ".join(f"W1X{i}" for i in range(30, 45)))]))
+    assert kept.count() == 7
+    assert "Exchange hashpartitioning" not in kept._jdf.queryExecution().executedPlan().toString()
