@@ -1,8 +1,8 @@
 """Progress marks: status, gaps, resume points, incremental and repair windows.
 
-Mark tables hold one row per station. They are joined with plain equi-joins:
-AQE turns a join into a broadcast only when the measured side is small, so no
-size is assumed for the station count.
+Mark tables hold one row per station. They are joined with each other by plain
+equi-joins. Lines are joined with marks by :func:`join_marks`: their own key, the
+station, has few values, so lines are never dealt out by it alone.
 """
 
 from __future__ import annotations
@@ -16,6 +16,28 @@ from skyroll.operators.parse import good_rows, parse_lines
 from skyroll.operators.upsert import reconciliation_status
 from skyroll.schema import BACKFILL_MODE, MARK_STAGES, RECONCILIATION_LOOKBACK_DAYS
 
+# Stations (a row of a name and a time or two each) that a join of lines broadcasts, and the parts that a
+# station's lines are dealt into beyond that.
+MAX_STATIONS = 500_000
+STATION_PARTS = 64
+
+
+def join_marks(lines: DataFrame, marks: DataFrame, on: list[str], how: str = "inner",
+               bound: DataFrame | None = None) -> DataFrame:
+    """Join lines with ``marks``, one row per station, without dealing a whole station to one task.
+
+    Marks are broadcast up to a counted number. Beyond it they are repeated for
+    each part of a station's lines. ``bound`` has at least as many rows as
+    ``marks`` and is counted in its place where that is cheaper."""
+    counted = marks if bound is None else bound
+    if counted.select(counted.columns[0]).limit(MAX_STATIONS + 1).count() <= MAX_STATIONS:
+        return lines.join(F.broadcast(marks), on, how)
+    part = F.pmod(F.xxhash64(*lines.columns), F.lit(STATION_PARTS))
+    parts = F.sequence(F.lit(0).cast("bigint"), F.lit(STATION_PARTS - 1).cast("bigint"))
+    return (lines.withColumn("_part", part)
+            .join(marks.withColumn("_part", F.explode(parts)), [*on, "_part"], how).drop("_part"))
+
+
 # ---------------------------------------------------------------------------
 # Status and gaps
 # ---------------------------------------------------------------------------
@@ -118,7 +140,7 @@ def incremental_rows(lines: DataFrame, resume: DataFrame, keep_line: bool = Fals
     or after the resume day are parsed, then ``dt > resume`` (strict).
     Stations without a resume point publish nothing."""
     r = resume.select(F.col("station").alias("station_dir"), F.col("resume_ts").alias("_resume"))
-    cand = lines.join(r.filter(F.col("_resume").isNotNull()), "station_dir", "inner")
+    cand = join_marks(lines, r.filter(F.col("_resume").isNotNull()), ["station_dir"])
     cand = cand.filter(F.substring("file_name", 1, 8) >= yyyymmdd(F.col("_resume")))
     return _parse_writer(cand, keep_line).filter(F.col("dt") > F.col("_resume")).drop("_resume")
 

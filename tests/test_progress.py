@@ -1,5 +1,7 @@
 import datetime as dt
 
+import pytest
+
 from skyroll.operators import progress as P
 
 MARK = dt.datetime(2024, 7, 3, 12, 0)
@@ -45,3 +47,27 @@ def test_status_marks_null_in_turn(spark):
     assert (out["b"].source_database_gap_seconds, out["b"].producer_consumer_gap_seconds, out["b"].requires_backfill) == (0, 90, True)
     assert out["c"].requires_backfill is None
     assert out["d"].requires_backfill is True and out["d"].source_database_gap_seconds == 0
+
+
+def _join_lines(plan_of):
+    """Joins in a plan, with estimates that never broadcast by themselves."""
+    plan = plan_of()._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.splitlines() if "Join " in line]
+
+
+@pytest.fixture
+def no_estimates(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_incremental_lines_stay_where_they_are(spark, no_estimates, monkeypatch):
+    lines = _lines(spark, [MARK - dt.timedelta(days=3), MARK, MARK + dt.timedelta(seconds=1)])
+    resume = spark.createDataFrame([("wx_a", MARK), ("wx_b", None)], "station string, resume_ts timestamp_ntz")
+    joins = _join_lines(lambda: P.incremental_rows(lines, resume))
+    assert len(joins) == 1 and "BroadcastHashJoin" in joins[0]
+    few = sorted(map(str, P.incremental_rows(lines, resume).collect()))
+    monkeypatch.setattr(P, "MAX_STATIONS", 0)
+    assert sorted(map(str, P.incremental_rows(lines, resume).collect())) == few and len(few) == 1
