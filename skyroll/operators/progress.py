@@ -164,10 +164,8 @@ def source_latest(lines: DataFrame) -> DataFrame:
     ``dt`` inside that file only. The newest name comes from a two-column
     aggregate over the raw lines, so only that file's lines are parsed."""
     newest = lines.groupBy(F.col("station_dir").alias("_nd")).agg(F.max("file_name").alias("newest_file"))
-    # Distinct names on both sides: ``newest`` derives from ``lines``, so
-    # ``lines.x == newest.x`` would resolve to one attribute (always true).
-    in_newest = lines.join(newest, (F.col("station_dir") == F.col("_nd"))
-                           & (F.col("file_name") == F.col("newest_file")), "left_semi")
+    in_newest = join_marks(lines, newest.select(F.col("_nd").alias("station_dir"), F.col("newest_file").alias("file_name")),
+                           ["station_dir", "file_name"], "left_semi")
     parsed = _parse_writer(in_newest.select("station_dir", "file_name", "line"))
     latest = parsed.groupBy(F.col("station_dir").alias("_nd")).agg(F.max("dt").alias("source_latest_ts"))
     return (newest.join(latest, "_nd", "left")
@@ -187,7 +185,9 @@ def backfill_rows(lines: DataFrame, stored_latest: DataFrame, src_latest: DataFr
                          & (F.col("_stored") >= F.col("source_latest_ts"))))
     plan = plan.select(F.col("station").alias("station_dir"),
                        F.when(F.col("_stored").isNotNull(), minus_days(F.col("_stored"), lookback_days)).alias("_cutoff"))
-    cand = lines.join(plan, "station_dir", "inner").filter(
+    # counted without the newest times, for which lines would be parsed once more
+    stations = src_latest.select("station").distinct().union(stored_latest.select("station"))
+    cand = join_marks(lines, plan, ["station_dir"], bound=stations).filter(
         F.col("_cutoff").isNull() | (F.substring("file_name", 1, 8) >= yyyymmdd(F.col("_cutoff"))))
     rows = _parse_writer(cand, keep_line).filter(F.col("_cutoff").isNull() | (F.col("dt") >= F.col("_cutoff")))
     return (rows.drop("_cutoff")

@@ -71,3 +71,16 @@ def test_incremental_lines_stay_where_they_are(spark, no_estimates, monkeypatch)
     few = sorted(map(str, P.incremental_rows(lines, resume).collect()))
     monkeypatch.setattr(P, "MAX_STATIONS", 0)
     assert sorted(map(str, P.incremental_rows(lines, resume).collect())) == few and len(few) == 1
+
+
+def test_newest_and_repair_lines_stay_where_they_are(spark, no_estimates, monkeypatch):
+    lines = _lines(spark, [MARK - dt.timedelta(days=3), MARK, MARK + dt.timedelta(seconds=1), MARK + dt.timedelta(days=1)])
+    stored = spark.createDataFrame([("wx_a", MARK)], "station string, table_latest_ts timestamp_ntz")
+    assert any("BroadcastHashJoin" in x and "LeftSemi" in x for x in _join_lines(lambda: P.source_latest(lines)))
+    src = spark.createDataFrame([("wx_a", MARK + dt.timedelta(days=1))], "station string, source_latest_ts timestamp_ntz")
+    joins = _join_lines(lambda: P.backfill_rows(lines, stored, src))
+    assert sorted("BroadcastHashJoin" in x for x in joins) == [False, True]  # the other one is of marks
+    few = sorted(map(str, P.source_latest(lines).collect())), sorted(map(str, P.backfill_rows(lines, stored, src).collect()))
+    monkeypatch.setattr(P, "MAX_STATIONS", 0)
+    many = sorted(map(str, P.source_latest(lines).collect())), sorted(map(str, P.backfill_rows(lines, stored, src).collect()))
+    assert many == few and (len(few[0]), len(few[1])) == (1, 3)
