@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyroll.llm.common import ship
+from skyroll.llm.common import ship, tidy
 
 #: Text in a block, and the bytes of text that one bucket's keys come from.
 BLOCK_BYTES = 2 << 20
@@ -175,8 +175,8 @@ def answers(blocks: DataFrame, plan: Layout, cuts_of: KeysOf) -> DataFrame:
                     out[name].append(value)
         return pa.table(out, schema=ANSWER)
 
-    cells = blocks.groupBy("block").applyInArrow(send, "bucket int, block int, cuts binary, counts binary")
-    return cells.groupBy("bucket").applyInArrow(add, "block int, bucket int, ranks binary, totals binary")
+    cells = blocks.groupBy("block").applyInArrow(tidy(send), "bucket int, block int, cuts binary, counts binary")
+    return cells.groupBy("bucket").applyInArrow(tidy(add), "block int, bucket int, ranks binary, totals binary")
 
 
 ANSWER = pa.schema([("block", pa.int32()), ("bucket", pa.int32()), ("ranks", pa.binary()), ("totals", pa.binary())])
@@ -197,4 +197,4 @@ def with_answers(blocks: DataFrame, given: DataFrame, fn: Callable[[pa.Table, pa
     def on_texts(docs: pa.Table, answer: pa.Table) -> pa.Table:
         return fn(opened(docs), answer)
 
-    return blocks.groupBy("block").cogroup(given.groupBy("block")).applyInArrow(on_texts, schema)
+    return blocks.groupBy("block").cogroup(given.groupBy("block")).applyInArrow(tidy(on_texts), schema)

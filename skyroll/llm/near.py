@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyroll.llm import blocks as B
-from skyroll.llm.common import table, written
+from skyroll.llm.common import table, tidy, written
 from skyroll.llm.graph import components
 from skyroll.llm.words import hash_words, mix, space_class, split_words, window_hashes
 
@@ -258,7 +258,7 @@ def apart(entries: DataFrame, documents: int) -> DataFrame:
                     part[part == part[k]] = part[i]
         return pa.table({"x": pa.array(xs, pa.binary()), "y": pa.array(ys, pa.binary())})
 
-    return entries.groupBy("band").applyInArrow(compare, "x binary, y binary")
+    return entries.groupBy("band").applyInArrow(tidy(compare), "x binary, y binary")
 
 
 def near_classes(dealt: DataFrame, plan: B.Layout) -> DataFrame:

@@ -1,8 +1,12 @@
 import random
+import re
+from pathlib import Path
 
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
-from skyroll.llm.common import gapless_starts, join_small
+from skyroll.llm.common import gapless_starts, join_small, tidy
 from skyroll.llm.graph import components
 
 
@@ -41,3 +45,19 @@ def test_gapless_starts(spark):
     got = gapless_starts(df, ["g"], "k", {"s": "w"}, tie="t").collect()
     for r in got:
         assert r.s == sum(w for g, k, t, w in rows if g == r.g and (k, t) < (r.k, r.t))
+
+
+def used():
+    return sum(map(int, re.findall(r"\nPss_Anon:\s+(\d+)", Path("/proc/self/smaps_rollup").read_text()))) / 1024
+
+
+@pytest.mark.parametrize("arguments", [1, 2])
+def test_freed_memory_goes_back(arguments):
+    def fill():
+        # too small to be mapped one by one; the last one keeps the heap from shrinking by itself
+        parts = [b"x" * 100_000 for _ in range(1500)]
+        return pa.table({"held": [parts[-1]]})
+
+    start = used()
+    out = tidy(lambda rows: fill())(None) if arguments == 1 else tidy(lambda left, right: fill())(None, None)
+    assert out.num_rows == 1 and used() < start + 50
