@@ -17,6 +17,7 @@ caller from whole keys.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -75,16 +76,22 @@ def opened(docs: pa.Table) -> pa.Table:
     return docs.set_column(docs.schema.get_field_index("_text"), "_text", pa.array(texts, pa.string()))
 
 
+@lru_cache(maxsize=1)
+def coders() -> tuple[zstandard.ZstdCompressor, zstandard.ZstdDecompressor]:
+    """Made once a process: making them takes longer than most packed rows."""
+    return zstandard.ZstdCompressor(level=1, write_content_size=True), zstandard.ZstdDecompressor()
+
+
 def packed(values: np.ndarray) -> bytes:
     """Non-negative whole numbers in the narrowest of 1, 2, 4 or 8 bytes each, byte by byte of all and compressed."""
     top = int(values.max()) if len(values) else 0
     kind = next(k for k in (1, 2, 4, 8) if top < 1 << (8 * k))
     planes = values.astype(f"<u{kind}").view(np.uint8).reshape(-1, kind).T.tobytes()
-    return bytes([kind]) + zstandard.ZstdCompressor(level=1, write_content_size=True).compress(planes)
+    return bytes([kind]) + coders()[0].compress(planes)
 
 
 def unpacked(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data[1:]), np.uint8)
+    planes = np.frombuffer(coders()[1].decompress(data[1:]), np.uint8)
     return np.ascontiguousarray(planes.reshape(data[0], -1).T).view(f"<u{data[0]}").ravel().astype(np.uint64)
 
 

@@ -44,6 +44,24 @@ def test_near_lines_in_a_large_group(documents):
     check(documents, [(500 - k, t) for k, t in rows])
 
 
+def test_sketches_of_wide_sets_and_long_words(documents):
+    base = [f"w{i}" for i in range(lines.WIDE + 30)]
+    rows = [(i, " ".join([*base[: lines.WIDE - 2 + i], f"own{i}"])) for i in range(8)]
+    rows += [(20 + i, " ".join([*base[:95], *[f"n{i}x{k}" for k in range(18 + i)]])) for i in range(8)]
+    long = ["a" * n + z for n in (7, 8, 15, 16, lines.LONG - 1, lines.LONG, lines.LONG + 1, 300) for z in ("", "b", "\x01")]
+    rows += [(40, " ".join(long)), (41, " ".join(long[:-4])), (42, " ".join([*long[:-8], *"cdefgh"])), (43, " ".join(long[:-8]) + "\n" + "\n \n" + long[0])]
+    check(documents, rows)
+    check(documents, [(500 - k, t) for k, t in rows])
+
+
+def test_each_step_runs_once(documents, odd_rows):
+    out = lines.dedup_lines(documents(odd_rows))
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    # reused exchanges are shown without what is below them
+    assert plan.count("FlatMapCoGroupsInArrow") + plan.count("FlatMapGroupsInArrow") < 20, plan
+
+
 def test_pipeline_rows(documents, odd_rows):
     df = documents(odd_rows)
     out = lines.with_lines_removed(df)
