@@ -61,7 +61,7 @@ def in_blocks(df: DataFrame, plan: Layout, key: str, text: str, more: tuple[str,
     def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
-            small = [None if t is None else squeeze(t.encode()) for t in batch.column("_text").to_pylist()]
+            small = [None if t is None else squeeze(t) for t in batch.column("_text").cast(pa.binary()).to_pylist()]
             at = batch.schema.get_field_index("_text")
             yield batch.set_column(at, "_text", pa.array(small, pa.binary()))
 
@@ -146,14 +146,14 @@ def distinct_cuts(keys: np.ndarray, plan: Layout) -> tuple[np.ndarray, np.ndarra
 KeysOf = Callable[[pa.Table], tuple[np.ndarray, np.ndarray]]
 
 
-def answers(blocks: DataFrame, plan: Layout, cuts_of: KeysOf) -> DataFrame:
+def answers(blocks: DataFrame, plan: Layout, cuts_of: KeysOf, read: Callable[[pa.Table], pa.Table] = opened) -> DataFrame:
     """Rows (block, bucket, ranks, totals): keys of a block whose count over all blocks is two or more.
 
-    ``cuts_of`` gives a block's distinct cut keys in order with their counts.
+    ``cuts_of`` gives a block's distinct cut keys in order with their counts, from what ``read`` makes of its rows.
     """
 
     def send(table: pa.Table) -> pa.Table:
-        cuts, counts = cuts_of(opened(table))
+        cuts, counts = cuts_of(read(table))
         edges = bucket_edges(cuts, plan)
         full = np.flatnonzero(np.diff(edges))
         parts = [(edges[b], edges[b + 1]) for b in full]
@@ -198,10 +198,12 @@ def totals_of(cuts: np.ndarray, counts: np.ndarray, answer: pa.Table, plan: Layo
     return out
 
 
-def with_answers(blocks: DataFrame, given: DataFrame, fn: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
-    """``fn`` on each block with the answers to it (none: an empty table); answers without a block don't occur."""
+def with_answers(
+    blocks: DataFrame, given: DataFrame, fn: Callable[[pa.Table, pa.Table], pa.Table], schema: str, read: Callable[[pa.Table], pa.Table] = opened
+) -> DataFrame:
+    """``fn`` on each block, as ``read`` makes it, with the answers to it (none: an empty table); answers without a block don't occur."""
 
     def on_texts(docs: pa.Table, answer: pa.Table) -> pa.Table:
-        return fn(opened(docs), answer)
+        return fn(read(docs), answer)
 
     return blocks.groupBy("block").cogroup(given.groupBy("block")).applyInArrow(tidy(on_texts), schema)

@@ -1,6 +1,11 @@
 import collections
+import random
 import re
 
+import numpy as np
+import pyarrow as pa
+import zstandard
+
 from skyroll.llm import lines
 
 
@@ -54,6 +59,43 @@ def test_sketches_of_wide_sets_and_long_words(documents):
     check(documents, [(500 - k, t) for k, t in rows])
 
 
+def test_words_taken_for_one(documents, monkeypatch):
+    rng = random.Random(4)
+    rows = []
+    for i in range(40):
+        words = [f"v{rng.randrange(60)}" for _ in range(rng.randrange(4, 14))]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join([*words[1:], f"n{i}"]) + "\n" + " ".join(words[::-1]))]
+    for spared in (8, 20, 24):
+        monkeypatch.setattr(lines, "SPARED_BITS", spared)
+        check(documents, rows)
+
+
+def block_of(texts):
+    squeeze = zstandard.ZstdCompressor().compress
+    rows = range(len(texts))
+    return pa.table({"_key": rows, "_row": rows, "_text": pa.array([None if t is None else squeeze(t.encode()) for t in texts], pa.binary())})
+
+
+def test_only_lines_that_meet_are_split_again():
+    texts = ["a b\n\nc", None, "", "d\n", "\n \n\u00e9\te\x0bf"]
+    block = lines.Block(block_of(texts))
+    whole = [line for t in texts for line in (t or "").split("\n")]
+    assert [block.data[a:b].tobytes().decode() for a, b in zip([0, *block.ends[:-1] + 1], block.ends)] == whole
+    for some in ([0], [2], [0, 1, 2], [2, 5, 9], list(range(len(whole)))):
+        assert block.only(np.array(some)).tobytes().decode() == "".join(whole[i] + "\n" for i in some)
+    key, place = block.places(np.arange(len(whole)))
+    assert list(zip(key, place)) == [(k, i) for k, t in enumerate(texts) for i in range(len((t or "").split("\n")))]
+
+
+def test_order_by_cut_and_size():
+    rng = np.random.default_rng(1)
+    for top in (20, 63):
+        cut = rng.integers(0, 1 << top, 200).astype(np.uint64)[rng.integers(0, 200, 500)]
+        size, sketch = rng.integers(1, 1 << 12, 500), rng.integers(0, 9, 500).astype(np.uint64)
+        order = np.argsort(lines.by_cut_and_size(cut, size, sketch))
+        assert list(zip(cut[order], size[order])) == sorted(zip(cut, size))
+
+
 def test_each_step_runs_once(documents, odd_rows):
     out = lines.dedup_lines(documents(odd_rows))
     out.collect()
